@@ -67,3 +67,277 @@ def collections_by_source(tables: Tables, params: ReportParams = ReportParams(),
         money_out(F.sum("share_mora")).alias("TotalMora"),
         money_out(F.sum("importe_total")).alias("TotalPeriodo"),
     )
+
+
+# --------------------------------------------------------------------- W04
+def _bills_in_range(tables: Tables, params: ReportParams) -> DataFrame:
+    b = live(tables.expensa).filter(in_range("periodo", params.date_from, params.date_to_exclusive))
+    if params.consorcio_id is not None:
+        b = b.filter(F.col("consorcio_id") == params.consorcio_id)
+    return b.select("expensa_id", "consorcio_id",
+                    F.year("periodo").alias("Anio"), F.month("periodo").alias("Mes"))
+
+
+def _paid_per_bill(tables: Tables) -> DataFrame:
+    from ..operators.concepts import valid_payments
+    return valid_payments(tables).groupBy("expensa_id").agg(F.sum("importe").alias("paid"))
+
+
+def monthly_expense_income(tables: Tables, params: ReportParams = ReportParams(),
+                           fanout: str = "reference", plan: str = "merged") -> DataFrame:
+    """Per building, year and month of the bill period: expense by
+    concept (three-concept totals) and income (valid payments of those bills,
+    by the *bill's* period, not the payment date).
+
+    Both sides start from the same live bills in range, so their group keys
+    coincide and the reports' FULL OUTER JOIN never leaves a side unmatched.
+    ``plan="merged"`` (default) therefore aggregates charges and payments to
+    bill level, joins them on ``expensa_id`` (co-partitioned) and groups once;
+    ``plan="outer"`` groups each side and merges them with a full outer join
+    on the three keys, as the reports do.  Both give the same rows.
+    """
+    bills = _bills_in_range(tables, params)
+    charges = charge_aggregates(tables.charges, CONCEPTS)
+    paid = _paid_per_bill(tables)
+    keys = ["consorcio_id", "Anio", "Mes"]
+    gastos = [F.sum(c).alias(n) for c, n in zip(total_columns(CONCEPTS, fanout),
+                                                  ("g_ord", "g_ext", "g_mora"))]
+    if plan == "merged":
+        per_bill = bills.join(charges, "expensa_id", "left").join(paid, "expensa_id", "left")
+        m = per_bill.groupBy(*keys).agg(*gastos, F.sum(F.coalesce("paid", F.lit(0))).alias("ing"))
+    elif plan == "outer":
+        g = bills.join(charges, "expensa_id", "left").groupBy(*keys).agg(*gastos)
+        i = bills.join(paid, "expensa_id", "left").groupBy(*keys).agg(
+            F.sum(F.coalesce("paid", F.lit(0))).alias("ing"))
+        j = g.alias("g").join(i.alias("i"), keys, "full_outer")
+        m = j.select(*keys, "g_ord", "g_ext", "g_mora", "ing")
+    else:
+        raise ValueError("plan must be 'merged' or 'outer'")
+    z = F.lit(0)
+    g_ord, g_ext, g_mora = (F.coalesce(c, z) for c in ("g_ord", "g_ext", "g_mora"))
+    return m.select(
+        *keys,
+        money_out(g_ord).alias("gastos_ordinarios"),
+        money_out(g_ext).alias("gastos_extra"),
+        money_out(g_mora).alias("gastos_mora"),
+        money_out(g_ord + g_ext + g_mora).alias("total_gastos"),
+        money_out(F.coalesce("ing", z)).alias("ingresos"),
+        (g_ord + g_ext + g_mora).alias("total_gastos__exact"),
+        F.coalesce("ing", z).alias("ingresos__exact"),
+    )
+
+
+def _drop_exact(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.endswith("__exact")])
+
+
+def top_expense_months(monthly: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` months of largest total expense (> 0).
+
+    Order: total DESC, year, month, then building id (ties between buildings
+    are arbitrary in the report).  ``orderBy().limit()`` plans a
+    ``TakeOrderedAndProject``: per-partition top-n, then a merge of n rows
+    per partition - never a global sort.
+    """
+    return _drop_exact(
+        monthly.filter(F.col("total_gastos__exact") > 0)
+        .orderBy(F.col("total_gastos__exact").desc(), "Anio", "Mes", "consorcio_id")
+        .limit(n)
+        .select("consorcio_id", "Anio", "Mes", "gastos_ordinarios", "gastos_extra",
+                "gastos_mora", "total_gastos", "total_gastos__exact"))
+
+
+def top_income_months(monthly: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` months of largest income (> 0); order as W05."""
+    return _drop_exact(
+        monthly.filter(F.col("ingresos__exact") > 0)
+        .orderBy(F.col("ingresos__exact").desc(), "Anio", "Mes", "consorcio_id")
+        .limit(n)
+        .select("consorcio_id", "Anio", "Mes", "ingresos", "ingresos__exact"))
+
+
+def top_expense_income_months(tables: Tables, params: ReportParams = ReportParams(),
+                              n: int = 5, fanout: str = "reference"):
+    """W05 + W06 from one materialised monthly table (two result sets).
+
+    The monthly table is persisted (recomputed from lineage if an executor
+    is lost); callers ``unpersist`` it via the returned handle.
+    """
+    monthly = monthly_expense_income(tables, params, fanout).persist()
+    return top_expense_months(monthly, n), top_income_months(monthly, n), monthly
+
+
+# --------------------------------------------------------------------- W02 / W08
+def _payer_units(tables: Tables, pay: DataFrame, mode: str = "clear", key=None,
+                 role: str | None = None) -> DataFrame:
+    """Payments -> live payer (by account) -> tenure valid on the payment
+    date -> live unit.  One row per (payment, matching tenure)."""
+    from ..operators.tenure import match_payments_by_account, tenure_as_of
+    matched = match_payments_by_account(pay, tables.persona, mode, key)
+    held = tenure_as_of(matched, tables.titularidad, "persona_id", "fecha", role=role,
+                        keep=("uf_id",))
+    units = live(tables.unidad).select("uf_id", F.col("consorcio_id").alias("uf_consorcio_id"),
+                                       "piso", "depto")
+    return held.join(units, "uf_id")
+
+
+def collections_by_unit_month(tables: Tables, consorcio_id: int | None = None,
+                              year: int | None = None, mode: str = "clear", key=None) -> DataFrame:
+    """One row per unit, 12 month columns of money paid by its holders.
+
+    Payment -> person by account -> *any* tenure valid on the payment date
+    (every valid tenure counts the payment once: no de-duplication) -> live
+    unit; the bill only has to be live (its building is not checked against
+    the unit's).  Building filter on the unit, year on the payment date.
+    Months without payments are NULL; units without payments do not appear.
+    """
+    y = default_year(year)
+    pay = live(tables.pago).filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
+        .filter(in_year("fecha", y)).select("pago_id", "expensa_id", "fecha", "importe",
+                                             *[c for c in tables.pago.columns
+                                               if c.startswith("cbu_cvu_origen")])
+    pay = pay.join(live(tables.expensa).select("expensa_id"), "expensa_id", "left_semi")
+    rows = _payer_units(tables, pay, mode, key)
+    if consorcio_id is not None:
+        rows = rows.filter(F.col("uf_consorcio_id") == consorcio_id)
+    src = rows.select("uf_id", "piso", "depto", month_name(F.month("fecha")).alias("MesNombre"),
+                      "importe")
+    pv = src.groupBy("uf_id", "piso", "depto").pivot("MesNombre", list(MONTH_NAMES)) \
+            .agg(F.sum("importe"))
+    return pv.select("uf_id", "piso", "depto",
+                     *[money_out(F.col(m)).alias(m) for m in MONTH_NAMES])
+
+
+def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
+                          mode: str = "clear", key=None) -> DataFrame:
+    """Per unit, each payment date, the next payment date and the gap.
+
+    Rows are DISTINCT (unit, building, floor, door, payment, date), so
+    overlapping tenures of one payer collapse while two payments on one day
+    stay two rows (gap 0).  The bill must be live with at least one live
+    ordinary charge (semi join); building filter on the unit.
+
+    LEAD over a unit is computed in two levels so no task holds a whole
+    unit's history: inside (unit, day) partitions, then - for each day's last
+    payment - the first payment of the unit's next payment day, from a
+    per-(unit, day) table whose per-unit size is bounded by the days in the
+    range.  The day gap leaves as DOUBLE (NULL on each unit's last payment),
+    the type a NULL-able count has in pandas on every engine.
+    """
+    pay = live(tables.pago).filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
+        .filter(in_range("fecha", params.date_from, params.date_to_exclusive))
+    pay = pay.select("pago_id", "expensa_id", "fecha",
+                     *[c for c in tables.pago.columns if c.startswith("cbu_cvu_origen")])
+    with_ord = live(tables.ordinarios).select("expensa_id")
+    bills = live(tables.expensa).select("expensa_id").join(with_ord, "expensa_id", "left_semi")
+    pay = pay.join(bills, "expensa_id", "left_semi")
+    rows = _payer_units(tables, pay, mode, key)
+    if params.consorcio_id is not None:
+        rows = rows.filter(F.col("uf_consorcio_id") == params.consorcio_id)
+    r = rows.select("uf_id", F.col("uf_consorcio_id").alias("consorcio_id"), "piso", "depto",
+                    "pago_id", F.col("fecha").alias("fecha_pago")).distinct() \
+            .withColumn("dia__", F.to_date("fecha_pago"))
+    in_day = Window.partitionBy("uf_id", "dia__").orderBy("fecha_pago", "pago_id")
+    r = r.withColumn("next_in_day__", F.lead("fecha_pago").over(in_day))
+    days = r.groupBy("uf_id", "dia__").agg(F.min("fecha_pago").alias("first__"))
+    by_day = Window.partitionBy("uf_id").orderBy("dia__")
+    days = days.select("uf_id", "dia__", F.lead("first__").over(by_day).alias("next_day__"))
+    out = r.join(days, ["uf_id", "dia__"])
+    nxt = F.coalesce("next_in_day__", "next_day__")
+    return out.select(
+        "consorcio_id", "uf_id", "piso", "depto", "fecha_pago",
+        nxt.alias("fecha_pago_siguiente"),
+        F.when(nxt.isNotNull(), F.datediff(nxt, F.col("fecha_pago")))
+         .cast("double").alias("dias_hasta_siguiente_pago"),
+    )
+
+
+# --------------------------------------------------------------------- W07
+def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
+    """Late interest of each (owner, building), before the top-k of W07.
+
+    Each live late-interest charge of a live bill is shared over the live
+    units of the bill's building by coefficient, and each unit's share goes
+    to every PROPIETARIO tenure valid on the charge date (co-owners each take
+    the full unit share; a unit without owner loses it).
+
+    Plan without the charge x unit product: charges are summed per
+    (building, day); a dense per-building calendar carries the running total;
+    each owner tenure, clipped to its building's calendar, takes
+    ``coef * (cum(hi) - cum(lo - 1))``; owner sums are divided once by the
+    building's coefficient total.  Exact decimals up to that division.
+    """
+    from ..operators.allocate import cumulative_by_day, interval_sums, prorate, unit_weights
+    bills = live(tables.expensa).select("expensa_id", "consorcio_id")
+    if params.consorcio_id is not None:
+        bills = bills.filter(F.col("consorcio_id") == params.consorcio_id)
+    mora = live(tables.mora).filter(
+        in_range("fecha_aplicacion", params.date_from, params.date_to_exclusive)) \
+        .select("expensa_id", "fecha_aplicacion", "importe")
+    daily = mora.join(bills, "expensa_id").groupBy("consorcio_id", "fecha_aplicacion") \
+                .agg(F.sum("importe").alias("amount"))
+    cum = cumulative_by_day(daily, "consorcio_id", "fecha_aplicacion", "amount",
+                            params.days_in_range())
+    span = daily.groupBy("consorcio_id").agg(F.min("fecha_aplicacion").alias("d0"),
+                                             F.max("fecha_aplicacion").alias("d1"))
+    units = unit_weights(tables.unidad)
+    owners = tables.titularidad.filter(F.col("tipo_titularidad") == "PROPIETARIO") \
+        .select("persona_id", "uf_id", "fecha_desde", "fecha_hasta")
+    owners = owners.join(live(tables.persona).select("persona_id"), "persona_id", "left_semi")
+    ten = owners.join(units, "uf_id").join(span, "consorcio_id")
+    ten = ten.select("persona_id", "uf_id", "consorcio_id", "coeficiente", "coef_total",
+                     F.greatest("fecha_desde", "d0").alias("lo"),
+                     F.least(F.coalesce("fecha_hasta", "d1"), "d1").alias("hi")) \
+             .filter(F.col("lo") <= F.col("hi"))
+    summed = interval_sums(ten, cum, "consorcio_id", "fecha_aplicacion", "lo", "hi")
+    per_owner = summed.groupBy("persona_id", "consorcio_id").agg(
+        F.sum(F.col("interval_sum") * F.col("coeficiente")).alias("num"),
+        F.max("coef_total").alias("coef_total"))
+    res = per_owner.select("persona_id", "consorcio_id",
+                           prorate(F.col("num"), F.col("coef_total")).alias("total_morosidad"))
+    res = res.filter(F.col("total_morosidad") > 0)
+    names = tables.persona.select("persona_id", "apellido", "nombre")
+    return res.join(names, "persona_id")
+
+
+def contact_columns(persons: DataFrame, mode: str = "clear", key=None) -> DataFrame:
+    """``persona_id`` with dni, email, telefono, cbu_cvu as text (decrypted
+    from the ``*_enc`` columns in ``decrypt`` mode)."""
+    from ..functions.crypto import decrypt_text
+    cols = ("dni", "email", "telefono", "cbu_cvu")
+    if mode == "clear":
+        sel = [F.col(c).cast("string").alias(c) for c in cols]
+    else:
+        sel = [decrypt_text(F.col(c + "_enc"), key).alias(c) for c in cols]
+    return persons.select("persona_id", *sel)
+
+
+def top_debtor_owners(tables: Tables, params: ReportParams = ReportParams(), n: int = 3,
+                      mode: str = "clear", key=None) -> DataFrame:
+    """The ``n`` (owner, building) pairs with most prorated late interest.
+
+    Order: total DESC, surname, name, then person and building ids.  Contact
+    data are attached (and, in ``decrypt`` mode, decrypted) for the ``n``
+    winners only.
+    """
+    ranked = owner_late_interest(tables, params).orderBy(
+        F.col("total_morosidad").desc(), "apellido", "nombre", "persona_id", "consorcio_id").limit(n)
+    contact = contact_columns(tables.persona, mode, key)
+    return ranked.join(contact, "persona_id").select(
+        "persona_id", "apellido", "nombre", "dni", "email", "telefono", "cbu_cvu",
+        "consorcio_id", "total_morosidad")
+
+
+# --------------------------------------------------------------------- W15
+def late_interest_by_unit(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
+    """W15 on late interest: each live unit's coefficient share of its
+    building's live late-interest charges in the range."""
+    from ..operators.allocate import prorate_by_coefficient
+    bills = live(tables.expensa).select("expensa_id", "consorcio_id")
+    mora = live(tables.mora).filter(
+        in_range("fecha_aplicacion", params.date_from, params.date_to_exclusive)) \
+        .select("expensa_id", "importe").join(bills, "expensa_id")
+    if params.consorcio_id is not None:
+        mora = mora.filter(F.col("consorcio_id") == params.consorcio_id)
+    return prorate_by_coefficient(mora, tables.unidad).select(
+        "uf_id", "consorcio_id", F.col("share").alias("mora_prorrateada"))
