@@ -57,9 +57,10 @@ def running_total(df: DataFrame, value: str, period_keys: list[str],
               .drop("offset" + _SUFFIX, "within" + _SUFFIX)
 
 
-def dense_row_number(df: DataFrame, order_col: str, out: str = "rn",
+def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
                      num_partitions: int | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY order_col)`` for a unique ``order_col``.
+    """``ROW_NUMBER() OVER (ORDER BY order_col)`` for a unique ordering key
+    (one column or a list of columns).
 
     Distributed: range-partition on the key (the partitioner samples the key,
     so even a dense run of ids spreads over many partitions), sort inside each
@@ -71,7 +72,8 @@ def dense_row_number(df: DataFrame, order_col: str, out: str = "rn",
     record index in the lower 33 bits, as documented).
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
+    cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.spark_partition_id().alias("pid" + _SUFFIX),
                            mid.alias("mid" + _SUFFIX))
