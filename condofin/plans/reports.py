@@ -20,7 +20,8 @@ from ..params import ReportParams, default_year
 
 # --------------------------------------------------------------------- W01
 def weekly_cash_flow(tables: Tables, params: ReportParams = ReportParams(),
-                     fanout: str = "reference", iso_year: bool = False) -> DataFrame:
+                     fanout: str = "reference", iso_year: bool = False,
+                     ordered: bool = True) -> DataFrame:
     """Per building, calendar year and ISO week: money collected.
 
     Ordinary / extraordinary parts come from the two-concept split; the mean
@@ -44,7 +45,7 @@ def weekly_cash_flow(tables: Tables, params: ReportParams = ReportParams(),
     ran = running_total(weekly, "tot", ["Anio", "Semana"], ["consorcio_id"],
                         out="acc", mean_out="PromedioPeriodo",
                         max_periods=params.iso_weeks_bound())
-    return ran.select(
+    out = ran.select(
         "consorcio_id", "Anio", "Semana",
         money_out(F.col("ord")).alias("TotalOrdinario"),
         money_out(F.col("ext")).alias("TotalExtraordinario"),
@@ -52,14 +53,15 @@ def weekly_cash_flow(tables: Tables, params: ReportParams = ReportParams(),
         "PromedioPeriodo",
         money_out(F.col("acc")).alias("AcumuladoProgresivo"),
     )
+    return out.orderBy("Anio", "Semana", "consorcio_id") if ordered else out
 
 
 # --------------------------------------------------------------------- W03
 def collections_by_source(tables: Tables, params: ReportParams = ReportParams(),
-                          fanout: str = "reference") -> DataFrame:
+                          fanout: str = "reference", ordered: bool = True) -> DataFrame:
     """Per building, year, month: ordinary, extraordinary, late, total."""
     sp = split_payment(tables, params, CONCEPTS, fanout)
-    return sp.groupBy(
+    out = sp.groupBy(
         "consorcio_id", F.year("fecha").alias("Anio"), F.month("fecha").alias("Mes"),
     ).agg(
         money_out(F.sum("share_ordinario")).alias("TotalOrdinario"),
@@ -67,6 +69,7 @@ def collections_by_source(tables: Tables, params: ReportParams = ReportParams(),
         money_out(F.sum("share_mora")).alias("TotalMora"),
         money_out(F.sum("importe_total")).alias("TotalPeriodo"),
     )
+    return out.orderBy("consorcio_id", "Anio", "Mes") if ordered else out
 
 
 # --------------------------------------------------------------------- W04
@@ -205,7 +208,7 @@ def collections_by_unit_month(tables: Tables, consorcio_id: int | None = None,
     pv = src.groupBy("uf_id", "piso", "depto").pivot("MesNombre", list(MONTH_NAMES)) \
             .agg(F.sum("importe"))
     return pv.select("uf_id", "piso", "depto",
-                     *[money_out(F.col(m)).alias(m) for m in MONTH_NAMES])
+                     *[money_out(F.col(m)).alias(m) for m in MONTH_NAMES]).orderBy("uf_id")
 
 
 def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
@@ -249,7 +252,7 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
         nxt.alias("fecha_pago_siguiente"),
         F.when(nxt.isNotNull(), F.datediff(nxt, F.col("fecha_pago")))
          .cast("double").alias("dias_hasta_siguiente_pago"),
-    )
+    ).orderBy("consorcio_id", "uf_id", "fecha_pago")
 
 
 # --------------------------------------------------------------------- W07
@@ -325,7 +328,8 @@ def top_debtor_owners(tables: Tables, params: ReportParams = ReportParams(), n:
     contact = contact_columns(tables.persona, mode, key)
     return ranked.join(contact, "persona_id").select(
         "persona_id", "apellido", "nombre", "dni", "email", "telefono", "cbu_cvu",
-        "consorcio_id", "total_morosidad")
+        "consorcio_id", "total_morosidad").orderBy(
+        F.col("total_morosidad").desc(), "apellido", "nombre", "persona_id", "consorcio_id")
 
 
 # --------------------------------------------------------------------- W15

@@ -40,7 +40,7 @@ MEAN_XML = T.DecimalType(38, 6)
 
 def weekly_cash_flow_struct(tables: Tables, params: ReportParams = ReportParams(),
                             fanout: str = "reference") -> DataFrame:
-    w = R.weekly_cash_flow(tables, params, fanout)
+    w = R.weekly_cash_flow(tables, params, fanout, ordered=False)
     m = lambda c: F.col(c).cast(MONEY_XML)
     return w.select(
         F.col("consorcio_id").alias(ATTR_PREFIX + "consorcio_id"),
@@ -55,7 +55,7 @@ def weekly_cash_flow_struct(tables: Tables, params: ReportParams = ReportParams(
 
 def collections_by_source_struct(tables: Tables, params: ReportParams = ReportParams(),
                                  fanout: str = "reference") -> DataFrame:
-    r = R.collections_by_source(tables, params, fanout)
+    r = R.collections_by_source(tables, params, fanout, ordered=False)
     m = lambda c: F.col(c).cast(MONEY_XML)
     return r.select(
         F.col("consorcio_id").alias(ATTR_PREFIX + "consorcio_id"),
