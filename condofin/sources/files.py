@@ -115,8 +115,12 @@ def split_units(units: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 # ------------------------------------------------------------------ W21
-_MONTH_NUMBER = F.create_map(*[x for i, n in enumerate(MONTH_NAMES, start=1)
-                               for x in (F.lit(n.lower()), F.lit(i))])
+def _month_number(name: Column) -> Column:
+    """Lower-case Spanish month name -> 1..12 (NULL when unknown)."""
+    expr = None
+    for i, n in enumerate(MONTH_NAMES, start=1):
+        expr = F.when(name == n.lower(), i) if expr is None else expr.when(name == n.lower(), i)
+    return expr
 
 
 def clean_service_costs(docs: DataFrame) -> DataFrame:
@@ -131,7 +135,7 @@ def clean_service_costs(docs: DataFrame) -> DataFrame:
                     *[F.col(f"`{c}`").alias(c) for c in cats])
     long = base.unpivot(["consorcio_nombre", "anio", "mes_nombre"], cats, "categoria", "importe_texto")
     return long.select("consorcio_nombre", "anio", "mes_nombre",
-                       _MONTH_NUMBER[F.col("mes_nombre")].alias("mes"), "categoria",
+                       _month_number(F.col("mes_nombre")).alias("mes"), "categoria",
                        "importe_texto", parse_money(F.col("importe_texto")).alias("importe"))
 
 
