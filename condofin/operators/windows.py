@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 _SUFFIX = "__cf"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the reliable checkpoint folder and cut its
+    lineage (for a result read by two branches of one plan).
+
+    The folder is the session's ``spark.checkpoint.dir`` (a shared file
+    system on a cluster), so the data survive the loss of an executor.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def running_total(df: DataFrame, value: str, period_keys: list[str],
                   tie_keys: list[str], out: str, mean_out: str | None = None,
                   max_periods: int | None = None,
@@ -33,8 +45,12 @@ def running_total(df: DataFrame, value: str, period_keys: list[str],
        tie keys (one building per row: partitions are as big as the number of
        buildings with activity in that period);
     3. result = offset of earlier periods + in-period running sum.
+
+    ``df`` feeds both levels, so it is materialised once (:func:`materialize`)
+    instead of being recomputed by the second branch.
     """
     pk = list(period_keys)
+    df = materialize(df)
     per_period = df.groupBy(*pk).agg(
         F.sum(value).alias("period_sum" + _SUFFIX),
         F.count(F.lit(1)).alias("period_rows" + _SUFFIX))
@@ -70,13 +86,18 @@ def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
     count, not by the data.  The local number comes from
     ``monotonically_increasing_id`` (partition index in the upper 31 bits,
     record index in the lower 33 bits, as documented).
+
+    The partitioned, tagged rows are read twice (counts and numbering), and
+    range-partition bounds come from a sample whose seed depends on the
+    physical plan, so they are materialised once (:func:`materialize`):
+    both reads then see the same partitions, also after an executor loss.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
     ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
     mid = F.monotonically_increasing_id()
-    tagged = ranged.select("*", F.spark_partition_id().alias("pid" + _SUFFIX),
-                           mid.alias("mid" + _SUFFIX))
+    tagged = materialize(ranged.select("*", F.spark_partition_id().alias("pid" + _SUFFIX),
+                                       mid.alias("mid" + _SUFFIX)))
     local = F.col("mid" + _SUFFIX) - F.shiftleft(F.col("pid" + _SUFFIX).cast("bigint"), 33)
     counts = tagged.groupBy("pid" + _SUFFIX).agg(F.count(F.lit(1)).alias("cnt" + _SUFFIX))
     w = Window.orderBy("pid" + _SUFFIX).rowsBetween(Window.unboundedPreceding, -1)

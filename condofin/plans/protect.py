@@ -57,11 +57,21 @@ def _mask(rn: Column) -> Column:
     return F.concat(F.lit(MASK_PREFIX), F.lpad(rn.cast("string"), MASK_DIGITS, "0"))
 
 
+def _numbered_live(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """Live rows with their row number in ``id_col`` order, deleted rows apart.
+
+    The live rows themselves are range-partitioned and numbered, so the
+    number needs no join back to the table.
+    """
+    numbered = dense_row_number(df.filter(~F.col("borrado")), id_col, "rn")
+    deleted = df.filter(F.col("borrado")).withColumn("rn", F.lit(None).cast("bigint"))
+    return numbered, deleted
+
+
 def mask_columns(tables: Tables) -> Tables:
     """Overwrite the clear personal columns of live rows."""
-    per = tables.persona
-    live_ids = dense_row_number(per.filter(~F.col("borrado")).select("persona_id"), "persona_id", "rn")
-    per = per.join(live_ids, "persona_id", "left")
+    numbered, deleted = _numbered_live(tables.persona, "persona_id")
+    per = numbered.unionByName(deleted)
     alive = ~F.col("borrado")
     per = per.withColumns({
         "dni": F.when(alive, F.lit(0).cast(per.schema["dni"].dataType)).otherwise(F.col("dni")),
@@ -69,9 +79,8 @@ def mask_columns(tables: Tables) -> Tables:
         "telefono": F.when(alive, F.lit(0).cast(per.schema["telefono"].dataType)).otherwise(F.col("telefono")),
         "cbu_cvu": F.when(F.col("rn").isNotNull(), _mask(F.col("rn"))).otherwise(F.col("cbu_cvu")),
     }).drop("rn")
-    pay = tables.pago
-    pay_ids = dense_row_number(pay.filter(~F.col("borrado")).select("pago_id"), "pago_id", "rn")
-    pay = pay.join(pay_ids, "pago_id", "left")
+    numbered, deleted = _numbered_live(tables.pago, "pago_id")
+    pay = numbered.unionByName(deleted)
     pay = pay.withColumn("cbu_cvu_origen", F.when(F.col("rn").isNotNull(), _mask(F.col("rn")))
                          .otherwise(F.col("cbu_cvu_origen"))).drop("rn")
     return tables.replace(persona=per, pago=pay)

@@ -163,10 +163,11 @@ def top_expense_income_months(tables: Tables, params: ReportParams = ReportParam
                               n: int = 5, fanout: str = "reference"):
     """W05 + W06 from one materialised monthly table (two result sets).
 
-    The monthly table is persisted (recomputed from lineage if an executor
-    is lost); callers ``unpersist`` it via the returned handle.
+    The monthly table (buildings x months) is written once to the reliable
+    checkpoint folder and both top-n queries read it.
     """
-    monthly = monthly_expense_income(tables, params, fanout).persist()
+    from ..operators.windows import materialize
+    monthly = materialize(monthly_expense_income(tables, params, fanout))
     return top_expense_months(monthly, n), top_income_months(monthly, n), monthly
 
 

@@ -233,7 +233,6 @@ def test_top_months(spark):
     exp, inc, monthly = R.top_expense_income_months(t, P)
     assert [r.Mes for r in exp.collect()] == [7, 6, 5, 4, 3]
     assert [r.Mes for r in inc.collect()] == [1, 2, 3, 4, 5]
-    monthly.unpersist()
     outer = R.monthly_expense_income(t, P, plan="outer").collect()
     merged = R.monthly_expense_income(t, P).collect()
     assert sorted(map(tuple, outer)) == sorted(map(tuple, merged))

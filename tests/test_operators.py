@@ -168,3 +168,14 @@ def test_register_entities(spark):
     bad = spark.createDataFrame([("Otro", "X", "1", "A", D("1"), D("1"))], u.schema)
     with pytest.raises(RegistrationError):
         register_entities(t, b, bad, a)
+
+
+def test_dense_row_number_with_payload_columns(spark):
+    """Numbering whole rows (not just ids) stays dense and ordered."""
+    rnd = random.Random(9)
+    ids = rnd.sample(range(10**7), 5000)
+    df = spark.createDataFrame([(i, f"v{i}", i % 7) for i in ids], "id long, v string, g int")
+    out = dense_row_number(df, "id", "rn", num_partitions=8)
+    got = {r.id: (r.rn, r.v) for r in out.collect()}
+    want = {i: (n, f"v{i}") for n, i in enumerate(sorted(ids), start=1)}
+    assert got == want
