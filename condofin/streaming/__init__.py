@@ -1,0 +1,6 @@
+"""No streaming jobs.
+
+The reports are parameterised batch queries over tables (date range,
+building, year); nothing in them keeps state across micro-batches or needs
+watermarks, so every job lives in :mod:`condofin.plans` as a batch plan.
+"""
