@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 from ..model import live
 
 
+def building_coef_totals(units: DataFrame) -> DataFrame:
+    """``(consorcio_id, coef_total)``: coefficient sum of each building's live units."""
+    return live(units).groupBy("consorcio_id").agg(F.sum("coeficiente").alias("coef_total"))
+
+
 def unit_weights(units: DataFrame) -> DataFrame:
     """Live units with ``coeficiente`` and their building's ``coef_total``."""
     u = live(units).select("uf_id", "consorcio_id", "coeficiente")
-    totals = u.groupBy("consorcio_id").agg(F.sum("coeficiente").alias("coef_total"))
-    return u.join(totals, "consorcio_id")
+    return u.join(building_coef_totals(units), "consorcio_id")
 
 
 def prorate(numerator: F.Column, coef_total: F.Column) -> F.Column:
@@ -80,3 +84,23 @@ def interval_sums(intervals: DataFrame, cum: DataFrame, key: str, day: str,
     j = j.join(c_hi, [key, "hi__d"]).join(c_lo, [key, "lo__d"], "left")
     return j.withColumn("interval_sum", F.col("cum_hi") - F.coalesce(F.col("cum_lo"), F.lit(0))) \
             .drop("hi__d", "lo__d", "cum_hi", "cum_lo")
+
+
+def weighted_interval_totals(intervals: DataFrame, cum: DataFrame, key: str, day: str,
+                             lo: str, hi: str, weight: str, group_keys: list[str]) -> DataFrame:
+    """``SUM(weight * (cum(hi) - cum(lo - 1)))`` per ``group_keys``.
+
+    Each interval becomes two signed endpoint rows (``hi`` with +1, ``lo - 1``
+    with -1); one equi-join with the cumulative calendar and one aggregation
+    finish the job, so the calendar is read once and no per-interval id or
+    second join is needed.  Output column ``weighted_sum`` (exact decimal).
+    """
+    ends = intervals.select(
+        *group_keys, key, F.col(weight).alias("w__"),
+        F.explode(F.array(
+            F.struct(F.col(hi).alias("d__"), F.lit(1).alias("sign__")),
+            F.struct(F.date_sub(F.col(lo), 1).alias("d__"), F.lit(-1).alias("sign__")))).alias("e__"))
+    ends = ends.select(*group_keys, key, "w__", F.col("e__.d__").alias(day), F.col("e__.sign__").alias("sign__"))
+    j = ends.join(cum, [key, day], "left")
+    return j.groupBy(*group_keys).agg(
+        F.sum(F.col("w__") * F.coalesce(F.col("cum"), F.lit(0)) * F.col("sign__")).alias("weighted_sum"))

@@ -238,9 +238,11 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
     rows = _payer_units(tables, pay, mode, key)
     if params.consorcio_id is not None:
         rows = rows.filter(F.col("uf_consorcio_id") == params.consorcio_id)
-    r = rows.select("uf_id", F.col("uf_consorcio_id").alias("consorcio_id"), "piso", "depto",
-                    "pago_id", F.col("fecha").alias("fecha_pago")).distinct() \
-            .withColumn("dia__", F.to_date("fecha_pago"))
+    from ..operators.windows import materialize
+    # the de-duplicated payer rows feed both LEAD levels: computed once
+    r = materialize(rows.select("uf_id", F.col("uf_consorcio_id").alias("consorcio_id"), "piso", "depto",
+                                "pago_id", F.col("fecha").alias("fecha_pago")).distinct()
+                    .withColumn("dia__", F.to_date("fecha_pago")))
     in_day = Window.partitionBy("uf_id", "dia__").orderBy("fecha_pago", "pago_id")
     r = r.withColumn("next_in_day__", F.lead("fecha_pago").over(in_day))
     days = r.groupBy("uf_id", "dia__").agg(F.min("fecha_pago").alias("first__"))
@@ -269,34 +271,39 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
     (building, day); a dense per-building calendar carries the running total;
     each owner tenure, clipped to its building's calendar, takes
     ``coef * (cum(hi) - cum(lo - 1))``; owner sums are divided once by the
-    building's coefficient total.  Exact decimals up to that division.
+    building's coefficient total.  Each tenure contributes two signed
+    endpoint rows, so the calendar is joined once.  Exact decimals up to
+    that division.
     """
-    from ..operators.allocate import cumulative_by_day, interval_sums, prorate, unit_weights
+    from ..operators.allocate import (building_coef_totals, cumulative_by_day, prorate,
+                                      weighted_interval_totals)
     bills = live(tables.expensa).select("expensa_id", "consorcio_id")
     if params.consorcio_id is not None:
         bills = bills.filter(F.col("consorcio_id") == params.consorcio_id)
     mora = live(tables.mora).filter(
         in_range("fecha_aplicacion", params.date_from, params.date_to_exclusive)) \
         .select("expensa_id", "fecha_aplicacion", "importe")
-    daily = mora.join(bills, "expensa_id").groupBy("consorcio_id", "fecha_aplicacion") \
-                .agg(F.sum("importe").alias("amount"))
+    from ..operators.windows import materialize
+    # buildings x days: read three times below, so computed once
+    daily = materialize(mora.join(bills, "expensa_id").groupBy("consorcio_id", "fecha_aplicacion")
+                        .agg(F.sum("importe").alias("amount")))
     cum = cumulative_by_day(daily, "consorcio_id", "fecha_aplicacion", "amount",
                             params.days_in_range())
     span = daily.groupBy("consorcio_id").agg(F.min("fecha_aplicacion").alias("d0"),
                                              F.max("fecha_aplicacion").alias("d1"))
-    units = unit_weights(tables.unidad)
+    units = live(tables.unidad).select("uf_id", "consorcio_id", "coeficiente")
     owners = tables.titularidad.filter(F.col("tipo_titularidad") == "PROPIETARIO") \
         .select("persona_id", "uf_id", "fecha_desde", "fecha_hasta")
     owners = owners.join(live(tables.persona).select("persona_id"), "persona_id", "left_semi")
     ten = owners.join(units, "uf_id").join(span, "consorcio_id")
-    ten = ten.select("persona_id", "uf_id", "consorcio_id", "coeficiente", "coef_total",
+    ten = ten.select("persona_id", "uf_id", "consorcio_id", "coeficiente",
                      F.greatest("fecha_desde", "d0").alias("lo"),
                      F.least(F.coalesce("fecha_hasta", "d1"), "d1").alias("hi")) \
              .filter(F.col("lo") <= F.col("hi"))
-    summed = interval_sums(ten, cum, "consorcio_id", "fecha_aplicacion", "lo", "hi")
-    per_owner = summed.groupBy("persona_id", "consorcio_id").agg(
-        F.sum(F.col("interval_sum") * F.col("coeficiente")).alias("num"),
-        F.max("coef_total").alias("coef_total"))
+    per_owner = weighted_interval_totals(ten, cum, "consorcio_id", "fecha_aplicacion", "lo", "hi",
+                                         "coeficiente", ["persona_id", "consorcio_id"])
+    per_owner = per_owner.withColumnRenamed("weighted_sum", "num").join(
+        building_coef_totals(tables.unidad), "consorcio_id")
     res = per_owner.select("persona_id", "consorcio_id",
                            prorate(F.col("num"), F.col("coef_total")).alias("total_morosidad"))
     res = res.filter(F.col("total_morosidad") > 0)

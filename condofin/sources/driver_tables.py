@@ -73,14 +73,16 @@ def unidad(customer: DataFrame) -> DataFrame:
 
 
 def accesoria(customer: DataFrame) -> DataFrame:
+    """Storage rooms and parking spaces from one scan of customer."""
     k = F.col("c_custkey")
-    storage = customer.filter(k % 4 == 0).select(
-        k.alias("uf_id"), F.lit(4).cast(AREA).alias("m2_accesorio"),
-        F.lit("BAULERA").alias("tipo_accesorio"))
-    parking = customer.filter(k % 6 == 0).select(
-        k.alias("uf_id"), F.lit(12).cast(AREA).alias("m2_accesorio"),
-        F.lit("COCHERA").alias("tipo_accesorio"))
-    return storage.unionByName(parking)
+
+    def acc(applies, m2, kind):
+        return F.when(applies, F.struct(F.lit(m2).cast(AREA).alias("m2_accesorio"),
+                                        F.lit(kind).alias("tipo_accesorio")))
+
+    a = customer.select(k.alias("uf_id"), F.explode(F.array(
+        acc(k % 4 == 0, 4, "BAULERA"), acc(k % 6 == 0, 12, "COCHERA"))).alias("a"))
+    return a.filter(F.col("a").isNotNull()).select("uf_id", "a.m2_accesorio", "a.tipo_accesorio")
 
 
 def persona(customer: DataFrame) -> DataFrame:
@@ -98,20 +100,22 @@ def persona(customer: DataFrame) -> DataFrame:
 
 
 def titularidad(customer: DataFrame) -> DataFrame:
+    """Four tenure rules from one scan of customer: an array of candidate
+    rows per key (NULL where a rule does not apply), exploded and filtered."""
     k = F.col("c_custkey")
-    base = customer.select(k)
-
-    def rows(df, unit, start, end, role):
-        return df.select(
-            k.alias("persona_id"), unit.alias("uf_id"),
-            F.lit(start).alias("fecha_desde"),
-            F.lit(end).cast("date").alias("fecha_hasta"),
-            F.lit(role).alias("tipo_titularidad"))
-
-    return (rows(base, k, FIRST_TENURE_FROM, FIRST_TENURE_TO, OWNER_ROLE)
-            .unionByName(rows(base, k.bitwiseXOR(1), SECOND_TENURE_FROM, None, OWNER_ROLE))
-            .unionByName(rows(base.filter(k % 3 == 0), k.bitwiseXOR(2), TENANT_FROM, None, TENANT_ROLE))
-            .unionByName(rows(base.filter(k % 11 == 0), k.bitwiseXOR(1), OVERLAP_FROM, None, OWNER_ROLE)))
+
+    def row(unit, start, end, role, applies=F.lit(True)):
+        return F.when(applies, F.struct(
+            unit.alias("uf_id"), F.lit(start).alias("fecha_desde"),
+            F.lit(end).cast("date").alias("fecha_hasta"), F.lit(role).alias("tipo_titularidad")))
+
+    rules = F.array(
+        row(k, FIRST_TENURE_FROM, FIRST_TENURE_TO, OWNER_ROLE),
+        row(k.bitwiseXOR(1), SECOND_TENURE_FROM, None, OWNER_ROLE),
+        row(k.bitwiseXOR(2), TENANT_FROM, None, TENANT_ROLE, k % 3 == 0),
+        row(k.bitwiseXOR(1), OVERLAP_FROM, None, OWNER_ROLE, k % 11 == 0))
+    t = customer.select(k.alias("persona_id"), F.explode(rules).alias("t")).filter(F.col("t").isNotNull())
+    return t.select("persona_id", "t.uf_id", "t.fecha_desde", "t.fecha_hasta", "t.tipo_titularidad")
 
 
 def expensa(orders: DataFrame, customer: DataFrame) -> DataFrame:
