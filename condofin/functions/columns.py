@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..model import SHARE, VALID_PAYMENT_STATES
+from ..model import SHARE, VALID_PAYMENT_STATES, WIDE_MONEY
 
 # Spanish month names in calendar order (pivot columns of the
 # unit/month report and the month text of the service-cost file).
@@ -30,6 +30,16 @@ def valid_state(c: str = "estado") -> Column:
     return F.col(c).isin(*VALID_PAYMENT_STATES)
 
 
+def sum_money(c: Column | str) -> Column:
+    """Exact ``SUM`` of a DECIMAL(p,2) money column, accumulated as integer
+    cents (a LONG buffer instead of a BigDecimal one; overflow raises under
+    ANSI mode), returned as DECIMAL(38,2).  Works inside ``when`` filters:
+    NULL inputs are skipped, an all-NULL group gives NULL."""
+    c = F.col(c) if isinstance(c, str) else c
+    cents = F.sum((c * 100).cast("long"))
+    return (cents.cast("decimal(38,0)") / F.lit(100)).cast(WIDE_MONEY)
+
+
 def money_out(c: Column) -> Column:
     """Exact decimal -> 2-decimal DOUBLE for output (same bits in the oracle)."""
     return F.round(c, 2).cast("double")

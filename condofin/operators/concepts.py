@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_range, share, valid_state
+from ..functions.columns import in_range, share, sum_money, valid_state
 from ..model import CONCEPTS, SHARE, WIDE_MONEY, Tables, live
 from ..params import ReportParams
 
@@ -52,7 +52,7 @@ def charge_aggregates(charges: DataFrame, concepts=CONCEPTS[:2]) -> DataFrame:
     aggs = []
     for c in concepts:
         hit = F.col("concepto") == c
-        aggs.append(F.sum(F.when(hit, F.col("importe"))).alias(f"s_{c}"))
+        aggs.append(sum_money(F.when(hit, F.col("importe"))).alias(f"s_{c}"))
         aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"n_{c}"))
     return ch.groupBy("expensa_id").agg(*aggs)
 

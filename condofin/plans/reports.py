@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_range, in_year, money_out, month_name, MONTH_NAMES
+from ..functions.columns import MONTH_NAMES, in_range, in_year, money_out, month_name, sum_money
 from ..model import CONCEPTS, EXTRAORDINARIO, MORA, ORDINARIO, Tables, live
 from ..operators.concepts import charge_aggregates, split_payment, total_columns
 from ..operators.windows import running_total
@@ -40,7 +40,7 @@ def weekly_cash_flow(tables: Tables, params: ReportParams = ReportParams(),
     ).agg(
         F.sum("share_ordinario").alias("ord"),
         F.sum("share_extra").alias("ext"),
-        F.sum("importe_total").alias("tot"),
+        sum_money("importe_total").alias("tot"),
     )
     ran = running_total(weekly, "tot", ["Anio", "Semana"], ["consorcio_id"],
                         out="acc", mean_out="PromedioPeriodo",
@@ -67,7 +67,7 @@ def collections_by_source(tables: Tables, params: ReportParams = ReportParams(),
         money_out(F.sum("share_ordinario")).alias("TotalOrdinario"),
         money_out(F.sum("share_extra")).alias("TotalExtraordinario"),
         money_out(F.sum("share_mora")).alias("TotalMora"),
-        money_out(F.sum("importe_total")).alias("TotalPeriodo"),
+        money_out(sum_money("importe_total")).alias("TotalPeriodo"),
     )
     return out.orderBy("consorcio_id", "Anio", "Mes") if ordered else out
 
@@ -83,7 +83,7 @@ def _bills_in_range(tables: Tables, params: ReportParams) -> DataFrame:
 
 def _paid_per_bill(tables: Tables) -> DataFrame:
     from ..operators.concepts import valid_payments
-    return valid_payments(tables).groupBy("expensa_id").agg(F.sum("importe").alias("paid"))
+    return valid_payments(tables).groupBy("expensa_id").agg(sum_money("importe").alias("paid"))
 
 
 def monthly_expense_income(tables: Tables, params: ReportParams = ReportParams(),
@@ -207,7 +207,7 @@ def collections_by_unit_month(tables: Tables, consorcio_id: int | None = None,
     src = rows.select("uf_id", "piso", "depto", month_name(F.month("fecha")).alias("MesNombre"),
                       "importe")
     pv = src.groupBy("uf_id", "piso", "depto").pivot("MesNombre", list(MONTH_NAMES)) \
-            .agg(F.sum("importe"))
+            .agg(sum_money("importe"))
     return pv.select("uf_id", "piso", "depto",
                      *[money_out(F.col(m)).alias(m) for m in MONTH_NAMES]).orderBy("uf_id")
 
@@ -286,7 +286,7 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
     from ..operators.windows import materialize
     # buildings x days: read three times below, so computed once
     daily = materialize(mora.join(bills, "expensa_id").groupBy("consorcio_id", "fecha_aplicacion")
-                        .agg(F.sum("importe").alias("amount")))
+                        .agg(sum_money("importe").alias("amount")))
     cum = cumulative_by_day(daily, "consorcio_id", "fecha_aplicacion", "amount",
                             params.days_in_range())
     span = daily.groupBy("consorcio_id").agg(F.min("fecha_aplicacion").alias("d0"),

@@ -26,6 +26,23 @@ BASE_CONF = {
     "spark.sql.redaction.string.regex": "(?i)aes_(en|de)crypt\\([^)]*\\)|unhex\\([^)]*\\)",
 }
 
+# Starting point for a large cluster (~100 TB input, ~1000 executors).  AQE
+# starts from many shuffle partitions and coalesces them to the advisory
+# size; skew splitting kicks in for partitions 5x the median and over 256 MB;
+# AQE broadcasts a join side only when its measured size is under 64 MB.
+CLUSTER_CONF = {
+    **BASE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def build_session(master: str | None = None, app: str = "condofin",
                   shuffle_partitions: int | None = None,
