@@ -159,6 +159,14 @@ class Tables:
     def as_dict(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in SCHEMAS}
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temp views of every table (plus the three charge kinds) for SQL."""
+        views = dict(self.as_dict(), ordinarios=self.ordinarios,
+                     extraordinarios=self.extraordinarios, mora=self.mora)
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in views]
+
 
 def charges_from_parts(ordinarios: DataFrame | None = None,
                        extraordinarios: DataFrame | None = None,

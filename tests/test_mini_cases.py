@@ -236,3 +236,18 @@ def test_top_months(spark):
     outer = R.monthly_expense_income(t, P, plan="outer").collect()
     merged = R.monthly_expense_income(t, P).collect()
     assert sorted(map(tuple, outer)) == sorted(map(tuple, merged))
+
+
+def test_procedure_calls_by_name(spark):
+    from condofin.plans import procedures as PR
+    t = make_tables(spark, expensa=[bill()], charges=[charge(1, ORDINARIO, 100)],
+                    pago=[payment(1, 1, "2025-01-10 00:00:00", 40)])
+    weekly = PR.call("Reporte_FlujoCajaSemanal", t, ConsorcioId=1, FechaDesde="2025-01-01",
+                     FechaHasta="2025-12-31").collect()
+    assert [(r.Semana, r.TotalOrdinario) for r in weekly] == [(2, 40.0)]
+    expense, income = PR.call("Reporte_5Meses_MayoresGastosIngresos", t, FechaDesde="2025-01-01")
+    assert [r.total_gastos for r in expense.collect()] == [100.0]
+    assert [r.ingresos for r in income.collect()] == [40.0]
+    assert len(PR.names()) == 8
+    views = t.register_views("t_")
+    assert spark.sql("select count(*) c from t_ordinarios").collect()[0].c == 1 and "t_pago" in views
