@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import in_range, share, sum_money, valid_state
 from ..model import CONCEPTS, SHARE, WIDE_MONEY, Tables, live
 from ..params import ReportParams
+from ..sources.tables_io import year_filter
 
 TOTAL_NAMES = {"ordinario": "total_ordinario", "extraordinario": "total_extra",
                "mora": "total_mora"}
@@ -96,6 +97,7 @@ def valid_payments(tables: Tables, params: ReportParams | None = None) -> DataFr
     """Live payments in a valid state, optionally inside the date range."""
     p = live(tables.pago).filter(valid_state())
     if params is not None:
+        p = year_filter(p, params.date_from, params.date_to)
         p = p.filter(in_range("fecha", params.date_from, params.date_to_exclusive))
     return p
 

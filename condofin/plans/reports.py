@@ -8,6 +8,8 @@ from exact decimal sums (see :func:`condofin.functions.columns.money_out`).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from ..model import CONCEPTS, EXTRAORDINARIO, MORA, ORDINARIO, Tables, live
 from ..operators.concepts import charge_aggregates, split_payment, total_columns
 from ..operators.windows import running_total
 from ..params import ReportParams, default_year
+from ..sources.tables_io import year_filter
 
 
 # --------------------------------------------------------------------- W01
@@ -196,8 +199,8 @@ def collections_by_unit_month(tables: Tables, consorcio_id: int | None = None,
     Months without payments are NULL; units without payments do not appear.
     """
     y = default_year(year)
-    pay = live(tables.pago).filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
-        .filter(in_year("fecha", y)).select("pago_id", "expensa_id", "fecha", "importe",
+    pay = year_filter(live(tables.pago), dt.date(y, 1, 1), dt.date(y, 12, 31)) \
+        .filter(F.col("estado").isin("APLICADO", "ASOCIADO")).filter(in_year("fecha", y)).select("pago_id", "expensa_id", "fecha", "importe",
                                              *[c for c in tables.pago.columns
                                                if c.startswith("cbu_cvu_origen")])
     pay = pay.join(live(tables.expensa).select("expensa_id"), "expensa_id", "left_semi")
@@ -228,7 +231,8 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
     range.  The day gap leaves as DOUBLE (NULL on each unit's last payment),
     the type a NULL-able count has in pandas on every engine.
     """
-    pay = live(tables.pago).filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
+    pay = year_filter(live(tables.pago), params.date_from, params.date_to) \
+        .filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
         .filter(in_range("fecha", params.date_from, params.date_to_exclusive))
     pay = pay.select("pago_id", "expensa_id", "fecha",
                      *[c for c in tables.pago.columns if c.startswith("cbu_cvu_origen")])
