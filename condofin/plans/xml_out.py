@@ -14,10 +14,10 @@ Rows are ordered by building, year, week / month.  Money is DECIMAL(38,2)
 and the mean DECIMAL(38,6) so the text is plain (no exponent notation).
 NULL fields are omitted, as FOR XML PATH does.
 
-Two outputs: :func:`write_xml_document` writes one ordered document through
-Spark's XML data source (aggregated reports are small: buildings x periods),
-and the ``*_xml_rows`` functions return one ``to_xml`` string per row for
-outputs too large for one file.
+Two outputs: :func:`write_xml_document` writes the ordered document through
+Spark's XML data source (one file when the report is small, ordered part
+files otherwise), and the ``*_xml_rows`` functions return one ``to_xml``
+string per row.
 """
 
 from __future__ import annotations
@@ -87,26 +87,42 @@ def collections_by_source_xml_rows(tables: Tables, params: ReportParams = Report
                               F.col("Periodo.Anio").alias("Anio"), F.col("Periodo.Mes").alias("Mes")])
 
 
-def write_xml_document(df: DataFrame, path: str, root_tag: str, row_tag: str,
-                       order: list[str]) -> None:
-    """One ordered XML document (one part file) under ``path``.
-
-    ``orderBy`` range-partitions and sorts; ``coalesce(1)`` then concatenates
-    the sorted partitions without another shuffle.
-    """
-    (df.orderBy(*order).coalesce(1).write.mode("overwrite").format("xml")
-       .option("rootTag", root_tag).option("rowTag", row_tag)
-       .option("attributePrefix", ATTR_PREFIX).save(path))
+# Largest report written as one file by one task; larger ones are split.
+SINGLE_FILE_MAX_ROWS = 1_000_000
 
 
-def write_weekly_cash_flow_xml(tables: Tables, path: str, params: ReportParams = ReportParams()) -> None:
-    write_xml_document(weekly_cash_flow_struct(tables, params), path, W09_ROOT, W09_ROW,
+def write_xml_document(df: DataFrame, path: str, root_tag: str, row_tag: str,
+                       order: list[str], single_file_max_rows: int = SINGLE_FILE_MAX_ROWS) -> int:
+    """Write the rows as XML under ``path`` in ``order``; return the row count.
+
+    ``orderBy`` range-partitions and sorts.  A report of at most
+    ``single_file_max_rows`` rows (reports are buildings x periods) becomes
+    one document: ``coalesce(1)`` concatenates the sorted partitions without
+    another shuffle.  A larger one is written as ordered part files, each a
+    complete document with the root element, so no single task holds it.
+    The rows are materialised once, so counting them does not recompute
+    the report.
+    """
+    from ..operators.windows import materialize
+    rows = materialize(df)
+    n = rows.count()
+    out = rows.orderBy(*order)
+    if n <= single_file_max_rows:
+        out = out.coalesce(1)
+    (out.write.mode("overwrite").format("xml")
+        .option("rootTag", root_tag).option("rowTag", row_tag)
+        .option("attributePrefix", ATTR_PREFIX).save(path))
+    return n
+
+
+def write_weekly_cash_flow_xml(tables: Tables, path: str, params: ReportParams = ReportParams()) -> int:
+    return write_xml_document(weekly_cash_flow_struct(tables, params), path, W09_ROOT, W09_ROW,
                        ["_consorcio_id", "Anio", "Semana"])
 
 
 def write_collections_by_source_xml(tables: Tables, path: str,
-                                    params: ReportParams = ReportParams()) -> None:
-    write_xml_document(collections_by_source_struct(tables, params), path, W10_ROOT, W10_ROW,
+                                    params: ReportParams = ReportParams()) -> int:
+    return write_xml_document(collections_by_source_struct(tables, params), path, W10_ROOT, W10_ROW,
                        ["_consorcio_id", "Periodo.Anio", "Periodo.Mes"])
 
 

@@ -200,3 +200,26 @@ def test_tables_round_trip_through_parquet(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(anio" in plan and "(anio" in plan
     assert sorted(map(tuple, R.collections_by_unit_month(back, None, 1997).collect())) == \
         sorted(map(tuple, R.collections_by_unit_month(t, None, 1997).collect()))
+
+
+def test_xml_document_split_when_large(spark, tmp_dir):
+    from condofin.plans.xml_out import W09_ROOT, W09_ROW, weekly_cash_flow_struct, write_xml_document
+    pays = [payment(i, 1 + i % 2, f"2025-{1 + i % 12:02d}-{1 + i % 27:02d} 00:00:00", 10) for i in range(60)]
+    t = make_tables(spark, consorcio=[(1, "Uno", "c", 1, None, False), (2, "Dos", "c", 1, None, False)],
+                    expensa=[bill(1, 1), bill(2, 2)], pago=pays)
+    out = os.path.join(tmp_dir, "w09parts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep tiny partitions apart
+    try:
+        n = write_xml_document(weekly_cash_flow_struct(t, P), out, W09_ROOT, W09_ROW,
+                               ["_consorcio_id", "Anio", "Semana"], single_file_max_rows=5)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(glob.glob(os.path.join(out, "part-*")))
+    assert len(files) > 1
+    keys = []
+    for f in files:
+        root = ET.parse(f).getroot()
+        assert root.tag == W09_ROOT
+        keys += [(int(e.get("consorcio_id")), int(e.find("Anio").text), int(e.find("Semana").text))
+                 for e in root.findall(W09_ROW)]
+    assert len(keys) == n and keys == sorted(keys)
