@@ -106,3 +106,21 @@ def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
     res = tagged.join(F.broadcast(offsets), "pid" + _SUFFIX)
     return res.withColumn(out, F.col("off" + _SUFFIX) + local + 1) \
               .drop("pid" + _SUFFIX, "mid" + _SUFFIX, "off" + _SUFFIX)
+
+
+def expand_counts(df: DataFrame, count_col: str, chunk: int = 10_000) -> DataFrame:
+    """Repeat each row ``count_col`` times (the column is dropped).
+
+    A row is first split into ``ceil(count / chunk)`` chunk rows, which are
+    spread over partitions by a round-robin shuffle, and each chunk becomes at
+    most ``chunk`` rows; so a row with a huge count never makes one huge
+    array or one huge task.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = F.col(count_col)
+    chunks = df.withColumn("chunk__", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                           F.floor((c - 1) / chunk).cast("bigint"))))
+    chunks = chunks.withColumn("k__", F.least(F.lit(chunk).cast("bigint"), c - F.col("chunk__") * chunk))
+    chunks = chunks.repartition(n)
+    out = chunks.withColumn("rep__", F.explode(F.array_repeat(F.lit(True), F.col("k__").cast("int"))))
+    return out.drop(count_col, "chunk__", "k__", "rep__")

@@ -224,13 +224,19 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
     stay two rows (gap 0).  The bill must be live with at least one live
     ordinary charge (semi join); building filter on the unit.
 
-    LEAD over a unit is computed in two levels so no task holds a whole
-    unit's history: inside (unit, day) partitions, then - for each day's last
-    payment - the first payment of the unit's next payment day, from a
-    per-(unit, day) table whose per-unit size is bounded by the days in the
-    range.  The day gap leaves as DOUBLE (NULL on each unit's last payment),
-    the type a NULL-able count has in pandas on every engine.
+    Plan (no task holds a unit's whole history or one timestamp's copies):
+    the rows are pre-aggregated to one row per (unit, timestamp) with the
+    number ``n`` of distinct payments; LEAD runs over those rows inside
+    (unit, day) partitions, and a per-(unit, day) table - at most one row per
+    calendar day of the range for each unit - gives each day's last
+    timestamp the first one of the unit's next payment day.  Each timestamp
+    yields one row with the next timestamp, plus ``n - 1`` rows with gap 0
+    (:func:`expand_counts`: bounded chunks, spread over tasks; only these
+    duplicate rows are shuffled).  The day gap leaves
+    as DOUBLE (NULL on each unit's last payment), the type a NULL-able count
+    has in pandas on every engine.
     """
+    from ..operators.windows import expand_counts, materialize
     pay = year_filter(live(tables.pago), params.date_from, params.date_to) \
         .filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
         .filter(in_range("fecha", params.date_from, params.date_to_exclusive))
@@ -242,22 +248,28 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
     rows = _payer_units(tables, pay, mode, key)
     if params.consorcio_id is not None:
         rows = rows.filter(F.col("uf_consorcio_id") == params.consorcio_id)
-    from ..operators.windows import materialize
-    # the de-duplicated payer rows feed both LEAD levels: computed once
-    r = materialize(rows.select("uf_id", F.col("uf_consorcio_id").alias("consorcio_id"), "piso", "depto",
+    keys = ["uf_id", "consorcio_id", "piso", "depto", "fecha_pago"]
+    distinct_rows = rows.select("uf_id", F.col("uf_consorcio_id").alias("consorcio_id"), "piso", "depto",
                                 "pago_id", F.col("fecha").alias("fecha_pago")).distinct()
-                    .withColumn("dia__", F.to_date("fecha_pago")))
-    in_day = Window.partitionBy("uf_id", "dia__").orderBy("fecha_pago", "pago_id")
-    r = r.withColumn("next_in_day__", F.lead("fecha_pago").over(in_day))
-    days = r.groupBy("uf_id", "dia__").agg(F.min("fecha_pago").alias("first__"))
+    # one row per (unit, timestamp): read by both LEAD levels, so computed once
+    g0 = materialize(distinct_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n__"))
+                     .withColumn("dia__", F.to_date("fecha_pago")))
+    in_day = Window.partitionBy("uf_id", "dia__").orderBy("fecha_pago")
+    g = g0.withColumn("next_in_day__", F.lead("fecha_pago").over(in_day))
+    days = g.groupBy("uf_id", "dia__").agg(F.min("fecha_pago").alias("first__"))
     by_day = Window.partitionBy("uf_id").orderBy("dia__")
     days = days.select("uf_id", "dia__", F.lead("first__").over(by_day).alias("next_day__"))
-    out = r.join(days, ["uf_id", "dia__"])
-    nxt = F.coalesce("next_in_day__", "next_day__")
+    j = g.join(days, ["uf_id", "dia__"])
+    last = j.select(*keys, F.coalesce("next_in_day__", "next_day__").alias("fecha_pago_siguiente"))
+    # the other n - 1 payments of a timestamp are followed by one at the same time
+    dups = expand_counts(g0.filter(F.col("n__") > 1)
+                         .select(*keys, F.col("fecha_pago").alias("fecha_pago_siguiente"),
+                                 (F.col("n__") - 1).alias("copies")), "copies")
+    out = last.unionByName(dups)
     return out.select(
-        "consorcio_id", "uf_id", "piso", "depto", "fecha_pago",
-        nxt.alias("fecha_pago_siguiente"),
-        F.when(nxt.isNotNull(), F.datediff(nxt, F.col("fecha_pago")))
+        "consorcio_id", "uf_id", "piso", "depto", "fecha_pago", "fecha_pago_siguiente",
+        F.when(F.col("fecha_pago_siguiente").isNotNull(),
+               F.datediff(F.col("fecha_pago_siguiente"), F.col("fecha_pago")))
          .cast("double").alias("dias_hasta_siguiente_pago"),
     ).orderBy("consorcio_id", "uf_id", "fecha_pago")
 

@@ -223,3 +223,25 @@ def test_xml_document_split_when_large(spark, tmp_dir):
         keys += [(int(e.get("consorcio_id")), int(e.find("Anio").text), int(e.find("Semana").text))
                  for e in root.findall(W09_ROW)]
     assert len(keys) == n and keys == sorted(keys)
+
+
+def test_expand_counts_chunks_large_counts(spark):
+    from condofin.operators.windows import expand_counts
+    df = spark.createDataFrame([(1, 25_001), (2, 1), (3, 10_000)], "k int, c long")
+    got = {r.k: r.n for r in expand_counts(df, "c", chunk=10_000).groupBy("k").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == {1: 25_001, 2: 1, 3: 10_000}
+
+
+def test_days_between_payments_many_at_one_timestamp(spark):
+    acc = "0" * 21 + "1"
+    pays = [payment(i, 1, "2025-03-01 10:00:00", 1) for i in range(1, 2501)]
+    pays.append(payment(9999, 1, "2025-03-04 00:00:00", 1))
+    t = make_tables(spark, unidad=[unit(7)], persona=[person(1, acc)],
+                    titularidad=[tenure(1, 7, "2024-01-01")], expensa=[bill()],
+                    charges=[charge(1, ORDINARIO, 100)], pago=pays)
+    rows = R.days_between_payments(t, P).groupBy("fecha_pago", "dias_hasta_siguiente_pago").count().collect()
+    got = sorted((r.fecha_pago.day, r.dias_hasta_siguiente_pago, r["count"]) for r in rows
+                 if r.dias_hasta_siguiente_pago is not None)
+    assert got == [(1, 0.0, 2499), (1, 3.0, 1)]
+    assert R.days_between_payments(t, P).count() == 2501
