@@ -11,7 +11,7 @@ Soft delete: live rows have ``borrado = false``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +132,6 @@ class Tables:
     expensa: DataFrame
     charges: DataFrame
     pago: DataFrame
-    extra: dict = field(default_factory=dict)
 
     def concept(self, name: str) -> DataFrame:
         return self.charges.filter(F.col("concepto") == name)
@@ -152,7 +151,7 @@ class Tables:
     def replace(self, **kw) -> "Tables":
         vals = {k: getattr(self, k) for k in
                 ("consorcio", "unidad", "accesoria", "persona", "titularidad",
-                 "expensa", "charges", "pago", "extra")}
+                 "expensa", "charges", "pago")}
         vals.update(kw)
         return Tables(**vals)
 

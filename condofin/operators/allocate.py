@@ -70,22 +70,6 @@ def cumulative_by_day(daily: DataFrame, key: str, day: str, amount: str,
     return dense.select(key, day, F.sum(F.coalesce(F.col(amount), F.lit(0))).over(w).alias("cum"))
 
 
-def interval_sums(intervals: DataFrame, cum: DataFrame, key: str, day: str,
-                  lo: str, hi: str) -> DataFrame:
-    """Sum of the daily amounts of ``key`` over ``[lo, hi]`` for each interval.
-
-    Two equi-joins on ``(key, day)`` with the cumulative calendar:
-    ``cum(hi) - cum(lo - 1)``; ``lo`` and ``hi`` must lie inside the key's
-    calendar (callers clip them), and ``cum`` before the first day is 0.
-    """
-    c_hi = cum.select(F.col(key), F.col(day).alias("hi__d"), F.col("cum").alias("cum_hi"))
-    c_lo = cum.select(F.col(key), F.col(day).alias("lo__d"), F.col("cum").alias("cum_lo"))
-    j = intervals.withColumn("hi__d", F.col(hi)).withColumn("lo__d", F.date_sub(F.col(lo), 1))
-    j = j.join(c_hi, [key, "hi__d"]).join(c_lo, [key, "lo__d"], "left")
-    return j.withColumn("interval_sum", F.col("cum_hi") - F.coalesce(F.col("cum_lo"), F.lit(0))) \
-            .drop("hi__d", "lo__d", "cum_hi", "cum_lo")
-
-
 def weighted_interval_totals(intervals: DataFrame, cum: DataFrame, key: str, day: str,
                              lo: str, hi: str, weight: str, group_keys: list[str]) -> DataFrame:
     """``SUM(weight * (cum(hi) - cum(lo - 1)))`` per ``group_keys``.

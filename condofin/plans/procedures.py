@@ -9,8 +9,6 @@ two result sets).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 from ..model import Tables
 from ..params import ReportParams
 from . import reports as R
@@ -63,7 +61,3 @@ def call(name: str, tables: Tables, mode: str = "clear", key=None, **params):
 def names() -> list[str]:
     return [WEEKLY, BY_UNIT_MONTH, BY_SOURCE, TOP_MONTHS, TOP_DEBTORS, DAYS_BETWEEN,
             WEEKLY_XML, BY_SOURCE_XML]
-
-
-def as_frames(result) -> list[DataFrame]:
-    return list(result) if isinstance(result, tuple) else [result]

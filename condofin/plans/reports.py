@@ -13,8 +13,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONTH_NAMES, in_range, in_year, money_out, month_name, sum_money
-from ..model import CONCEPTS, EXTRAORDINARIO, MORA, ORDINARIO, Tables, live
+from ..functions.columns import (MONTH_NAMES, in_range, in_year, money_out, month_name, sum_money,
+                                 valid_state)
+from ..model import CONCEPTS, EXTRAORDINARIO, ORDINARIO, Tables, live
 from ..operators.concepts import charge_aggregates, split_payment, total_columns
 from ..operators.windows import running_total
 from ..params import ReportParams, default_year
@@ -199,10 +200,10 @@ def collections_by_unit_month(tables: Tables, consorcio_id: int | None = None,
     Months without payments are NULL; units without payments do not appear.
     """
     y = default_year(year)
+    accounts = [c for c in tables.pago.columns if c.startswith("cbu_cvu_origen")]
     pay = year_filter(live(tables.pago), dt.date(y, 1, 1), dt.date(y, 12, 31)) \
-        .filter(F.col("estado").isin("APLICADO", "ASOCIADO")).filter(in_year("fecha", y)).select("pago_id", "expensa_id", "fecha", "importe",
-                                             *[c for c in tables.pago.columns
-                                               if c.startswith("cbu_cvu_origen")])
+        .filter(valid_state()).filter(in_year("fecha", y)) \
+        .select("pago_id", "expensa_id", "fecha", "importe", *accounts)
     pay = pay.join(live(tables.expensa).select("expensa_id"), "expensa_id", "left_semi")
     rows = _payer_units(tables, pay, mode, key)
     if consorcio_id is not None:
@@ -238,7 +239,7 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
     """
     from ..operators.windows import expand_counts, materialize
     pay = year_filter(live(tables.pago), params.date_from, params.date_to) \
-        .filter(F.col("estado").isin("APLICADO", "ASOCIADO")) \
+        .filter(valid_state()) \
         .filter(in_range("fecha", params.date_from, params.date_to_exclusive))
     pay = pay.select("pago_id", "expensa_id", "fecha",
                      *[c for c in tables.pago.columns if c.startswith("cbu_cvu_origen")])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from condofin.functions.crypto import key_column
 from condofin.model import ORDINARIO
-from condofin.operators.allocate import cumulative_by_day, interval_sums
+from condofin.operators.allocate import cumulative_by_day, weighted_interval_totals
 from condofin.operators.windows import dense_row_number, running_total
 from condofin.params import ReportParams
 from condofin.plans import reports as R
@@ -70,8 +70,10 @@ def test_interval_sums_equal_brute_force(spark):
         hi = min(lo + dt.timedelta(days=rnd.randint(0, 60)), spans[k][1])
         if lo <= hi:
             ivs.append((i, k, lo, hi))
-    idf = spark.createDataFrame(ivs, "i int, k int, lo date, hi date")
-    got = {r.i: r.interval_sum for r in interval_sums(idf, cum, "k", "d", "lo", "hi").collect()}
+    idf = spark.createDataFrame([(i, k, lo, hi, 1) for i, k, lo, hi in ivs],
+                                "i int, k int, lo date, hi date, w int")
+    got = {r.i: r.weighted_sum for r in
+           weighted_interval_totals(idf, cum, "k", "d", "lo", "hi", "w", ["i"]).collect()}
     want = {i: sum(v for (kk, d), v in daily.items() if kk == k and lo <= d <= hi) for i, k, lo, hi in ivs}
     assert got == want
 
