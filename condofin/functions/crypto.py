@@ -2,7 +2,8 @@
 
 The key is a 32-byte value supplied by configuration
 (``spark.condofin.protect.key``, hex) and enters plans through ``unhex`` of a
-literal; ``condofin.session`` redacts such literals from plan strings.  Never
+literal; :func:`key_column` makes the session redact such literals from plan
+strings (``explain`` shows ``*********``).  Never
 encrypt a literal: Catalyst folds it once and every row would share one
 ciphertext - always encrypt columns.
 """
@@ -31,7 +32,18 @@ def session_key_hex(spark: SparkSession) -> str:
     return hexkey
 
 
+REDACTION_CONF = "spark.sql.redaction.string.regex"
+KEY_LITERAL_PATTERN = "0x[0-9A-Fa-f]{32,}"
+
+
 def key_column(spark: SparkSession) -> Column:
+    """The key as a binary column.  Catalyst folds it into a literal, so the
+    session is made to redact long binary literals from plan strings."""
+    current = spark.conf.get(REDACTION_CONF, None)
+    if not current:
+        spark.conf.set(REDACTION_CONF, KEY_LITERAL_PATTERN)
+    elif KEY_LITERAL_PATTERN not in current:
+        spark.conf.set(REDACTION_CONF, f"{current}|{KEY_LITERAL_PATTERN}")
     return F.unhex(F.lit(session_key_hex(spark)))
 
 

@@ -247,3 +247,16 @@ def test_days_between_payments_many_at_one_timestamp(spark):
                  if r.dias_hasta_siguiente_pago is not None)
     assert got == [(1, 0.0, 2499), (1, 3.0, 1)]
     assert R.days_between_payments(t, P).count() == 2501
+
+
+def test_key_never_printed_in_plans(spark):
+    import contextlib
+    import io
+    from condofin.functions.crypto import session_key_hex
+    key = key_column(spark)
+    t = make_tables(spark, persona=[person(1, "0" * 22)])
+    df = decrypt_view(encrypt_columns(t, key).persona, key)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    assert session_key_hex(spark).lower() not in buf.getvalue().lower()
