@@ -1,7 +1,7 @@
 """Column protection expressions: AES-256-GCM ciphertext and keyed tokens.
 
 The key is a 32-byte value supplied by configuration
-(``spark.condofin.protect.key``, hex) and enters plans through ``unhex`` of a
+(``spark.condofin.protect.secretKey``, hex) and enters plans through ``unhex`` of a
 literal; :func:`key_column` makes the session redact such literals from plan
 strings (``explain`` shows ``*********``).  Never
 encrypt a literal: Catalyst folds it once and every row would share one
@@ -15,7 +15,9 @@ import os
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-KEY_CONF = "spark.condofin.protect.key"
+# "secret" in the name: Spark's default spark.redaction.regex hides the value
+# in event logs and environment listings
+KEY_CONF = "spark.condofin.protect.secretKey"
 
 
 def session_key_hex(spark: SparkSession) -> str:
