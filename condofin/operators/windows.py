@@ -15,15 +15,22 @@ _SUFFIX = "__cf"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the reliable checkpoint folder and cut its
-    lineage (for a result read by two branches of one plan).
+    """Compute ``df`` once into a Parquet table in the shared checkpoint
+    folder and read it back, cutting its lineage (for a result read by two
+    branches of one plan).
 
     The folder is the session's ``spark.checkpoint.dir`` (a shared file
-    system on a cluster), so the data survive the loss of an executor.
+    system on a cluster), so the data survive the loss of an executor;
+    Parquet keeps them columnar and compressed, which matters when the table
+    is payment-sized.
     """
+    import uuid
+
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/condofin-tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def running_total(df: DataFrame, value: str, period_keys: list[str],

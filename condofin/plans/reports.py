@@ -167,8 +167,8 @@ def top_expense_income_months(tables: Tables, params: ReportParams = ReportParam
                               n: int = 5, fanout: str = "reference"):
     """W05 + W06 from one materialised monthly table (two result sets).
 
-    The monthly table (buildings x months) is written once to the reliable
-    checkpoint folder and both top-n queries read it.
+    The monthly table (buildings x months) is written once as a Parquet table
+    in the shared checkpoint folder and both top-n queries read it.
     """
     from ..operators.windows import materialize
     monthly = materialize(monthly_expense_income(tables, params, fanout))
