@@ -45,8 +45,9 @@ class ReportParams:
         return (self.date_to_exclusive - self.date_from).days
 
     def iso_weeks_bound(self) -> int:
-        """Upper bound on distinct (calendar year, ISO week) pairs in range."""
-        years = self.date_to.year - self.date_from.year + 1
+        """Upper bound on distinct (year, ISO week) pairs in range (calendar or
+        ISO year; the ISO year of late December can be the next one)."""
+        years = self.date_to.year - self.date_from.year + 2
         return 54 * years
 
 
