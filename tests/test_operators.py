@@ -260,3 +260,40 @@ def test_key_never_printed_in_plans(spark):
     with contextlib.redirect_stdout(buf):
         df.explain("extended")
     assert session_key_hex(spark).lower() not in buf.getvalue().lower()
+
+
+def test_hot_account_and_tenure_joins_are_split_by_aqe(spark):
+    """One account pays two thirds of all payments: AQE splits that key in
+    both the account join and the tenure as-of join (thresholds lowered to
+    the size of test data; the input comes from several map tasks, as
+    cluster scans do)."""
+    from condofin.model import live
+    from condofin.operators.tenure import match_payments_by_account, tenure_as_of
+    hot_acc = "0" * 21 + "7"
+    pers = [person(i, hot_acc if i == 7 else f"{i:022d}") for i in range(1, 200)]
+    pays = [payment(i, 1, "2025-01-01 00:00:00", 1, account=hot_acc if i % 3 else f"{i % 199 + 1:022d}")
+            for i in range(1, 6000)]
+    ten = [tenure(i, i, "2024-01-01") for i in range(1, 200)]
+    t = make_tables(spark, persona=pers, pago=pays, titularidad=ten)
+    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        m = match_payments_by_account(live(t.pago.repartition(8)), t.persona)
+        j = tenure_as_of(m, t.titularidad, "persona_id", "fecha", keep=("uf_id",))
+        assert j.count() == len(pays)
+        rows = j.collect()
+        assert len(rows) == len(pays)
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
