@@ -251,3 +251,18 @@ def test_procedure_calls_by_name(spark):
     assert len(PR.names()) == 8
     views = t.register_views("t_")
     assert spark.sql("select count(*) c from t_ordinarios").collect()[0].c == 1 and "t_pago" in views
+
+
+def test_empty_range_gives_empty_reports(spark):
+    t = make_tables(spark, unidad=[unit(7)], persona=[person(1, ACC)],
+                    titularidad=[tenure(1, 7, "2024-01-01")], expensa=[bill()],
+                    charges=[charge(1, ORDINARIO, 100), charge(1, MORA, 5, mora_id=1, fecha="2025-01-02")],
+                    pago=[payment(1, 1, "2025-01-10 00:00:00", 40)])
+    empty = ReportParams(None, "2030-01-01", "2030-12-31")
+    assert R.weekly_cash_flow(t, empty).count() == 0
+    assert R.collections_by_source(t, empty).count() == 0
+    assert R.days_between_payments(t, empty).count() == 0
+    assert R.top_debtor_owners(t, empty).count() == 0
+    exp, inc, _ = R.top_expense_income_months(t, empty)
+    assert exp.count() == 0 and inc.count() == 0
+    assert R.collections_by_unit_month(t, None, 2030).count() == 0
