@@ -297,3 +297,31 @@ def test_hot_account_and_tenure_joins_are_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_bucketed_layout_removes_bill_shuffles(spark, tmp_dir):
+    import re
+    import uuid
+    from condofin.sources.driver_tables import load_tables
+    from condofin.sources.tables_io import read_bucketed_tables, write_bucketed_tables
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver data not present")
+    t = load_tables(spark, sf)
+    db = "condo_" + uuid.uuid4().hex[:8]
+    write_bucketed_tables(t, os.path.join(tmp_dir, "bucketed"), db, 4)
+    b = read_bucketed_tables(spark, db)
+    p = ReportParams(None, "1995-01-01", "2001-12-31")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffle joins
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = R.collections_by_source(b, p, ordered=False)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Exchange hashpartitioning\(([a-z_]+)", plan)
+    assert keys and all(k == "consorcio_id" for k in keys)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, R.collections_by_source(t, p).collect()))
