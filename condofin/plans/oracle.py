@@ -110,9 +110,8 @@ def _bfilter(col: str, building) -> str:
     return "" if building is None else f" AND {col} = {int(building)}"
 
 
-def classified_payments_sql(concepts: int, d_from: str, d_to: str, building=None,
-                            fanout: str = "reference") -> str:
-    """CTEs ``totales`` and ``clasificados`` (payments split over concepts)."""
+def totals_sql(concepts: int, fanout: str = "reference") -> str:
+    """CTE ``totales``: per live bill, the total of each concept."""
     joins = ["LEFT JOIN ordinarios o ON o.expensa_id = e.expensa_id AND NOT o.borrado",
              "LEFT JOIN extraordinarios ex ON ex.expensa_id = e.expensa_id AND NOT ex.borrado"]
     sums = ["SUM(COALESCE(o.importe, 0)) AS total_ordinario",
@@ -121,26 +120,33 @@ def classified_payments_sql(concepts: int, d_from: str, d_to: str, building=None
         joins.append("LEFT JOIN mora m ON m.expensa_id = e.expensa_id AND NOT m.borrado")
         sums.append("SUM(COALESCE(m.importe, 0)) AS total_mora")
     if fanout == "reference":
-        totales = (f"totales AS (SELECT e.expensa_id, {', '.join(sums)} FROM expensa e "
-                   f"{' '.join(joins)} WHERE NOT e.borrado GROUP BY e.expensa_id)")
-    else:
-        parts = ["(SELECT expensa_id, SUM(importe) AS s FROM ordinarios WHERE NOT borrado GROUP BY 1) o1",
-                 "(SELECT expensa_id, SUM(valor_cuota_actual) AS s FROM extraordinarios WHERE NOT borrado GROUP BY 1) o2",
-                 "(SELECT expensa_id, SUM(importe) AS s FROM mora WHERE NOT borrado GROUP BY 1) o3"][:concepts]
-        names = ["total_ordinario", "total_extra", "total_mora"][:concepts]
-        sel = ", ".join(f"COALESCE(o{i + 1}.s, 0) AS {n}" for i, n in enumerate(names))
-        js = " ".join(f"LEFT JOIN {p} ON o{i + 1}.expensa_id = e.expensa_id" for i, p in enumerate(parts))
-        totales = f"totales AS (SELECT e.expensa_id, {sel} FROM expensa e {js} WHERE NOT e.borrado)"
-    names = ["total_ordinario", "total_extra", "total_mora"][:concepts]
+        return (f"totales AS (SELECT e.expensa_id, {', '.join(sums)} FROM expensa e "
+                f"{' '.join(joins)} WHERE NOT e.borrado GROUP BY e.expensa_id)")
+    parts = ["(SELECT expensa_id, SUM(importe) AS s FROM ordinarios WHERE NOT borrado GROUP BY 1) o1",
+             "(SELECT expensa_id, SUM(valor_cuota_actual) AS s FROM extraordinarios WHERE NOT borrado GROUP BY 1) o2",
+             "(SELECT expensa_id, SUM(importe) AS s FROM mora WHERE NOT borrado GROUP BY 1) o3"][:concepts]
+    names = TOTALS[:concepts]
+    sel = ", ".join(f"COALESCE(o{i + 1}.s, 0) AS {n}" for i, n in enumerate(names))
+    js = " ".join(f"LEFT JOIN {p} ON o{i + 1}.expensa_id = e.expensa_id" for i, p in enumerate(parts))
+    return f"totales AS (SELECT e.expensa_id, {sel} FROM expensa e {js} WHERE NOT e.borrado)"
+
+
+TOTALS = ["total_ordinario", "total_extra", "total_mora"]
+
+
+def classified_payments_sql(concepts: int, d_from: str, d_to: str, building=None,
+                            fanout: str = "reference") -> str:
+    """CTEs ``totales`` and ``clasificados`` (payments split over concepts)."""
+    names = TOTALS[:concepts]
     base = " + ".join(f"COALESCE(t.{n}, 0)" for n in names)
     cols = []
     for i, n in enumerate(names):
         other = "CAST(p.importe AS DECIMAL(38,6))" if i == 0 else "CAST(0 AS DECIMAL(38,6))"
         cols.append(f"CASE WHEN {base} > 0 THEN {_share('p.importe', f'COALESCE(t.{n}, 0)', base)} "
                     f"ELSE {other} END AS share_{n.split('_')[1]}")
-    return f"""{totales},
+    return f"""{totals_sql(concepts, fanout)},
 clasificados AS (
-  SELECT e.consorcio_id, p.fecha, p.importe AS importe_total, {', '.join(cols)}
+  SELECT p.pago_id, e.consorcio_id, p.fecha, p.importe AS importe_total, {', '.join(cols)}
   FROM pago p JOIN expensa e ON e.expensa_id = p.expensa_id
   LEFT JOIN totales t ON t.expensa_id = e.expensa_id
   WHERE NOT p.borrado AND NOT e.borrado AND p.estado IN ('APLICADO', 'ASOCIADO')
