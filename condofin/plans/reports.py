@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 from ..functions.columns import (MONTH_NAMES, in_range, in_year, money_out, month_name, sum_money,
                                  valid_state)
 from ..model import CONCEPTS, EXTRAORDINARIO, ORDINARIO, Tables, live
-from ..operators.concepts import charge_aggregates, split_payment, total_columns
-from ..operators.windows import running_total
+from ..functions.crypto import decrypt_text
+from ..operators.allocate import (building_coef_totals, cumulative_by_day, prorate,
+                                  prorate_by_coefficient, weighted_interval_totals)
+from ..operators.concepts import charge_aggregates, split_payment, total_columns, valid_payments
+from ..operators.tenure import match_payments_by_account, tenure_as_of
+from ..operators.windows import expand_counts, materialize, running_total
 from ..params import ReportParams, default_year
 from ..sources.tables_io import year_filter
 
@@ -86,7 +90,6 @@ def _bills_in_range(tables: Tables, params: ReportParams) -> DataFrame:
 
 
 def _paid_per_bill(tables: Tables) -> DataFrame:
-    from ..operators.concepts import valid_payments
     return valid_payments(tables).groupBy("expensa_id").agg(sum_money("importe").alias("paid"))
 
 
@@ -101,7 +104,9 @@ def monthly_expense_income(tables: Tables, params: ReportParams = ReportParams()
     ``plan="merged"`` (default) therefore aggregates charges and payments to
     bill level, joins them on ``expensa_id`` (co-partitioned) and groups once;
     ``plan="outer"`` groups each side and merges them with a full outer join
-    on the three keys, as the reports do.  Both give the same rows.
+    on the three keys, as the reports do.  Both give the same rows.  Besides
+    the report columns, ``total_gastos__exact`` and ``ingresos__exact`` keep
+    the exact decimal sums the top-month rankings order by.
     """
     bills = _bills_in_range(tables, params)
     charges = charge_aggregates(tables.charges, CONCEPTS)
@@ -170,7 +175,6 @@ def top_expense_income_months(tables: Tables, params: ReportParams = ReportParam
     The monthly table (buildings x months) is written once as a Parquet table
     in the shared checkpoint folder and both top-n queries read it.
     """
-    from ..operators.windows import materialize
     monthly = materialize(monthly_expense_income(tables, params, fanout))
     return top_expense_months(monthly, n), top_income_months(monthly, n), monthly
 
@@ -180,7 +184,6 @@ def _payer_units(tables: Tables, pay: DataFrame, mode: str = "clear", key=None,
                  role: str | None = None) -> DataFrame:
     """Payments -> live payer (by account) -> tenure valid on the payment
     date -> live unit.  One row per (payment, matching tenure)."""
-    from ..operators.tenure import match_payments_by_account, tenure_as_of
     matched = match_payments_by_account(pay, tables.persona, mode, key)
     held = tenure_as_of(matched, tables.titularidad, "persona_id", "fecha", role=role,
                         keep=("uf_id",))
@@ -237,7 +240,6 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
     as DOUBLE (NULL on each unit's last payment), the type a NULL-able count
     has in pandas on every engine.
     """
-    from ..operators.windows import expand_counts, materialize
     pay = year_filter(live(tables.pago), params.date_from, params.date_to) \
         .filter(valid_state()) \
         .filter(in_range("fecha", params.date_from, params.date_to_exclusive))
@@ -292,15 +294,12 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
     endpoint rows, so the calendar is joined once.  Exact decimals up to
     that division.
     """
-    from ..operators.allocate import (building_coef_totals, cumulative_by_day, prorate,
-                                      weighted_interval_totals)
     bills = live(tables.expensa).select("expensa_id", "consorcio_id")
     if params.consorcio_id is not None:
         bills = bills.filter(F.col("consorcio_id") == params.consorcio_id)
     mora = live(tables.mora).filter(
         in_range("fecha_aplicacion", params.date_from, params.date_to_exclusive)) \
         .select("expensa_id", "fecha_aplicacion", "importe")
-    from ..operators.windows import materialize
     # buildings x days: read three times below, so computed once
     daily = materialize(mora.join(bills, "expensa_id").groupBy("consorcio_id", "fecha_aplicacion")
                         .agg(sum_money("importe").alias("amount")))
@@ -331,7 +330,6 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
 def contact_columns(persons: DataFrame, mode: str = "clear", key=None) -> DataFrame:
     """``persona_id`` with dni, email, telefono, cbu_cvu as text (decrypted
     from the ``*_enc`` columns in ``decrypt`` mode)."""
-    from ..functions.crypto import decrypt_text
     cols = ("dni", "email", "telefono", "cbu_cvu")
     if mode == "clear":
         sel = [F.col(c).cast("string").alias(c) for c in cols]
@@ -361,7 +359,6 @@ def top_debtor_owners(tables: Tables, params: ReportParams = ReportParams(), n:
 def late_interest_by_unit(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
     """W15 on late interest: each live unit's coefficient share of its
     building's live late-interest charges in the range."""
-    from ..operators.allocate import prorate_by_coefficient
     bills = live(tables.expensa).select("expensa_id", "consorcio_id")
     mora = live(tables.mora).filter(
         in_range("fecha_aplicacion", params.date_from, params.date_to_exclusive)) \
