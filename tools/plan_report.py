@@ -26,12 +26,11 @@ def summarise(plan: str) -> list[str]:
             continue
         cols = re.search(r"FileScan parquet \[([^\]]*)\]", line)
         table = re.search(r"/(\w+)\.parquet", line)
-        if table is None and "condofin-tables" in line:
-            table = re.match(r"(.*)", "materialised intermediate")
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
         ncols = len([c for c in cols.group(1).split(",") if c.strip()]) if cols else 0
         filters = pushed.group(1).strip() if pushed else ""
-        out.append(f"- scan `{table.group(1) if table else '?'}`: {ncols} columns read; "
+        name = table.group(1) if table else "materialised intermediate (checkpoint folder)"
+        out.append(f"- scan `{name}`: {ncols} columns read; "
                    f"pushed filters: {filters or 'none'}")
     ex = Counter(re.sub(r"#\d+L?", "", k) for k in
                  re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan))
