@@ -20,13 +20,14 @@ from condofin.session import build_session  # noqa: E402
 
 
 def summarise(plan: str) -> list[str]:
+    plan = plan.split("== Initial Plan ==")[0]  # final adaptive plan only
     out = []
     for line in plan.splitlines():
         if "FileScan parquet" not in line:
             continue
         cols = re.search(r"FileScan parquet \[([^\]]*)\]", line)
         table = re.search(r"/(\w+)\.parquet", line)
-        pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
+        pushed = re.search(r"PushedFilters: \[(.*?)(?:\]|,\.\.\.|, ReadSchema)", line)
         ncols = len([c for c in cols.group(1).split(",") if c.strip()]) if cols else 0
         filters = pushed.group(1).strip() if pushed else ""
         name = table.group(1) if table else "materialised intermediate (checkpoint folder)"
