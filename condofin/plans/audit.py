@@ -17,29 +17,25 @@ def reconcile_units(units: DataFrame, accounts: DataFrame) -> DataFrame:
     """Per building name, units and account rows of the two files.
 
     ``units(consorcio_nombre, nro_uf, coeficiente, cant_m2)`` and
-    ``accounts(consorcio_nombre, nro_uf, ...)``; anti joins both ways count
-    the units without an account row and the account rows without a unit;
-    coefficient and area sums show whether a building's coefficients add up
-    to 100 (the reference's own file does not, for any building).
+    ``accounts(consorcio_nombre, nro_uf, ...)``.  Counts the units without an
+    account row and the account rows without a unit (anti-join semantics),
+    and sums coefficients and areas (a building's coefficients need not add
+    up to 100).  One pass over each input: both are aggregated per (building,
+    unit number), joined once with a full outer join and grouped by building.
     """
-    u = units.select(*KEYS, "coeficiente", "cant_m2")
-    a = accounts.select(*KEYS)
-    u_stats = u.groupBy("consorcio_nombre").agg(
-        F.count(F.lit(1)).alias("unidades"), F.sum("coeficiente").alias("coef"),
-        F.sum("cant_m2").alias("m2"))
-    a_stats = a.groupBy("consorcio_nombre").agg(F.count(F.lit(1)).alias("cuentas"))
-    u_wo = u.join(a, KEYS, "left_anti").groupBy("consorcio_nombre").agg(
-        F.count(F.lit(1)).alias("unidades_sin_cuenta"))
-    a_wo = a.join(u.select(*KEYS), KEYS, "left_anti").groupBy("consorcio_nombre").agg(
-        F.count(F.lit(1)).alias("cuentas_sin_unidad"))
-    j = reduce(lambda x, y: x.join(y, "consorcio_nombre", "full_outer"), [u_stats, a_stats, u_wo, a_wo])
+    u = units.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_u"), F.sum("coeficiente").alias("coef"),
+                                 F.sum("cant_m2").alias("m2"))
+    a = accounts.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_a"))
+    j = u.join(a, KEYS, "full_outer")
     z = F.lit(0)
-    return j.select(
-        "consorcio_nombre",
-        F.coalesce("unidades", z).alias("unidades"),
-        F.coalesce("cuentas", z).alias("cuentas"),
-        F.coalesce("unidades_sin_cuenta", z).alias("unidades_sin_cuenta"),
-        F.coalesce("cuentas_sin_unidad", z).alias("cuentas_sin_unidad"),
+    agg = j.groupBy("consorcio_nombre").agg(
+        F.coalesce(F.sum("n_u"), z).alias("unidades"),
+        F.coalesce(F.sum("n_a"), z).alias("cuentas"),
+        F.coalesce(F.sum(F.when(F.col("n_a").isNull(), F.col("n_u"))), z).alias("unidades_sin_cuenta"),
+        F.coalesce(F.sum(F.when(F.col("n_u").isNull(), F.col("n_a"))), z).alias("cuentas_sin_unidad"),
+        F.sum("coef").alias("coef"), F.sum("m2").alias("m2"))
+    return agg.select(
+        "consorcio_nombre", "unidades", "cuentas", "unidades_sin_cuenta", "cuentas_sin_unidad",
         money_out(F.coalesce("coef", z)).alias("suma_coeficientes"),
         money_out(F.coalesce("m2", z)).alias("suma_m2"))
 

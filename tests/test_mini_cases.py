@@ -266,3 +266,17 @@ def test_empty_range_gives_empty_reports(spark):
     exp, inc, _ = R.top_expense_income_months(t, empty)
     assert exp.count() == 0 and inc.count() == 0
     assert R.collections_by_unit_month(t, None, 2030).count() == 0
+
+
+def test_reconcile_units_counts(spark):
+    from decimal import Decimal as Dd
+    from condofin.plans.audit import reconcile_units
+    units = spark.createDataFrame(
+        [("Uno", 1, Dd("40.0000"), Dd("50.00")), ("Uno", 2, Dd("60.0000"), Dd("45.00")),
+         ("Dos", 1, Dd("99.5000"), Dd("70.00"))],
+        "consorcio_nombre string, nro_uf int, coeficiente decimal(9,4), cant_m2 decimal(10,2)")
+    accounts = spark.createDataFrame(
+        [("Uno", 1), ("Uno", 1), ("Tres", 4)], "consorcio_nombre string, nro_uf int")
+    got = {r.consorcio_nombre: tuple(r)[1:] for r in reconcile_units(units, accounts).collect()}
+    assert got == {"Uno": (2, 2, 1, 0, 100.0, 95.0), "Dos": (1, 0, 1, 0, 99.5, 70.0),
+                   "Tres": (0, 1, 0, 1, 0.0, 0.0)}
