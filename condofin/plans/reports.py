@@ -310,21 +310,21 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
     units = live(tables.unidad).select("uf_id", "consorcio_id", "coeficiente")
     owners = tables.titularidad.filter(F.col("tipo_titularidad") == "PROPIETARIO") \
         .select("persona_id", "uf_id", "fecha_desde", "fecha_hasta")
-    owners = owners.join(live(tables.persona).select("persona_id"), "persona_id", "left_semi")
+    # live owners, carrying the names the ranking breaks ties on
+    owners = owners.join(live(tables.persona).select("persona_id", "apellido", "nombre"), "persona_id")
     ten = owners.join(units, "uf_id").join(span, "consorcio_id")
-    ten = ten.select("persona_id", "uf_id", "consorcio_id", "coeficiente",
+    ten = ten.select("persona_id", "apellido", "nombre", "uf_id", "consorcio_id", "coeficiente",
                      F.greatest("fecha_desde", "d0").alias("lo"),
                      F.least(F.coalesce("fecha_hasta", "d1"), "d1").alias("hi")) \
              .filter(F.col("lo") <= F.col("hi"))
     per_owner = weighted_interval_totals(ten, cum, "consorcio_id", "fecha_aplicacion", "lo", "hi",
-                                         "coeficiente", ["persona_id", "consorcio_id"])
+                                         "coeficiente", ["persona_id", "apellido", "nombre", "consorcio_id"])
     per_owner = per_owner.withColumnRenamed("weighted_sum", "num").join(
         building_coef_totals(tables.unidad), "consorcio_id")
     res = per_owner.select("persona_id", "consorcio_id",
-                           prorate(F.col("num"), F.col("coef_total")).alias("total_morosidad"))
-    res = res.filter(F.col("total_morosidad") > 0)
-    names = tables.persona.select("persona_id", "apellido", "nombre")
-    return res.join(names, "persona_id")
+                           prorate(F.col("num"), F.col("coef_total")).alias("total_morosidad"),
+                           "apellido", "nombre")
+    return res.filter(F.col("total_morosidad") > 0)
 
 
 def contact_columns(persons: DataFrame, mode: str = "clear", key=None) -> DataFrame:
