@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, mixing, simhash
+from . import decontaminate, language, lines, mixing, simhash, substrings
 from .common import read_table
 
 
@@ -23,6 +23,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated().alias("contaminated"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, kept_sha256`` (SHA-256 of the lines left,
     joined by line feeds; of nothing for a null text)."""
@@ -54,6 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op8_mix": op8_mix,
@@ -90,6 +97,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op2_substring_dedup": r"""
+WITH dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), win AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM dw, LATERAL (SELECT unnest(generate_series(1, len(w) - 49)) AS i) WHERE len(w) >= 50
+), least AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s
+), gone AS (
+  SELECT DISTINCT win.doc_id, k FROM win JOIN least USING (s),
+         LATERAL (SELECT unnest(generate_series(i, i + 49)) AS k) WHERE least.d < win.doc_id
+), word AS (
+  SELECT doc_id, k, w[k] AS w FROM dw, LATERAL (SELECT unnest(generate_series(1, len(w))) AS k)
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY k) AS t
+  FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM dw LEFT JOIN kept USING (doc_id)
 """,
     "op5_line_dedup": rf"""
 WITH ln AS (
