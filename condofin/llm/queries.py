@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, mixing, simhash, substrings
+from . import decontaminate, language, lines, mixing, simhash, substrings, vectors
 from .common import read_table
 
 
@@ -29,6 +29,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, kept_sha256`` (SHA-256 of the lines left,
     joined by line feeds; of nothing for a null text)."""
@@ -61,6 +65,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op8_mix": op8_mix,
@@ -117,6 +122,19 @@ WITH dw AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM dw LEFT JOIN kept USING (doc_id)
+""",
+    "op3_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[64]) AS e FROM embeddings
+), pair AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE array_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, pair.b FROM reach JOIN pair ON pair.a = reach.b
+), comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a
+), deg AS (SELECT a, count(*) AS n FROM pair GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id
 """,
     "op5_line_dedup": rf"""
 WITH ln AS (
