@@ -79,16 +79,17 @@ def in_slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.Reco
 
 
 def map_texts(docs: DataFrame, make: Callable[[], Callable[[bytes | None], tuple]],
-              fields: str, column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: a struct ``doc`` with all its columns, and
-    ``fields`` (a DDL string) computed from the UTF-8 bytes of ``column``.
+              fields: str, column: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: a struct ``doc`` with its columns (those in
+    ``keep``, else all), and ``fields`` (a DDL string) computed from the UTF-8
+    bytes of ``column``.
 
     ``make`` runs once per task and returns the function of one text.  The
     struct keeps own columns apart from columns of ``docs`` that carry the same
     name.
     """
     own = T._parse_datatype_string(fields)
-    packed = docs.select(F.struct("*").alias("doc"), F.col(column).cast("binary").alias("text"))
+    packed = docs.select(F.struct(*(keep or ["*"])).alias("doc"), F.col(column).cast("binary").alias("text"))
     schema = T.StructType([packed.schema["doc"], *own.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -197,8 +197,9 @@ def _blocks(benchmark: DataFrame, window: int) -> list[list[tuple[str | None, li
         yield [(r["item"], list(r["words"])) for r in sorted(rows, key=lambda r: (r["item"] or "", r["words"]))]
 
 
-def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
-    """Per document: ``doc`` (struct of its columns) and :data:`MATCHES`.
+def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13,
+                    keep: list[str] | None = None) -> DataFrame:
+    """Per document: ``doc`` (struct of the columns ``keep``, else of all) and :data:`MATCHES`.
 
     A window is ``window`` consecutive item words; an item of fewer, but not
     none, is one window.  ``spans`` are the merged word ranges that any window
@@ -209,26 +210,28 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13) ->
     nothing; repeated benchmark rows count once, an item whose id is null hits
     words but is not listed; repeated documents are judged alike, a row each.
     """
+    spark = docs.sparkSession
     found = None
     for items in _blocks(benchmark, window):
-        shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Matcher(items, window)))
+        make = _make(spark.sparkContext.broadcast(pickle.dumps(Matcher(items, window))))
         if found is None:
-            found = map_texts(docs, _first(shared), MATCHES)
+            # the text stays with the rows only as long as blocks are left
+            found = map_texts(docs, make, MATCHES)
         else:
-            # a further block: add to what the earlier ones found
-            so_far = materialize(found)
-            again = map_texts(so_far.select("doc", *_OWN, F.col("doc").getField("text").alias("text")),
-                              _first(shared), MATCHES)
-            found = again.select(F.col("doc").getField("doc").alias("doc"), *_merged())
+            so_far = materialize(found).withColumn("text", F.col("doc.text"))
+            found = map_texts(so_far, make, MATCHES, keep=["doc", *_OWN]).select(
+                F.col("doc.doc").alias("doc"), *_merged())
     if found is None:
         found = map_texts(docs, lambda: lambda text: (len(words(text)), 0, 0, [], []), MATCHES)
+    if keep:
+        found = found.withColumn("doc", F.struct(*[F.col("doc").getField(c).alias(c) for c in keep]))
     return found
 
 
 _OWN = ["n_words", "n_hit", "longest", "items", "spans"]
 
 
-def _first(shared) -> Callable[[], Callable[[bytes | None], tuple]]:
+def _make(shared) -> Callable[[], Callable[[bytes | None], tuple]]:
     def make():
         matcher = pickle.loads(shared.value)
 

@@ -169,8 +169,8 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> CentroidModel:
     return fit_centroids(vectors, [r["lang"] for r in rows])
 
 
-def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
-    """``doc`` (struct of the columns of ``docs``) and :data:`FIELDS`.
+def identify(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None) -> DataFrame:
+    """``doc`` (struct of the columns ``keep``, else of all) and :data:`FIELDS`.
 
     ``lang_pred`` is a learned language, or ``und`` if the text is null or has
     no letter (or nothing was learned); ``score`` the cosine to the nearest
@@ -179,7 +179,7 @@ def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
     name; repeated rows are judged alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    return map_texts(docs, lambda: pickle.loads(shared.value).predict, FIELDS)
+    return map_texts(docs, lambda: pickle.loads(shared.value).predict, FIELDS, keep=keep)
 
 
 def held_out(doc_id="doc_id"):

@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, mixing, simhash, substrings, vectors
+from . import (decontaminate, language, licenses, lines, mixing, secrets, simhash, substrings, urls,
+               vectors)
 from .common import read_table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.match_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
+    found = decontaminate.match_benchmark(docs, read_table(spark, sf_dir, "benchmark"),
+                                          keep=["doc_id"])
     return found.select(
         F.col("doc.doc_id").alias("doc_id"), "n_words", "n_hit",
         F.size("items").cast("bigint").alias("n_items"),
@@ -33,6 +35,23 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs, keep=["doc_id"])
+    base = F.filter("matches", lambda m: m["exact"])
+    first = F.transform(base, lambda m: m["first_word"].cast("bigint"))
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    score = F.transform("matches", lambda m: 1.0 - m["edits"] / F.length(m["notice"]))
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(score), F.lit(0.0)).alias("score"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, kept_sha256`` (SHA-256 of the lines left,
     joined by line feeds; of nothing for a null text)."""
@@ -44,20 +63,41 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return simhash.near_duplicates(docs).select(
+    return simhash.near_duplicates(docs, keep=["doc_id"]).select(
         F.col("doc.doc_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, keep=["doc_id"]).select(
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", mixing.taken().alias("taken"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan_secrets(docs, keep=["doc_id"])
+
+    def of(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"), of("assign").alias("n_assign"), of("access").alias("n_access"),
+        of("hex").alias("n_hex"), F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = language.identify(docs.select("doc_id", "text"), language.learn(docs))
+    found = language.identify(docs.select("doc_id", "text"), language.learn(docs), keep=["doc_id"])
     return found.select(F.col("doc.doc_id").alias("doc_id"), language.held_out("doc.doc_id").alias("held_out"),
                         "lang_pred", "score", "rejected")
 
@@ -66,9 +106,12 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_url_filter": op7_url_filter,
     "op8_mix": op8_mix,
+    "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
 }
 

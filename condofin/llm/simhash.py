@@ -55,9 +55,9 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc`` (struct of the columns of ``docs``) and ``fp`` (64 bits as a signed long)."""
-    return map_texts(docs, lambda: lambda text: (_signed(fingerprint(text, shingle)),), "fp bigint")
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: list[str] | None = None) -> DataFrame:
+    """``doc`` (struct of the columns ``keep``, else of all) and ``fp`` (64 bits as a signed long)."""
+    return map_texts(docs, lambda: lambda text: (_signed(fingerprint(text, shingle)),), "fp bigint", keep=keep)
 
 
 def _quarters(fp) -> list:
@@ -164,8 +164,9 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
             .mapInArrow(_compare(radius), "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``doc`` (struct of the columns of ``docs``, with ``doc_id``), ``fp`` and
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2,
+                    keep: list[str] | None = None) -> DataFrame:
+    """``doc`` (struct of the columns ``keep``, which have ``doc_id``, else of all), ``fp`` and
     ``component_id``: the smallest ``doc_id`` reachable over links of at most
     ``radius`` differing bits.
 
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     unless a whole group has none (then ``component_id`` is null); an empty
     table gives no rows.
     """
-    prints = materialize(fingerprints(docs, shingle))
+    prints = materialize(fingerprints(docs, shingle, keep))
     classes = materialize(prints.groupBy("fp").agg(F.min(F.col("doc").getField("doc_id")).alias("least")))
     found = components(links(classes.select("fp"), radius))
     label = F.coalesce("label", "fp")
@@ -190,7 +191,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     ``doc_id`` (of repeated rows, the least by all columns as text)."""
     ids = docs.select("doc_id", F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]).alias("row"),
                       "text")
-    found = near_duplicates(ids, shingle, radius).select("doc.*", "component_id")
+    found = near_duplicates(ids, shingle, radius, ["doc_id", "row"]).select("doc.*", "component_id")
     first = (found.groupBy("component_id")
              .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")),
                                F.struct("doc_id", "row"))).alias("keep"))
