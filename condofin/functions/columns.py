@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..model import SHARE, VALID_PAYMENT_STATES, WIDE_MONEY
+from ..model import SHARE, VALID_PAYMENT_STATES
 
 # Spanish month names in calendar order (pivot columns of the
 # unit/month report and the month text of the service-cost file).
@@ -31,13 +31,12 @@ def valid_state(c: str = "estado") -> Column:
 
 
 def sum_money(c: Column | str) -> Column:
-    """Exact ``SUM`` of a DECIMAL(p,2) money column, accumulated as integer
-    cents (a LONG buffer instead of a BigDecimal one; overflow raises under
-    ANSI mode), returned as DECIMAL(38,2).  Works inside ``when`` filters:
-    NULL inputs are skipped, an all-NULL group gives NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    cents = F.sum((c * 100).cast("long"))
-    return (cents.cast("decimal(38,0)") / F.lit(100)).cast(WIDE_MONEY)
+    """Exact ``SUM`` of a decimal money column with all its digits.
+
+    Spark widens a decimal sum by ten digits, so neither the scale of the input
+    nor the size of a total is limited by this package.  Works inside ``when``
+    filters: NULL inputs are skipped, an all-NULL group gives NULL."""
+    return F.sum(c)
 
 
 def money_out(c: Column) -> Column:
@@ -56,8 +55,3 @@ def month_name(month: Column) -> Column:
     for i, name in enumerate(MONTH_NAMES, start=1):
         expr = F.when(month == i, name) if expr is None else expr.when(month == i, name)
     return expr
-
-
-def opt_eq(c: str, value) -> Column:
-    """Optional-parameter predicate: no filter when the value is None."""
-    return F.lit(True) if value is None else (F.col(c) == F.lit(value))

@@ -1,52 +1,67 @@
 """Column protection expressions: AES-256-GCM ciphertext and keyed tokens.
 
 The key is a 32-byte value supplied by configuration
-(``spark.condofin.protect.secretKey``, hex) and enters plans through ``unhex`` of a
-literal; :func:`key_column` makes the session redact such literals from plan
-strings (``explain`` shows ``*********``).  Never
-encrypt a literal: Catalyst folds it once and every row would share one
+(``spark.condofin.protect.secretKey``, hex).  It enters plans as a scalar
+subquery over a one-row table, so no literal holds it and neither ``explain``
+in any mode nor the event log can print it.  Tokens use a key of their own.
+Never encrypt a literal: Catalyst folds it once and every row would share one
 ciphertext - always encrypt columns.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 import os
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # "secret" in the name: Spark's default spark.redaction.regex hides the value
 # in event logs and environment listings
 KEY_CONF = "spark.condofin.protect.secretKey"
+TOKEN_KEY_CONF = "spark.condofin.protect.tokenSecretKey"
+
+
+_LOCAL_KEYS: dict[str, str] = {}
 
 
 def session_key_hex(spark: SparkSession) -> str:
     """The configured key; a local-mode session without one gets a fresh
-    random key (results of decrypt-mode jobs do not depend on the key)."""
+    random key (results of decrypt-mode jobs do not depend on the key).
+
+    Configure the key when the session is built: Spark redacts launch settings
+    in event logs, but logs what ``spark.conf.set`` adds later as it is.
+    """
     hexkey = spark.conf.get(KEY_CONF, None)
     if not hexkey:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{KEY_CONF} must be set")
-        hexkey = os.urandom(32).hex()
-        spark.conf.set(KEY_CONF, hexkey)
+        hexkey = _LOCAL_KEYS.setdefault(spark.sparkContext.applicationId, os.urandom(32).hex())
     if len(bytes.fromhex(hexkey)) != 32:
         raise ValueError("AES-256 needs a 32-byte key")
     return hexkey
 
 
-REDACTION_CONF = "spark.sql.redaction.string.regex"
-KEY_LITERAL_PATTERN = "0x[0-9A-Fa-f]{32,}"
+def _one_value(spark: SparkSession, value: bytes) -> Column:
+    """A binary value as a column that plans show only as a subquery."""
+    schema = T.StructType([T.StructField("k", T.BinaryType())])
+    return spark.createDataFrame([(bytearray(value),)], schema).scalar()
 
 
 def key_column(spark: SparkSession) -> Column:
-    """The key as a binary column.  Catalyst folds it into a literal, so the
-    session is made to redact long binary literals from plan strings."""
-    current = spark.conf.get(REDACTION_CONF, None)
-    if not current:
-        spark.conf.set(REDACTION_CONF, KEY_LITERAL_PATTERN)
-    elif KEY_LITERAL_PATTERN not in current:
-        spark.conf.set(REDACTION_CONF, f"{current}|{KEY_LITERAL_PATTERN}")
-    return F.unhex(F.lit(session_key_hex(spark)))
+    """The AES key as a binary column."""
+    return _one_value(spark, bytes.fromhex(session_key_hex(spark)))
+
+
+def token_key_column(spark: SparkSession) -> Column:
+    """The token key as a binary column: from ``TOKEN_KEY_CONF``, else derived
+    one-way from the AES key, so that a token never depends on that key itself."""
+    own = spark.conf.get(TOKEN_KEY_CONF, None)
+    value = bytes.fromhex(own) if own else hmac.new(
+        bytes.fromhex(session_key_hex(spark)), b"account token", hashlib.sha256).digest()
+    return _one_value(spark, value)
 
 
 def encrypt_text(c: Column, key: Column) -> Column:
@@ -58,6 +73,6 @@ def decrypt_text(c: Column, key: Column) -> Column:
     return F.try_aes_decrypt(c, key, F.lit("GCM")).cast("string")
 
 
-def token(c: Column, key: Column) -> Column:
+def token(c: Column, token_key: Column) -> Column:
     """Keyed SHA-256 token of the right-trimmed text (equality only)."""
-    return F.sha2(F.concat(F.hex(key), F.lit(":"), F.rtrim(c.cast("string"))), 256)
+    return F.sha2(F.concat(token_key, F.rtrim(c.cast("string")).cast("binary")), 256)

@@ -1,7 +1,7 @@
 """Text -> number parsers for the import files (column expressions, no UDF).
 
-Money text mixes locales: ``22,648.59`` (comma groups, dot decimals),
-``33.706,04`` (dot groups, comma decimals), ``127,080,00`` (commas only, the
+Money text mixes locales: ``41,305.27`` (comma groups, dot decimals),
+``58.912,63`` (dot groups, comma decimals), ``246,175,00`` (commas only, the
 last one decimal) and ``0,00``.  Rule: the last ``.`` or ``,`` followed by one
 or two digits at the end is the decimal mark; every other separator groups
 thousands.  A value with no such ending is an integer (``1.234`` = 1234).

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
-WIDE_MONEY = T.DecimalType(38, 2)
+WIDE_MONEY = T.DecimalType(38, 6)
 SHARE = T.DecimalType(38, 6)
 COEF = T.DecimalType(9, 4)
 AREA = T.DecimalType(10, 2)
@@ -180,19 +180,19 @@ def charges_from_parts(ordinarios: DataFrame | None = None,
     if ordinarios is not None:
         parts.append(ordinarios.select(
             F.col("expensa_id").cast("bigint"), F.lit(ORDINARIO).alias("concepto"),
-            F.col("importe").cast(MONEY).alias("importe"),
+            F.col("importe").alias("importe"),
             F.lit(None).cast("bigint").alias("mora_id"),
             F.lit(None).cast("date").alias("fecha_aplicacion"), "borrado"))
     if extraordinarios is not None:
         parts.append(extraordinarios.select(
             F.col("expensa_id").cast("bigint"), F.lit(EXTRAORDINARIO).alias("concepto"),
-            F.col("valor_cuota_actual").cast(MONEY).alias("importe"),
+            F.col("valor_cuota_actual").alias("importe"),
             F.lit(None).cast("bigint").alias("mora_id"),
             F.lit(None).cast("date").alias("fecha_aplicacion"), "borrado"))
     if mora is not None:
         parts.append(mora.select(
             F.col("expensa_id").cast("bigint"), F.lit(MORA).alias("concepto"),
-            F.col("importe").cast(MONEY).alias("importe"),
+            F.col("importe").alias("importe"),
             F.col("mora_id").cast("bigint"),
             F.col("fecha_aplicacion").cast("date"), "borrado"))
     out = parts[0]

@@ -51,18 +51,15 @@ def prorate_by_coefficient(amounts: DataFrame, units: DataFrame,
                     .alias("share"))
 
 
-def cumulative_by_day(daily: DataFrame, key: str, day: str, amount: str,
-                      max_days: int) -> DataFrame:
+def cumulative_by_day(daily: DataFrame, key: str, day: str, amount: str) -> DataFrame:
     """Dense per-key calendar with the running total of ``amount`` up to each day.
 
     ``daily(key, day, amount)`` has at most one row per (key, day).  For every
-    key the calendar runs from its first to its last day; ``max_days`` (from
-    the report's date range) bounds the calendar of one key, so both the
-    ``sequence`` array and the per-key window partition have a size fixed by
-    the parameters, not by the data.  Output ``(key, day, cum)``.
+    key the calendar runs from its first to its last day; the caller's date
+    range bounds the calendar of one key, so both the ``sequence`` array and
+    the per-key window partition have a size fixed by the parameters, not by
+    the data.  Output ``(key, day, cum)``; no rows give no rows.
     """
-    if max_days <= 0:
-        raise ValueError("empty date range")
     span = daily.groupBy(key).agg(F.min(day).alias("d0"), F.max(day).alias("d1"))
     cal = span.select(key, F.explode(F.sequence("d0", "d1")).alias(day))
     dense = cal.join(daily, [key, day], "left")
@@ -71,20 +68,28 @@ def cumulative_by_day(daily: DataFrame, key: str, day: str, amount: str,
 
 
 def weighted_interval_totals(intervals: DataFrame, cum: DataFrame, key: str, day: str,
-                             lo: str, hi: str, weight: str, group_keys: list[str]) -> DataFrame:
+                             ends: tuple[str, str], span: tuple[str, str, str], weight: str,
+                             group_keys: list[str]) -> DataFrame:
     """``SUM(weight * (cum(hi) - cum(lo - 1)))`` per ``group_keys``.
 
-    Each interval becomes two signed endpoint rows (``hi`` with +1, ``lo - 1``
-    with -1); one equi-join with the cumulative calendar and one aggregation
-    finish the job, so the calendar is read once and no per-interval id or
-    second join is needed.  Output column ``weighted_sum`` (exact decimal).
+    ``ends`` are the columns (lo, hi) of each interval, ``span`` the columns
+    (first day, last day, total) of its key.  At the last day the running total
+    is the key's total and before the first it is 0: such ends, which most
+    intervals of a key may share, never meet the calendar.  The other ends are
+    signed rows that join it once.  Output column ``weighted_sum`` (exact).
     """
-    ends = intervals.select(
-        *group_keys, key, F.col(weight).alias("w__"),
-        F.explode(F.array(
-            F.struct(F.col(hi).alias("d__"), F.lit(1).alias("sign__")),
-            F.struct(F.date_sub(F.col(lo), 1).alias("d__"), F.lit(-1).alias("sign__")))).alias("e__"))
-    ends = ends.select(*group_keys, key, "w__", F.col("e__.d__").alias(day), F.col("e__.sign__").alias("sign__"))
-    j = ends.join(cum, [key, day], "left")
-    return j.groupBy(*group_keys).agg(
-        F.sum(F.col("w__") * F.coalesce(F.col("cum"), F.lit(0)) * F.col("sign__")).alias("weighted_sum"))
+    lo, hi = ends
+    first, last, total = span
+    whole = intervals.filter(F.col(hi) == F.col(last)).select(
+        *group_keys, (F.col(weight) * F.col(total)).alias("part__"))
+    inner = intervals.select(
+        *dict.fromkeys([*group_keys, key]), F.col(weight).alias("w__"),
+        F.explode(F.filter(
+            F.array(F.struct(F.col(hi).alias("d"), F.lit(1).alias("sign"), (F.col(hi) != F.col(last)).alias("meets")),
+                    F.struct(F.date_sub(F.col(lo), 1).alias("d"), F.lit(-1).alias("sign"),
+                             (F.col(lo) != F.col(first)).alias("meets"))),
+            lambda e: e["meets"])).alias("e__"))
+    inner = inner.select(*dict.fromkeys([*group_keys, key]), "w__", F.col("e__.d").alias(day),
+                         F.col("e__.sign").alias("sign__")).join(cum, [key, day])
+    parts = whole.unionByName(inner.select(*group_keys, (F.col("w__") * F.col("cum") * F.col("sign__")).alias("part__")))
+    return parts.groupBy(*group_keys).agg(F.sum("part__").alias("weighted_sum"))

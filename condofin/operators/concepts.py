@@ -10,15 +10,15 @@ child ``i`` comes out as ``S_i * prod(max(1, n_j) for j != i)``.
 the plain ``S_i``.  Neither materialises the product: the charges are
 aggregated once per bill (sum and count per concept, map-side partial
 aggregation, one shuffle on ``expensa_id``) and the multipliers are applied
-to the aggregate.  Counts multiply, so totals widen to DECIMAL(38,2).
+to the aggregate.  Counts multiply, so totals widen to DECIMAL(38,6).
 
 Payment split
 -------------
 A live payment in a valid state on a live bill is shared over the concepts in
 proportion to the bill's totals; when the totals add up to 0 (or the bill has
-no charges) everything is ordinary.  Payment, bill and charge aggregate all
-join on ``expensa_id``: each input is shuffled at most once and the joins are
-co-partitioned.  A payment-heavy bill is a skewed join key; AQE splits it.
+no charges) everything is ordinary.  The bills that have such a payment are
+found first; only their charges are aggregated (a semi-join below the
+``groupBy``).  Payment, bill and charge aggregate all join on ``expensa_id``.  A payment-heavy bill is a skewed join key; AQE splits it.
 """
 
 from __future__ import annotations
@@ -47,6 +47,12 @@ def _check(concepts, fanout):
         raise ValueError(f"unknown concepts {bad}")
 
 
+def of_bills(rows: DataFrame, bills: DataFrame) -> DataFrame:
+    """The rows whose bill is among ``bills``: a semi-join that goes below
+    whatever aggregates the rows."""
+    return rows.join(bills.select("expensa_id"), "expensa_id", "left_semi")
+
+
 def charge_aggregates(charges: DataFrame, concepts=CONCEPTS[:2]) -> DataFrame:
     """Per bill: sum ``s_<c>`` and live-row count ``n_<c>`` of each concept."""
     ch = live(charges).filter(F.col("concepto").isin(*concepts))
@@ -114,8 +120,9 @@ def split_payment(tables: Tables, params: ReportParams, concepts=CONCEPTS[:2],
     bills = live(tables.expensa).select("expensa_id", "consorcio_id")
     if params.consorcio_id is not None:
         bills = bills.filter(F.col("consorcio_id") == params.consorcio_id)
-    agg = charge_aggregates(tables.charges, concepts)
-    joined = pay.join(bills, "expensa_id").join(agg, "expensa_id", "left")
+    paid = bills.join(pay.select("expensa_id"), "expensa_id", "left_semi")
+    agg = charge_aggregates(of_bills(tables.charges, paid), concepts)
+    joined = pay.join(paid, "expensa_id").join(agg, "expensa_id", "left")
     with_totals = joined.select(
         "consorcio_id", "pago_id", "expensa_id", "fecha",
         F.col("importe").alias("importe_total"), *total_columns(concepts, fanout))

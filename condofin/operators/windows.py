@@ -3,7 +3,7 @@
 ``Window.orderBy`` without ``partitionBy`` plans an ``Exchange SinglePartition``:
 one task sorts the whole input.  The helpers here split the work so that the
 only single-partition step runs over a table whose size has a proven bound
-(calendar periods, number of shuffle partitions), never over data rows.
+(the number of shuffle partitions), never over data rows.
 """
 
 from __future__ import annotations
@@ -33,51 +33,42 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def running_total(df: DataFrame, value: str, period_keys: list[str],
-                  tie_keys: list[str], out: str, mean_out: str | None = None,
-                  max_periods: int | None = None,
-                  broadcast_limit: int = 100_000) -> DataFrame:
-    """Global running sum ordered by ``period_keys + tie_keys``.
-
-    Equivalent to ``SUM(value) OVER (ORDER BY period_keys, tie_keys ROWS
-    UNBOUNDED PRECEDING)`` and, if ``mean_out`` is given, ``AVG(value) OVER ()``
-    (as one DOUBLE division of the exact sum).  Two levels:
-
-    1. per period: sum and row count - one row per period.  The caller passes
-       ``max_periods``, a bound that follows from the parameters (e.g. 54 ISO
-       weeks per calendar year of the range), not from the data; that table is
-       the only one ordered in a single task, and it is broadcast only when the
-       bound is under ``broadcast_limit``;
-    2. inside a period: a running sum partitioned by the period, ordered by the
-       tie keys (one building per row: partitions are as big as the number of
-       buildings with activity in that period);
-    3. result = offset of earlier periods + in-period running sum.
-
-    ``df`` feeds both levels, so it is materialised once (:func:`materialize`)
-    instead of being recomputed by the second branch.
+def _ranged(df: DataFrame, cols: list[str], n: int) -> DataFrame:
+    """``df`` in ``n`` ranges of ``cols`` with the range's number, written once:
+    range bounds come from a sample, so all readers must see the same ones."""
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    return materialize(ranged.select("*", F.spark_partition_id().alias("pid" + _SUFFIX),
+                                     F.monotonically_increasing_id().alias("mid" + _SUFFIX)))
+
+
+def running_total(df: DataFrame, value: str, order_keys: list[str], out: str,
+                  mean_out: str | None = None) -> DataFrame:
+    """Global running sum in the order of ``order_keys`` (unique together).
+
+    Equivalent to ``SUM(value) OVER (ORDER BY order_keys ROWS UNBOUNDED
+    PRECEDING)`` and, if ``mean_out`` is given, ``AVG(value) OVER ()`` (as one
+    DOUBLE division of the exact sum).  The rows are range-partitioned on all
+    order keys, so no period, however many rows it has, is one task's; each
+    range sums its own rows and adds the total of the ranges before it.  The
+    table of range totals has one row per partition: that bounds the ordered
+    step and the broadcast.
     """
-    pk = list(period_keys)
-    df = materialize(df)
-    per_period = df.groupBy(*pk).agg(
-        F.sum(value).alias("period_sum" + _SUFFIX),
-        F.count(F.lit(1)).alias("period_rows" + _SUFFIX))
-    all_rows = Window.partitionBy()
-    ordered = Window.orderBy(*pk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [*pk, (F.sum("period_sum" + _SUFFIX).over(ordered)
-                  - F.col("period_sum" + _SUFFIX)).alias("offset" + _SUFFIX)]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pid = "pid" + _SUFFIX
+    ranged = _ranged(df, order_keys, n)
+    totals = ranged.groupBy(pid).agg(F.sum(value).alias("sum" + _SUFFIX), F.count(F.lit(1)).alias("rows" + _SUFFIX))
+    before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [pid, F.coalesce(F.sum("sum" + _SUFFIX).over(before), F.lit(0)).alias("off" + _SUFFIX)]
     if mean_out:
-        cols.append((F.sum("period_sum" + _SUFFIX).over(all_rows).cast("double")
-                     / F.sum("period_rows" + _SUFFIX).over(all_rows).cast("double"))
-                    .alias(mean_out))
-    offsets = per_period.select(*cols)
-    if max_periods is not None and max_periods <= broadcast_limit:
-        offsets = F.broadcast(offsets)
-    inner = (Window.partitionBy(*pk).orderBy(*tie_keys)
+        every = Window.partitionBy()
+        cols.append((F.sum("sum" + _SUFFIX).over(every).cast("double")
+                     / F.sum("rows" + _SUFFIX).over(every).cast("double")).alias(mean_out))
+    inner = (Window.partitionBy(pid).orderBy(*order_keys)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = df.withColumn("within" + _SUFFIX, F.sum(value).over(inner))
-    res = within.join(offsets, pk)
-    return res.withColumn(out, F.col("offset" + _SUFFIX) + F.col("within" + _SUFFIX)) \
-              .drop("offset" + _SUFFIX, "within" + _SUFFIX)
+    within = ranged.withColumn("within" + _SUFFIX, F.sum(value).over(inner))
+    return within.join(F.broadcast(totals.select(*cols)), pid) \
+        .withColumn(out, F.col("off" + _SUFFIX) + F.col("within" + _SUFFIX)) \
+        .drop(pid, "mid" + _SUFFIX, "off" + _SUFFIX, "within" + _SUFFIX)
 
 
 def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
@@ -101,10 +92,7 @@ def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
-    mid = F.monotonically_increasing_id()
-    tagged = materialize(ranged.select("*", F.spark_partition_id().alias("pid" + _SUFFIX),
-                                       mid.alias("mid" + _SUFFIX)))
+    tagged = _ranged(df, cols, n)
     local = F.col("mid" + _SUFFIX) - F.shiftleft(F.col("pid" + _SUFFIX).cast("bigint"), 33)
     counts = tagged.groupBy("pid" + _SUFFIX).agg(F.count(F.lit(1)).alias("cnt" + _SUFFIX))
     w = Window.orderBy("pid" + _SUFFIX).rowsBetween(Window.unboundedPreceding, -1)

@@ -41,15 +41,6 @@ class ReportParams:
     def date_to_exclusive(self) -> dt.date:
         return self.date_to + dt.timedelta(days=1)
 
-    def days_in_range(self) -> int:
-        return (self.date_to_exclusive - self.date_from).days
-
-    def iso_weeks_bound(self) -> int:
-        """Upper bound on distinct (year, ISO week) pairs in range (calendar or
-        ISO year; the ISO year of late December can be the next one)."""
-        years = self.date_to.year - self.date_from.year + 2
-        return 54 * years
-
 
 def default_year(year: int | None) -> int:
     return year if year is not None else dt.date.today().year

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import money_out
-from ..model import Tables, live
+from ..model import EXTRAORDINARIO, MORA, ORDINARIO, Tables, live
 
 KEYS = ["consorcio_nombre", "nro_uf"]
 
@@ -62,17 +62,31 @@ def area_check(tables: Tables) -> DataFrame:
 def table_overview(tables: Tables) -> DataFrame:
     """Row count (and live-row count) of every domain table.
 
-    One union of per-table aggregates: a single job, each table scanned once
-    with only the ``borrado`` column read.
+    A union of one aggregate per stored table; the three kinds of charge are
+    counted in one pass over ``charges``.
     """
-    parts = []
-    for name, df in [("consorcio", tables.consorcio), ("unidad_funcional", tables.unidad),
-                     ("unidad_accesoria", tables.accesoria), ("persona", tables.persona),
-                     ("titularidad", tables.titularidad), ("expensa", tables.expensa),
-                     ("ordinarios", tables.ordinarios), ("extraordinarios", tables.extraordinarios),
-                     ("mora", tables.mora), ("pago", tables.pago)]:
-        alive = (F.count(F.when(~F.col("borrado"), 1)) if "borrado" in df.columns
-                 else F.count(F.lit(1)))
-        parts.append(df.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"),
-                            alive.alias("filas_vivas")))
+    def counts(df: DataFrame, when=None) -> list:
+        hit = F.lit(True) if when is None else when
+        alive = hit & ~F.col("borrado") if "borrado" in df.columns else hit
+        return [F.count(F.when(hit, 1)).alias("filas"), F.count(F.when(alive, 1)).alias("filas_vivas")]
+
+    parts = [df.agg(*counts(df)).select(F.lit(name).alias("tabla"), "filas", "filas_vivas")
+             for name, df in [("consorcio", tables.consorcio), ("unidad_funcional", tables.unidad),
+                              ("unidad_accesoria", tables.accesoria), ("persona", tables.persona),
+                              ("titularidad", tables.titularidad), ("expensa", tables.expensa),
+                              ("pago", tables.pago)]]
+    kinds = [("ordinarios", ORDINARIO), ("extraordinarios", EXTRAORDINARIO), ("mora", MORA)]
+    ch = tables.charges
+    wide = ch.agg(*[F.struct(*counts(ch, F.col("concepto") == kind)).alias(name) for name, kind in kinds])
+    parts.append(wide.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("tabla"), F.col(name)["filas"].alias("filas"),
+                 F.col(name)["filas_vivas"].alias("filas_vivas")) for name, _ in kinds])).alias("r")).select("r.*"))
     return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def table_contents(tables: Tables) -> dict[str, DataFrame]:
+    """The rows of every domain table by its name, the kinds of charge apart."""
+    return {"consorcio": tables.consorcio, "unidad_funcional": tables.unidad,
+            "unidad_accesoria": tables.accesoria, "persona": tables.persona,
+            "titularidad": tables.titularidad, "expensa": tables.expensa, "ordinarios": tables.ordinarios,
+            "extraordinarios": tables.extraordinarios, "mora": tables.mora, "pago": tables.pago}

@@ -17,6 +17,7 @@ from ..functions.money import format_money_by
 from ..model import MONEY, Tables, live
 from ..operators.windows import dense_row_number
 from ..sources import files as S
+from ..sources.tables_io import append_rows
 
 
 def _comma(c) -> F.Column:
@@ -81,6 +82,15 @@ def service_cost_documents(lineitem: DataFrame, supplier: DataFrame, nation: Dat
 
 
 # ------------------------------------------------------------------ W24
+def append_registered(before: Tables, after: Tables, base: str) -> None:
+    """Append what :func:`register_entities` added to the Parquet tables under
+    ``base`` (written by ``write_tables``): the rows whose id is new."""
+    append_rows(after.consorcio.join(before.consorcio, "consorcio_id", "left_anti"), f"{base}/consorcio")
+    new_units = after.unidad.join(before.unidad, "uf_id", "left_anti")
+    append_rows(new_units, f"{base}/unidad")
+    append_rows(after.accesoria.exceptAll(before.accesoria), f"{base}/accesoria")
+
+
 class RegistrationError(ValueError):
     pass
 
@@ -91,6 +101,16 @@ def _require_resolved(missing: DataFrame, what: str) -> None:
         raise RegistrationError(f"{what} not found for {sample}")
 
 
+def _require_unique(existing: DataFrame, batch: DataFrame, natural: list[str], what: str) -> None:
+    """No key of ``batch`` stands twice in it or in ``existing``."""
+    batch = batch.select(*natural)
+    there = existing.select(*natural).join(batch, natural, "left_semi")
+    repeated = there.unionByName(batch).groupBy(*natural).count().filter(F.col("count") > 1).drop("count")
+    if not repeated.isEmpty():
+        sample = [r.asDict() for r in repeated.limit(3).collect()]
+        raise RegistrationError(f"{what} named more than once: {sample}")
+
+
 def _next_ids(df: DataFrame, order: list[str], existing: DataFrame, id_col: str) -> DataFrame:
     """Number ``df`` in ``order`` after the largest existing id (a scalar
     subquery, evaluated once)."""
@@ -109,9 +129,13 @@ def register_entities(tables: Tables, buildings: DataFrame, units: DataFrame,
     building by its natural key; ``accessories(nombre, direccion, piso, depto,
     m2_accesorio, tipo_accesorio)`` their unit.  New ids continue after the
     largest existing one, in natural-key order.  Keys are resolved set-wise
-    with joins; with ``check`` an unresolved key raises
-    :class:`RegistrationError` (an anti join probed with ``isEmpty``).
+    with joins; with ``check`` an unresolved key (an anti join probed with
+    ``isEmpty``) and a natural key that is registered already or stands twice
+    in the batch raise :class:`RegistrationError`, before any id is given.
     """
+    if check:
+        bnames = ["nombre", "direccion"]
+        _require_unique(tables.consorcio, buildings, bnames, "building")
     new_b = _next_ids(buildings, ["nombre", "direccion"], tables.consorcio, "consorcio_id") \
         .select("consorcio_id", "nombre", "direccion",
                 F.col("cant_unidades").cast("int"), F.col("cant_m2_total").cast("decimal(10,2)"),
@@ -122,6 +146,9 @@ def register_entities(tables: Tables, buildings: DataFrame, units: DataFrame,
         _require_resolved(units.join(bkey, ["nombre", "direccion"], "left_anti")
                           .select("nombre", "direccion"), "building")
     u = units.join(bkey, ["nombre", "direccion"])
+    if check:
+        unames = ["consorcio_id", "piso", "depto"]
+        _require_unique(live(tables.unidad), u, unames, "unit")
     new_u = _next_ids(u.select("consorcio_id", "piso", "depto", "cant_m2", "coeficiente"),
                       ["consorcio_id", "piso", "depto"], tables.unidad, "uf_id") \
         .select("uf_id", "consorcio_id", "piso", "depto", F.col("cant_m2").cast("decimal(10,2)"),
@@ -133,5 +160,7 @@ def register_entities(tables: Tables, buildings: DataFrame, units: DataFrame,
         _require_resolved(accessories.join(ukey, natural, "left_anti").select(*natural), "unit")
     new_a = accessories.join(ukey, natural).select(
         "uf_id", F.col("m2_accesorio").cast("decimal(10,2)"), "tipo_accesorio")
+    if check:
+        _require_unique(tables.accesoria, new_a, ["uf_id", "tipo_accesorio"], "accessory")
     return tables.replace(consorcio=all_b, unidad=all_u,
                           accesoria=tables.accesoria.unionByName(new_a))

@@ -1,11 +1,10 @@
 """Independent SQL (DuckDB dialect) for every registered query.
 
 Each statement starts from the driver tables through ``DOMAIN_CTES``, the SQL
-twin of :mod:`condofin.sources.driver_tables`, and is written the literal way
-the reports read: sibling LEFT JOINs that multiply rows, windows without
-partitions, a late-interest row times every unit of its building.  The Spark
-plans compute the same numbers without those products, so agreement is a
-real check of the rewrites.
+twin of :mod:`condofin.sources.driver_tables`, and states the result from the
+written semantics of the reports in a form of its own (events in one stream,
+owner-days, payments by ordinal).  The fan-out product itself is checked
+against loops over the charges in the tests.
 
 Numeric conventions shared with the Spark side (so both engines hash alike):
 money is summed as exact DECIMAL; a payment share is ``importe * part / base``
@@ -111,43 +110,47 @@ def _bfilter(col: str, building) -> str:
 
 
 def totals_sql(concepts: int, fanout: str = "reference") -> str:
-    """CTE ``totales``: per live bill, the total of each concept."""
-    joins = ["LEFT JOIN ordinarios o ON o.expensa_id = e.expensa_id AND NOT o.borrado",
-             "LEFT JOIN extraordinarios ex ON ex.expensa_id = e.expensa_id AND NOT ex.borrado"]
-    sums = ["SUM(COALESCE(o.importe, 0)) AS total_ordinario",
-            "SUM(COALESCE(ex.valor_cuota_actual, 0)) AS total_extra"]
-    if concepts == 3:
-        joins.append("LEFT JOIN mora m ON m.expensa_id = e.expensa_id AND NOT m.borrado")
-        sums.append("SUM(COALESCE(m.importe, 0)) AS total_mora")
-    if fanout == "reference":
-        return (f"totales AS (SELECT e.expensa_id, {', '.join(sums)} FROM expensa e "
-                f"{' '.join(joins)} WHERE NOT e.borrado GROUP BY e.expensa_id)")
-    parts = ["(SELECT expensa_id, SUM(importe) AS s FROM ordinarios WHERE NOT borrado GROUP BY 1) o1",
-             "(SELECT expensa_id, SUM(valor_cuota_actual) AS s FROM extraordinarios WHERE NOT borrado GROUP BY 1) o2",
-             "(SELECT expensa_id, SUM(importe) AS s FROM mora WHERE NOT borrado GROUP BY 1) o3"][:concepts]
-    names = TOTALS[:concepts]
-    sel = ", ".join(f"COALESCE(o{i + 1}.s, 0) AS {n}" for i, n in enumerate(names))
-    js = " ".join(f"LEFT JOIN {p} ON o{i + 1}.expensa_id = e.expensa_id" for i, p in enumerate(parts))
-    return f"totales AS (SELECT e.expensa_id, {sel} FROM expensa e {js} WHERE NOT e.borrado)"
+    """CTEs ``cobros`` (one pass over the live charges: sum and number of each
+    kind per bill) and ``totales`` (every live bill with its building, the total
+    of each concept and their sum ``base``).
+
+    With the reference fan-out a kind's total is repeated once for each charge
+    of every other kind, which is a product of numbers of charges.
+    """
+    kinds = ("ordinario", "extraordinario", "mora")[:concepts]
+    sums = ", ".join(f"SUM(importe) FILTER (concepto = '{k}') AS s{i}, "
+                     f"COUNT(*) FILTER (concepto = '{k}') AS n{i}" for i, k in enumerate(kinds))
+    totals = []
+    for i in range(concepts):
+        times = "".join(f" * CAST(GREATEST(COALESCE(n{j}, 0), 1) AS DECIMAL(6,0))"
+                        for j in range(concepts) if j != i and fanout == "reference")
+        totals.append(f"CAST(COALESCE(s{i}, 0) AS DECIMAL(24,2)){times} AS {TOTALS[i]}")
+    return f"""cobros AS (SELECT expensa_id, {sums} FROM charges WHERE NOT borrado GROUP BY expensa_id),
+totales AS (
+  SELECT *, {' + '.join(TOTALS[:concepts])} AS base
+  FROM (SELECT expensa_id, consorcio_id, periodo, {', '.join(totals)}
+        FROM expensa LEFT JOIN cobros USING (expensa_id) WHERE NOT borrado))"""
 
 
 TOTALS = ["total_ordinario", "total_extra", "total_mora"]
 
 
+VALID_PAYMENT = "NOT pago.borrado AND pago.estado <> 'PENDIENTE'"
+
+
 def classified_payments_sql(concepts: int, d_from: str, d_to: str, building=None,
                             fanout: str = "reference") -> str:
-    """CTEs ``totales`` and ``clasificados`` (payments split over concepts)."""
-    names = TOTALS[:concepts]
-    base = " + ".join(f"COALESCE(t.{n}, 0)" for n in names)
-    cols = []
-    for i, n in enumerate(names):
-        other = "CAST(p.importe AS DECIMAL(38,6))" if i == 0 else "CAST(0 AS DECIMAL(38,6))"
-        cols.append(f"CASE WHEN {base} > 0 THEN {_share('p.importe', f'COALESCE(t.{n}, 0)', base)} "
-                    f"ELSE {other} END AS share_{n.split('_')[1]}")
+    """CTEs of :func:`totals_sql` and ``clasificados``: the valid payments of
+    the range, each shared over its bill's concepts; a bill without a positive
+    base takes all of it as ordinary."""
+    shares = []
+    for i, n in enumerate(TOTALS[:concepts]):
+        nothing = "importe" if i == 0 else "0"
+        shares.append(f"CASE WHEN base > 0 THEN {_share('importe', n, 'base')} "
+                      f"ELSE CAST({nothing} AS DECIMAL(38,6)) END AS share_{n.split('_')[1]}")
     return f"""{totals_sql(concepts, fanout)},
 clasificados AS (
-  SELECT p.pago_id, e.consorcio_id, p.fecha, p.importe AS importe_total, {', '.join(cols)}
-  FROM pago p JOIN expensa e ON e.expensa_id = p.expensa_id
-  LEFT JOIN totales t ON t.expensa_id = e.expensa_id
-  WHERE NOT p.borrado AND NOT e.borrado AND p.estado IN ('APLICADO', 'ASOCIADO')
-    AND {_range('p.fecha', d_from, d_to)}{_bfilter('e.consorcio_id', building)})"""
+  SELECT pago_id, consorcio_id, fecha, importe AS importe_total,
+         {(',' + chr(10) + '         ').join(shares)}
+  FROM totales JOIN pago USING (expensa_id)
+  WHERE {VALID_PAYMENT} AND {_range('fecha', d_from, d_to)}{_bfilter('consorcio_id', building)})"""

@@ -4,7 +4,7 @@ Users of the original application call eight report procedures by name with
 optional ``@ConsorcioId``, ``@FechaDesde``, ``@FechaHasta`` / ``@Anio``
 parameters; :func:`call` maps those calls onto the report functions and
 returns DataFrames (two for the top-months report, as the procedure returns
-two result sets).
+two result sets; the lines of one document, root included, for the XML ones).
 """
 
 from __future__ import annotations
@@ -52,9 +52,9 @@ def call(name: str, tables: Tables, mode: str = "clear", key=None, **params):
     if name == DAYS_BETWEEN:
         return R.days_between_payments(tables, rp, mode, key)
     if name == WEEKLY_XML:
-        return X.weekly_cash_flow_xml_rows(tables, rp)
+        return X.weekly_cash_flow_xml(tables, rp)
     if name == BY_SOURCE_XML:
-        return X.collections_by_source_xml_rows(tables, rp)
+        return X.collections_by_source_xml(tables, rp)
     raise KeyError(f"unknown report {name!r}")
 
 

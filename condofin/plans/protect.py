@@ -8,7 +8,7 @@ gives other bytes).
 * W16: live persons get ``dni_enc, email_enc, telefono_enc, cbu_cvu_enc``
   (AES-256-GCM of the text form; ints are encrypted as their decimal text);
   live payments with an account get ``cbu_cvu_origen_enc``.  Deleted rows keep
-  NULL ciphertext.  ``tokens=True`` adds keyed SHA-256 tokens (``*_tok``) of
+  NULL ciphertext.  ``token_key`` adds keyed SHA-256 tokens (``*_tok``) of
   the account columns for hash joins without decryption.
 * W17: live persons: dni = 0, email = '[CIFRADO]', telefono = 0, account =
   ``ENC-`` + 18-digit row number in ``persona_id`` order among live persons;
@@ -37,7 +37,7 @@ MASK_DIGITS = 18
 PERSON_PROTECTED = ("dni", "email", "telefono", "cbu_cvu")
 
 
-def encrypt_columns(tables: Tables, key: Column, tokens: bool = False) -> Tables:
+def encrypt_columns(tables: Tables, key: Column, token_key: Column | None = None) -> Tables:
     """Ciphertext columns beside the clear ones (live rows only)."""
     alive = ~F.col("borrado")
     per = tables.persona.withColumns({
@@ -45,11 +45,11 @@ def encrypt_columns(tables: Tables, key: Column, tokens: bool = False) -> Tables
     pay = tables.pago.withColumn(
         "cbu_cvu_origen_enc",
         F.when(alive & F.col("cbu_cvu_origen").isNotNull(), encrypt_text(F.col("cbu_cvu_origen"), key)))
-    if tokens:
-        per = per.withColumn("cbu_cvu_tok", F.when(alive, token(F.col("cbu_cvu"), key)))
+    if token_key is not None:
+        per = per.withColumn("cbu_cvu_tok", F.when(alive, token(F.col("cbu_cvu"), token_key)))
         pay = pay.withColumn("cbu_cvu_origen_tok",
                              F.when(alive & F.col("cbu_cvu_origen").isNotNull(),
-                                    token(F.col("cbu_cvu_origen"), key)))
+                                    token(F.col("cbu_cvu_origen"), token_key)))
     return tables.replace(persona=per, pago=pay)
 
 
@@ -57,33 +57,36 @@ def _mask(rn: Column) -> Column:
     return F.concat(F.lit(MASK_PREFIX), F.lpad(rn.cast("string"), MASK_DIGITS, "0"))
 
 
-def _numbered_live(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """Live rows with their row number in ``id_col`` order, deleted rows apart.
+def _row_numbers(df: DataFrame, id_col: str) -> DataFrame:
+    """``id_col`` of the live rows and their row number in its order.  Only the
+    ids are sorted and written; no other column leaves its table."""
+    return dense_row_number(df.filter(~F.col("borrado")).select(id_col), id_col, "rn__mask")
 
-    The live rows themselves are range-partitioned and numbered, so the
-    number needs no join back to the table.
-    """
-    numbered = dense_row_number(df.filter(~F.col("borrado")), id_col, "rn")
-    deleted = df.filter(F.col("borrado")).withColumn("rn", F.lit(None).cast("bigint"))
-    return numbered, deleted
 
-
-def mask_columns(tables: Tables) -> Tables:
-    """Overwrite the clear personal columns of live rows."""
-    numbered, deleted = _numbered_live(tables.persona, "persona_id")
-    per = numbered.unionByName(deleted)
+def mask_persons(persons: DataFrame) -> DataFrame:
+    """W17 on persons: overwrite the clear personal columns of live rows."""
     alive = ~F.col("borrado")
-    per = per.withColumns({
-        "dni": F.when(alive, F.lit(0).cast(per.schema["dni"].dataType)).otherwise(F.col("dni")),
+    numbers = _row_numbers(persons, "persona_id")
+    return persons.join(numbers, "persona_id", "left").withColumns({
+        "dni": F.when(alive, F.lit(0).cast(persons.schema["dni"].dataType)).otherwise(F.col("dni")),
         "email": F.when(alive, F.lit(MASKED_EMAIL)).otherwise(F.col("email")),
-        "telefono": F.when(alive, F.lit(0).cast(per.schema["telefono"].dataType)).otherwise(F.col("telefono")),
-        "cbu_cvu": F.when(F.col("rn").isNotNull(), _mask(F.col("rn"))).otherwise(F.col("cbu_cvu")),
-    }).drop("rn")
-    numbered, deleted = _numbered_live(tables.pago, "pago_id")
-    pay = numbered.unionByName(deleted)
-    pay = pay.withColumn("cbu_cvu_origen", F.when(F.col("rn").isNotNull(), _mask(F.col("rn")))
-                         .otherwise(F.col("cbu_cvu_origen"))).drop("rn")
-    return tables.replace(persona=per, pago=pay)
+        "telefono": F.when(alive, F.lit(0).cast(persons.schema["telefono"].dataType)).otherwise(F.col("telefono")),
+        "cbu_cvu": F.when(alive, _mask(F.col("rn__mask"))).otherwise(F.col("cbu_cvu")),
+    }).select(*persons.columns)
+
+
+def mask_payments(payments: DataFrame) -> DataFrame:
+    """W17 on payments: overwrite the account of live rows."""
+    alive = ~F.col("borrado")
+    numbers = _row_numbers(payments, "pago_id")
+    return payments.join(numbers, "pago_id", "left").withColumn(
+        "cbu_cvu_origen", F.when(alive, _mask(F.col("rn__mask"))).otherwise(F.col("cbu_cvu_origen"))
+    ).select(*payments.columns)
+
+
+def mask_columns(tables: Tables) -> Tables:
+    """W17 on both tables."""
+    return tables.replace(persona=mask_persons(tables.persona), pago=mask_payments(tables.pago))
 
 
 def decrypt_view(persons: DataFrame, key: Column, view_name: str | None = None) -> DataFrame:
@@ -100,11 +103,11 @@ def decrypt_view(persons: DataFrame, key: Column, view_name: str | None = None)
     return out
 
 
-def protect_tables(tables: Tables, key: Column, tokens: bool = False,
+def protect_tables(tables: Tables, key: Column, token_key: Column | None = None,
                    path: str | None = None) -> Tables:
     """W16 then W17.  With ``path``, persons and payments are written there
     (Parquet, new folders) and read back, so later jobs see fixed bytes."""
-    prot = mask_columns(encrypt_columns(tables, key, tokens))
+    prot = mask_columns(encrypt_columns(tables, key, token_key))
     if path is None:
         return prot
     spark = prot.persona.sparkSession

@@ -1,7 +1,10 @@
-"""The eight report jobs (W01-W08) as lazy DataFrame plans.
+"""The eight report jobs (W01-W08) as DataFrame plans.
 
 Every function takes a :class:`~condofin.model.Tables` and the report's
-optional parameters and returns a DataFrame; nothing is collected.  Output
+optional parameters and returns a DataFrame; nothing is collected.  Plans that read a
+shared intermediate twice (W01, W07, W08 and the two-result form of report 4)
+write it when called, as a Parquet table in the checkpoint folder; the others
+only declare.  Output
 columns keep the reports' names.  Money leaves as 2-decimal DOUBLE rounded
 from exact decimal sums (see :func:`condofin.functions.columns.money_out`).
 """
@@ -19,7 +22,8 @@ from ..model import CONCEPTS, EXTRAORDINARIO, ORDINARIO, Tables, live
 from ..functions.crypto import decrypt_text
 from ..operators.allocate import (building_coef_totals, cumulative_by_day, prorate,
                                   prorate_by_coefficient, weighted_interval_totals)
-from ..operators.concepts import charge_aggregates, split_payment, total_columns, valid_payments
+from ..operators.concepts import (charge_aggregates, of_bills, split_payment, total_columns,
+                                  valid_payments)
 from ..operators.tenure import match_payments_by_account, tenure_as_of
 from ..operators.windows import expand_counts, materialize, running_total
 from ..params import ReportParams, default_year
@@ -50,9 +54,8 @@ def weekly_cash_flow(tables: Tables, params: ReportParams = ReportParams(),
         F.sum("share_extra").alias("ext"),
         sum_money("importe_total").alias("tot"),
     )
-    ran = running_total(weekly, "tot", ["Anio", "Semana"], ["consorcio_id"],
-                        out="acc", mean_out="PromedioPeriodo",
-                        max_periods=params.iso_weeks_bound())
+    ran = running_total(weekly, "tot", ["Anio", "Semana", "consorcio_id"],
+                        out="acc", mean_out="PromedioPeriodo")
     out = ran.select(
         "consorcio_id", "Anio", "Semana",
         money_out(F.col("ord")).alias("TotalOrdinario"),
@@ -89,8 +92,8 @@ def _bills_in_range(tables: Tables, params: ReportParams) -> DataFrame:
                     F.year("periodo").alias("Anio"), F.month("periodo").alias("Mes"))
 
 
-def _paid_per_bill(tables: Tables) -> DataFrame:
-    return valid_payments(tables).groupBy("expensa_id").agg(sum_money("importe").alias("paid"))
+def _paid_per_bill(tables: Tables, bills: DataFrame) -> DataFrame:
+    return of_bills(valid_payments(tables), bills).groupBy("expensa_id").agg(sum_money("importe").alias("paid"))
 
 
 def monthly_expense_income(tables: Tables, params: ReportParams = ReportParams(),
@@ -109,8 +112,8 @@ def monthly_expense_income(tables: Tables, params: ReportParams = ReportParams()
     the exact decimal sums the top-month rankings order by.
     """
     bills = _bills_in_range(tables, params)
-    charges = charge_aggregates(tables.charges, CONCEPTS)
-    paid = _paid_per_bill(tables)
+    charges = charge_aggregates(of_bills(tables.charges, bills), CONCEPTS)
+    paid = _paid_per_bill(tables, bills)
     keys = ["consorcio_id", "Anio", "Mes"]
     gastos = [F.sum(c).alias(n) for c, n in zip(total_columns(CONCEPTS, fanout),
                                                   ("g_ord", "g_ext", "g_mora"))]
@@ -245,9 +248,9 @@ def days_between_payments(tables: Tables, params: ReportParams = ReportParams(),
         .filter(in_range("fecha", params.date_from, params.date_to_exclusive))
     pay = pay.select("pago_id", "expensa_id", "fecha",
                      *[c for c in tables.pago.columns if c.startswith("cbu_cvu_origen")])
-    with_ord = live(tables.ordinarios).select("expensa_id")
-    bills = live(tables.expensa).select("expensa_id").join(with_ord, "expensa_id", "left_semi")
-    pay = pay.join(bills, "expensa_id", "left_semi")
+    # the payments in range name the bills whose charges matter
+    with_ord = of_bills(live(tables.ordinarios), pay).select("expensa_id")
+    pay = of_bills(of_bills(pay, live(tables.expensa)), with_ord)
     rows = _payer_units(tables, pay, mode, key)
     if params.consorcio_id is not None:
         rows = rows.filter(F.col("uf_consorcio_id") == params.consorcio_id)
@@ -290,9 +293,11 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
     (building, day); a dense per-building calendar carries the running total;
     each owner tenure, clipped to its building's calendar, takes
     ``coef * (cum(hi) - cum(lo - 1))``; owner sums are divided once by the
-    building's coefficient total.  Each tenure contributes two signed
-    endpoint rows, so the calendar is joined once.  Exact decimals up to
-    that division.
+    building's coefficient total.  A tenure that lasts to the building's last
+    day takes the building's total and one that starts on its first day
+    subtracts nothing, so the many open tenures need no row of the calendar.
+    A tenure without a start date is never valid; a range whose end is before
+    its start gives no rows.  Exact decimals up to that division.
     """
     bills = live(tables.expensa).select("expensa_id", "consorcio_id")
     if params.consorcio_id is not None:
@@ -303,22 +308,24 @@ def owner_late_interest(tables: Tables, params: ReportParams = ReportParams()) -
     # buildings x days: read three times below, so computed once
     daily = materialize(mora.join(bills, "expensa_id").groupBy("consorcio_id", "fecha_aplicacion")
                         .agg(sum_money("importe").alias("amount")))
-    cum = cumulative_by_day(daily, "consorcio_id", "fecha_aplicacion", "amount",
-                            params.days_in_range())
+    cum = cumulative_by_day(daily, "consorcio_id", "fecha_aplicacion", "amount")
     span = daily.groupBy("consorcio_id").agg(F.min("fecha_aplicacion").alias("d0"),
-                                             F.max("fecha_aplicacion").alias("d1"))
+                                             F.max("fecha_aplicacion").alias("d1"),
+                                             F.sum("amount").alias("all"))
     units = live(tables.unidad).select("uf_id", "consorcio_id", "coeficiente")
-    owners = tables.titularidad.filter(F.col("tipo_titularidad") == "PROPIETARIO") \
+    owners = tables.titularidad.filter((F.col("tipo_titularidad") == "PROPIETARIO")
+                                       & F.col("fecha_desde").isNotNull()) \
         .select("persona_id", "uf_id", "fecha_desde", "fecha_hasta")
     # live owners, carrying the names the ranking breaks ties on
     owners = owners.join(live(tables.persona).select("persona_id", "apellido", "nombre"), "persona_id")
     ten = owners.join(units, "uf_id").join(span, "consorcio_id")
     ten = ten.select("persona_id", "apellido", "nombre", "uf_id", "consorcio_id", "coeficiente",
-                     F.greatest("fecha_desde", "d0").alias("lo"),
+                     "d0", "d1", "all", F.greatest("fecha_desde", "d0").alias("lo"),
                      F.least(F.coalesce("fecha_hasta", "d1"), "d1").alias("hi")) \
              .filter(F.col("lo") <= F.col("hi"))
-    per_owner = weighted_interval_totals(ten, cum, "consorcio_id", "fecha_aplicacion", "lo", "hi",
-                                         "coeficiente", ["persona_id", "apellido", "nombre", "consorcio_id"])
+    per_owner = weighted_interval_totals(ten, cum, "consorcio_id", "fecha_aplicacion", ("lo", "hi"),
+                                         ("d0", "d1", "all"), "coeficiente",
+                                         ["persona_id", "apellido", "nombre", "consorcio_id"])
     per_owner = per_owner.withColumnRenamed("weighted_sum", "num").join(
         building_coef_totals(tables.unidad), "consorcio_id")
     res = per_owner.select("persona_id", "consorcio_id",

@@ -14,10 +14,11 @@ Rows are ordered by building, year, week / month.  Money is DECIMAL(38,2)
 and the mean DECIMAL(38,6) so the text is plain (no exponent notation).
 NULL fields are omitted, as FOR XML PATH does.
 
-Two outputs: :func:`write_xml_document` writes the ordered document through
-Spark's XML data source (one file when the report is small, ordered part
-files otherwise), and the ``*_xml_rows`` functions return one ``to_xml``
-string per row.
+Three outputs: the ``*_xml_rows`` functions return one ``to_xml`` string per
+row in report order, the ``*_xml`` functions the lines of one document (root
+element, then the rows) with a ``line`` number, and :func:`write_xml_document`
+writes through Spark's XML data source, as one file or as ordered part files:
+the caller says which.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import Tables
+from ..operators.windows import dense_row_number, materialize
 from ..params import ReportParams
 from . import reports as R
 
@@ -77,53 +79,67 @@ def weekly_cash_flow_xml_rows(tables: Tables, params: ReportParams = ReportParam
     """W09 per row: ``consorcio_id, Anio, Semana, xml``."""
     s = weekly_cash_flow_struct(tables, params)
     return _rows(s, W09_ROW, [F.col("_consorcio_id").alias("consorcio_id"), "Anio",
-                              F.col("Semana").alias("Semana")])
+                              F.col("Semana").alias("Semana")]).orderBy("consorcio_id", "Anio", "Semana")
 
 
 def collections_by_source_xml_rows(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
     """W10 per row: ``consorcio_id, Anio, Mes, xml``."""
     s = collections_by_source_struct(tables, params)
     return _rows(s, W10_ROW, [F.col("_consorcio_id").alias("consorcio_id"),
-                              F.col("Periodo.Anio").alias("Anio"), F.col("Periodo.Mes").alias("Mes")])
+                              F.col("Periodo.Anio").alias("Anio"), F.col("Periodo.Mes").alias("Mes")]
+                 ).orderBy("consorcio_id", "Anio", "Mes")
 
 
-# Largest report written as one file by one task; larger ones are split.
-SINGLE_FILE_MAX_ROWS = 1_000_000
+def _document(rows: DataFrame, root: str, keys: list[str]) -> DataFrame:
+    """``line, xml``: the root's opening tag, the rows in the order of ``keys``
+    and the closing tag.  Numbers come from the distributed row number, so no
+    task holds the document; ordered by ``line`` it is one document."""
+    spark = rows.sparkSession
+    body = dense_row_number(rows, keys, "line").select("line", "xml")
+    n = rows.count()
+    ends = spark.createDataFrame([(0, f"<{root}>"), (n + 1, f"</{root}>")], "line bigint, xml string")
+    return body.unionByName(ends).orderBy("line")
+
+
+def weekly_cash_flow_xml(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
+    """W09 as one document (see :func:`_document`)."""
+    return _document(materialize(weekly_cash_flow_xml_rows(tables, params)), W09_ROOT,
+                     ["consorcio_id", "Anio", "Semana"])
+
+
+def collections_by_source_xml(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
+    """W10 as one document (see :func:`_document`)."""
+    return _document(materialize(collections_by_source_xml_rows(tables, params)), W10_ROOT,
+                     ["consorcio_id", "Anio", "Mes"])
 
 
 def write_xml_document(df: DataFrame, path: str, root_tag: str, row_tag: str,
-                       order: list[str], single_file_max_rows: int = SINGLE_FILE_MAX_ROWS) -> int:
-    """Write the rows as XML under ``path`` in ``order``; return the row count.
-
-    ``orderBy`` range-partitions and sorts.  A report of at most
-    ``single_file_max_rows`` rows (reports are buildings x periods) becomes
-    one document: ``coalesce(1)`` concatenates the sorted partitions without
-    another shuffle.  A larger one is written as ordered part files, each a
-    complete document with the root element, so no single task holds it.
-    The rows are materialised once, so counting them does not recompute
-    the report.
+                       order: list[str], single_file: bool = True) -> None:
+    """Write the rows as XML under ``path`` in ``order``.
+
+    ``orderBy`` range-partitions and sorts.  With ``single_file`` the result is
+    one document, whatever the number of rows (one task writes it: a document
+    has one root); without, ordered part files, each a document with the root
+    element, written in parallel.
     """
-    from ..operators.windows import materialize
-    rows = materialize(df)
-    n = rows.count()
-    out = rows.orderBy(*order)
-    if n <= single_file_max_rows:
+    out = df.orderBy(*order)
+    if single_file:
         out = out.coalesce(1)
     (out.write.mode("overwrite").format("xml")
         .option("rootTag", root_tag).option("rowTag", row_tag)
         .option("attributePrefix", ATTR_PREFIX).save(path))
-    return n
 
 
-def write_weekly_cash_flow_xml(tables: Tables, path: str, params: ReportParams = ReportParams()) -> int:
-    return write_xml_document(weekly_cash_flow_struct(tables, params), path, W09_ROOT, W09_ROW,
-                       ["_consorcio_id", "Anio", "Semana"])
+def write_weekly_cash_flow_xml(tables: Tables, path: str, params: ReportParams = ReportParams(),
+                               single_file: bool = True) -> None:
+    write_xml_document(weekly_cash_flow_struct(tables, params), path, W09_ROOT, W09_ROW,
+                       ["_consorcio_id", "Anio", "Semana"], single_file)
 
 
-def write_collections_by_source_xml(tables: Tables, path: str,
-                                    params: ReportParams = ReportParams()) -> int:
-    return write_xml_document(collections_by_source_struct(tables, params), path, W10_ROOT, W10_ROW,
-                       ["_consorcio_id", "Periodo.Anio", "Periodo.Mes"])
+def write_collections_by_source_xml(tables: Tables, path: str, params: ReportParams = ReportParams(),
+                                    single_file: bool = True) -> None:
+    write_xml_document(collections_by_source_struct(tables, params), path, W10_ROOT, W10_ROW,
+                       ["_consorcio_id", "Periodo.Anio", "Periodo.Mes"], single_file)
 
 
 def parse_xml_rows(xml_rows: DataFrame, schema: T.StructType) -> DataFrame:

@@ -31,10 +31,9 @@ MONTH_FIELD = "Mes"
 
 ACCOUNT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ACCOUNT_FIELDS])
 UNIT_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in UNIT_FIELDS])
-COST_SCHEMA = T.StructType(
-    [T.StructField(BUILDING_FIELD, T.StringType()), T.StructField(MONTH_FIELD, T.StringType()),
-     T.StructField("Anio", T.StringType())]
-    + [T.StructField(n, T.StringType()) for n in COST_CATEGORIES])
+YEAR_FIELD = "Anio"
+#: Fields of a cost document that name it; every other one is a cost category.
+DOCUMENT_FIELDS = (BUILDING_FIELD, MONTH_FIELD, YEAR_FIELD, "_id")
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -124,29 +123,47 @@ def _month_number(name: Column) -> Column:
 
 
 def clean_service_costs(docs: DataFrame) -> DataFrame:
-    """Wide documents -> ``(consorcio_nombre, anio, mes_nombre, mes, categoria,
-    importe_texto, importe)``.  Documents without a building are dropped."""
-    d = docs.filter(~_blank(F.col(f"`{BUILDING_FIELD}`")))
-    cats = [c for c in COST_CATEGORIES if c in d.columns]
-    anio = F.trim(F.col("Anio")).try_cast("int") if "Anio" in d.columns else F.lit(None).cast("int")
-    mes = F.lower(F.trim(F.col(MONTH_FIELD)))
-    base = d.select(F.trim(F.col(f"`{BUILDING_FIELD}`")).alias("consorcio_nombre"),
-                    anio.alias("anio"), mes.alias("mes_nombre"),
-                    *[F.col(f"`{c}`").alias(c) for c in cats])
-    long = base.unpivot(["consorcio_nombre", "anio", "mes_nombre"], cats, "categoria", "importe_texto")
-    return long.select("consorcio_nombre", "anio", "mes_nombre",
-                       _month_number(F.col("mes_nombre")).alias("mes"), "categoria",
-                       "importe_texto", parse_money(F.col("importe_texto")).alias("importe"))
+    """Documents as maps of texts (column ``f``) -> ``(consorcio_nombre, anio, mes_nombre, mes, categoria,
+    importe_texto, importe)``.
+
+    There is no schema: every field that does not name the document is a
+    category, whatever it is called, and a listed category that is missing is
+    a row without an amount.  Documents without a building are dropped; :func:`rejected_costs` finds the amounts
+    that are no numbers.
+    """
+    name = F.trim(F.col("f")[BUILDING_FIELD])
+    listed = F.map_from_arrays(F.array(*[F.lit(c) for c in COST_CATEGORIES]),
+                               F.array(*[F.col("f")[c] for c in COST_CATEGORIES]))
+    other = F.map_filter("f", lambda k, v: ~k.isin(*DOCUMENT_FIELDS, *COST_CATEGORIES))
+    base = docs.filter(~_blank(name)).select(
+        name.alias("consorcio_nombre"), F.trim(F.col("f")[YEAR_FIELD]).try_cast("int").alias("anio"),
+        F.lower(F.trim(F.col("f")[MONTH_FIELD])).alias("mes_nombre"),
+        F.explode(F.map_concat(listed, other)).alias("categoria", "importe_texto"))
+    return base.select("consorcio_nombre", "anio", "mes_nombre", _month_number(F.col("mes_nombre")).alias("mes"),
+                       "categoria", "importe_texto", parse_money(F.col("importe_texto")).alias("importe"))
 
 
 def read_service_costs(spark: SparkSession, path: str) -> DataFrame:
-    docs = spark.read.option("multiLine", True).json(path)
-    for c in (BUILDING_FIELD, MONTH_FIELD):
-        if c not in docs.columns:
-            docs = docs.withColumn(c, F.lit(None).cast("string"))
-    return clean_service_costs(docs.drop("_id"))
+    """Cost documents of files that each hold one JSON array.
+
+    The array is one document, so one file is read by one task (the format's
+    nature); files are read in parallel.
+    """
+    files = spark.read.text(path, wholetext=True)
+    return clean_service_costs(files.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("f")))
 
 
 def parse_service_cost_documents(docs: DataFrame, col: str = "value") -> DataFrame:
-    parsed = docs.select(F.from_json(F.col(col), COST_SCHEMA).alias("r")).select("r.*")
-    return clean_service_costs(parsed)
+    """One JSON document per row of text column ``col``."""
+    return clean_service_costs(docs.select(F.from_json(F.col(col), "map<string,string>").alias("f")))
+
+
+def rejected_costs(costs: DataFrame) -> DataFrame:
+    """Rows whose amount has text that is no number."""
+    return costs.filter(~_blank(F.col("importe_texto")) & F.col("importe").isNull())
+
+
+def rejected_units(raw: DataFrame, cleaned_number: str = "nroUnidadFuncional") -> DataFrame:
+    """Raw rows of a unit or account file whose unit number is no number."""
+    n = F.trim(F.col(cleaned_number))
+    return raw.filter((n != "") & n.try_cast("int").isNull())

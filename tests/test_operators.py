@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from condofin.functions.crypto import key_column
+from condofin.functions.crypto import key_column, token_key_column
 from condofin.model import ORDINARIO
 from condofin.operators.allocate import cumulative_by_day, weighted_interval_totals
 from condofin.operators.windows import dense_row_number, running_total
@@ -32,7 +32,7 @@ def test_running_total_equals_single_window(spark):
             for b in range(30) for _ in range(5)]
     rows = list({(y, w, b): (y, w, b, v) for y, w, b, v in rows}.values())
     df = spark.createDataFrame(rows, "y int, w int, b int, v long")
-    ours = running_total(df, "v", ["y", "w"], ["b"], "acc", "mean", max_periods=200)
+    ours = running_total(df, "v", ["y", "w", "b"], "acc", "mean")
     full = df.withColumn("acc", F.sum("v").over(Window.orderBy("y", "w", "b").rowsBetween(
         Window.unboundedPreceding, 0)))
     a = sorted((r.y, r.w, r.b, r.acc) for r in ours.collect())
@@ -61,7 +61,7 @@ def test_interval_sums_equal_brute_force(spark):
         k, d = rnd.randint(1, 3), base + dt.timedelta(days=rnd.randint(0, 90))
         daily[(k, d)] = daily.get((k, d), 0) + rnd.randint(1, 100)
     ddf = spark.createDataFrame([(k, d, v) for (k, d), v in daily.items()], "k int, d date, v long")
-    cum = cumulative_by_day(ddf, "k", "d", "v", 366)
+    cum = cumulative_by_day(ddf, "k", "d", "v")
     spans = {k: (min(d for kk, d in daily if kk == k), max(d for kk, d in daily if kk == k)) for k in (1, 2, 3)}
     ivs = []
     for i in range(100):
@@ -70,10 +70,12 @@ def test_interval_sums_equal_brute_force(spark):
         hi = min(lo + dt.timedelta(days=rnd.randint(0, 60)), spans[k][1])
         if lo <= hi:
             ivs.append((i, k, lo, hi))
-    idf = spark.createDataFrame([(i, k, lo, hi, 1) for i, k, lo, hi in ivs],
-                                "i int, k int, lo date, hi date, w int")
+    ivs += [(1000 + k, k, *spans[k]) for k in (1, 2, 3)]
+    total = {k: sum(v for (kk, _), v in daily.items() if kk == k) for k in (1, 2, 3)}
+    idf = spark.createDataFrame([(i, k, lo, hi, *spans[k], total[k], 1) for i, k, lo, hi in ivs],
+                                "i int, k int, lo date, hi date, d0 date, d1 date, all long, w int")
     got = {r.i: r.weighted_sum for r in
-           weighted_interval_totals(idf, cum, "k", "d", "lo", "hi", "w", ["i"]).collect()}
+           weighted_interval_totals(idf, cum, "k", "d", ("lo", "hi"), ("d0", "d1", "all"), "w", ["i"]).collect()}
     want = {i: sum(v for (kk, d), v in daily.items() if kk == k and lo <= d <= hi) for i, k, lo, hi in ivs}
     assert got == want
 
@@ -125,7 +127,7 @@ def test_reports_on_protected_tables_equal_clear(spark, tmp_dir):
                     charges=[charge(1, ORDINARIO, 100)],
                     pago=[payment(1, 1, "2025-03-01 00:00:00", 10, account=acc)])
     clear = R.collections_by_unit_month(t, None, 2025).collect()
-    prot = protect_tables(t, key, tokens=True, path=os.path.join(tmp_dir, "prot"))
+    prot = protect_tables(t, key, token_key_column(spark), path=os.path.join(tmp_dir, "prot"))
     dec = R.collections_by_unit_month(prot, None, 2025, mode="decrypt", key=key).collect()
     tok = R.collections_by_unit_month(prot, None, 2025, mode="token").collect()
     assert clear == dec == tok and clear[0].Marzo == 10.0
@@ -204,7 +206,7 @@ def test_tables_round_trip_through_parquet(spark, tmp_dir):
         sorted(map(tuple, R.collections_by_unit_month(t, None, 1997).collect()))
 
 
-def test_xml_document_split_when_large(spark, tmp_dir):
+def test_xml_document_split_when_asked(spark, tmp_dir):
     from condofin.plans.xml_out import W09_ROOT, W09_ROW, weekly_cash_flow_struct, write_xml_document
     pays = [payment(i, 1 + i % 2, f"2025-{1 + i % 12:02d}-{1 + i % 27:02d} 00:00:00", 10) for i in range(60)]
     t = make_tables(spark, consorcio=[(1, "Uno", "c", 1, None, False), (2, "Dos", "c", 1, None, False)],
@@ -212,8 +214,8 @@ def test_xml_document_split_when_large(spark, tmp_dir):
     out = os.path.join(tmp_dir, "w09parts")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep tiny partitions apart
     try:
-        n = write_xml_document(weekly_cash_flow_struct(t, P), out, W09_ROOT, W09_ROW,
-                               ["_consorcio_id", "Anio", "Semana"], single_file_max_rows=5)
+        rows = weekly_cash_flow_struct(t, P)
+        write_xml_document(rows, out, W09_ROOT, W09_ROW, ["_consorcio_id", "Anio", "Semana"], single_file=False)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = sorted(glob.glob(os.path.join(out, "part-*")))
@@ -224,7 +226,7 @@ def test_xml_document_split_when_large(spark, tmp_dir):
         assert root.tag == W09_ROOT
         keys += [(int(e.get("consorcio_id")), int(e.find("Anio").text), int(e.find("Semana").text))
                  for e in root.findall(W09_ROW)]
-    assert len(keys) == n and keys == sorted(keys)
+    assert len(keys) == rows.count() and keys == sorted(keys)
 
 
 def test_expand_counts_chunks_large_counts(spark):
@@ -249,17 +251,58 @@ def test_days_between_payments_many_at_one_timestamp(spark):
     assert R.days_between_payments(t, P).count() == 2501
 
 
-def test_key_never_printed_in_plans(spark):
-    import contextlib
-    import io
-    from condofin.functions.crypto import session_key_hex
-    key = key_column(spark)
+KEY_SCRIPT = """
+import sys
+sys.path[:0] = {paths!r}
+from pyspark.sql import SparkSession
+from condofin.functions.crypto import KEY_CONF, TOKEN_KEY_CONF, key_column, token_key_column
+from condofin.plans.protect import decrypt_view, encrypt_columns
+from helpers import make_tables, payment, person
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", {log!r})
+         .config("spark.eventLog.compress", "false").config(KEY_CONF, {key!r})
+         .config(TOKEN_KEY_CONF, {token!r}).getOrCreate())
+t = make_tables(spark, persona=[person(1, "0" * 22)], pago=[payment(1, 1, "2025-01-01 00:00:00", 1)])
+enc = encrypt_columns(t, key_column(spark), token_key_column(spark))
+for df in (enc.persona, enc.pago, decrypt_view(enc.persona, key_column(spark))):
+    df.collect()
+    for mode in ("simple", "extended", "codegen", "cost", "formatted"):
+        df.explain(mode)
+    print(df._jdf.queryExecution().toString())
+spark.stop()
+"""
+
+
+def test_keys_never_printed(tmp_dir):
+    """Neither key, in hex or any other radix spelling, shows in any explain
+    mode, the query execution's text or the event log of a plain session."""
+    import base64
+    import subprocess
+    import sys
+    key, tok = "ab12cd34" * 8, "9f8e7d6c" * 8
+    log = os.path.join(tmp_dir, "events")
+    os.makedirs(log)
+    here = os.path.dirname(os.path.abspath(__file__))
+    code = KEY_SCRIPT.format(paths=[os.path.dirname(here), here], log=log, key=key, token=tok)
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    events = "".join(open(os.path.join(d, f), errors="replace").read()
+                     for d, _, fs in os.walk(log) for f in fs)
+    assert "aes_encrypt" in run.stdout and "SQLExecutionStart" in events
+    for secret in (key, tok):
+        raw = bytes.fromhex(secret)
+        for text in (secret, base64.b64encode(raw).decode()[:-4], ", ".join(str(x - 256 if x > 127 else x) for x in raw[:6])):
+            assert text.lower() not in run.stdout.lower()
+            assert text.lower() not in events.lower()
+
+
+def test_tokens_do_not_depend_on_the_aes_key_itself(spark):
     t = make_tables(spark, persona=[person(1, "0" * 22)])
-    df = decrypt_view(encrypt_columns(t, key).persona, key)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("extended")
-    assert session_key_hex(spark).lower() not in buf.getvalue().lower()
+    per = encrypt_columns(t, key_column(spark), token_key_column(spark)).persona
+    import hashlib
+    from condofin.functions.crypto import session_key_hex
+    plain = hashlib.sha256(bytes.fromhex(session_key_hex(spark)) + b"0" * 22).hexdigest()
+    assert per.first()["cbu_cvu_tok"] != plain
 
 
 def test_hot_account_and_tenure_joins_are_split_by_aqe(spark):

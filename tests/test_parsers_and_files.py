@@ -13,9 +13,9 @@ from condofin.functions.money import format_money, parse_decimal_comma, parse_fl
 from condofin.sources import files as S
 
 CASES = [
-    ("22,648.59", "22648.59"), ("33.706,04", "33706.04"), ("127,080,00", "127080.00"),
+    ("41,305.27", "41305.27"), ("58.912,63", "58912.63"), ("246,175,00", "246175.00"),
     ("0,00", "0.00"), ("1.234", "1234.00"), ("1,234", "1234.00"), ("15", "15.00"),
-    (" 9.344,32 ", "9344.32"), ("$ 1,000.5", "1000.50"), ("", None), (None, None), ("abc", None),
+    (" 7.218,45 ", "7218.45"), ("$ 1,000.5", "1000.50"), ("", None), (None, None), ("abc", None),
 ]
 
 
@@ -27,7 +27,7 @@ def test_parse_money_shapes(spark):
 
 @pytest.mark.parametrize("shape", [0, 1, 2, 3])
 def test_format_then_parse_is_identity(spark, shape):
-    vals = ["0.00", "0.05", "7.10", "999.99", "1000.00", "22648.59", "1234567.89"]
+    vals = ["0.00", "0.05", "7.10", "999.99", "1000.00", "41305.27", "1234567.89"]
     df = spark.createDataFrame([(Decimal(v),) for v in vals], "v decimal(18,2)")
     back = df.select(parse_money(format_money(F.col("v"), shape)).alias("b")).collect()
     assert [r.b for r in back] == [Decimal(v) for v in vals]
@@ -76,25 +76,32 @@ def test_read_units_and_split(spark, tmp_dir):
 
 def test_read_service_costs(spark, tmp_dir):
     docs = [
-        {"_id": {"$oid": "a1"}, "Nombre del consorcio": "Edificio Uno", "Mes": "abril",
-         "BANCARIOS": "22,648.59", "LIMPIEZA": "120,000.00", "ADMINISTRACION": "200,000.00",
-         "SEGUROS": "33.706,04", "GASTOS GENERALES": "9.344,32", "SERVICIOS PUBLICOS-Agua": "127,080,00",
-         "SERVICIOS PUBLICOS-Luz": "0,00"},
-        {"_id": {"$oid": "a2"}, "Nombre del consorcio": "Edificio Uno", "Mes": "mayo ",
+        {"_id": {"$oid": "x1"}, "Nombre del consorcio": "Edificio Uno", "Mes": "junio", "Anio": 2024,
+         "BANCARIOS": "41,305.27", "LIMPIEZA": "88,100.00", "ADMINISTRACION": "61,050.00",
+         "SEGUROS": "58.912,63", "GASTOS GENERALES": "7.218,45", "SERVICIOS PUBLICOS-Agua": "246,175,00",
+         "SERVICIOS PUBLICOS-Luz": "0,00", "ASCENSORES": "500,00"},
+        {"_id": {"$oid": "x2"}, "Nombre del consorcio": "Edificio Uno", "Mes": "mayo ",
          "BANCARIOS": "1.000,00", "LIMPIEZA": "2,000.00", "ADMINISTRACION": "3,00",
-         "SEGUROS": "4", "GASTOS GENERALES": "5,5", "SERVICIOS PUBLICOS-Agua": "6.000",
-         "SERVICIOS PUBLICOS-Luz": "7,000,50"},
-        {"_id": {"$oid": "a3"}},
+         "SEGUROS": "4", "GASTOS GENERALES": "no sabe", "SERVICIOS PUBLICOS-Agua": "6.000"},
+        {"_id": {"$oid": "x3"}},
     ]
     path = _write(os.path.join(tmp_dir, "costs.json"), json.dumps(docs, indent=2))
     df = S.read_service_costs(spark, path)
-    assert df.count() == 14
     got = {(r.mes, r.categoria): r.importe for r in df.collect()}
-    assert got[(4, "BANCARIOS")] == Decimal("22648.59")
-    assert got[(4, "SERVICIOS PUBLICOS-Agua")] == Decimal("127080.00")
-    assert got[(5, "SERVICIOS PUBLICOS-Luz")] == Decimal("7000.50")
+    assert len(got) == df.count() == 15  # seven listed categories each, and one more that a document has
+    assert got[(6, "BANCARIOS")] == Decimal("41305.27")
+    assert got[(6, "SERVICIOS PUBLICOS-Agua")] == Decimal("246175.00")
+    assert got[(6, "ASCENSORES")] == Decimal("500.00")
     assert got[(5, "SERVICIOS PUBLICOS-Agua")] == Decimal("6000.00")
-    assert {r.mes_nombre for r in df.collect()} == {"abril", "mayo"}
+    assert got[(5, "SERVICIOS PUBLICOS-Luz")] is None
+    assert {(r.anio, r.mes_nombre) for r in df.collect()} == {(2024, "junio"), (None, "mayo")}
+    assert [(r.mes, r.categoria, r.importe_texto) for r in S.rejected_costs(df).collect()] == [
+        (5, "GASTOS GENERALES", "no sabe")]
+
+
+def test_rejected_unit_numbers(spark):
+    raw = spark.createDataFrame([("1",), (" 2 ",), ("",), (None,), ("12b",)], "nroUnidadFuncional string")
+    assert [r[0] for r in S.rejected_units(raw).collect()] == ["12b"]
 
 
 def test_line_parsers_match_file_readers(spark, tmp_dir):
