@@ -181,7 +181,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2,
     found = components(links(classes.select("fp"), radius))
     label = F.coalesce("label", "fp")
     group = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", label.alias("label"))
-    least = group.groupBy("label").agg(F.min("least").alias("component_id"))
+    # written, so that the join below is plain and a large group in it can be split
+    least = materialize(group.groupBy("label").agg(F.min("least").alias("component_id")))
     component = materialize(group.join(least, "label").select("fp", "component_id"))
     return prints.join(component, "fp").select("doc", "fp", "component_id")
 

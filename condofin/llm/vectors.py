@@ -230,7 +230,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                 .join(group, F.col("key") == F.col("node"), "left")
                 .select("key", "least", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"),
                         F.coalesce("label", "key").alias("label")))
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    # written, so that the join below is plain and a large group in it can be split
+    least = materialize(labelled.groupBy("label").agg(F.min("least").alias("component_id")))
     by_key = labelled.join(least, "label").select("key", "n_links", "component_id")
     out = read.select("vec_id", "key").join(by_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
