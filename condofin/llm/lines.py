@@ -16,10 +16,15 @@ from .common import materialize, rebuild
 #: Counters of the rarity sketch: every word of the corpus is counted in one.
 #: The order it gives is the same for all lines, which is all that exactness
 #: asks of it; sharing a counter only makes a word look more frequent.
-COUNTERS = 1 << 16
+COUNTER_BITS = 20
 #: A word in more prefixes than this is a frequent one: its lines first meet
 #: only the earliest of them, and those still open then meet all.
 FREQUENT = 64
+#: Small sides are broadcast up to these numbers of rows, and joined beyond:
+#: the frequent words, and the documents with lines to verify.
+BROADCAST_WORDS = 500_000
+BROADCAST_DOCS = 50_000
+ONCE = 2  # rarity class of a counter that is 1
 THRESHOLD = (4, 5)  # Jaccard of 0.8 as a fraction
 
 _BLANK = "[\\x20\\x09\\x0B-\\x0D]+"
@@ -30,10 +35,16 @@ def _ceil(n: Column, num: int, den: int) -> Column:
     return F.floor((n * num + (den - 1)) / den).cast("int")
 
 
+def _parts(line: Column) -> Column:
+    """Words of a line (without line feeds) and empty strings between blanks.
+    Cutting at single spaces is the fast case; other blanks are rare."""
+    other = line.contains("\t") | line.contains("\r") | line.contains("\x0b") | line.contains("\x0c")
+    return F.when(other, F.split(line, _BLANK)).otherwise(F.split(line, " "))
+
+
 def line_words(line: Column) -> Column:
-    """Distinct lower-cased (A-Z) words of a line."""
-    folded = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_remove(F.array_distinct(F.split(folded, _BLANK)), "")
+    """Distinct words of a line."""
+    return F.array_remove(F.array_distinct(_parts(line)), "")
 
 
 def _ordered(docs: DataFrame) -> DataFrame:
@@ -53,47 +64,57 @@ def _repeats(rows: DataFrame) -> bool:
     return not rows.groupBy("o").count().where("count > 1").isEmpty()
 
 
-def rarity(docs: DataFrame) -> Column:
-    """Array of :data:`COUNTERS` rarity classes (twice the log of the count)."""
-    word = F.explode(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
-                             "[\\x20\\x09-\\x0D]+")).alias("word")
-    counted = (docs.select(word).select(_counter(F.xxhash64("word")).alias("k"))
-               .groupBy("k").agg((F.floor(2 * F.log2(F.count(F.lit(1)) + 1))).cast("int").alias("c")).collect())
-    classes = ["0"] * COUNTERS
-    for k, c in counted:
-        classes[k] = str(c)
-    return F.split(F.lit(",".join(classes)), ",").cast("array<int>")
+def rarity(docs: DataFrame) -> DataFrame:
+    """One row with an array of 2 ** COUNTER_BITS rarity classes, a byte each
+    (twice the log of the counts of all words, cut at spaces and line feeds):
+    of fixed size.  It is put together from chunks of 2 ** 16."""
+    word = F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")
+    counted = docs.select(word).select(_counter(F.xxhash64("word")).alias("k")).groupBy("k").agg(
+        F.floor(2 * F.log2(F.count(F.lit(1)) + 1)).cast("tinyint").alias("c"))
+    every = docs.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("k"))
+    table = every.join(counted, "k", "left").select(
+        F.shiftright("k", 16).alias("chunk"), "k", F.coalesce("c", F.lit(0).cast("tinyint")).alias("c"))
+    chunks = table.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("k", "c"))).alias("all")).select(
+        "chunk", F.transform("all", lambda x: x["c"]).alias("classes"))
+    return chunks.agg(F.sort_array(F.collect_list(F.struct("chunk", "classes"))).alias("all")).select(
+        F.flatten(F.transform("all", lambda x: x["classes"])).alias("classes"))
 
 
 def _counter(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 48).cast("int")
+    return F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")
 
 
-def _sets(lines: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
+def _sets(lines: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """One row per distinct word set: its first line ``o, tie, pos``, its size
-    ``n``, its ``prefix`` and ``parity`` (64 bits, each word flips one)."""
+    ``n``, its ``prefix`` and ``parity`` (64 bits, each word flips one).
+
+    A word's key is its rarity class above 56 bits of its hash, so that keys in
+    order are words by rarity.  The classes come as a scalar subquery."""
     def key(h):
-        rank = F.shiftleft(F.element_at(classes, _counter(h) + 1).cast("bigint"), 56)
+        rank = F.shiftleft(F.get(F.col("classes"), _counter(h)).cast("bigint"), 56)
         return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
+    hashes = F.array_remove(F.array_distinct(F.transform(_parts(F.col("line")), lambda w: F.xxhash64(w))),
+                            F.xxhash64(F.lit("")))
     n = F.size("keys")
     flip = F.aggregate("keys", F.lit(0).cast("bigint"), lambda bits, k: bits.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    sets = (lines.withColumn("keys", F.sort_array(F.transform(
-        line_words(F.col("line")), lambda w: key(F.xxhash64(w))))).where(n > 0)
+    sets = (lines.withColumn("classes", classes.scalar()).withColumn("keys", F.sort_array(F.transform(hashes, key)))
         .select(F.struct("o", "tie", "pos").alias("at"), n.alias("n"), flip.alias("parity"),
                 F.xxhash64("keys").alias("k1"), F.xxhash64(F.lit(1), F.col("keys")).alias("k2"),
                 F.slice("keys", F.lit(1), n - _ceil(n, num, den) + 1).alias("prefix"))
         .groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"),
                                  F.first("parity").alias("parity"), F.first("prefix").alias("prefix")))
-    return sets.select("at.*", "n", "parity", "prefix")
+    # filtered here, not before: a filter on the keys would compute them twice
+    return sets.where(F.col("n") > 0).select("at.*", "n", "parity", "prefix")
 
 
 def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """``doc`` (struct of the columns of ``docs``), ``n_lines``, ``n_removed``
     and ``kept`` (the text that is left), a row per document.
 
-    Lines are the parts of ``text`` between line feeds.  A line is removed if a
+    Lines are the parts of ``text`` between line feeds, words their parts
+    between blanks (0x20, 0x09-0x0D), unchanged.  A line is removed if a
     line that comes earlier in the order of (``doc_id``, place in the text),
     here or in another document, has a Jaccard similarity of their word sets of
     at least ``threshold`` (a fraction); all lines are judged on the input.
@@ -105,37 +126,41 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     num, den = threshold
     rows = _ordered(docs)
     lines = rows.select("o", "tie", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    sets = materialize(_sets(lines, rarity(docs), num, den))
+    sets = materialize(_sets(lines, materialize(rarity(docs)), num, den))
     texts = rows.select("o", "tie", "text").distinct() if _repeats(rows) else rows.select("o", "tie", "text")
+    # fewer than num words: only equal sets are similar; a counter of 1: no other line has the word
     postings = (sets.where(F.col("n") > F.lit(num - 1))
-                .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity"))
+                .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity")
+                .where(F.shiftrightunsigned("word", 56) > ONCE))
     counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
     frequent = materialize(counts.where(F.col("lines") > FREQUENT).select("word"))
+    if frequent.count() <= BROADCAST_WORDS:
+        frequent = F.broadcast(frequent)
     crowded = materialize(postings.join(frequent, "word"))
     heads = (crowded.groupBy("word").agg(F.min(F.struct("o", "tie", "pos", "n", "i", "parity")).alias("head"))
              .select("word", "head.*"))
     matched = materialize(_verified(materialize(_candidates(crowded, heads, num, den)), texts, num, den))
     rest = crowded.join(matched, ["o", "tie", "pos"], "left_anti")
     scarce = postings.join(frequent, "word", "left_anti")
-    pairs = materialize(_candidates(scarce, scarce, num, den).union(_candidates(rest, crowded, num, den)).distinct())
-    matched = matched.union(_verified(pairs, texts, num, den)).distinct()
+    # no word is in more than FREQUENT of these, so a hash table's keys stay small
+    pairs = materialize(_candidates(scarce, scarce.hint("shuffle_hash"), num, den).union(_candidates(rest, crowded, num, den)).distinct())
+    matched = materialize(matched.union(_verified(pairs, texts, num, den)).distinct())
     kept = (sets.select("o", "tie", "pos").join(matched, ["o", "tie", "pos"], "left_anti")
             .groupBy("o", "tie").agg(F.collect_list("pos").alias("kept_at")))
-    parts = F.split("text", "\n")
-    stay = F.filter(parts, lambda line, i: F.array_contains(F.col("kept_at"), i) | (F.size(line_words(line)) == 0))
-    return (rows.drop("text").join(kept, ["o", "tie"], "left")
-            .withColumn("text", F.col("doc.text"))
-            .withColumn("kept_at", F.coalesce("kept_at", F.array().cast("array<int>")))
-            .withColumn("stay", stay)
-            .select("doc", F.coalesce(F.when(F.col("text").isNotNull(), F.size(parts)), F.lit(0)).cast("bigint").alias("n_lines"),
-                    F.coalesce(F.when(F.col("text").isNotNull(), F.size(parts) - F.size("stay")), F.lit(0))
-                    .cast("bigint").alias("n_removed"),
-                    F.array_join("stay", "\n").alias("kept")))
+    stay = F.filter("parts", lambda line, i: F.array_contains(F.col("kept_at"), i) | (F.size(line_words(line)) == 0))
+    judged = (rows.select("doc", "o", "tie").join(kept.hint("shuffle_hash"), ["o", "tie"], "left")
+              .withColumn("kept_at", F.coalesce("kept_at", F.array().cast("array<int>")))
+              .withColumn("parts", F.split("doc.text", "\n"))
+              .select("doc", F.size("parts").alias("n"), stay.alias("stay")))
+    told = F.col("stay").isNotNull()
+    return judged.select("doc", F.when(told, F.col("n")).otherwise(0).cast("bigint").alias("n_lines"),
+                         F.when(told, F.col("n") - F.size("stay")).otherwise(0).cast("bigint").alias("n_removed"),
+                         F.array_join("stay", "\n").alias("kept"))
 
 
 def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs ``x`` (of ``later``), ``y`` (of ``earlier``) of lines, ``y`` the
-    earlier one, that share a prefix word and pass the length filter, the
+    """Pairs ``x`` (of ``later``), ``y`` (of ``earlier``) of lines and the sum
+    ``n`` of their words, ``y`` the earlier one, that share a prefix word and pass the length filter, the
     positional filter and the parity filter: the bits in which two parities
     differ are at most the words that only one of the sets has."""
     a, b = later.alias("a"), earlier.alias("b")
@@ -144,27 +169,30 @@ def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> Dat
     before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
     room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
     apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-    return (a.join(b, (F.col("a.word") == F.col("b.word")) & before
+    return (a.join(b, (F.col("a.word") == F.col("b.word"))
                    & (nx * den >= ny * num) & (ny * den >= nx * num) & (room >= overlap)
-                   & (apart <= nx + ny - 2 * overlap))
-            .select(F.struct("a.o", "a.tie", "a.pos").alias("x"), F.struct("b.o", "b.tie", "b.pos").alias("y"))
+                   & (apart <= nx + ny - 2 * overlap) & before)
+            .select(F.struct("a.o", "a.tie", "a.pos").alias("x"), F.struct("b.o", "b.tie", "b.pos").alias("y"),
+                    (nx + ny).alias("n"))
             .distinct())
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
     """The later lines of pairs whose words are similar enough."""
     ends = pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct()
-    wanted = ends.groupBy("at.o", "at.tie").agg(F.collect_list("at.pos").alias("wanted"))
+    wanted = materialize(ends.groupBy("at.o", "at.tie").agg(F.collect_list("at.pos").alias("wanted")))
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_DOCS else wanted.hint("shuffle_hash")
     sets = (texts.join(wanted, ["o", "tie"])
             .select("o", "tie", F.split("text", "\n").alias("parts"), "wanted")
             .select("o", "tie", F.explode(F.transform("wanted", lambda p: F.struct(
                 p.alias("pos"), F.element_at("parts", p + 1).alias("line")))).alias("of"))
-            .select(F.struct("o", "tie", "of.pos").alias("at"), line_words(F.col("of.line")).alias("words")))
-    x = sets.select(F.col("at").alias("x"), F.col("words").alias("wx"))
-    y = sets.select(F.col("at").alias("y"), F.col("words").alias("wy"))
-    both = F.size(F.array_intersect("wx", "wy"))
-    return (pairs.join(x, "x").join(y, "y")
-            .where(both * den >= (F.size("wx") + F.size("wy") - both) * num)
+            .select(F.struct("o", "tie", "of.pos").alias("at"), "of.line"))
+    # lines travel as text, which is a third of their words as an array
+    x = sets.select(F.col("at").alias("x"), F.col("line").alias("x_line"))
+    y = sets.select(F.col("at").alias("y"), F.col("line").alias("y_line"))
+    # both / (n - both) >= num / den, in a form that names the costly part once
+    both = F.size(F.array_remove(F.array_intersect(_parts(F.col("x_line")), _parts(F.col("y_line"))), ""))
+    return (pairs.join(x, "x").join(y, "y").where(both * (num + den) >= F.col("n") * num)
             .select("x.*").distinct())
 
 

@@ -182,8 +182,7 @@ FROM v JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id
     "op5_line_dedup": rf"""
 WITH ln AS (
   SELECT doc_id, i, l[i] AS line,
-         list_distinct(regexp_extract_all(translate(l[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                          '[^\x20\x09-\x0D]+')) AS w
+         list_distinct(regexp_extract_all(l[i], '[^\x20\x09-\x0D]+')) AS w
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
        LATERAL (SELECT unnest(generate_series(1, len(l))) AS i)
 ), one AS (

@@ -1,0 +1,72 @@
+import random
+
+from condofin.llm import simhash as H
+from condofin.llm.graph import components
+
+from .brute import fingerprint, groups, random_texts, simhash_components
+
+
+def found(docs):
+    rows = H.near_duplicates(docs, keep=["doc_id", "text"]).collect()
+    return sorted(((r["doc"]["doc_id"], r["doc"]["text"], r["fp"] % (1 << 64), r["component_id"]) for r in rows), key=repr)
+
+
+def test_fingerprint(monkeypatch):
+    monkeypatch.setattr(H, "CHUNK", 7)
+    for t in [*random_texts(40, 5), "", "a", "a b", "A  b\tC", "ÀB çD ñ"]:
+        assert H.fingerprint(t.encode()) == fingerprint(t)
+    assert H.fingerprint(None) == 0
+
+
+def test_against_brute_force(make_docs):
+    texts = random_texts(120, 7, longest=300)
+    docs = [(300 - i, t) for i, t in enumerate(texts)]
+    assert found(make_docs(docs)) == sorted(((i, t, *w) for (i, t), w in zip(docs, simhash_components(docs))), key=repr)
+
+
+def test_edges(make_docs, edges):
+    assert found(make_docs(edges, extra=True)) == sorted(
+        ((i, t, *w) for (i, t), w in zip(edges, simhash_components(edges))), key=repr)
+    assert H.near_duplicates(make_docs([])).count() == 0
+    out = H.near_duplicates(make_docs([(None, "x"), (None, "x")])).collect()
+    assert [r["component_id"] for r in out] == [None, None]
+
+
+def test_links_join_all_near_fingerprints(spark, monkeypatch):
+    """Planted chains and a dense ball, in tiles smaller than their cells."""
+    monkeypatch.setattr(H, "TILE", 8)
+    rng = random.Random(3)
+    base = rng.getrandbits(64)
+    fps = {base}
+    for a in range(64):
+        fps.add(base ^ (1 << a) ^ (1 << rng.randrange(64)))
+    chain = rng.getrandbits(64)
+    for _ in range(40):
+        chain ^= (1 << rng.randrange(64)) | (1 << rng.randrange(64))
+        fps.add(chain)
+    fps |= {rng.getrandbits(64) for _ in range(200)} | {0, (1 << 64) - 1, 1, 1 << 63}
+    fps = sorted(H._signed(f) for f in fps)
+    edges = H.links(spark.createDataFrame([(f,) for f in fps], "fp bigint"))
+    assert all(bin((r["a"] ^ r["b"]) % (1 << 64)).count("1") <= 2 for r in edges.collect())
+    label = {r["node"]: r["label"] for r in components(edges).collect()}
+    comp = groups(len(fps), lambda i, j: bin((fps[i] ^ fps[j]) % (1 << 64)).count("1") <= 2)
+    assert [label.get(f, f) for f in fps] == [fps[c] for c in comp]
+
+
+def test_keep_one_row_per_group(make_docs, edges):
+    docs = make_docs(edges, extra=True)
+    out = H.keep_one(docs)
+    assert out.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    want = {c for _, c in simhash_components(edges)}
+    assert len(kept) == len({simhash_components(edges)[i][1] for i in range(len(edges))})
+    assert {k[0] for k in kept} == want
+    assert H.keep_one(make_docs([])).count() == 0
+
+
+def test_components(spark):
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 150)] + [(7, 7), (None, 3), (200, 199)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    want = {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 150)}, 199: 199, 200: 199}
+    assert got == want
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
