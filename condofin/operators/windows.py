@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_table
+
 _SUFFIX = "__cf"
 
 
@@ -22,13 +24,11 @@ def materialize(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir`` (a shared file
     system on a cluster), so the data survive the loss of an executor;
     Parquet keeps them columnar and compressed, which matters when the table
-    is payment-sized.
+    is payment-sized.  ``session.remove_scratch`` deletes them when the job is
+    done.
     """
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/condofin-tables/{uuid.uuid4().hex}"
+    path = scratch_table(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -88,3 +89,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="condofin-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+SCRATCH = "condofin-tables"
+
+
+def scratch_table(spark: SparkSession) -> str:
+    """A new path for an intermediate table in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables that this application has written.
+
+    For the end of a job: DataFrames that still read them cannot be computed
+    again afterwards."""
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")
+    return base.getFileSystem(spark._jsc.hadoopConfiguration()).delete(base, True)

@@ -165,6 +165,26 @@ def test_charge_aggregate_sits_above_a_semi_join(spark):
         assert at and "LeftSemi" in "".join(plan[at[0] + 1:at[0] + 4])
 
 
+def test_scratch_tables_are_removed(spark):
+    """A session of its own, as the folder belongs to the application."""
+    import subprocess
+    import sys
+    code = """
+import os, sys
+sys.path.insert(0, {root!r})
+from condofin.session import SCRATCH, build_session, ensure_checkpoint_dir, remove_scratch
+from condofin.operators.windows import materialize
+spark = build_session(master="local[1]")
+assert materialize(spark.range(5)).count() == 5
+folder = ensure_checkpoint_dir(spark).removeprefix("file:") + "/" + SCRATCH
+assert os.listdir(folder)
+assert remove_scratch(spark) and not os.path.exists(folder)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", code.format(root=root)], capture_output=True, text=True, timeout=200)
+    assert run.returncode == 0, run.stderr[-1500:]
+
+
 def test_xml_reports_are_documents(spark):
     import xml.etree.ElementTree as ET
     t = make_tables(spark, consorcio=[(b, f"B{b}", "c", 1, None, False) for b in (1, 2)],
