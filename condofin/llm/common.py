@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_table
 
 __all__ = ["materialize", "read_table", "map_texts", "words", "plain_words", "comma_digest",
            "word_column", "WORD", "PLAIN_WORD", "text_bytes", "rebuild", "in_slices"]
@@ -29,6 +28,8 @@ _FOLD = bytes(c if c >= 0x80 or c in _LETTERS_DIGITS else c + 32 if 65 <= c <= 9
 SLICE_ROWS = 256
 
 
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+          "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -37,7 +38,7 @@ def materialize(df: DataFrame) -> DataFrame:
     back: lineage ends there, a lost executor costs nothing that is written,
     and the shuffle files that the job needed are given back at its end."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = scratch_table(spark)
     before = spark.conf.get(_CLEAN_UP)
     spark.conf.set(_CLEAN_UP, "true")
     try:
@@ -89,8 +90,11 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[bytes | None], tuple
     name.
     """
     own = T._parse_datatype_string(fields)
-    packed = docs.select(F.struct(*(keep or ["*"])).alias("doc"), F.col(column).cast("binary").alias("text"))
+    inside = keep is None or column in keep  # then the text travels once, in the struct
+    own_text = [] if inside else [F.col(column).cast("binary").alias("text")]
+    packed = docs.select(F.struct(*(keep or ["*"])).alias("doc"), *own_text)
     schema = T.StructType([packed.schema["doc"], *own.fields])
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -98,7 +102,8 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[bytes | None], tuple
         of_text = make()
         for batch in batches:
             for part in in_slices(batch):
-                got = [of_text(x.as_py()) for x in part.column(1)]
+                texts = part.column(0).field(column).cast(pa.binary()) if inside else part.column(1)
+                got = [of_text(x.as_py()) for x in texts]
                 cols = [pa.array([g[i] for g in got], type=f.type) for i, f in enumerate(arrow)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols],
                                                  names=["doc", *arrow.names])
@@ -106,6 +111,14 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[bytes | None], tuple
     return packed.mapInArrow(run, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session hand Python workers smaller Arrow batches than by
+    default (10,000 rows), so that long rows don't fill a worker's memory.
+    Results don't depend on it."""
+    for key, most in _BATCH.items():
+        spark.conf.set(key, most)
+
+
 def rebuild(columns: list[str], **changed: Column) -> list[Column]:
     """The columns of ``doc`` under their own names, some of them replaced."""
     return [changed[c].alias(c) if c in changed else F.col("doc").getField(c).alias(c)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, label`` for every node of ``edges``; ``label`` is the smallest
@@ -18,6 +20,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     never gathered in one task; joining it back is a plain equi-join that
     adaptive execution splits.  Each round ends with a reliable ``checkpoint``.
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     small, large = F.least(a, b), F.greatest(a, b)
     cur = (edges.where(F.col(a) != F.col(b)).select(large.alias("u"), small.alias("v"))
            .distinct().checkpoint())

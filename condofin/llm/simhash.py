@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialize
+from .common import bound_batches, map_texts, materialize
 from .graph import components
 
 #: Fingerprints in a tile at most; a larger cell is dealt over several tiles.
@@ -144,6 +144,7 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     the pairs.
     """
     spark = distinct.sparkSession
+    bound_batches(spark)
     q = _quarters(F.col("fp"))
     base = 17 + 2 * radius  # room for neighbours outside 0..16
     weights = [base ** k for k in (3, 2, 1, 0)]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bound_batches, materialize
 from .graph import components
 
 THRESHOLD = 0.9
@@ -204,6 +204,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     table gives no rows.  The result is exact whatever the centroids are.
     """
     spark = embeddings.sparkSession
+    bound_batches(spark)
     read = materialize(embeddings.select("vec_id", "embedding").mapInArrow(
         _read, "vec_id bigint, key binary, dims int, unit binary"))
     valid = read.where(F.col("key").isNotNull())
