@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import functions as F
-
 from condofin.model import CONCEPTS, EXTRAORDINARIO, MORA, ORDINARIO
 from condofin.operators.concepts import concept_totals, split_payment
 from condofin.params import ReportParams
