@@ -8,18 +8,25 @@ and a line goes when an earlier line is as similar as the threshold.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, rebuild
+from .common import materialize, rebuild, text_bytes
 
 #: Counters of the rarity sketch: every word of the corpus is counted in one.
 #: The order it gives is the same for all lines, which is all that exactness
 #: asks of it; sharing a counter only makes a word look more frequent.
-COUNTER_BITS = 20
-#: A word in more prefixes than this is a frequent one: its lines first meet
-#: only the earliest of them, and those still open then meet all.
-FREQUENT = 64
+#: There is about one for each COUNTER_BYTES of text, so that the order is as
+#: fine for a large corpus as for a small one; 2 ** MOST_BITS bytes at most.
+COUNTER_BYTES = 80
+LEAST_BITS, MOST_BITS = 16, 24
+#: A word in the prefixes of more than one in FREQUENT_SHARE of all distinct
+#: lines (of at least and at most so many) is a frequent one: its lines first
+#: meet only the earliest of them, and those still open then meet all.
+FREQUENT_SHARE = 5_000
+FREQUENT_LEAST, FREQUENT_MOST = 64, 4096
 #: Small sides are broadcast up to these numbers of rows, and joined beyond:
 #: the frequent words, and the documents with lines to verify.
 BROADCAST_WORDS = 500_000
@@ -64,14 +71,23 @@ def _repeats(rows: DataFrame) -> bool:
     return not rows.groupBy("o").count().where("count > 1").isEmpty()
 
 
-def rarity(docs: DataFrame) -> DataFrame:
-    """One row with an array of 2 ** COUNTER_BITS rarity classes, a byte each
-    (twice the log of the counts of all words, cut at spaces and line feeds):
-    of fixed size.  It is put together from chunks of 2 ** 16."""
-    word = F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")
-    counted = docs.select(word).select(_counter(F.xxhash64("word")).alias("k")).groupBy("k").agg(
+def counter_bits(docs: DataFrame) -> int:
+    """Size of the rarity sketch, as a power of two."""
+    return min(MOST_BITS, max(LEAST_BITS, round(math.log2(1 + text_bytes(docs) / COUNTER_BYTES))))
+
+
+def rarity(docs: DataFrame, bits: int) -> DataFrame:
+    """One row with an array of 2 ** ``bits`` rarity classes, a byte each
+    (twice the log of the counts of all words): of fixed size.  It is put
+    together from chunks of 2 ** 16.  The words are those of the lines: a word
+    whose counter is 1 stands in one line only."""
+    text = F.col("text")
+    for blank in "\n\t\r\x0b\x0c":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    word = F.explode(F.split(text, " ")).alias("word")
+    counted = docs.select(word).select(_counter(F.xxhash64("word"), bits).alias("k")).groupBy("k").agg(
         F.floor(2 * F.log2(F.count(F.lit(1)) + 1)).cast("tinyint").alias("c"))
-    every = docs.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("k"))
+    every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("k"))
     table = every.join(counted, "k", "left").select(
         F.shiftright("k", 16).alias("chunk"), "k", F.coalesce("c", F.lit(0).cast("tinyint")).alias("c"))
     chunks = table.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("k", "c"))).alias("all")).select(
@@ -80,18 +96,18 @@ def rarity(docs: DataFrame) -> DataFrame:
         F.flatten(F.transform("all", lambda x: x["classes"])).alias("classes"))
 
 
-def _counter(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")
+def _counter(h: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(h, 64 - bits).cast("int")
 
 
-def _sets(lines: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def _sets(lines: DataFrame, classes: DataFrame, bits: int, num: int, den: int) -> DataFrame:
     """One row per distinct word set: its first line ``o, tie, pos``, its size
     ``n``, its ``prefix`` and ``parity`` (64 bits, each word flips one).
 
     A word's key is its rarity class above 56 bits of its hash, so that keys in
     order are words by rarity.  The classes come as a scalar subquery."""
     def key(h):
-        rank = F.shiftleft(F.get(F.col("classes"), _counter(h)).cast("bigint"), 56)
+        rank = F.shiftleft(F.get(F.col("classes"), _counter(h, bits)).cast("bigint"), 56)
         return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
     hashes = F.array_remove(F.array_distinct(F.transform(_parts(F.col("line")), lambda w: F.xxhash64(w))),
@@ -126,14 +142,16 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     num, den = threshold
     rows = _ordered(docs)
     lines = rows.select("o", "tie", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    sets = materialize(_sets(lines, materialize(rarity(docs)), num, den))
+    bits = counter_bits(docs)
+    sets = materialize(_sets(lines, materialize(rarity(docs, bits)), bits, num, den))
     texts = rows.select("o", "tie", "text").distinct() if _repeats(rows) else rows.select("o", "tie", "text")
     # fewer than num words: only equal sets are similar; a counter of 1: no other line has the word
     postings = (sets.where(F.col("n") > F.lit(num - 1))
                 .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity")
                 .where(F.shiftrightunsigned("word", 56) > ONCE))
     counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
-    frequent = materialize(counts.where(F.col("lines") > FREQUENT).select("word"))
+    limit = min(FREQUENT_MOST, max(FREQUENT_LEAST, sets.count() // FREQUENT_SHARE))
+    frequent = materialize(counts.where(F.col("lines") > limit).select("word"))
     if frequent.count() <= BROADCAST_WORDS:
         frequent = F.broadcast(frequent)
     crowded = materialize(postings.join(frequent, "word"))
@@ -142,7 +160,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     matched = materialize(_verified(materialize(_candidates(crowded, heads, num, den)), texts, num, den))
     rest = crowded.join(matched, ["o", "tie", "pos"], "left_anti")
     scarce = postings.join(frequent, "word", "left_anti")
-    # no word is in more than FREQUENT of these, so a hash table's keys stay small
+    # no word is in more than FREQUENT_MOST of these, so a hash table's keys stay small
     pairs = materialize(_candidates(scarce, scarce.hint("shuffle_hash"), num, den).union(_candidates(rest, crowded, num, den)).distinct())
     matched = materialize(matched.union(_verified(pairs, texts, num, den)).distinct())
     kept = (sets.select("o", "tie", "pos").join(matched, ["o", "tie", "pos"], "left_anti")

@@ -33,13 +33,24 @@ def test_against_brute_force(make_docs):
 
 
 def test_frequent_words_take_the_other_way(make_docs, monkeypatch):
-    monkeypatch.setattr(L, "FREQUENT", 2)
+    monkeypatch.setattr(L, "FREQUENT_LEAST", 2)
     docs = list(enumerate(texts(80, 2)))
     assert found(make_docs(docs)) == line_dedup(docs)
     docs = list(enumerate(random_texts(40, 3, longest=200)))
     assert found(make_docs(docs)) == line_dedup(docs)
 
 
+def test_blanks_of_all_kinds_separate_words(make_docs):
+    """Words that only two lines have, one of them cut at other blanks."""
+    docs = []
+    for i in range(40):
+        words = [f"only{i}x{k}" for k in range(9)]
+        sep = "\t\r\x0b\x0c "[i % 5]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, sep.join([*words, "more"]) + sep)]
+    got = found(make_docs(docs))
+    assert got == line_dedup(docs) and sum(r[1] for r in got.values()) == 40
+
+
 def test_edges(make_docs, edges):
     single = [e for e in edges if e[0] is not None and e[0] != 8] + [(None, "one two three four")]
     assert found(make_docs(single, extra=True)) == line_dedup(single)
