@@ -102,7 +102,7 @@ def _counter(h: Column, bits: int) -> Column:
 
 def _sets(lines: DataFrame, classes: DataFrame, bits: int, num: int, den: int) -> DataFrame:
     """One row per distinct word set: its first line ``o, tie, pos``, its size
-    ``n``, its ``prefix`` and ``parity`` (64 bits, each word flips one).
+    ``n``, its ``prefix`` and ``parity, parity2`` (128 bits, each word flips one).
 
     A word's key is its rarity class above 56 bits of its hash, so that keys in
     order are words by rarity.  The classes come as a scalar subquery."""
@@ -113,16 +113,24 @@ def _sets(lines: DataFrame, classes: DataFrame, bits: int, num: int, den: int) -
     hashes = F.array_remove(F.array_distinct(F.transform(_parts(F.col("line")), lambda w: F.xxhash64(w))),
                             F.xxhash64(F.lit("")))
     n = F.size("keys")
-    flip = F.aggregate("keys", F.lit(0).cast("bigint"), lambda bits, k: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def flips(half):
+        """Parity of the words whose bit lies in this half of the 128."""
+        def flip(bits, k):
+            own = F.shiftright(k, 6).bitwiseAND(F.lit(1))
+            return bits.bitwiseXOR(F.call_function("shiftleft", own if half else 1 - own,
+                                                   k.bitwiseAND(F.lit(63)).cast("int")))
+        return F.aggregate("keys", F.lit(0).cast("bigint"), flip)
+
     sets = (lines.withColumn("classes", classes.scalar()).withColumn("keys", F.sort_array(F.transform(hashes, key)))
-        .select(F.struct("o", "tie", "pos").alias("at"), n.alias("n"), flip.alias("parity"),
+        .select(F.struct("o", "tie", "pos").alias("at"), n.alias("n"), flips(0).alias("parity"), flips(1).alias("parity2"),
                 F.xxhash64("keys").alias("k1"), F.xxhash64(F.lit(1), F.col("keys")).alias("k2"),
                 F.slice("keys", F.lit(1), n - _ceil(n, num, den) + 1).alias("prefix"))
         .groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"),
-                                 F.first("parity").alias("parity"), F.first("prefix").alias("prefix")))
+                                 F.first("parity").alias("parity"),
+                                 F.first("parity2").alias("parity2"), F.first("prefix").alias("prefix")))
     # filtered here, not before: a filter on the keys would compute them twice
-    return sets.where(F.col("n") > 0).select("at.*", "n", "parity", "prefix")
+    return sets.where(F.col("n") > 0).select("at.*", "n", "parity", "parity2", "prefix")
 
 
 def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -147,7 +155,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     texts = rows.select("o", "tie", "text").distinct() if _repeats(rows) else rows.select("o", "tie", "text")
     # fewer than num words: only equal sets are similar; a counter of 1: no other line has the word
     postings = (sets.where(F.col("n") > F.lit(num - 1))
-                .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity")
+                .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2")
                 .where(F.shiftrightunsigned("word", 56) > ONCE))
     counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
     limit = min(FREQUENT_MOST, max(FREQUENT_LEAST, sets.count() // FREQUENT_SHARE))
@@ -155,7 +163,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     if frequent.count() <= BROADCAST_WORDS:
         frequent = F.broadcast(frequent)
     crowded = materialize(postings.join(frequent, "word"))
-    heads = (crowded.groupBy("word").agg(F.min(F.struct("o", "tie", "pos", "n", "i", "parity")).alias("head"))
+    heads = (crowded.groupBy("word").agg(F.min(F.struct("o", "tie", "pos", "n", "i", "parity", "parity2")).alias("head"))
              .select("word", "head.*"))
     matched = materialize(_verified(materialize(_candidates(crowded, heads, num, den)), texts, num, den))
     rest = crowded.join(matched, ["o", "tie", "pos"], "left_anti")
@@ -186,7 +194,8 @@ def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> Dat
     overlap = _ceil(nx + ny, num, num + den)
     before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
     room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
-    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    apart = (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+             + F.bit_count(F.col("a.parity2").bitwiseXOR(F.col("b.parity2"))))
     return (a.join(b, (F.col("a.word") == F.col("b.word"))
                    & (nx * den >= ny * num) & (ny * den >= nx * num) & (room >= overlap)
                    & (apart <= nx + ny - 2 * overlap) & before)
