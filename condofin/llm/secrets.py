@@ -2,7 +2,8 @@
 
 Random strings cost a tokenizer many tokens: where a run of letters, digits
 and a few signs has few characters per token under a public vocabulary, it is
-reported, unless it is a digest or an identifier of a known shape.
+reported, unless it is a digest, a UUID, dates, or words joined by signs that
+have enough characters per token without the signs.
 """
 
 from __future__ import annotations
@@ -31,11 +32,10 @@ RATIO = 2.2
 
 # Shapes of digests (hexadecimal, by length) and identifiers.
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
+_DATE = r"(?:\d{4}[-/_](?:0[1-9]|1[0-2])[-/_](?:0[1-9]|[12]\d|3[01])(?:[T_-]\d\d(?:[-_]?\d\d){0,2}(?:[-_]?\d{1,9})?Z?)?)"
 IDENTIFIERS = (
     r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
-    r"[0-9+/_=-]+",
-    r"[A-Za-z+/_=-]+",
-    r"\d{4}-\d\d-\d\dT\d+Z?",
+    rf"{_DATE}(?:[+/_=-]{{1,2}}{_DATE})*",
 )
 
 FIELDS = "spans array<struct<kind: string, start: int, end: int>>"
@@ -46,6 +46,7 @@ _HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST["hex"])
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % RUN)
 _KNOWN = re.compile("|".join([*(r"(?:[0-9A-Fa-f]{%d})" % n for n in DIGEST_LENGTHS),
                               *(f"(?:{x})" for x in IDENTIFIERS)]))
+_SIGNS, _CASED = re.compile(r"[+/_=-]+"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PARTS = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+"
 
 
@@ -69,14 +70,26 @@ def _encoding(vocabulary: bytes):
     return tiktoken.Encoding("scan", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
 
 
+def _efficient(parts: list[str], encoding) -> bool:
+    return sum(map(len, parts)) >= RATIO * sum(len(encoding.encode_ordinary(p)) for p in parts)
+
+
+def _joined_words(run: str, encoding) -> bool:
+    """Parts between signs, each in one case, that have enough characters per
+    token without the signs (which cost a token each in names and paths)."""
+    parts = [p for p in _SIGNS.split(run) if p]
+    return len(parts) > 1 and all(map(_CASED.fullmatch, parts)) and _efficient([p.lower() for p in parts], encoding)
+
+
 def random_spans(text: str, encoding) -> list[tuple[str, int, int]]:
-    """Runs with few characters per token that are no known digest or identifier."""
+    """Runs with few characters per token that are no known digest or
+    identifier, whether or not they have letters or digits."""
     out = []
     for m in _RUN.finditer(text):
         run = m.group()
         if _KNOWN.fullmatch(run):
             continue
-        if len(run) < RATIO * len(encoding.encode_ordinary(run)):
+        if not _efficient([run], encoding) and not _joined_words(run, encoding):
             out.append(("random", m.start(), m.end()))
     return out
 

@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 import pytest
 
@@ -99,6 +101,28 @@ def test_token_efficiency():
         assert S.random_spans(t, enc) == []
 
 
+def test_token_efficiency_without_digits_or_letters():
+    """Runs without a digit, or without a letter, are judged by their tokens too."""
+    with open(S.VOCABULARY, "rb") as f:
+        enc = S._encoding(f.read())
+    rng = random.Random(11)
+    for letters in (string.ascii_letters, string.ascii_letters + "+/_=-", string.ascii_letters + string.digits):
+        for n in (20, 32, 40):
+            for _ in range(100):
+                s = "".join(rng.choice(letters) for _ in range(n))
+                assert S.random_spans(f"is {s} so", enc) == [("random", 3, 3 + n)], s
+    lower = ["".join(rng.choice(string.ascii_lowercase) for _ in range(24)) for _ in range(200)]
+    lower += ["-".join(x[i:i + 6] for i in range(0, 24, 6)) for x in lower]
+    assert sum(len(S.random_spans(s, enc)) for s in lower) >= 0.95 * len(lower)
+    digits = ["".join(rng.choice(string.digits) for _ in range(20)) for _ in range(300)]
+    bad = [d for d in digits if 20 < S.RATIO * len(enc.encode_ordinary(d))]
+    assert bad and [d for d in digits if S.random_spans(d, enc)] == bad
+    for s in ("get_user_by_id_or_name", "THIS_IS_AN_ENV_VARIABLE", "src/main/java/org/io/util/ab", "-" * 30, "=" * 77,
+              "2024-01-01/2024-02-01", "2024-01-01_12-30-45_2024", "DatabaseConnectionFactoryBean",
+              "123e4567-e89b-12d3-a456-426614174000"):
+        assert S.random_spans(s, enc) == [], s
+
+
 def test_secret_edges(spark, make_docs, edges):
     docs = make_docs(edges + [(20, t) for t in SECRET_TEXTS], extra=True)
     rows = S.scan_secrets(docs).collect()
