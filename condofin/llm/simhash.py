@@ -165,6 +165,19 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
             .mapInArrow(_compare(radius), "a bigint, b bigint"))
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, keep: list[str] | None) -> DataFrame:
+    """Rows of :func:`near_duplicates` with ``label``, the smallest fingerprint of their group."""
+    prints = materialize(fingerprints(docs, shingle, keep))
+    classes = materialize(prints.groupBy("fp").agg(F.min(F.col("doc").getField("doc_id")).alias("least")))
+    found = components(links(classes.select("fp"), radius))
+    label = F.coalesce("label", "fp")
+    group = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", label.alias("label"))
+    # written, so that the join below is plain and a large group in it can be split
+    least = materialize(group.groupBy("label").agg(F.min("least").alias("component_id")))
+    component = materialize(group.join(least, "label").select("fp", "label", "component_id"))
+    return prints.join(component, "fp").select("doc", "fp", "label", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2,
                     keep: list[str] | None = None) -> DataFrame:
     """``doc`` (struct of the columns ``keep``, which have ``doc_id``, else of all), ``fp`` and
@@ -177,29 +190,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2,
     unless a whole group has none (then ``component_id`` is null); an empty
     table gives no rows.
     """
-    prints = materialize(fingerprints(docs, shingle, keep))
-    classes = materialize(prints.groupBy("fp").agg(F.min(F.col("doc").getField("doc_id")).alias("least")))
-    found = components(links(classes.select("fp"), radius))
-    label = F.coalesce("label", "fp")
-    group = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", label.alias("label"))
-    # written, so that the join below is plain and a large group in it can be split
-    least = materialize(group.groupBy("label").agg(F.min("least").alias("component_id")))
-    component = materialize(group.join(least, "label").select("fp", "component_id"))
-    return prints.join(component, "fp").select("doc", "fp", "component_id")
+    return _grouped(docs, shingle, radius, keep).select("doc", "fp", "component_id")
+
+
+def _row_hash(docs: DataFrame):
+    """Of all columns as text; nulls count, so that a value in another column is another row."""
+    return F.xxhash64(*[x for c in docs.columns for x in (F.col(c).isNull(), F.col(c).cast("string"))])
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest
-    ``doc_id`` (of repeated rows, the least by all columns as text)."""
-    ids = docs.select("doc_id", F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]).alias("row"),
-                      "text")
-    found = near_duplicates(ids, shingle, radius, ["doc_id", "row"]).select("doc.*", "component_id")
-    first = (found.groupBy("component_id")
-             .agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")),
-                               F.struct("doc_id", "row"))).alias("keep"))
+    """``docs`` with one document of each group of fingerprints: the one with
+    the smallest ``doc_id``, null ids last (of rows that share it, the least by
+    a hash of all columns).  Groups are told apart by their fingerprints, so
+    those without any id, or with an id that another group has too, keep one
+    document each."""
+    ids = docs.select("doc_id", _row_hash(docs).alias("row"), "text")
+    found = _grouped(ids, shingle, radius, ["doc_id", "row"]).select("doc.*", "label")
+    first = (found.groupBy("label")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("keep"))
              .select(F.col("keep.doc_id").alias("kept_id"), F.col("keep.row").alias("kept_row")))
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("kept_id"),
-                       F.xxhash64(*[F.col(c).cast("string") for c in docs.columns]).alias("kept_row"))
+                       _row_hash(docs).alias("kept_row"))
     kept = rows.join(first, rows["kept_id"].eqNullSafe(first["kept_id"])
                      & (rows["kept_row"] == first["kept_row"]), "left_semi")
     if not found.groupBy("doc_id", "row").count().where("count > 1").isEmpty():

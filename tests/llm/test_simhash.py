@@ -64,6 +64,28 @@ def test_keep_one_row_per_group(make_docs, edges):
     assert H.keep_one(make_docs([])).count() == 0
 
 
+def test_keep_one_per_group_of_fingerprints(make_docs, edges):
+    """Groups without ids, and groups that share an id, keep a document each."""
+    rng = random.Random(9)
+    texts = [" ".join("u%d" % rng.randrange(10 ** 6) for _ in range(40)) for _ in range(30)]
+    docs = [(None, t) for t in texts[:20]] + [(None, t) for t in texts[:5]] + [(5, t) for t in texts[20:]]
+    docs += [(7, texts[0]), (6, texts[0].upper()), (None, None), (None, ""), (None, "en"), *edges]
+    fps = [fingerprint(t) for _, t in docs]
+    comp = groups(len(fps), lambda i, j: bin(fps[i] ^ fps[j]).count("1") <= 2)
+    kept = [(r["doc_id"], r["text"]) for r in H.keep_one(make_docs(docs, extra=True)).collect()]
+    label = dict(zip(fps, comp))
+    assert sorted(label[fingerprint(t)] for _, t in kept) == sorted(set(comp))
+    for i, t in kept:
+        ids = [j for (j, _), c in zip(docs, comp) if c == label[fingerprint(t)] and j is not None]
+        assert i == min(ids, default=None)
+
+
+def test_keep_one_tells_nulls_in_other_columns_apart(spark):
+    rows = [(None, None, "en"), (None, "en", None)]
+    out = H.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(rows, key=repr)
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 150)] + [(7, 7), (None, 3), (200, 199)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
