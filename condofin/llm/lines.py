@@ -141,20 +141,22 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     between blanks (0x20, 0x09-0x0D), unchanged.  A line is removed if a
     line that comes earlier in the order of (``doc_id``, place in the text),
     here or in another document, has a Jaccard similarity of their word sets of
-    at least ``threshold`` (a fraction); all lines are judged on the input.
+    at least ``threshold`` (a fraction above 0, reduced or not); all lines are judged on the input.
     Lines without words stay.  Null texts have no lines and stay null; null ids
     come first; rows that share an id are ordered by a hash of the row, and
     the lines of fully repeated rows keep or lose alike; an empty table gives
     no rows.
     """
-    num, den = threshold
+    num, den = (x // math.gcd(*threshold) for x in threshold)
+    if not 0 < num <= den:
+        raise ValueError(f"threshold {threshold} is no fraction above 0 and up to 1")
     rows = _ordered(docs)
     lines = rows.select("o", "tie", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     bits = counter_bits(docs)
     sets = materialize(_sets(lines, materialize(rarity(docs, bits)), bits, num, den))
     texts = rows.select("o", "tie", "text").distinct() if _repeats(rows) else rows.select("o", "tie", "text")
-    # fewer than num words: only equal sets are similar; a counter of 1: no other line has the word
-    postings = (sets.where(F.col("n") > F.lit(num - 1))
+    # n / (n + 1) below the threshold: only equal sets are similar; a counter of 1: no other line has the word
+    postings = (sets.where(F.col("n") * (den - num) >= num)
                 .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2")
                 .where(F.shiftrightunsigned("word", 56) > ONCE))
     counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))

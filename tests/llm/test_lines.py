@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from condofin.llm import lines as L
 
 from .brute import line_dedup, random_texts
@@ -71,3 +73,23 @@ def test_dedup_lines_keeps_columns_and_drops_emptied_documents(make_docs):
 def test_plan_has_no_python(make_docs):
     plan = L.removed_lines(make_docs([(1, "a b c d e")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("num,den", [(8, 10), (7, 10), (1, 2), (2, 2)])
+def test_other_thresholds_against_brute_force(make_docs, num, den):
+    words = ["a", "b", "c", "d", "e", "f"]
+    lines = [" ".join(words[:n]) for n in (3, 4, 5, 6, 2, 1)] + ["x y z", "x y z w", "p q r s t", "p q r s", "a b", "x z y"]
+    docs = [(i, line) for i, line in enumerate(lines)]
+    want, seen = {}, []
+    for i, line in docs:
+        s = set(line.split())
+        want[i] = int(any(den * len(s & o) >= num * len(s | o) for o in seen))
+        seen.append(s)
+    got = {r["doc"]["doc_id"]: r["n_removed"] for r in L.removed_lines(make_docs(docs), (num, den)).collect()}
+    assert got == want
+
+
+def test_threshold_is_a_fraction(make_docs):
+    for bad in ((0, 1), (5, 4)):
+        with pytest.raises(ValueError):
+            L.removed_lines(make_docs([(1, "a")]), bad)
