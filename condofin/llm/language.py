@@ -8,19 +8,21 @@ is far away.
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, materialize
 
-#: Labelled documents that the classifier is fitted on (about; split evenly
-#: over the languages, chosen by a hash of the row).
+#: Labelled documents that the classifier is fitted on (at most, but one for each
+#: language; split evenly over the languages, chosen by a hash of the text).
 FIT_DOCS = 2000
+SPARE = 64  # draws beyond twice a language's share that are ranked
 DIMENSIONS = 8192
 CENTROIDS = 4
 ROUNDS = 12
@@ -132,36 +134,61 @@ def fit_centroids(vectors: np.ndarray, languages: list[str], seed: int = 7) -> C
     return CentroidModel(idf, centroids, owners, _floors(lengths, (units @ centroids.T).max(1)))
 
 
-def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> CentroidModel:
+def _least_draws(texts: DataFrame, per: DataFrame, share: int) -> DataFrame:
+    """The ``share`` least ``draw`` of each ``lang`` of ``texts`` (distinct), exactly.
+
+    Draws are uniform, so those under a cut that about twice as many pass are
+    ranked; a language with too few of them under it is ranked in whole."""
+    part = (F.col("draw").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+    cut = F.lit(2.0 * share + SPARE) / F.col("n")
+    under = texts.join(F.broadcast(per), "lang").where(part < cut)
+    short = (per.join(under.groupBy("lang").agg(F.count(F.lit(1)).alias("m")), "lang", "left")
+             .where(F.coalesce("m", F.lit(0)) < F.least("n", F.lit(share))).select("lang"))
+    under = under.select("lang", "draw").union(texts.join(F.broadcast(short), "lang", "left_semi")).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    return under.withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "draw")
+
+
+def fit(labelled: DataFrame, fit_docs: int | None = None) -> CentroidModel:
     """Fit on ``text, lang`` rows; null languages and letterless texts are left out.
 
-    A bounded sample is enough for centroids: of each language about
-    ``fit_docs`` / languages rows, those with the least hash of the text.
+    A bounded sample is enough for centroids: of each language the ``fit_docs``
+    / languages distinct texts with the least hash, or all if it has fewer;
+    copies count once.  Without ``fit_docs`` it is :data:`FIT_DOCS`, or one for
+    each language if there are more; a bound of one's own below their number
+    is an error.
     """
-    known = labelled.where(F.col("lang").isNotNull()).select(
+    known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "text", "lang", F.xxhash64("text", F.lit("fit")).alias("draw"))
-    per = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    texts = materialize(known.select("lang", "draw").distinct())
+    per = materialize(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     n_langs = per.count()
-    if n_langs > fit_docs:
-        raise ValueError(f"{n_langs} language values; the fit takes {fit_docs} documents")
     if not n_langs:
         return fit_centroids(np.zeros((0, DIMENSIONS)), [])
-    share = fit_docs // n_langs
-    per = F.broadcast(per.select(F.col("lang").alias("of"), (F.lit(float(share)) / F.col("n")).alias("part")))
-    part = (F.col("draw").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
-    chosen = known.join(per, F.col("lang") == F.col("of")).where(part < F.col("part"))
+    if fit_docs is None:
+        fit_docs = max(FIT_DOCS, n_langs)
+    if n_langs > fit_docs:
+        raise ValueError(f"{n_langs} language values; the fit takes {fit_docs} documents")
+    draws = F.broadcast(materialize(_least_draws(texts, per, fit_docs // n_langs)
+                                    .groupBy("draw").agg(F.collect_set("lang").alias("langs"))))
+    chosen = known.select("text", "draw").join(draws, "draw")
 
     def counts():
+        done = set()  # texts that this task has already sent: at most the sample
+
         def of_text(text):
-            c = ngram_counts(text)
+            key = hashlib.sha256(text).digest()
+            c = None if key in done else ngram_counts(text)
+            done.add(key)
             if c is None:
                 return None, None
             at = np.flatnonzero(c)
             return at.astype("<i4").tobytes(), c[at].astype("<f4").tobytes()
         return of_text
 
-    rows = (map_texts(chosen.select("text", "lang"), counts, "at binary, n binary")
-            .select(F.col("doc.lang").alias("lang"), "at", "n").where(F.col("n").isNotNull()).collect())
+    rows = (map_texts(chosen, counts, "at binary, n binary", keep=["draw", "langs"])
+            .select("doc.*", "at", "n").where(F.col("n").isNotNull()).dropDuplicates(["draw"])
+            .select(F.explode("langs").alias("lang"), "at", "n").collect())
     rows.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["n"])))
     vectors = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
     for v, r in zip(vectors, rows):
@@ -187,6 +214,6 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, fit_docs: int = FIT_DOCS) -> CentroidModel:
+def learn(docs: DataFrame, fit_docs: int | None = None) -> CentroidModel:
     """Fit on the documents that are not held out (null ids are not learned from)."""
     return fit(docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("text", "lang"), fit_docs)

@@ -93,3 +93,23 @@ def test_fit_is_bounded(make_docs):
     assert model.languages and len(model.languages) <= 12
     with pytest.raises(ValueError):
         G.learn(make_docs([(i, "a b c", f"l{i}") for i in range(20)]), fit_docs=3)
+
+
+def test_sample_has_each_languages_least_distinct_texts(make_docs, monkeypatch):
+    """Copies count once, no language is left out, the bound holds exactly."""
+    fitted, fit_centroids = [], G.fit_centroids
+    monkeypatch.setattr(G, "fit_centroids", lambda v, langs: fitted.append((v, langs)) or fit_centroids(v, langs))
+    few = texts("de", 2, 3)
+    rows = [(t, "en") for t in texts("en", 120, 2)] + [(t, "fr") for t in texts("fr", 120, 2)]
+    rows += [(t, "de") for t in few for _ in range(150)] + [(few[0], "fr")] * 40 + [("12 34", "de"), (None, "de")]
+    rows += [(t, "en") for t in texts("en", 3, 5) for _ in range(100)]
+    G.fit(make_docs([(i, *r) for i, r in enumerate(rows)]), 30)
+    vectors, langs = fitted.pop()
+    assert {x: langs.count(x) for x in langs} == {"en": 10, "fr": 10, "de": 2}
+    assert len({(x, v.tobytes()) for x, v in zip(langs, vectors)}) == len(langs)
+    many = make_docs([(i, f"{t} {t}", f"l{i % 40}") for i, t in enumerate(texts("en", 200, 4))])
+    G.fit(many, 60)
+    assert sorted(fitted.pop()[1]) == sorted(f"l{i}" for i in range(40))
+    monkeypatch.setattr(G, "FIT_DOCS", 7)
+    G.fit(many)
+    assert sorted(fitted.pop()[1]) == sorted(f"l{i}" for i in range(40))
