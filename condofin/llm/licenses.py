@@ -90,13 +90,16 @@ def find_notice(joined: bytes, notice: str, edits: int) -> list[tuple[int, int,
             out.append((at + 1, at + len(seed) - 1, 0))
             at = joined.find(seed, at + 1)
         return out
-    out, at = [], -1
-    for a, b in candidates(joined, notice, edits):
-        for m in _pattern(notice, edits).finditer(joined, a, b, partial=False):
-            if m.start() >= at and m.end() > m.start():
+    out = []
+    for region in candidates(joined, notice, edits):
+        open_ = [region]  # the best match of a stretch leaves what stands before and after it
+        while open_:
+            a, b = open_.pop()
+            m = _pattern(notice, edits).search(joined, a, b) if b - a >= len(notice) - edits else None
+            if m:
                 out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                at = m.end()
-    return out
+                open_ += [(a, m.start()), (m.end(), b)]
+    return sorted(out)
 
 
 def scan(text: bytes | None) -> tuple[int, list[dict]]:

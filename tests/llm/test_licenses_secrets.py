@@ -61,6 +61,15 @@ def test_pigeonhole_finds_every_allowed_edit(notice, label):
         assert found and found[0][2] <= 2
 
 
+def test_repeated_notices_are_all_found():
+    """Inexact occurrences close before a better one, after it and between two."""
+    good, bad = "all rights reserved", "all rights resrved"
+    for row in ([bad, good], [good, bad], [bad, good, bad, bad, good], [bad] * 4, [good] * 50, [bad, good] * 20):
+        text = " " + " ".join(row) + " "
+        found = L.find_notice(text.encode(), good, L.edits_allowed(good))
+        assert [(text[a:b], e) for a, b, e in found] == [(x, int(x == bad)) for x in row]
+
+
 def test_license_edges(spark, make_docs, edges):
     docs = make_docs(edges + [(20, t) for t in LICENSE_TEXTS], extra=True)
     rows = L.scan_licenses(docs).collect()
