@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, licenses, lines, mixing, secrets, simhash, substrings, urls,
-               vectors)
+from . import (decontaminate, divergence, language, licenses, lines, manifest, mixing, packing, secrets, simhash,
+               substrings, urls, vectors)
 from .common import read_table
 
 
@@ -102,6 +102,34 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score", "rejected")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return pieces.select(F.col("doc.doc_id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(*manifest.COLUMNS)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    made = manifest.build(docs, shown={"text": F.when(tampered, lowered).otherwise(F.col("text"))}, keep=["doc_id"])
+    root = F.lit(made.root).cast("binary")
+
+    def text(digest):
+        return F.lower(F.hex(digest))
+
+    return manifest.prove(made).select(
+        F.col("doc.doc_id").alias("doc_id"), text("leaf").alias("leaf"), text("subroot").alias("subroot"),
+        text(root).alias("root"), text("proof_sha256").alias("proof_sha256"), text("folded_root").alias("folded_root"),
+        (F.col("folded_root") == root).alias("verified"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -113,6 +141,9 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op11_packing": op11_packing,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _FOLD = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -207,5 +238,89 @@ WITH ln AS (
 SELECT doc_id, CAST(count(line) AS BIGINT) AS n_lines, CAST(coalesce(sum(CASE WHEN NOT stays THEN 1 END), 0) AS BIGINT) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE stays), '')) AS kept_sha256
 FROM documents LEFT JOIN judged USING (doc_id) GROUP BY doc_id
+""",
+    "op12_divergence_audit": rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), kept AS (
+  SELECT lang, t FROM (SELECT lang, unnest(list_distinct(w)) AS t FROM d) GROUP BY lang, t HAVING count(*) >= 10
+), size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), occ AS (
+  SELECT lang, source, t, count(*) AS n FROM (SELECT lang, source, unnest(w) AS t FROM d) JOIN kept USING (lang, t)
+  GROUP BY lang, source, t
+), grp AS (SELECT DISTINCT lang, source FROM d
+), whole AS (SELECT lang, t, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM occ GROUP BY lang, t
+), tot AS (SELECT lang, source, sum(n) AS total FROM occ GROUP BY lang, source
+), dense AS (
+  SELECT g.lang, g.source, k.t, coalesce(o.n, 0) AS n,
+         1 + (1000000000 * (coalesce(o.n, 0) + 2)::HUGEINT) // (coalesce(tot.total, 0) + 2 * s.v)::HUGEINT AS p,
+         1 + (1000000000 * (w.n + 2)::HUGEINT) // (w.total + 2 * s.v)::HUGEINT AS q
+  FROM grp g JOIN kept k USING (lang) JOIN size s USING (lang) JOIN whole w USING (lang, t)
+  LEFT JOIN occ o USING (lang, source, t) LEFT JOIN tot USING (lang, source)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL
+), every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', t, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+         list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))) AS flipped
+  FROM documents
+), leaf AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(flipped, 4294967295) % 3 = 0
+              THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+         END AS shown
+  FROM d
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM leaf
+), low AS (
+  SELECT tree, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY tree
+  UNION ALL
+  SELECT tree, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+  FROM low WHERE len(nodes) > 1
+), high AS (
+  SELECT 0 AS level, list(nodes[1] ORDER BY tree) AS nodes FROM low WHERE len(nodes) = 1
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+  FROM high WHERE len(nodes) > 1
+), step AS (
+  SELECT tree, level, nodes FROM low WHERE len(nodes) > 1
+  UNION ALL
+  SELECT low.tree, low.level + high.level, high.nodes
+  FROM low, high WHERE len(low.nodes) = 1 AND len(high.nodes) > 1
+), subroot AS (SELECT tree, level AS depth, nodes[1] AS subroot FROM low WHERE len(nodes) = 1
+), root AS (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1
+), walk AS (
+  SELECT doc_id, tree, depth, 0 AS level, CASE WHEN depth = 0 THEN tree ELSE place END AS pos, leaf,
+         coalesce(shown, leaf) AS cur, '' AS proof
+  FROM placed JOIN subroot USING (tree)
+  UNION ALL
+  SELECT doc_id, tree, depth, level + 1, CASE WHEN level + 1 = depth THEN tree ELSE pos // 8 END, leaf,
+         sha256(array_to_string(nodes[pos - pos % 8 + 1:pos], '') || cur || array_to_string(nodes[pos + 2:pos - pos % 8 + 8], '')),
+         proof || array_to_string(nodes[pos - pos % 8 + 1:pos], '') || array_to_string(nodes[pos + 2:pos - pos % 8 + 8], '')
+  FROM walk JOIN step USING (tree, level)
+), top AS (SELECT tree, coalesce(max(step.level) + 1, 0) AS level FROM subroot LEFT JOIN step USING (tree) GROUP BY tree)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM walk JOIN top USING (tree, level) JOIN subroot USING (tree), root
 """,
 }
