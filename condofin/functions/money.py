@@ -33,10 +33,14 @@ def parse_decimal_comma(c: Column, dtype=COEF) -> Column:
     return F.regexp_replace(F.trim(c), ",", ".").try_cast(dtype)
 
 
+#: How the files say yes and no, after trimming and in capitals.
+YES, NO = ("SI", "S\u00cd", "S"), ("NO", "N")
+
+
 def parse_flag(c: Column) -> Column:
-    """``SI`` / ``NO`` (any case, blanks around) -> boolean."""
+    """Yes or no (any case, blanks around) -> boolean, NULL for anything else."""
     v = F.upper(F.trim(c))
-    return F.when(v == "SI", True).when(v == "NO", False)
+    return F.when(v.isin(*YES), True).when(v.isin(*NO), False)
 
 
 # Formatters used to derive file text from tables (inverse of parse_money).

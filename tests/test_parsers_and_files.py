@@ -99,9 +99,58 @@ def test_read_service_costs(spark, tmp_dir):
         (5, "GASTOS GENERALES", "no sabe")]
 
 
-def test_rejected_unit_numbers(spark):
-    raw = spark.createDataFrame([("1",), (" 2 ",), ("",), (None,), ("12b",)], "nroUnidadFuncional string")
-    assert [r[0] for r in S.rejected_units(raw).collect()] == ["12b"]
+def test_every_unit_line_is_accounted_for(spark, tmp_dir):
+    """Lines in = rows out + rejects + blank lines, with a code for each fault."""
+    head = "\t".join(S.UNIT_FIELDS)
+    lines = {
+        "Uno\t1\tPB\tA\t4,4\t45\tSI\tS\u00cd\t4\t8": [], "Uno\t2\tPB\tB\t5,6\t50\tn\ts\t0\t12": [],
+        "Uno\t3\tPB\tC\t5,6\t50\t\tNO\t\t": [],
+        "Uno\t4\tPB\tD\t5,6\t50\tquiz\u00e1s\tY\t4\t12": ["bauleras", "cochera"],
+        "Uno\t5\tPB\tE\t5,6\t50\tNO\t\t4\t12": ["sin_bauleras", "sin_cochera"],
+        "Uno\tseis\tPB\tF\tcinco\t5.0.0\tNO\tNO\tx\ty": ["nro_uf", "coeficiente", "m2_unidad", "m2_baulera", "m2_cochera"],
+        "Uno\t7\tPB": ["campos"], "Uno\t8\tPB\tG\t1\t1\tNO\tNO\t0\t0\tde m\u00e1s": ["campos"],
+        "\t9\tPB\tH\t1\t1\tNO\tNO\t0\t0": ["consorcio"],
+        "\t\t\t": None, "\t \t\t\t\t\t\t\t\t\t\t\t": None,
+    }
+    path = _write(os.path.join(tmp_dir, "uf.txt"), head + "\n" + "\n".join(lines) + "\n")
+    checked = S.read_checked_units(spark, path)
+    good, bad = S.accepted(checked), S.rejects(checked)
+    assert sorted(r.nro_uf for r in good.collect()) == [1, 2, 3]
+    assert sorted((r.linea, r.fallas) for r in bad.collect()) == sorted((t, f) for t, f in lines.items() if f)
+    counts = {r.falla: r.filas for r in S.count_faults(checked).collect()}
+    # the reader passes over the two lines of white space
+    assert counts == {"ninguna": 3, "bauleras": 1, "cochera": 1, "sin_bauleras": 1, "sin_cochera": 1, "nro_uf": 1,
+                      "coeficiente": 1, "m2_unidad": 1, "m2_baulera": 1, "m2_cochera": 1, "campos": 2, "consorcio": 1}
+    assert good.count() + bad.count() == checked.count() == len(lines) - 2
+    _, acc = S.split_units(good)
+    assert sorted((r.nro_uf, r.tipo_accesorio) for r in acc.collect()) == [(1, "BAULERA"), (1, "COCHERA"), (2, "COCHERA")]
+    # the twin for lines that are in a table already
+    twin = S.parse_unit_lines(spark.createDataFrame([(t,) for t in lines], "value string"))
+    assert sorted(twin.collect()) == sorted(good.collect())
+
+
+def test_every_account_line_is_accounted_for(spark, tmp_dir):
+    lines = {"1|Uno|1|PB|A": [], " 2 |Uno| 2 ||": [], "|Uno|3|PB|C": ["cuenta"], "4||x|PB|D": ["consorcio", "nro_uf"],
+             "5|Uno": ["campos", "nro_uf"], "6|Uno|6|PB|A|B": ["campos"], "||||": None}
+    path = _write(os.path.join(tmp_dir, "acc.csv"), "|".join(S.ACCOUNT_FIELDS) + "\n" + "\n".join(lines) + "\n")
+    checked = S.read_checked_unit_accounts(spark, path)
+    assert sorted((r.cbu_cvu, r.nro_uf) for r in S.read_unit_accounts(spark, path).collect()) == [("1", 1), ("2", 2)]
+    assert sorted((r.linea, r.fallas) for r in S.rejects(checked).collect()) == sorted((t, f) for t, f in lines.items() if f)
+    assert checked.where("vacia").count() == 1 and checked.count() == len(lines)
+
+
+def test_large_files_are_parsed_by_many_tasks(spark, tmp_dir):
+    line = "0000000000000000000009|Torre Dos|3|2|C\n"
+    path = _write(os.path.join(tmp_dir, "acc.csv"), "|".join(S.ACCOUNT_FIELDS) + "\n" + line * 3000)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = S.read_unit_accounts(spark, path)
+        assert got.rdd.getNumPartitions() >= 7 and got.count() == 3000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_line_parsers_match_file_readers(spark, tmp_dir):
