@@ -8,7 +8,7 @@ only single-partition step runs over a table whose size has a proven bound
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_table
@@ -33,10 +33,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _ranged(df: DataFrame, cols: list[str], n: int) -> DataFrame:
+def _ranged(df: DataFrame, cols: list[str], n: int, watch: Observation | None = None,
+            metrics: tuple[Column, ...] = ()) -> DataFrame:
     """``df`` in ``n`` ranges of ``cols`` with the range's number, written once:
-    range bounds come from a sample, so all readers must see the same ones."""
+    range bounds come from a sample, so all readers must see the same ones.
+    ``metrics`` are observed by ``watch`` while the rows are written."""
     ranged = df.repartitionByRange(n, *[F.col(c) for c in cols]).sortWithinPartitions(*cols)
+    if watch is not None:  # above the exchange: the sample doesn't count
+        ranged = ranged.observe(watch, *metrics)
     return materialize(ranged.select("*", F.spark_partition_id().alias("pid" + _SUFFIX),
                                      F.monotonically_increasing_id().alias("mid" + _SUFFIX)))
 
@@ -72,7 +76,8 @@ def running_total(df: DataFrame, value: str, order_keys: list[str], out: str,
 
 
 def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, watch: Observation | None = None,
+                     metrics: tuple[Column, ...] = ()) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order_col)`` for a unique ordering key
     (one column or a list of columns).
 
@@ -89,10 +94,12 @@ def dense_row_number(df: DataFrame, order_col: str | list[str], out: str = "rn",
     range-partition bounds come from a sample whose seed depends on the
     physical plan, so they are materialised once (:func:`materialize`):
     both reads then see the same partitions, also after an executor loss.
+    ``metrics`` are aggregates that ``watch`` has when the call returns: they
+    come with that write, without a job of their own.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
-    tagged = _ranged(df, cols, n)
+    tagged = _ranged(df, cols, n, watch, metrics)
     local = F.col("mid" + _SUFFIX) - F.shiftleft(F.col("pid" + _SUFFIX).cast("bigint"), 33)
     counts = tagged.groupBy("pid" + _SUFFIX).agg(F.count(F.lit(1)).alias("cnt" + _SUFFIX))
     w = Window.orderBy("pid" + _SUFFIX).rowsBetween(Window.unboundedPreceding, -1)

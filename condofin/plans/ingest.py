@@ -9,15 +9,17 @@ tables this exercises the same parsing rules at full table size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONTH_NAMES
 from ..functions.money import format_money_by
 from ..model import MONEY, Tables, live
-from ..operators.windows import dense_row_number
+from ..operators.windows import dense_row_number, materialize
 from ..sources import files as S
-from ..sources.tables_io import append_rows
+from ..sources.tables_io import commit_batch
 
 
 def _comma(c) -> F.Column:
@@ -82,85 +84,120 @@ def service_cost_documents(lineitem: DataFrame, supplier: DataFrame, nation: Dat
 
 
 # ------------------------------------------------------------------ W24
-def append_registered(before: Tables, after: Tables, base: str) -> None:
-    """Append what :func:`register_entities` added to the Parquet tables under
-    ``base`` (written by ``write_tables``): the rows whose id is new."""
-    append_rows(after.consorcio.join(before.consorcio, "consorcio_id", "left_anti"), f"{base}/consorcio")
-    new_units = after.unidad.join(before.unidad, "uf_id", "left_anti")
-    append_rows(new_units, f"{base}/unidad")
-    append_rows(after.accesoria.exceptAll(before.accesoria), f"{base}/accesoria")
-
-
 class RegistrationError(ValueError):
     pass
 
 
-def _require_resolved(missing: DataFrame, what: str) -> None:
-    if not missing.isEmpty():
-        sample = [r.asDict() for r in missing.limit(3).collect()]
-        raise RegistrationError(f"{what} not found for {sample}")
+@dataclass(frozen=True)
+class NewEntities:
+    """The rows of a registration, with their ids, each written once."""
+    consorcio: DataFrame
+    unidad: DataFrame
+    accesoria: DataFrame
+
+
+def commit_registered(new: NewEntities, base: str, seen: int | None = None) -> int:
+    """Append the rows to the three Parquet tables under ``base`` (written by
+    ``write_tables``), all or none; see ``tables_io.commit_batch``."""
+    return commit_batch(new.consorcio.sparkSession, base, {"consorcio": new.consorcio, "unidad": new.unidad,
+                                                           "accesoria": new.accesoria}, seen)
+
+
+def append_registered(before: Tables, after: Tables, base: str) -> int:
+    """Append what :func:`register_entities` added to ``before``, all or none."""
+    return commit_registered(NewEntities(
+        after.consorcio.join(before.consorcio, "consorcio_id", "left_anti").select(*after.consorcio.columns),
+        after.unidad.join(before.unidad, "uf_id", "left_anti").select(*after.unidad.columns),
+        after.accesoria.exceptAll(before.accesoria)), base)
+
+
+#: Columns that carry what is wrong with a row of a batch through its one write.
+_REPEATED, _UNRESOLVED = "repetida__", "sin_padre__"
+
+
+def _checked(batch: DataFrame, natural: list[str], existing: DataFrame, parent: str | None = None) -> DataFrame:
+    """``batch`` with marks: its ``natural`` key stands twice in it or is in
+    ``existing`` already; its ``parent`` (a column of a left join) is missing."""
+    there = existing.select(*natural).distinct().withColumn("hay__", F.lit(True))
+    twice = F.count(F.lit(1)).over(Window.partitionBy(*natural)) > 1
+    lost = F.col(parent).isNull() if parent else F.lit(False)
+    return batch.join(there, natural, "left").select(
+        "*", lost.alias(_UNRESOLVED), (~lost & (twice | F.col("hay__").isNotNull())).alias(_REPEATED)).drop("hay__")
+
 
+def _metrics() -> tuple[Column, ...]:
+    return tuple(F.count_if(F.col(c)).alias(c) for c in (_UNRESOLVED, _REPEATED))
 
-def _require_unique(existing: DataFrame, batch: DataFrame, natural: list[str], what: str) -> None:
-    """No key of ``batch`` stands twice in it or in ``existing``."""
-    batch = batch.select(*natural)
-    there = existing.select(*natural).join(batch, natural, "left_semi")
-    repeated = there.unionByName(batch).groupBy(*natural).count().filter(F.col("count") > 1).drop("count")
-    if not repeated.isEmpty():
-        sample = [r.asDict() for r in repeated.limit(3).collect()]
-        raise RegistrationError(f"{what} named more than once: {sample}")
 
+def _raise_faults(found: dict, written: DataFrame, what: str, parent: str | None, natural: list[str],
+                  parent_key: list[str]) -> None:
+    for mark, text, key in ((_UNRESOLVED, f"{parent} not found for", parent_key),
+                            (_REPEATED, f"{what} named more than once:", natural)):
+        if found[mark]:
+            sample = [r.asDict() for r in written.where(F.col(mark)).select(*key).limit(3).collect()]
+            raise RegistrationError(f"{text} {sample}")
 
-def _next_ids(df: DataFrame, order: list[str], existing: DataFrame, id_col: str) -> DataFrame:
+
+def _next_ids(df: DataFrame, order: list[str], existing: DataFrame, id_col: str, watch: Observation) -> DataFrame:
     """Number ``df`` in ``order`` after the largest existing id (a scalar
     subquery, evaluated once)."""
     start = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    numbered = dense_row_number(df, order, "rn__")
+    numbered = dense_row_number(df, order, "rn__", watch=watch, metrics=_metrics())
     return numbered.withColumn(id_col, (start + F.col("rn__")).cast(existing.schema[id_col].dataType)) \
         .drop("rn__")
 
 
-def register_entities(tables: Tables, buildings: DataFrame, units: DataFrame,
-                      accessories: DataFrame, check: bool = True) -> Tables:
-    """Append buildings, then units, then accessories.
+def resolve_entities(tables: Tables, buildings: DataFrame, units: DataFrame, accessories: DataFrame,
+                     check: bool = True) -> NewEntities:
+    """The rows to append for a batch of buildings, then units, then accessories.
 
     ``buildings(nombre, direccion, cant_unidades, cant_m2_total)``;
     ``units(nombre, direccion, piso, depto, cant_m2, coeficiente)`` name their
     building by its natural key; ``accessories(nombre, direccion, piso, depto,
     m2_accesorio, tipo_accesorio)`` their unit.  New ids continue after the
-    largest existing one, in natural-key order.  Keys are resolved set-wise
-    with joins; with ``check`` an unresolved key (an anti join probed with
-    ``isEmpty``) and a natural key that is registered already or stands twice
-    in the batch raise :class:`RegistrationError`, before any id is given.
+    largest existing one, in natural-key order.
+
+    Each batch is resolved with joins and written once, marked with what is
+    wrong: an unresolved key, or a natural key that is registered already or
+    stands twice in the batch.  With ``check`` the marks, counted by that very
+    write (``Dataset.observe``), raise :class:`RegistrationError` before the
+    next batch is looked at; no check is a job of its own.
     """
+    address, place = ["nombre", "direccion"], ["consorcio_id", "piso", "depto"]
+    seen_b, seen_u, seen_a = Observation(), Observation(), Observation()
+
+    marked = _checked(buildings, address, tables.consorcio)
+    b = _next_ids(marked, address, tables.consorcio, "consorcio_id", seen_b)
     if check:
-        bnames = ["nombre", "direccion"]
-        _require_unique(tables.consorcio, buildings, bnames, "building")
-    new_b = _next_ids(buildings, ["nombre", "direccion"], tables.consorcio, "consorcio_id") \
-        .select("consorcio_id", "nombre", "direccion",
-                F.col("cant_unidades").cast("int"), F.col("cant_m2_total").cast("decimal(10,2)"),
-                F.lit(False).alias("borrado"))
-    all_b = tables.consorcio.unionByName(new_b)
-    bkey = all_b.select("consorcio_id", "nombre", "direccion")
-    if check:
-        _require_resolved(units.join(bkey, ["nombre", "direccion"], "left_anti")
-                          .select("nombre", "direccion"), "building")
-    u = units.join(bkey, ["nombre", "direccion"])
-    if check:
-        unames = ["consorcio_id", "piso", "depto"]
-        _require_unique(live(tables.unidad), u, unames, "unit")
-    new_u = _next_ids(u.select("consorcio_id", "piso", "depto", "cant_m2", "coeficiente"),
-                      ["consorcio_id", "piso", "depto"], tables.unidad, "uf_id") \
-        .select("uf_id", "consorcio_id", "piso", "depto", F.col("cant_m2").cast("decimal(10,2)"),
-                F.col("coeficiente").cast("decimal(9,4)"), F.lit(False).alias("borrado"))
-    all_u = tables.unidad.unionByName(new_u)
-    ukey = all_u.join(bkey, "consorcio_id").select("uf_id", "nombre", "direccion", "piso", "depto")
-    natural = ["nombre", "direccion", "piso", "depto"]
+        _raise_faults(seen_b.get, b, "building", None, address, address)
+    new_b = b.select("consorcio_id", "nombre", "direccion", F.col("cant_unidades").cast("int"),
+                     F.col("cant_m2_total").cast("decimal(10,2)"), F.lit(False).alias("borrado"))
+    bkey = tables.consorcio.select("consorcio_id", *address).unionByName(new_b.select("consorcio_id", *address))
+
+    marked = _checked(units.join(bkey, address, "left" if check else "inner"), place, live(tables.unidad), "consorcio_id")
+    u = _next_ids(marked, place, tables.unidad, "uf_id", seen_u)
     if check:
-        _require_resolved(accessories.join(ukey, natural, "left_anti").select(*natural), "unit")
-    new_a = accessories.join(ukey, natural).select(
-        "uf_id", F.col("m2_accesorio").cast("decimal(10,2)"), "tipo_accesorio")
+        _raise_faults(seen_u.get, u, "unit", "building", place, address)
+    new_u = u.select("uf_id", "consorcio_id", "piso", "depto", F.col("cant_m2").cast("decimal(10,2)"),
+                     F.col("coeficiente").cast("decimal(9,4)"), F.lit(False).alias("borrado"))
+    # a new unit's building is beside it; stored units look theirs up
+    ukey = (tables.unidad.select("uf_id", *place).join(bkey, "consorcio_id").select("uf_id", *address, "piso", "depto")
+            .unionByName(u.select("uf_id", *address, "piso", "depto")))
+
+    where = [*address, "piso", "depto"]
+    resolved = accessories.join(ukey, where, "left" if check else "inner")
+    kind = ["uf_id", "tipo_accesorio"]
+    a = materialize(_checked(resolved, kind, tables.accesoria, "uf_id").observe(seen_a, *_metrics()))
     if check:
-        _require_unique(tables.accesoria, new_a, ["uf_id", "tipo_accesorio"], "accessory")
-    return tables.replace(consorcio=all_b, unidad=all_u,
-                          accesoria=tables.accesoria.unionByName(new_a))
+        _raise_faults(seen_a.get, a, "accessory", "unit", kind, where)
+    new_a = a.select("uf_id", F.col("m2_accesorio").cast("decimal(10,2)"), "tipo_accesorio")
+    return NewEntities(new_b, new_u, new_a)
+
+
+def register_entities(tables: Tables, buildings: DataFrame, units: DataFrame,
+                      accessories: DataFrame, check: bool = True) -> Tables:
+    """``tables`` with the rows of :func:`resolve_entities` appended."""
+    new = resolve_entities(tables, buildings, units, accessories, check)
+    return tables.replace(consorcio=tables.consorcio.unionByName(new.consorcio),
+                          unidad=tables.unidad.unionByName(new.unidad),
+                          accesoria=tables.accesoria.unionByName(new.accesoria))

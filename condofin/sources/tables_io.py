@@ -3,12 +3,20 @@
 One folder per table under a base path.  Payments are partitioned by the
 calendar year of the payment (``anio``), so year and date-range filters of
 the reports prune whole folders; the other tables are unpartitioned.  Rows
-are never updated in place: masking and encryption write new folders,
-registration appends.
+are never updated in place: masking and encryption write new folders.
+
+A registration appends to several tables at once.  Its rows are written to a
+folder of their own, and only then one small numbered file names that folder:
+readers take the folders that are named, so a batch is there with all its
+tables or not at all.  The number is the one after the last that the writer has
+seen, and a file is created only if there is none of that name, so of two
+writers that start from the same state one fails and can try again.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,19 +38,78 @@ def write_tables(tables: Tables, base: str, mode: str = "overwrite") -> None:
             writer_df.write.mode(mode).parquet(f"{base}/{name}")
 
 
-def read_tables(spark: SparkSession, base: str) -> Tables:
-    """Tables written by :func:`write_tables` (protected columns included if present)."""
+class BatchConflict(RuntimeError):
+    """Another batch was committed since the writer looked."""
+
+
+#: Folder of the batches appended to the tables beside it.
+BATCHES = "lotes"
+
+
+def _folder(spark: SparkSession, base: str):
+    """Hadoop file system and path of the batches under ``base``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{BATCHES}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def committed_batches(spark: SparkSession, base: str) -> list[str]:
+    """Names of the batches' folders in the order they were committed: one
+    small file each, however many rows they hold."""
+    fs, path = _folder(spark, base)
+    if not fs.exists(path):
+        return []
+    files = sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile())
+    io = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+    out = []
+    for name in files:
+        stream = fs.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name))
+        try:
+            out.append(io.toString(stream, "UTF-8").strip())
+        finally:
+            stream.close()
+    return out
+
+
+def commit_batch(spark: SparkSession, base: str, rows: dict[str, DataFrame], seen: int | None = None) -> int:
+    """Append ``rows`` (a frame per table) to the tables under ``base``, all or
+    none, and return how many batches there are then.
+
+    ``seen`` is the number of batches that the rows were made from (default: as
+    many as there are now); if more were committed since,
+    :class:`BatchConflict` is raised and nothing is appended.  A write that
+    fails leaves a folder that no reader looks at."""
+    fs, path = _folder(spark, base)
+    seen = len(committed_batches(spark, base)) if seen is None else seen
+    name = uuid.uuid4().hex
+    for table, df in rows.items():
+        df.write.parquet(f"{path.toString()}/{name}/{table}")
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"{seen + 1:010d}")
+    if fs.exists(mark):
+        raise BatchConflict(f"batch {seen + 1} of {base} is there already")
+    try:
+        stream = fs.create(mark, False)
+    except Exception as taken:
+        raise BatchConflict(f"batch {seen + 1} of {base} is there already") from taken
+    stream.write(name.encode())
+    stream.close()
+    return seen + 1
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """One table written by :func:`write_tables`, with the batches committed to it."""
     base = base.rstrip("/")
-    dfs = {name: spark.read.parquet(f"{base}/{name}") for name in SCHEMAS}
-    return Tables(**dfs)
+    df = spark.read.parquet(f"{base}/{name}")
+    fs, path = _folder(spark, base)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    more = [f"{path.toString()}/{batch}/{name}" for batch in committed_batches(spark, base)]
+    more = [p for p in more if fs.exists(hadoop(p))]
+    return df.unionByName(spark.read.schema(df.schema).parquet(*more)) if more else df
 
 
-def append_rows(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Append a batch (e.g. newly registered entities) to a table folder."""
-    w = df.write.mode("append")
-    if partition:
-        w = w.partitionBy(partition)
-    w.parquet(path)
+def read_tables(spark: SparkSession, base: str) -> Tables:
+    """Tables written by :func:`write_tables` (protected columns included if
+    present), with the batches committed to them."""
+    return Tables(**{name: read_table(spark, base, name) for name in SCHEMAS})
 
 
 def year_filter(df: DataFrame, d_from, d_to) -> DataFrame:

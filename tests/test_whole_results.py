@@ -6,6 +6,7 @@ from __future__ import annotations
 import glob
 import os
 import random
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
@@ -17,9 +18,11 @@ from condofin.operators.windows import running_total
 from condofin.params import ReportParams
 from condofin.plans import reports as R
 from condofin.plans.audit import area_check, table_contents, table_overview
-from condofin.plans.ingest import RegistrationError, append_registered, register_entities
+from condofin.plans.ingest import (RegistrationError, append_registered, commit_registered, register_entities,
+                                   resolve_entities)
 from condofin.plans.procedures import BY_SOURCE_XML, WEEKLY_XML, call
 from condofin.plans.protect import mask_columns
+from condofin.sources.tables_io import BatchConflict, read_table
 
 from helpers import bill, charge, make_tables, payment, person, tenure, unit
 
@@ -108,10 +111,66 @@ def test_a_natural_key_is_registered_once(spark, tmp_dir):
     for name in ("consorcio", "unidad", "accesoria"):
         getattr(t, name).write.parquet(f"{tmp_dir}/{name}")
     append_registered(t, reg, tmp_dir)
-    assert spark.read.parquet(f"{tmp_dir}/consorcio").count() == 2
-    stored = spark.read.parquet(f"{tmp_dir}/unidad").orderBy("uf_id").collect()
+    assert read_table(spark, tmp_dir, "consorcio").count() == 2
+    stored = read_table(spark, tmp_dir, "unidad").orderBy("uf_id").collect()
     assert [(r.uf_id, r.consorcio_id) for r in stored] == [(1, 1), (2, 2)]
-    assert spark.read.parquet(f"{tmp_dir}/accesoria").collect()[0].uf_id == 2
+    assert read_table(spark, tmp_dir, "accesoria").collect()[0].uf_id == 2
+
+
+def stored(spark, t, base):
+    for name in ("consorcio", "unidad", "accesoria"):
+        getattr(t, name).write.parquet(f"{base}/{name}")
+
+    def sizes():
+        return [read_table(spark, base, n).count() for n in ("consorcio", "unidad", "accesoria")]
+    return sizes
+
+
+NEW = [("Dos", "Calle 2", 1, 100.0)], [("Dos", "Calle 2", "PB", "A", 50.0, 1.0)], [("Dos", "Calle 2", "PB", "A", 4.0, "BAULERA")]
+
+
+@pytest.mark.parametrize("broken", ["unidad", "accesoria"])
+def test_a_batch_is_appended_whole_or_not_at_all(spark, tmp_dir, broken):
+    t = make_tables(spark, unidad=[unit(1)])
+    sizes = stored(spark, t, tmp_dir)
+    new = resolve_entities(t, *batch(spark, *NEW))
+    dying = getattr(new, broken).withColumn("uf_id", F.expr("assert_true(false, 'disk gone')").cast("bigint"))
+    with pytest.raises(Exception, match="disk gone"):
+        commit_registered(replace(new, **{broken: dying}), tmp_dir)
+    assert os.listdir(os.path.join(tmp_dir, "lotes")) and sizes() == [1, 1, 0]
+    assert commit_registered(new, tmp_dir) == 1
+    assert sizes() == [2, 2, 1]
+
+
+def test_of_two_writers_from_one_state_one_fails(spark, tmp_dir):
+    t = make_tables(spark, unidad=[unit(1)])
+    sizes = stored(spark, t, tmp_dir)
+    one, two = resolve_entities(t, *batch(spark, *NEW)), resolve_entities(t, *batch(spark, [("Tres", "Calle 3", 1, 9.0)], [], []))
+    commit_registered(one, tmp_dir, seen=0)
+    with pytest.raises(BatchConflict):
+        commit_registered(two, tmp_dir, seen=0)
+    assert sizes() == [2, 2, 1]
+    again = resolve_entities(t.replace(consorcio=read_table(spark, tmp_dir, "consorcio"), unidad=read_table(spark, tmp_dir, "unidad")),
+                             *batch(spark, [("Tres", "Calle 3", 1, 9.0)], [], []))
+    assert commit_registered(again, tmp_dir, seen=1) == 2
+    assert sorted(r.consorcio_id for r in read_table(spark, tmp_dir, "consorcio").collect()) == [1, 2, 3]
+
+
+def test_checks_name_what_is_wrong(spark):
+    t = make_tables(spark, unidad=[unit(1)])
+    bs, us, acc = NEW
+    cases = [
+        (([("Uno", "Calle 1", 1, 5.0)], [], []), "building named more than once: .*Uno"),
+        (([*bs, *bs], [], []), "building named more than once: .*Dos"),
+        ((bs, [("No", "hay", "PB", "A", 5.0, 1.0)], []), "building not found for .*No"),
+        ((bs, [*us, *us], []), "unit named more than once: .*'consorcio_id': 2"),
+        (([], [("Uno", "Calle 1", "PB", "A", 1.0, 1.0)], []), "unit named more than once: .*'consorcio_id': 1"),
+        ((bs, us, [("Dos", "Calle 2", "9", "Z", 4.0, "BAULERA")]), "unit not found for .*'piso': '9'"),
+        ((bs, us, [*acc, *acc]), "accessory named more than once: .*BAULERA"),
+    ]
+    for rows, message in cases:
+        with pytest.raises(RegistrationError, match=message):
+            resolve_entities(t, *batch(spark, *rows))
 
 
 def test_four_buildings_whose_areas_add_up(spark):
