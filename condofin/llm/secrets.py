@@ -32,11 +32,8 @@ RATIO = 2.2
 
 # Shapes of digests (hexadecimal, by length) and identifiers.
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
-_DATE = r"(?:\d{4}[-/_](?:0[1-9]|1[0-2])[-/_](?:0[1-9]|[12]\d|3[01])(?:[T_-]\d\d(?:[-_]?\d\d){0,2}(?:[-_]?\d{1,9})?Z?)?)"
-IDENTIFIERS = (
-    r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
-    rf"{_DATE}(?:[+/_=-]{{1,2}}{_DATE})*",
-)
+UUID = r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"
+DATE = r"\d{4}[-/_](?:0[1-9]|1[0-2])[-/_](?:0[1-9]|[12]\d|3[01])"
 
 FIELDS = "spans array<struct<kind: string, start: int, end: int>>"
 
@@ -44,8 +41,9 @@ _ASSIGN, _ACCESS = re.compile(ASSIGN, re.IGNORECASE | re.ASCII), re.compile(ACCE
 # a run that long starts where the run of any length does
 _HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST["hex"])
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % RUN)
-_KNOWN = re.compile("|".join([*(r"(?:[0-9A-Fa-f]{%d})" % n for n in DIGEST_LENGTHS),
-                              *(f"(?:{x})" for x in IDENTIFIERS)]))
+_DIGEST = re.compile("|".join([*(r"(?:[0-9A-Fa-f]{%d})" % n for n in DIGEST_LENGTHS), UUID]))
+_DAY, _HOUR, _CLOCK = re.compile(DATE, re.ASCII), re.compile(r"[T_-]\d\d", re.ASCII), re.compile(r"[-_]?\d\d", re.ASCII)
+_FRACTION = re.compile(r"[-_]?\d{1,9}", re.ASCII)
 _SIGNS, _CASED = re.compile(r"[+/_=-]+"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PARTS = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\s+"
 
@@ -81,13 +79,56 @@ def _joined_words(run: str, encoding) -> bool:
     return len(parts) > 1 and all(map(_CASED.fullmatch, parts)) and _efficient([p.lower() for p in parts], encoding)
 
 
+def _time_ends(run: str, at: int) -> set[int]:
+    """Where a time that follows a date at ``at`` may end: an hour, up to two
+    more pairs of digits, a fraction and ``Z``, all but the hour optional."""
+    hour = _HOUR.match(run, at)
+    if not hour:
+        return {at}
+    clock = [hour.end()]
+    while len(clock) < 3 and (pair := _CLOCK.match(run, clock[-1])):
+        clock.append(pair.end())
+    ends = set(clock)
+    for end in clock:
+        if fraction := _FRACTION.match(run, end):
+            first = end + 1 + (run[end] in "-_")
+            ends.update(range(first, fraction.end() + 1))
+    return ends | {e + 1 for e in ends if run[e:e + 1] == "Z"} | {at}
+
+
+def _dates(run: str) -> bool:
+    """Whether ``run`` is dates, with or without times, joined by one or two
+    signs.  Places that a date may start at are followed from left to right,
+    each once, so the time is linear in the run."""
+    starts, n = {0}, len(run)
+    for at in range(n):
+        if at not in starts:
+            continue
+        starts.discard(at)
+        day = _DAY.match(run, at)
+        for end in _time_ends(run, day.end()) if day else ():
+            if end == n:
+                return True
+            for signs in (1, 2):
+                if all(c in "+/_=-" for c in run[end:end + signs]):
+                    starts.add(end + signs)
+        if not starts:
+            break
+    return False
+
+
+def _known(run: str) -> bool:
+    """A digest of a known length, a UUID or dates."""
+    return bool(_DIGEST.fullmatch(run)) or _dates(run)
+
+
 def random_spans(text: str, encoding) -> list[tuple[str, int, int]]:
     """Runs with few characters per token that are no known digest or
     identifier, whether or not they have letters or digits."""
     out = []
     for m in _RUN.finditer(text):
         run = m.group()
-        if _KNOWN.fullmatch(run):
+        if _known(run):
             continue
         if not _efficient([run], encoding) and not _joined_words(run, encoding):
             out.append(("random", m.start(), m.end()))
@@ -104,10 +145,15 @@ def scan_secrets(docs: DataFrame, vocabulary: str = VOCABULARY, keep: list[str]
 
     ``vocabulary`` is a file of tokens and ranks on the driver; its bytes (of a
     fixed, known file) go to the executors.  Null and empty texts have no
-    spans; repeated rows are scanned alike; an empty table gives no rows.
+    spans; very long ones are scanned whole, in time linear in their length;
+    repeated rows are scanned alike; columns of any name stay apart in ``doc``;
+    an empty table gives no rows.
     """
-    with open(vocabulary, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    try:
+        with open(vocabulary, "rb") as f:
+            shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    except FileNotFoundError as missing:
+        raise FileNotFoundError(f"parameter vocabulary: no file {vocabulary} on the driver") from missing
 
     def make():
         encoding = _encoding(shared.value)
