@@ -28,7 +28,7 @@ TERM_RANKS = 10
 #: Whole that shares are parts of, and what is added to every count.
 SCALE, SMOOTH = 1_000_000_000, 2
 #: Postings of a block of the index, about; a task holds one block.
-BLOCK_POSTINGS = 1 << 19
+BLOCK_POSTINGS = 1 << 16
 #: Accumulator cells that one task gives back, about.
 CELLS = 1 << 21
 #: Counts that a task holds before it hands them on.
