@@ -1,0 +1,135 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from condofin.llm import manifest as M
+
+from .brute import FOLD
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        last = out[-1]
+        out.append([sha("".join(last[i:i + 8])) for i in range(0, len(last), 8)])
+    return out
+
+
+def path(tree, i):
+    out = []
+    for level in tree[:-1]:
+        first = i - i % 8
+        out.append((level[first:i], level[i + 1:first + 8]))
+        i //= 8
+    return out
+
+
+def brute(rows):
+    """rows: (doc_id, source, lang, n_chars, text) -> sorted result rows."""
+    by_lang = {}
+    for r in rows:
+        by_lang.setdefault(r[2], []).append((r[0], leaf(r), r))
+    order = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang, of in by_lang.items():
+        of.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[lang] = levels([x[1] for x in of])
+    top = levels([trees[lang][-1][0] for lang in order])
+    out = []
+    for k, lang in enumerate(order):
+        for i, (doc_id, own, r) in enumerate(by_lang[lang]):
+            beside = path(trees[lang], i) + path(top, k)
+            cur = own
+            if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0 and r[4] is not None:
+                cur = leaf((*r[:4], r[4].translate(FOLD)))
+            for before, after in beside:
+                cur = sha("".join([*before, cur, *after]))
+            proof = sha("".join("".join(a + b) for a, b in beside))
+            out.append((doc_id, own, trees[lang][-1][0], top[-1][0], proof, cur, cur == top[-1][0]))
+    return sorted(out, key=repr)
+
+
+def digests(docs):
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    made = M.build(docs, shown={"text": F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered)
+                                .otherwise(F.col("text"))})
+    return made, sorted(((r["doc"]["doc_id"], r["leaf"].hex(), r["subroot"].hex(), made.root.hex(), r["proof_sha256"].hex(),
+                          r["folded_root"].hex(), bytes(r["folded_root"]) == made.root) for r in M.prove(made).collect()), key=repr)
+
+
+def plain(docs):
+    return [tuple(r) for r in docs.select(*M.COLUMNS).collect()]
+
+
+def random_rows(n, seed):
+    rng = random.Random(seed)
+    langs = ["en"] * 8 + ["de", "fr", None, "", "é", "Zz", "\U0001F600"] + [f"l{i}" for i in range(12)]
+    return [(rng.choice([rng.randrange(-50, 5000), rng.randrange(9)]), rng.choice(["Text A%d" % i, "lower", "", None]),
+             rng.choice(langs), rng.choice(["s", None, ""])) for i in range(n)]
+
+
+@pytest.mark.parametrize("leaves", [4096, 37, 1])
+def test_against_brute_force(make_docs, monkeypatch, leaves):
+    monkeypatch.setattr(M, "LEAVES", leaves)
+    docs = make_docs(random_rows(700 if leaves > 1 else 90, leaves), extra=True)
+    made, got = digests(docs)
+    assert got == brute(plain(docs))
+    assert made.nodes.where("level = 0 and tree > 0").count() == len(got)
+
+
+def test_edges(make_docs, edges):
+    docs = make_docs([(i, t, None if (i or 0) % 2 else "en", "s") for i, t in edges], extra=True)
+    assert digests(docs)[1] == brute(plain(docs))
+    one = make_docs([(4, "Alone")])
+    made, got = digests(one)
+    assert got == brute(plain(one)) and got[0][1] == got[0][2] == got[0][3]
+    empty = M.build(make_docs([]))
+    assert empty.root is None and empty.trees == 0 and M.prove(empty).count() == 0
+    same = make_docs([(5, "Same")] * 40 + [(None, None)] * 9)
+    assert digests(same)[1] == brute(plain(same))
+
+
+def test_missing_is_the_least_set():
+    rng = random.Random(8)
+    for size in (1, 2, 8, 9, 64, 65, 700):
+        for _ in range(20):
+            wanted = sorted(rng.sample(range(size), rng.randint(1, min(size, 30))))
+            asked = M.missing(np.array(wanted), size)
+            # every path node, and what the octopus needs beside them
+            have, n = set(wanted), size
+            for at in asked:
+                runs = {i for h in have for i in range(h - h % 8, min(n, h - h % 8 + 8))}
+                assert set(at.tolist()) == runs - have
+                have, n = {h // 8 for h in have}, -(-n // 8)
+            assert n == 1
+
+
+def test_proofs_of_some_leaves(make_docs):
+    docs = make_docs(random_rows(500, 3))
+    made = M.build(docs)
+    some = M.prove(made, wanted=F.col("doc.doc_id") % 7 == 0, proofs=True).collect()
+    assert len(some) == docs.where("doc_id % 7 = 0").count()
+    for r in some:
+        cur = r["leaf"].hex()
+        for step in r["proof"]:
+            cur = sha("".join([*step["siblings"][:step["place"]], cur, *step["siblings"][step["place"]:]]))
+        assert cur == made.root.hex() and bytes(r["folded_root"]) == made.root
+
+
+def test_foreign_nodes_are_noticed(make_docs):
+    made = M.build(make_docs(random_rows(200, 3)))
+    made.nodes = made.nodes.withColumn("digest", F.when(F.col("level") == 0, F.lit(b"\0" * 32)).otherwise(F.col("digest")))
+    with pytest.raises(Exception, match="don't lead to"):
+        M.prove(made, wanted=F.col("idx") == 0).collect()
