@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..model import SHARE, VALID_PAYMENT_STATES
+from .exact import quotient
 
 # Spanish month names in calendar order (pivot columns of the
 # unit/month report and the month text of the service-cost file).
@@ -44,9 +45,19 @@ def money_out(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 
 
-def share(amount: Column, part: Column, base: Column) -> Column:
-    """``amount * part / base`` in DOUBLE, fixed to DECIMAL(38,6) per row."""
-    return (amount.cast("double") * part.cast("double") / base.cast("double")).cast(SHARE)
+def shares(amount: Column, parts: list[Column], base: Column) -> list[Column]:
+    """``amount`` split in proportion to ``parts``, which sum to ``base``:
+    DECIMAL(38,6) shares that add up to it exactly.
+
+    Each is the difference of two exact quotients, of the parts up to it and
+    before it, so none is off by more than one unit of the last place."""
+    upto, out = None, []
+    for i, part in enumerate(parts):
+        before = upto
+        whole = part if i == 0 else whole + part
+        upto = amount.cast(SHARE) if i == len(parts) - 1 else quotient(amount, whole, base)
+        out.append(upto if before is None else (upto - before).cast(SHARE))
+    return out
 
 
 def month_name(month: Column) -> Column:

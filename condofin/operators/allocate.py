@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import quotient
 from ..model import live
 
 
@@ -28,12 +29,13 @@ def unit_weights(units: DataFrame) -> DataFrame:
 
 
 def prorate(numerator: F.Column, coef_total: F.Column) -> F.Column:
-    """``numerator / coef_total`` as one DOUBLE division, 0 if total <= 0.
+    """``numerator / coef_total``, exact to the sixth decimal place and then
+    DOUBLE; 0 if the total is not positive.
 
     ``numerator`` is the exact sum of ``amount * coeficiente``.
     """
-    return F.when(coef_total > 0, numerator.cast("double") / coef_total.cast("double")) \
-            .otherwise(F.lit(0.0))
+    exact = quotient(numerator, F.lit(1), coef_total)
+    return F.when(coef_total > 0, exact.cast("double")).otherwise(F.lit(0.0))
 
 
 def prorate_by_coefficient(amounts: DataFrame, units: DataFrame,

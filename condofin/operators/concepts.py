@@ -15,7 +15,7 @@ to the aggregate.  Counts multiply, so totals widen to DECIMAL(38,6).
 Payment split
 -------------
 A live payment in a valid state on a live bill is shared over the concepts in
-proportion to the bill's totals; when the totals add up to 0 (or the bill has
+proportion to the bill's totals, in shares that add up to it exactly; when the totals add up to 0 (or the bill has
 no charges) everything is ordinary.  The bills that have such a payment are
 found first; only their charges are aggregated (a semi-join below the
 ``groupBy``).  Payment, bill and charge aggregate all join on ``expensa_id``.  A payment-heavy bill is a skewed join key; AQE splits it.
@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_range, share, sum_money, valid_state
+from ..functions.columns import in_range, shares, sum_money, valid_state
 from ..model import CONCEPTS, SHARE, WIDE_MONEY, Tables, live
 from ..params import ReportParams
 from ..sources.tables_io import year_filter
@@ -88,14 +88,14 @@ def concept_totals(tables: Tables, concepts=CONCEPTS[:2], fanout: str = "referen
 
 
 def split_columns(amount: Column, concepts) -> list[Column]:
-    """Shares of ``amount`` per concept from the ``total_*`` columns."""
+    """Shares of ``amount`` per concept from the ``total_*`` columns; they add
+    up to it."""
     totals = [F.col(TOTAL_NAMES[c]) for c in concepts]
     base = reduce(lambda a, b: a + b, totals)
     out = []
-    for i, c in enumerate(concepts):
+    for i, (c, part) in enumerate(zip(concepts, shares(amount, totals, base))):
         fallback = amount.cast(SHARE) if i == 0 else F.lit(0).cast(SHARE)
-        out.append(F.when(base > 0, share(amount, totals[i], base))
-                   .otherwise(fallback).alias(SHARE_NAMES[c]))
+        out.append(F.when(base > 0, part).otherwise(fallback).alias(SHARE_NAMES[c]))
     return out
 
 

@@ -7,9 +7,9 @@ owner-days, payments by ordinal).  The fan-out product itself is checked
 against loops over the charges in the tests.
 
 Numeric conventions shared with the Spark side (so both engines hash alike):
-money is summed as exact DECIMAL; a payment share is ``importe * part / base``
-in DOUBLE, fixed to DECIMAL(38,6) per row before summing; outputs are
-``CAST(ROUND(exact_sum, 2) AS DOUBLE)``; means and pro-rata quotients are one
+money is summed as exact DECIMAL; payment shares are differences of exact
+quotients rounded to six places, so they add up; pro-rata quotients are exact to
+six places; outputs are ``CAST(ROUND(exact_sum, 2) AS DOUBLE)``; means are one
 DOUBLE division of exact sums.
 """
 
@@ -97,8 +97,18 @@ def _money(expr: str) -> str:
 
 
 def _share(amount: str, part: str, base: str) -> str:
-    return (f"CAST(CAST({amount} AS DOUBLE) * CAST({part} AS DOUBLE) / CAST({base} AS DOUBLE)"
-            f" AS DECIMAL(38,6))")
+    """amount * part / base (not negative, two decimals each) in whole units of
+    10^-6, halves up."""
+    a, p, q = (f"CAST({x} * {by} AS HUGEINT)" for x, by in ((amount, 1000000), (f"({part})", 100), (base, 100)))
+    return f"CAST((2 * {a} * {p} + {q}) // (2 * {q}) AS DECIMAL(32,0)) * 0.000001"
+
+
+def prorated(weighted: str, total: str) -> str:
+    """weighted (six decimals) over total (four decimals) in whole units of
+    10^-6, halves up, as DOUBLE; 0 if the total is not positive."""
+    n, q = f"CAST({weighted} * 1000000 AS HUGEINT)", f"CAST({total} * 10000 AS HUGEINT)"
+    return (f"CASE WHEN {total} > 0 THEN CAST(CAST((20000 * {n} + {q}) // (2 * {q}) AS DECIMAL(32,0)) * 0.000001 AS DOUBLE) "
+            "ELSE 0.0 END")
 
 
 def _range(col: str, d_from: str, d_to: str) -> str:
@@ -143,11 +153,13 @@ def classified_payments_sql(concepts: int, d_from: str, d_to: str, building=None
     """CTEs of :func:`totals_sql` and ``clasificados``: the valid payments of
     the range, each shared over its bill's concepts; a bill without a positive
     base takes all of it as ordinary."""
-    shares = []
+    shares, before = [], "0"
     for i, n in enumerate(TOTALS[:concepts]):
         nothing = "importe" if i == 0 else "0"
-        shares.append(f"CASE WHEN base > 0 THEN {_share('importe', n, 'base')} "
+        upto = _share("importe", " + ".join(TOTALS[:i + 1]), "base")
+        shares.append(f"CASE WHEN base > 0 THEN CAST({upto} - {before} AS DECIMAL(38,6)) "
                       f"ELSE CAST({nothing} AS DECIMAL(38,6)) END AS share_{n.split('_')[1]}")
+        before = upto
     return f"""{totals_sql(concepts, fanout)},
 clasificados AS (
   SELECT pago_id, consorcio_id, fecha, importe AS importe_total,
