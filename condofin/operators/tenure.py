@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.crypto import decrypt_text
 from ..model import live
+from .windows import materialize
 
 MASK_PREFIX = "ENC-"
 
@@ -66,18 +67,60 @@ def valid_on(date_col: Column) -> Column:
         F.col("fecha_hasta").isNull() | (F.col("fecha_hasta") >= date_col))
 
 
+#: Days of the calendar that a hot key is split over: 2 ** LEVELS, from before
+#: 1970 on; dates beyond count as its ends, and the residual decides on them.
+LEVELS = 21
+
+
+def _day(c: Column) -> Column:
+    """Day number in the calendar, 0 to 2 ** LEVELS - 1."""
+    day = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")) + (1 << (LEVELS - 1))
+    return F.greatest(F.least(day, F.lit((1 << LEVELS) - 1)), F.lit(0)).cast("bigint")
+
+
+def _spans(lo: Column, hi: Column) -> Column:
+    """The fewest aligned spans (level, place) of 2 ** level days that make up
+    the days ``lo`` to ``hi``: at most two of a level."""
+    found = []
+    for level in range(LEVELS + 1):
+        first = F.shiftright(lo + ((1 << level) - 1), level)
+        end = F.shiftright(hi + 1, level)
+        for at, odd in ((first, first), (end - 1, end)):
+            found.append(F.when((first < end) & (odd % 2 == 1), F.struct(F.lit(level).alias("level"), at.alias("place"))))
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
 def tenure_as_of(events: DataFrame, tenures: DataFrame, key: str, date_col: str,
-                 role: str | None = None, keep: tuple[str, ...] = ("persona_id", "uf_id")) -> DataFrame:
+                 role: str | None = None, keep: tuple[str, ...] = ("persona_id", "uf_id"),
+                 hot: int | None = None) -> DataFrame:
     """Each event with every tenure valid on its date (equi key + range).
 
     ``key`` is ``persona_id`` or ``uf_id``; the range condition is a residual
     of the equi-join (hash or sort-merge, never a nested loop).  Overlapping
     tenures yield one row each, as in the reports.
+
+    With ``hot``, keys that have more than so many tenures are split by time:
+    such a tenure is cut into aligned spans of days, an event belongs to one
+    span of each level, and they meet on (key, level, place), each pair once.
+    So events and tenures that don't meet in time are never compared, and one
+    key's work is spread.  The rows are the same either way.
     """
     t = tenures
     if role is not None:
         t = t.filter(F.col("tipo_titularidad") == role)
     cols = [c for c in keep if c != key and c not in events.columns]
     t = t.select(F.col(key).alias("k__t"), *cols, "fecha_desde", "fecha_hasta")
-    j = events.join(t, (events[key] == t["k__t"]) & valid_on(events[date_col]))
-    return j.drop("k__t", "fecha_desde", "fecha_hasta")
+    if hot is None:
+        j = events.join(t, (events[key] == t["k__t"]) & valid_on(events[date_col]))
+        return j.drop("k__t", "fecha_desde", "fecha_hasta")
+    # at most one key in `hot` tenures
+    crowded = materialize(t.groupBy("k__t").count().where(F.col("count") > hot).select("k__t"))
+    few = t.join(crowded, "k__t", "left_anti")
+    plain = events.join(few, (events[key] == few["k__t"]) & valid_on(events[date_col])).drop("k__t", "fecha_desde", "fecha_hasta")
+    last = F.coalesce(_day(F.col("fecha_hasta")), F.lit((1 << LEVELS) - 1).cast("bigint"))
+    spans = t.join(crowded, "k__t", "left_semi").select("*", F.explode(_spans(_day(F.col("fecha_desde")), last)).alias("s__t"))
+    places = F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(_day(F.col(date_col)), level).alias("place"))
+                       for level in range(LEVELS + 1)])
+    met = (events.join(crowded.withColumnRenamed("k__t", key), key, "left_semi").select(*events.columns, F.explode(places).alias("s__e")))
+    split = met.join(spans, (met[key] == spans["k__t"]) & (F.col("s__e") == F.col("s__t")) & valid_on(F.col(date_col)))
+    return plain.unionByName(split.select(*plain.columns))

@@ -39,6 +39,17 @@ def unit_accounts_text(tables: Tables) -> DataFrame:
                                 "piso", "depto").alias("value"))
 
 
+def write_accounts_file(tables: Tables, path: str) -> None:
+    """The lines of :func:`unit_accounts_text` as files with their header."""
+    _write_delimited(unit_accounts_text(tables), path, S.ACCOUNT_FIELDS, "|")
+
+
+def _write_delimited(lines: DataFrame, path: str, fields: tuple[str, ...], sep: str) -> None:
+    parts = F.split("value", rf"\{sep}" if sep == "|" else sep)
+    (lines.select(*[parts[i].alias(f) for i, f in enumerate(fields)])
+     .write.option("header", True).option("sep", sep).option("emptyValue", "").csv(path))
+
+
 # ------------------------------------------------------------------ W20
 def units_text(tables: Tables) -> DataFrame:
     """One tab-separated line per live unit with its accessories."""
@@ -57,7 +68,24 @@ def units_text(tables: Tables) -> DataFrame:
         _comma(F.coalesce("m2_c", F.lit(0).cast("decimal(10,2)")))).alias("value"))
 
 
+def write_units_file(tables: Tables, path: str) -> None:
+    """The lines of :func:`units_text` as files with their header."""
+    _write_delimited(units_text(tables), path, S.UNIT_FIELDS, "\t")
+
+
 # ------------------------------------------------------------------ W21
+def write_cost_arrays(docs: DataFrame, path: str) -> None:
+    """JSON documents (``value``) as a file with one JSON array for each building."""
+    building = F.get_json_object("value", f"$['{S.BUILDING_FIELD}']")
+    of_one = Window.partitionBy("consorcio")
+    n, total = F.row_number().over(of_one.orderBy("value")), F.count(F.lit(1)).over(of_one)
+    lines = docs.select("value", building.alias("consorcio")).select(
+        "consorcio", n.alias("n"), F.concat(F.when(n == 1, "[").otherwise(","), F.col("value"),
+                                            F.when(n == total, "]").otherwise("")).alias("value"))
+    (lines.repartition("consorcio").sortWithinPartitions("consorcio", "n").drop("n")
+     .write.partitionBy("consorcio").text(path))
+
+
 def service_cost_documents(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Monthly cost documents per building, derived from line items.
 

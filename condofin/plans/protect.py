@@ -22,12 +22,15 @@ gives other bytes).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.crypto import decrypt_text, encrypt_text, token
 from ..model import Tables
 from ..operators.windows import dense_row_number
+from ..sources.tables_io import log_append, log_entries, rewrite_partitions
 
 # Mask text and account-mask format.
 MASKED_EMAIL = "[CIFRADO]"
@@ -116,3 +119,89 @@ def protect_tables(tables: Tables, key: Column, token_key: Column | None = None,
     prot.pago.write.mode("overwrite").parquet(f"{base}/pago")
     return prot.replace(persona=spark.read.parquet(f"{base}/persona"),
                         pago=spark.read.parquet(f"{base}/pago"))
+
+
+# ------------------------------------------------- protection of stored tables
+#: Stored tables: id, protected account column, clear columns, partition column.
+_STORED = {"persona": ("persona_id", "cbu_cvu", "tramo"), "pago": ("pago_id", "cbu_cvu_origen", "mes")}
+#: Persons are stored in ranges of so many ids.
+PERSONS_IN_RANGE = 1_000_000
+LEDGER = "numeracion"
+
+
+def store_for_protection(tables: Tables, base: str, names: tuple[str, ...] = ("persona", "pago")) -> None:
+    """Append persons by ranges of ids and payments by month, with the columns
+    of ciphertext and tokens still NULL: what :func:`protect_stored` updates."""
+    base = base.rstrip("/")
+    none = {"string": F.lit(None).cast("string"), "binary": F.lit(None).cast("binary")}
+    per = tables.persona.withColumns({f"{c}_enc": none["binary"] for c in PERSON_PROTECTED} | {"cbu_cvu_tok": none["string"]})
+    pay = tables.pago.withColumns({"cbu_cvu_origen_enc": none["binary"], "cbu_cvu_origen_tok": none["string"]})
+    parts = {"persona": per.withColumn("tramo", F.floor(F.col("persona_id") / PERSONS_IN_RANGE).cast("bigint")),
+             "pago": pay.withColumn("mes", F.date_format("fecha", "yyyy-MM"))}
+    for name in names:
+        column = _STORED[name][2]
+        parts[name].repartition(column).write.mode("append").partitionBy(column).parquet(f"{base}/{name}")
+
+
+def _clear(table: str) -> Column:
+    """Live rows that are not masked yet."""
+    return ~F.col("borrado") & ~F.coalesce(F.col(_STORED[table][1]).startswith(MASK_PREFIX), F.lit(False))
+
+
+def protect_stored(spark: SparkSession, base: str, key: Column, token_key: Column) -> dict[str, list]:
+    """W16 and W17 on stored tables, batch after batch.
+
+    Only partitions that hold clear live rows are read and rewritten; rows that
+    are protected keep their bytes.  Mask numbers of a batch continue after
+    those given before: a ledger beside the tables has one small entry for each
+    batch (first number, how many), written before the rows are, so a run that
+    stops half-way leaves a gap and never gives a number twice.  Returns the
+    partitions rewritten, by table."""
+    base, out = base.rstrip("/"), {}
+    for table, (id_col, account, partition) in _STORED.items():
+        def change(rows: DataFrame, table=table, id_col=id_col, account=account) -> DataFrame:
+            clear = _clear(table)
+            # numbers of the ids, written once: the count and the join see the same
+            numbers = dense_row_number(rows.where(clear).select(id_col), id_col, "rn__mask")
+            folder = f"{base}/{LEDGER}/{table}"
+            entries = [json.loads(e) for e in log_entries(spark, folder)]
+            start = sum(e["filas"] for e in entries)
+            log_append(spark, folder, json.dumps({"desde": start + 1, "filas": numbers.count()}), len(entries))
+            protected = (PERSON_PROTECTED if table == "persona" else (account,))
+            columns = {f"{c}_enc": F.when(clear & F.col(c).isNotNull(), encrypt_text(F.col(c), key)).otherwise(F.col(f"{c}_enc"))
+                       for c in protected}
+            columns[f"{account}_tok"] = F.when(clear & F.col(account).isNotNull(), token(F.col(account), token_key)) \
+                .otherwise(F.col(f"{account}_tok"))
+            columns[account] = F.when(clear, _mask(F.lit(start) + F.col("rn__mask"))).otherwise(F.col(account))
+            if table == "persona":
+                columns |= {c: F.when(clear, F.lit(0).cast(rows.schema[c].dataType)).otherwise(F.col(c)) for c in ("dni", "telefono")}
+                columns["email"] = F.when(clear, F.lit(MASKED_EMAIL)).otherwise(F.col("email"))
+            return rows.join(numbers, id_col, "left").withColumns(columns)
+        out[table] = rewrite_partitions(spark, f"{base}/{table}", partition, _clear(table), change)
+    return out
+
+
+#: Views of :func:`open_views`.
+PERSONS_VIEW, KEY_VIEW = "persona_descifrada", "llave_abierta"
+
+
+def open_views(persons: DataFrame, key: bytes | None) -> None:
+    """W18 as a SQL view: ``persona_descifrada`` decrypts with the key that the
+    view ``llave_abierta`` holds when it is read, not when it was made; with no
+    key (:func:`close_key`) the protected columns are NULL."""
+    spark = persons.sparkSession
+    _key_view(spark, key)
+    persons.createOrReplaceTempView("persona_cifrada")
+    columns = {"dni": "bigint", "email": "string", "telefono": "bigint", "cbu_cvu": "string"}
+    clear = ", ".join(f"try_cast(CAST(try_aes_decrypt({c}_enc, (SELECT k FROM {KEY_VIEW}), 'GCM') AS STRING) AS {kind}) AS {c}"
+                      for c, kind in columns.items())
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {PERSONS_VIEW} AS "
+              f"SELECT persona_id, nombre, apellido, {clear} FROM persona_cifrada")
+
+
+def _key_view(spark: SparkSession, key: bytes | None) -> None:
+    spark.createDataFrame([(None if key is None else bytearray(key),)], "k binary").createOrReplaceTempView(KEY_VIEW)
+
+
+def close_key(spark: SparkSession) -> None:
+    _key_view(spark, None)
