@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from ..model import Tables
 from ..params import ReportParams
+from ..session import scratch_scope
 from . import reports as R
 from . import xml_out as X
 
@@ -58,6 +59,14 @@ def call(name: str, tables: Tables, mode: str = "clear", key=None, **params):
     raise KeyError(f"unknown report {name!r}")
 
 
+def run(name: str, tables: Tables, store, mode: str = "clear", key=None, **params):
+    """Run report ``name`` and hand its result to ``store`` (a function that
+    writes or collects it); the report's intermediate tables are deleted when
+    ``store`` is done.  Returns what ``store`` returns."""
+    with scratch_scope(tables.pago.sparkSession):
+        return store(call(name, tables, mode, key, **params))
+
+
 def names() -> list[str]:
     return [WEEKLY, BY_UNIT_MONTH, BY_SOURCE, TOP_MONTHS, TOP_DEBTORS, DAYS_BETWEEN,
             WEEKLY_XML, BY_SOURCE_XML]

@@ -23,12 +23,12 @@ the caller says which.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import Tables
-from ..operators.windows import dense_row_number, materialize
+from ..operators.windows import dense_row_number
 from ..params import ReportParams
 from . import reports as R
 
@@ -77,40 +77,44 @@ def _rows(df: DataFrame, row_tag: str, keys: list) -> DataFrame:
 
 def weekly_cash_flow_xml_rows(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
     """W09 per row: ``consorcio_id, Anio, Semana, xml``."""
-    s = weekly_cash_flow_struct(tables, params)
-    return _rows(s, W09_ROW, [F.col("_consorcio_id").alias("consorcio_id"), "Anio",
-                              F.col("Semana").alias("Semana")]).orderBy("consorcio_id", "Anio", "Semana")
+    return _weekly_rows(tables, params).orderBy("consorcio_id", "Anio", "Semana")
+
+
+def _weekly_rows(tables: Tables, params: ReportParams) -> DataFrame:
+    return _rows(weekly_cash_flow_struct(tables, params), W09_ROW,
+                 [F.col("_consorcio_id").alias("consorcio_id"), "Anio", F.col("Semana").alias("Semana")])
 
 
 def collections_by_source_xml_rows(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
     """W10 per row: ``consorcio_id, Anio, Mes, xml``."""
-    s = collections_by_source_struct(tables, params)
-    return _rows(s, W10_ROW, [F.col("_consorcio_id").alias("consorcio_id"),
-                              F.col("Periodo.Anio").alias("Anio"), F.col("Periodo.Mes").alias("Mes")]
-                 ).orderBy("consorcio_id", "Anio", "Mes")
+    return _source_rows(tables, params).orderBy("consorcio_id", "Anio", "Mes")
+
+
+def _source_rows(tables: Tables, params: ReportParams) -> DataFrame:
+    return _rows(collections_by_source_struct(tables, params), W10_ROW,
+                 [F.col("_consorcio_id").alias("consorcio_id"),
+                  F.col("Periodo.Anio").alias("Anio"), F.col("Periodo.Mes").alias("Mes")])
 
 
 def _document(rows: DataFrame, root: str, keys: list[str]) -> DataFrame:
     """``line, xml``: the root's opening tag, the rows in the order of ``keys``
     and the closing tag.  Numbers come from the distributed row number, so no
-    task holds the document; ordered by ``line`` it is one document."""
-    spark = rows.sparkSession
-    body = dense_row_number(rows, keys, "line").select("line", "xml")
-    n = rows.count()
-    ends = spark.createDataFrame([(0, f"<{root}>"), (n + 1, f"</{root}>")], "line bigint, xml string")
+    task holds the document; ordered by ``line`` it is one document.  The rows
+    are sorted and written once; their number comes with that write."""
+    spark, seen = rows.sparkSession, Observation()
+    body = dense_row_number(rows, keys, "line", watch=seen, metrics=(F.count(F.lit(1)).alias("n"),)).select("line", "xml")
+    ends = spark.createDataFrame([(0, f"<{root}>"), (seen.get["n"] + 1, f"</{root}>")], "line bigint, xml string")
     return body.unionByName(ends).orderBy("line")
 
 
 def weekly_cash_flow_xml(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
     """W09 as one document (see :func:`_document`)."""
-    return _document(materialize(weekly_cash_flow_xml_rows(tables, params)), W09_ROOT,
-                     ["consorcio_id", "Anio", "Semana"])
+    return _document(_weekly_rows(tables, params), W09_ROOT, ["consorcio_id", "Anio", "Semana"])
 
 
 def collections_by_source_xml(tables: Tables, params: ReportParams = ReportParams()) -> DataFrame:
     """W10 as one document (see :func:`_document`)."""
-    return _document(materialize(collections_by_source_xml_rows(tables, params)), W10_ROOT,
-                     ["consorcio_id", "Anio", "Mes"])
+    return _document(_source_rows(tables, params), W10_ROOT, ["consorcio_id", "Anio", "Mes"])
 
 
 def write_xml_document(df: DataFrame, path: str, root_tag: str, row_tag: str,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -93,10 +94,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 SCRATCH = "condofin-tables"
 
+#: Open scopes of an application, the innermost last: paths of the tables
+#: written since each was opened.
+_SCOPES: dict[str, list[list[str]]] = {}
+
 
 def scratch_table(spark: SparkSession) -> str:
     """A new path for an intermediate table in the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}/{uuid.uuid4().hex}"
+    scopes = _SCOPES.get(spark.sparkContext.applicationId)
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables that are written inside are deleted at the end.
+
+    For one report or job: compute and store its result inside, as DataFrames
+    that still read such a table can't be computed again afterwards.  Scopes
+    may be nested; an inner one deletes what was written in it alone."""
+    scopes = _SCOPES.setdefault(spark.sparkContext.applicationId, [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remove_scratch(spark: SparkSession) -> bool:
@@ -104,5 +134,4 @@ def remove_scratch(spark: SparkSession) -> bool:
 
     For the end of a job: DataFrames that still read them cannot be computed
     again afterwards."""
-    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")
-    return base.getFileSystem(spark._jsc.hadoopConfiguration()).delete(base, True)
+    return _delete(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{SCRATCH}")

@@ -244,6 +244,48 @@ assert remove_scratch(spark) and not os.path.exists(folder)
     assert run.returncode == 0, run.stderr[-1500:]
 
 
+def scratch_folders(spark):
+    return set(glob.glob(os.path.join(spark.sparkContext.getCheckpointDir().removeprefix("file:"), "condofin-tables", "*")))
+
+
+def test_a_report_leaves_no_scratch(spark):
+    """Every procedure, computed and stored, deletes what it wrote."""
+    from condofin.plans.procedures import BY_UNIT_MONTH, TOP_MONTHS, names, run
+    from condofin.session import scratch_scope
+    t = make_tables(spark, consorcio=[(1, "B", "c", 1, None, False)], unidad=[unit(1)], persona=[person(1, "1" * 22)],
+                    titularidad=[tenure(1, 1, "2020-01-01")], expensa=[bill(1, 1)], charges=[charge(1, ORDINARIO, 10), charge(1, MORA, 3)],
+                    pago=[payment(1, 1, "2025-01-06 00:00:00", 10, account="1" * 22)])
+    before = scratch_folders(spark)
+    written = []
+
+    def store(result):
+        written.append(len(scratch_folders(spark) - before))
+        return [df.collect() for df in (result if isinstance(result, tuple) else (result,))]
+    for name in names():
+        asked = {"Anio": 2025} if name == BY_UNIT_MONTH else {"FechaDesde": "2025-01-01", "FechaHasta": "2025-12-31"}
+        rows = run(name, t, store, **asked)
+        assert scratch_folders(spark) == before
+        with scratch_scope(spark):
+            direct = call(name, t, **asked)
+            assert rows == [df.collect() for df in (direct if name == TOP_MONTHS else (direct,))]
+    assert sum(written) > 3
+
+
+def test_scopes_nest(spark):
+    from condofin.operators.windows import materialize
+    from condofin.session import scratch_scope
+    before = scratch_folders(spark)
+    with scratch_scope(spark):
+        kept = materialize(spark.range(3))
+        with pytest.raises(ValueError), scratch_scope(spark):
+            materialize(spark.range(4))
+            raise ValueError
+        assert kept.count() == 3 and len(scratch_folders(spark) - before) == 1
+    assert scratch_folders(spark) == before
+    free = materialize(spark.range(2))  # outside a scope tables stay
+    assert len(scratch_folders(spark) - before) == 1 and free.count() == 2
+
+
 def test_xml_reports_are_documents(spark):
     import xml.etree.ElementTree as ET
     t = make_tables(spark, consorcio=[(b, f"B{b}", "c", 1, None, False) for b in (1, 2)],
