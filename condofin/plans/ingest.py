@@ -118,10 +118,13 @@ class RegistrationError(ValueError):
 
 @dataclass(frozen=True)
 class NewEntities:
-    """The rows of a registration, with their ids, each written once."""
+    """The rows of a registration, with their ids, each written once, and the
+    rows of the batch that have something wrong: ``entidad, falla, nombre,
+    direccion, piso, depto``."""
     consorcio: DataFrame
     unidad: DataFrame
     accesoria: DataFrame
+    fallas: DataFrame | None = None
 
 
 def commit_registered(new: NewEntities, base: str, seen: int | None = None) -> int:
@@ -189,10 +192,12 @@ def resolve_entities(tables: Tables, buildings: DataFrame, units: DataFrame, acc
     wrong: an unresolved key, or a natural key that is registered already or
     stands twice in the batch.  With ``check`` the marks, counted by that very
     write (``Dataset.observe``), raise :class:`RegistrationError` before the
-    next batch is looked at; no check is a job of its own.
+    next batch is looked at; no check is a job of its own.  Without, unresolved
+    rows are left out, repeated ones are not, and ``fallas`` has both.
     """
     address, place = ["nombre", "direccion"], ["consorcio_id", "piso", "depto"]
     seen_b, seen_u, seen_a = Observation(), Observation(), Observation()
+    resolved = ~F.col(_UNRESOLVED)
 
     marked = _checked(buildings, address, tables.consorcio)
     b = _next_ids(marked, address, tables.consorcio, "consorcio_id", seen_b)
@@ -202,24 +207,35 @@ def resolve_entities(tables: Tables, buildings: DataFrame, units: DataFrame, acc
                      F.col("cant_m2_total").cast("decimal(10,2)"), F.lit(False).alias("borrado"))
     bkey = tables.consorcio.select("consorcio_id", *address).unionByName(new_b.select("consorcio_id", *address))
 
-    marked = _checked(units.join(bkey, address, "left" if check else "inner"), place, live(tables.unidad), "consorcio_id")
-    u = _next_ids(marked, place, tables.unidad, "uf_id", seen_u)
+    marked = _checked(units.join(bkey, address, "left"), place, live(tables.unidad), "consorcio_id")
+    # unresolved rows come last, so they take no number that another would have
+    u = _next_ids(marked, [_UNRESOLVED, *place], tables.unidad, "uf_id", seen_u)
     if check:
         _raise_faults(seen_u.get, u, "unit", "building", place, address)
-    new_u = u.select("uf_id", "consorcio_id", "piso", "depto", F.col("cant_m2").cast("decimal(10,2)"),
-                     F.col("coeficiente").cast("decimal(9,4)"), F.lit(False).alias("borrado"))
+    new_u = u.where(resolved).select(
+        "uf_id", "consorcio_id", "piso", "depto", F.col("cant_m2").cast("decimal(10,2)"),
+        F.col("coeficiente").cast("decimal(9,4)"), F.lit(False).alias("borrado"))
     # a new unit's building is beside it; stored units look theirs up
     ukey = (tables.unidad.select("uf_id", *place).join(bkey, "consorcio_id").select("uf_id", *address, "piso", "depto")
-            .unionByName(u.select("uf_id", *address, "piso", "depto")))
+            .unionByName(u.where(resolved).select("uf_id", *address, "piso", "depto")))
 
     where = [*address, "piso", "depto"]
-    resolved = accessories.join(ukey, where, "left" if check else "inner")
     kind = ["uf_id", "tipo_accesorio"]
-    a = materialize(_checked(resolved, kind, tables.accesoria, "uf_id").observe(seen_a, *_metrics()))
+    a = materialize(_checked(accessories.join(ukey, where, "left"), kind, tables.accesoria, "uf_id").observe(seen_a, *_metrics()))
     if check:
         _raise_faults(seen_a.get, a, "accessory", "unit", kind, where)
-    new_a = a.select("uf_id", F.col("m2_accesorio").cast("decimal(10,2)"), "tipo_accesorio")
-    return NewEntities(new_b, new_u, new_a)
+    new_a = a.where(resolved).select("uf_id", F.col("m2_accesorio").cast("decimal(10,2)"), "tipo_accesorio")
+    return NewEntities(new_b, new_u, new_a, _faults({"consorcio": b, "unidad": u, "accesoria": a}))
+
+
+def _faults(written: dict[str, DataFrame]) -> DataFrame:
+    out = None
+    for name, df in written.items():
+        where = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("nombre", "direccion", "piso", "depto")]
+        code = F.when(F.col(_UNRESOLVED), "sin_padre").when(F.col(_REPEATED), "repetida")
+        one = df.select(F.lit(name).alias("entidad"), code.alias("falla"), *where).where(F.col("falla").isNotNull())
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def register_entities(tables: Tables, buildings: DataFrame, units: DataFrame,
