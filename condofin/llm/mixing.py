@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.windows import dense_row_number
+from ..operators.windows import dense_row_number, expand_counts
 from .common import materialize
 
 #: Weights of the sources in code-point order, repeating.
@@ -29,6 +29,8 @@ BROADCAST_SOURCES = 100_000
 #: Fractional documents of a block, from its largest to its smallest, that its flight
 #: leaves alone: they and what the last flight leaves are the landing problem.
 RESERVE = 14
+#: Equal rows that one row of a chunk stands for.
+CHUNK = 10_000
 EPS = 1e-9
 
 
@@ -128,7 +130,7 @@ def _flights(units: DataFrame, level: int, last: bool) -> DataFrame:
         source, block = key[0].as_py(), key[1].as_py()
         table = table.drop_columns(["block"])
         order = table.append_column("at", pa.array(range(len(table)))).sort_by(
-            [("size", "descending"), ("tie", "ascending")]).column("at").to_numpy()
+            [("size", "descending"), ("tie", "ascending"), ("tie2", "ascending"), ("idx", "ascending")]).column("at").to_numpy()
         pi, size = table.column("pi").to_numpy(), table.column("size").to_numpy()
         seed = [zlib.crc32(repr(source).encode()), block, level]
         draws = np.random.default_rng(seed).random(len(order) + 1)
@@ -145,34 +147,12 @@ def _flights(units: DataFrame, level: int, last: bool) -> DataFrame:
     return units.groupBy("source", "block").applyInArrow(of_block, schema)
 
 
-def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Per row of ``docs``: ``doc`` (struct of the columns ``keep``, else of all), ``size``,
-    ``source``, ``source_size``, ``target`` and ``copies`` (0 to 3).
-
-    Null texts have size 0, a null source is a source of its own and comes
-    last.  Repeated rows are units of their own.  With no words at all every
-    target is 0 and nothing is taken; an empty table gives no rows.  Reruns
-    agree: blocks, order and draws follow from the rows.
-    """
-    spark = docs.sparkSession
-    row = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns])
-    sized = docs.select(F.struct(*(keep or ["*"])).alias("doc"), F.col("source"), size_column(F.col("text")).alias("size"),
-                        row.alias("tie"))
-    targets = source_targets(sized.select("source", "size"))
-    counts = materialize(docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows")).join(
-        targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of"))
-    if counts.count() <= BROADCAST_SOURCES:
-        counts = F.broadcast(counts)
-    counts = counts.withColumnRenamed("source", "of")
-    expected = F.when(F.col("source_size") > 0,
-                      F.least(F.col("target") / F.col("source_size"), F.lit(float(MAX_COPIES)))).otherwise(0.0)
-    units = (sized.join(counts, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-             .withColumn("sure", F.floor(expected).cast("int"))
-             .withColumn("pi", expected - F.floor(expected)))
-
+def _chosen(units: DataFrame) -> DataFrame:
+    """``tie, tie2, copies`` of units ``source, size, tie, tie2, idx, sure, pi, rows``
+    (``rows``: units of the source)."""
     def blocks(df: DataFrame) -> DataFrame:
         n = F.ceil(F.col("rows") / F.lit(BLOCK))
-        return df.withColumn("block", F.pmod(F.col("tie"), n)).drop("rows")
+        return df.withColumn("block", F.pmod(F.xxhash64("tie", "idx"), n)).drop("rows")
 
     decided, level = [], 0
     out = materialize(_flights(blocks(units), 0, last=False))
@@ -192,8 +172,66 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     result = decided[0]
     for more in decided[1:]:
         result = result.unionByName(more)
-    return result.select("doc", "size", "source", "source_size", "target",
-                         (F.col("sure") + F.col("pi").cast("int")).alias("copies"))
+    return result.select("tie", "tie2", (F.col("sure") + F.col("pi").cast("int")).alias("copies"))
+
+
+def _row_hashes(docs: DataFrame) -> dict[str, Column]:
+    """Two hashes of all columns as text; nulls count, so that a value in
+    another column is another row."""
+    every = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c).cast("string"))]
+    return {"tie": F.xxhash64(*every), "tie2": F.xxhash64(F.lit("second"), *every)}
+
+
+def _numbered(classes: DataFrame) -> DataFrame:
+    """A row per row of a class of equal rows, numbered ``idx`` from 0; large
+    classes are expanded in chunks that are spread over tasks."""
+    small = classes.where(F.col("n") <= CHUNK)
+    n, chunk = F.col("n"), F.col("chunk")
+    large = (classes.where(n > CHUNK).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / CHUNK))))
+             .repartition(F.col("tie"), F.col("chunk")).withColumns({"from": chunk * CHUNK, "to": F.least(n, (chunk + 1) * CHUNK) - 1}))
+    small = small.withColumns({"chunk": F.lit(0).cast("bigint"), "from": F.lit(0).cast("bigint"), "to": n - 1})
+    return small.unionByName(large).withColumn("idx", F.explode(F.sequence("from", "to"))).drop("n", "chunk", "from", "to")
+
+
+def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Per row of ``docs``: ``doc`` (struct of the columns ``keep``, else of all), ``size``,
+    ``source``, ``source_size``, ``target`` and ``copies`` (0 to 3).
+
+    Null texts have size 0, a null source is a source of its own and comes
+    last; empty and very long texts count by their words.  Columns of any name
+    stay apart in ``doc``.  With no words at all every target is 0 and nothing
+    is taken; an empty table gives no rows.  Reruns agree: blocks, order and
+    draws follow from the rows.
+
+    Only sizes and hashes of rows take part in flights, never texts.  Fully
+    repeated rows are one class with a count: its rows are units of their own,
+    numbered in bounded chunks and spread over blocks, and what was decided for
+    them goes back to the class as numbers of rows; so a row that a third of
+    the table repeats is in no task whole.
+    """
+    hashed = docs.select(F.struct(*(keep or ["*"])).alias("doc"), F.col("source"), size_column(F.col("text")).alias("size"),
+                         *[c.alias(n) for n, c in _row_hashes(docs).items()])
+    classes = materialize(hashed.groupBy("source", "size", "tie", "tie2").agg(F.count(F.lit(1)).alias("n")))
+    targets = source_targets(classes.select("source", (F.col("size") * F.col("n")).alias("size")))
+    counts = materialize(classes.groupBy("source").agg(F.sum("n").alias("rows")).join(
+        targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        .withColumnRenamed("source", "of"))
+    per_source = F.broadcast(counts) if counts.count() <= BROADCAST_SOURCES else counts
+    expected = F.when(F.col("source_size") > 0,
+                      F.least(F.col("target") / F.col("source_size"), F.lit(float(MAX_COPIES)))).otherwise(0.0)
+    units = (_numbered(classes).join(per_source, F.col("source").eqNullSafe(F.col("of")))
+             .select("source", "size", "tie", "tie2", "idx", F.floor(expected).cast("int").alias("sure"),
+                     (expected - F.floor(expected)).alias("pi"), "rows"))
+    outcomes = materialize(_chosen(units).groupBy("tie", "tie2", "copies").agg(F.count(F.lit(1)).alias("k")))
+    repeated = classes.where(F.col("n") > 1).select("tie", "tie2")
+    key = ["tie", "tie2"]
+    alone = hashed.join(outcomes.join(repeated, key, "left_anti").drop("k"), key)
+    if not repeated.isEmpty():
+        one_of_each = hashed.join(repeated, key, "left_semi").groupBy(*key).agg(
+            *[F.first(c).alias(c) for c in ("doc", "source", "size")])
+        alone = alone.unionByName(expand_counts(one_of_each.join(outcomes, key), "k"))
+    return (alone.join(per_source, F.col("source").eqNullSafe(F.col("of")))
+            .select("doc", "size", "source", "source_size", "target", "copies"))
 
 
 def taken() -> Column:

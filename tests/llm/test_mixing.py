@@ -71,3 +71,49 @@ def test_flight_keeps_both_totals():
         assert out.sum() == pytest.approx(pi.sum(), abs=1e-3) and out @ size == pytest.approx(pi @ size, rel=1e-5)
     same = M.flight(np.full(9, 0.5), np.full(9, 7), rng.random(20))
     assert ((same > 0) & (same < 1)).sum() == 1 and same.sum() == pytest.approx(4.5)
+
+
+def test_equal_rows_are_spread_over_blocks(make_docs, monkeypatch):
+    """A third of the rows are one row: no flight holds much more than a block,
+    and the rows taken of them don't depend on how the table is cut."""
+    monkeypatch.setattr(M, "BLOCK", 500)
+    monkeypatch.setattr(M, "CHUNK", 64)
+    held = []
+    flights = M._flights
+    monkeypatch.setattr(M, "_flights", lambda units, level, last: held.append(
+        max([r["count"] for r in units.groupBy("source", "block").count().collect()], default=0)) or flights(units, level, last))
+    docs = [(7, "same words here", "en", "a")] * 2000 + [(i, "w " * (i % 90 + 1), "en", "ab"[i % 2]) for i in range(10, 4010)]
+    docs += [(None, None, "en", "a")] * 300
+    rows = rows_of(make_docs(docs))
+    assert len(rows) == len(docs) and max(held) <= 650
+    ratios = check(rows)
+    assert all(abs(r - 1) < 0.02 for r in ratios.values()), ratios
+    again = rows_of(make_docs(docs[::-1]).repartition(7))
+    assert sorted(again, key=repr) == sorted(rows, key=repr)
+
+
+def test_rows_that_differ_by_which_column_is_null(spark):
+    df = spark.createDataFrame([(1, "x", None, "s"), (1, "x", "s", None)] * 3, "doc_id bigint, text string, lang string, source string")
+    out = M.mix(df)
+    assert sorted((r["doc"]["lang"], r["source"]) for r in out.collect() if r["doc"]["lang"]) == [("s", None)] * 3
+    assert out.count() == 6
+
+
+def test_query(spark):
+    from condofin.llm.queries import op8_mix
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    sizes, size = {}, {}
+    for r in docs:
+        size[r.doc_id] = (r.source, len(plain_words(r.text)))
+        sizes[r.source] = sizes.get(r.source, 0) + size[r.doc_id][1]
+    goal, taken = targets(sizes), {}
+    rows = op8_mix(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(size)
+    for r in rows:
+        source, n = size[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (n, sizes[source]) and r["target"] == pytest.approx(goal[source])
+        assert n == 0 and r["taken"] == 0 or r["taken"] % n == 0 and r["taken"] <= 3 * n
+        taken[source] = taken.get(source, 0) + r["taken"]
+    longest = {s: max(n for t, n in size.values() if t == s) for s in goal}
+    assert all(abs(taken[s] - g) <= longest[s] for s, g in goal.items())
