@@ -90,54 +90,76 @@ def find_notice(joined: bytes, notice: str, edits: int) -> list[tuple[int, int,
             out.append((at + 1, at + len(seed) - 1, 0))
             at = joined.find(seed, at + 1)
         return out
-    out = []
-    for region in candidates(joined, notice, edits):
-        open_ = [region]  # the best match of a stretch leaves what stands before and after it
-        while open_:
-            a, b = open_.pop()
-            m = _pattern(notice, edits).search(joined, a, b) if b - a >= len(notice) - edits else None
-            if m:
-                out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                open_ += [(a, m.start()), (m.end(), b)]
-    return sorted(out)
-
-
-def scan(text: bytes | None) -> tuple[int, list[dict]]:
+    out, pattern, room = [], _pattern(notice, edits), 3 * len(notice) + 4 * edits
+    for start, end in candidates(joined, notice, edits):
+        at = start
+        while end - at >= len(notice) - edits:
+            # a match that begins in the first half of a window ends inside it, so the
+            # best one there is final, and a long stretch of notices is searched once
+            stop = min(end, at + room)
+            next_ = end if stop == end else at + len(notice) + edits
+            own = [f for f in _in_window(pattern, joined, at, stop, len(notice) - edits) if f[0] < next_]
+            out += own
+            at = max([next_, *(f[1] for f in own)])
+    return out
+
+
+def _in_window(pattern, joined: bytes, start: int, end: int, least: int) -> list[tuple[int, int, int]]:
+    """Matches between two places, in order: the best one, then what stands
+    before and after it."""
+    found, open_ = [], [(start, end)]
+    while open_:
+        a, b = open_.pop()
+        m = pattern.search(joined, a, b) if b - a >= least else None
+        if m:
+            found.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+            open_ += [(a, m.start()), (m.end(), b)]
+    return sorted(found)
+
+
+def scan(text: bytes | None, phrases=PHRASES, notices=NOTICES) -> tuple[int, list[dict]]:
     """Number of words and all matches, by place, then label."""
     ws = words(text)
     if not ws:
         return 0, []
     joined = b" " + b" ".join(ws) + b" "
     found = []
-    for notice, label in PHRASES:
+    for notice, label in phrases:
         found += [(a, b, label, notice, True, e) for a, b, e in find_notice(joined, notice, 0)]
-    for notice, label in NOTICES:
+    for notice, label in notices:
         found += [(a, b, label, notice, False, e)
                   for a, b, e in find_notice(joined, notice, edits_allowed(notice))]
     if not found:
         return len(ws), []
     places = [m.span() for m in re.finditer(WORD.encode(), text.translate(_LOWER))]
     out = []
+    seen = blanks = 0  # of joined, up to the last match
+    read = points = 0  # bytes and code points of text, up to the last match's first word
     for a, b, label, notice, exact, edits in sorted(found):
-        first = joined.count(b" ", 0, a) - 1
+        blanks += joined.count(b" ", seen, a)
+        seen, first = a, blanks - 1
         last = first + joined[a:b].strip().count(b" ")
-        start = len(text[:places[first][0]].decode("utf-8", "replace"))
-        end = start + len(text[places[first][0]:places[last][1]].decode("utf-8", "replace"))
+        points += len(text[read:places[first][0]].decode("utf-8", "replace"))
+        read = places[first][0]
+        end = points + len(text[read:places[last][1]].decode("utf-8", "replace"))
         out.append({"label": label, "notice": notice, "exact": exact, "edits": edits, "first_word": first,
-                    "last_word": last, "start": start, "end": end})
+                    "last_word": last, "start": points, "end": end})
     return len(ws), out
 
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def scan_licenses(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def scan_licenses(docs: DataFrame, keep: list[str] | None = None, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """``doc`` (struct of the columns ``keep``, else of all) and :data:`FIELDS`.
 
-    ``matches`` has every place of an exact phrase and the non-overlapping
-    matches of each notice within its edits, on whole words: first and last
-    word (from 0) and the span of ``text`` in code points.  Null and empty texts
-    have no words and no matches; repeated rows are scanned alike; an empty
-    table gives no rows.
+    ``matches`` has every place of the exact ``phrases`` and the non-overlapping
+    matches of each of the ``notices`` within its edits, on whole words (pairs
+    of lower-case words joined by one space, and a label): first and last word
+    (from 0) and the span of ``text`` in code points.  Null and empty texts have
+    no words and no matches; very long ones are searched whole, in time linear
+    in their length also where a notice repeats; repeated rows are scanned
+    alike; columns of any name stay apart in ``doc``; an empty table gives no
+    rows.
     """
-    return map_texts(docs, lambda: scan, FIELDS, keep=keep)
+    return map_texts(docs, lambda: lambda text: scan(text, phrases, notices), FIELDS, keep=keep)
