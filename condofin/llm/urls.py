@@ -18,12 +18,15 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Labelled URLs that the trees are grown on at most (about; by a hash of the URL).
+#: Labelled URLs that the trees are grown on at most (distinct ones, by a hash of the URL).
 FIT_URLS = 20_000
 TREES = 20
 DEPTH = 4
 #: Suffix statistics of at most so many suffixes are broadcast, more are joined.
-BROADCAST_SUFFIXES = 50_000
+BROADCAST_SUFFIXES, BROADCAST_BYTES = 50_000, 4 << 20
+#: Parts of the labelled URLs; a URL's own part is left out of its suffix's rate when the trees learn.
+FOLDS = 5
+SPARE = 64  # draws beyond twice the sample that are ranked
 PRIOR = 20.0  # labelled URLs that a suffix's rate starts with at the overall rate
 
 LEXICAL = ("length", "host_length", "path_length", "depth", "host_labels", "digit_ratio", "entropy",
@@ -54,12 +57,13 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
 
 
 def _entropy(text: Column) -> Column:
-    """Bits per character: the characters are sorted, so that each one's count
-    is the distance between its first and last place."""
-    chars = F.split(text, "")
+    """Bits per character.  The characters are sorted, so that equal ones are a
+    run and its length is the distance between the places where runs begin."""
+    chars = F.array_sort(F.split(text, ""))
     n = F.size(chars)
-    share = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)) / n)
-    return F.when(F.length(text) > 0, -F.aggregate(share, F.lit(0.0), lambda s, p: s + p * F.log2(p))).otherwise(0.0)
+    begin = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(chars, i) != F.get(chars, i - 1)))
+    runs = F.zip_with(F.slice(F.concat(begin, F.array(n)), F.lit(2), F.size(begin)), begin, lambda end, start: (end - start) / n)
+    return F.when(F.length(text) > 0, -F.aggregate(runs, F.lit(0.0), lambda s, p: s + p * F.log2(p))).otherwise(0.0)
 
 
 def _lexical(df: DataFrame, url: str = "url") -> DataFrame:
@@ -88,24 +92,58 @@ def url_labels(labels: DataFrame) -> DataFrame:
             .groupBy(F.col("doc_id").alias("named")).agg(F.max(bad).cast("double").alias("bad")))
 
 
-def _suffixes(lexical: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Pages of each suffix (log) and its smoothed rate of bad labels."""
+def _fold(url: str = "url") -> Column:
+    """Part of the labelled URLs, by the URL: equal ones are in one part."""
+    return F.pmod(F.xxhash64(F.lit("fold"), F.col(url)), F.lit(FOLDS)).cast("int")
+
+
+def _rates(labelled: DataFrame, lexical: DataFrame) -> tuple[DataFrame, float]:
+    """``suffix, suffix_pages`` (log) and ``of_fold``: labels and bad labels of
+    each fold, and the overall rate of bad labels."""
     rate = labelled.agg(F.avg("bad")).first()[0] or 0.0
     pages = lexical.groupBy("suffix").agg(F.log1p(F.count(F.lit(1))).alias("suffix_pages"))
-    rates = labelled.groupBy("suffix").agg(((F.sum("bad") + PRIOR * rate) / (F.count(F.lit(1)) + PRIOR)).alias("suffix_rate"))
-    out = materialize(pages.join(rates, "suffix", "left").fillna({"suffix_rate": rate}))
-    return F.broadcast(out) if out.count() <= BROADCAST_SUFFIXES else out
+    counts = labelled.groupBy("suffix").agg(*[
+        x for f in range(FOLDS) for x in (F.count_if(_fold() == f).cast("double").alias(f"n{f}"),
+                                          F.sum(F.when(_fold() == f, F.col("bad")).otherwise(0.0)).alias(f"bad{f}"))])
+    of_fold = F.array(*[F.struct(F.coalesce(f"n{f}", F.lit(0.0)).alias("n"), F.coalesce(f"bad{f}", F.lit(0.0)).alias("bad"))
+                        for f in range(FOLDS)])
+    out = materialize(pages.join(counts, "suffix", "left").select("suffix", "suffix_pages", of_fold.alias("of_fold")))
+    small = out.agg(F.count(F.lit(1)), F.sum(F.octet_length("suffix"))).first()
+    return (F.broadcast(out) if small[0] <= BROADCAST_SUFFIXES and (small[1] or 0) <= BROADCAST_BYTES else out), rate
+
+
+def _smoothed(rate: float, without: Column | None = None) -> Column:
+    """Rate of bad labels of a suffix, drawn to the overall one; of the folds
+    other than ``without``, so that a URL's own label is not in its feature."""
+    def total(field):
+        return F.aggregate(F.transform("of_fold", lambda x, i: x[field] if without is None else
+                                       F.when(i == without, 0.0).otherwise(x[field])), F.lit(0.0), lambda a, x: a + x)
+    return (total("bad") + PRIOR * rate) / (total("n") + PRIOR)
+
+
+def _sample(rows: DataFrame, fit_urls: int) -> DataFrame:
+    """All labelled URLs, each once (copies with the same label count once), or
+    the ``fit_urls`` with the least hash.
+
+    Hashes are uniform, so those under a cut that about twice as many pass are
+    ranked, and that is all that one task holds; it is written before, so that
+    task reads the sample and nothing else."""
+    rows = materialize(rows.groupBy("url", "bad").agg(*[F.first(c).alias(c) for c in LEXICAL]))
+    n = rows.count()
+    if n > fit_urls:
+        draw = F.xxhash64(F.lit("fit"), F.col("url"), F.col("bad"))
+        part = (draw.cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+        rows = materialize(rows.withColumn("draw", draw).where(part < F.lit((2.0 * fit_urls + SPARE) / n)))
+        rows = rows.orderBy("draw", "url", "bad").limit(fit_urls)
+    return rows.select("bad", *LEXICAL)
 
 
 def grow(rows: DataFrame, fit_urls: int = FIT_URLS) -> GBTClassificationModel | None:
-    """Trees grown on ``bad`` and the lexical features of labelled URLs; None
-    when the labels do not hold both classes.  The bounded sample is brought
-    into one order in one partition, so that reruns grow the same trees."""
-    n = rows.count()
-    if n > fit_urls:
-        part = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(1 << 30))
-        rows = rows.where(part < F.lit(int((1 << 30) * fit_urls / n)))
-    rows = materialize(rows.select("bad", *LEXICAL).coalesce(1).sortWithinPartitions("bad", *LEXICAL))
+    """Trees grown on ``bad`` and the lexical features of labelled URLs (with
+    their ``url``); None when the labels do not hold both classes.  The bounded
+    sample is brought into one order in one partition, so that reruns grow the
+    same trees."""
+    rows = materialize(_sample(rows, fit_urls).repartition(1).sortWithinPartitions("bad", *LEXICAL))
     if rows.select("bad").distinct().count() < 2:
         return None
     data = VectorAssembler(inputCols=list(LEXICAL), outputCol="features").transform(rows)
@@ -121,16 +159,19 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, fit_urls: int = FIT_
     pages whose URL names a labelled document (the last number in the path is
     its id), block being toxic or of low quality.  Null URLs have empty parts
     and the features of an empty string; without labels of both classes every
-    URL that no rule decides is allowed; repeated rows are judged alike; an
-    empty table gives no rows.
+    URL that no rule decides is allowed; repeated rows are judged alike, and
+    learned from once; other columns of ``pages`` are not read, so their names
+    don't matter; an empty table gives no rows.
     """
     text, verdict = rule_of(rules)
     lexical = materialize(_lexical(with_parts(pages.select("page_id", "url"))))
     named = lexical.withColumn("named", F.expr("try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) as bigint)"))
     labelled = materialize(named.join(url_labels(labels), "named").drop("named"))
-    suffixes = _suffixes(lexical, labelled)
-    model = grow(labelled.join(suffixes, "suffix"), fit_urls)
-    scored = lexical.join(suffixes, lexical["suffix"].eqNullSafe(suffixes["suffix"]), "left").drop(suffixes["suffix"])
+    suffixes, rate = _rates(labelled, lexical)
+    # learned from the other folds' labels, judged by all of them
+    model = grow(labelled.join(suffixes, "suffix").withColumn("suffix_rate", _smoothed(rate, _fold())), fit_urls)
+    scored = (lexical.join(suffixes, lexical["suffix"].eqNullSafe(suffixes["suffix"]), "left").drop(suffixes["suffix"])
+              .withColumn("suffix_rate", _smoothed(rate)))
     if model is None:
         scored = scored.withColumn("bad_score", F.lit(0.0))
     else:

@@ -84,3 +84,44 @@ def test_plan_has_no_python(spark):
     out = U.judge(pages(spark, [(1, URLS[0], None)]), labels(spark, []))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_entropy_of_any_text(spark):
+    texts = ["", "a", "aaaa", "ab" * 50, "ünïcödé 日本", "x" * 3000 + "y", "".join(chr(33 + i % 90) for i in range(2000))]
+    df = spark.createDataFrame([(t,) for t in texts], "u string")
+    for r in df.select("u", U._entropy(F.col("u")).alias("e")).collect():
+        freq = [r["u"].count(c) / len(r["u"]) for c in set(r["u"])]
+        assert math.isclose(r["e"], -sum(p * math.log2(p) for p in freq), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_sample_takes_distinct_urls_exactly(spark):
+    """A third of the labelled rows are one URL: it counts once."""
+    rows = [("http://hot/1", 1.0)] * 500 + [(f"http://u/{i}", float(i % 2)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "url string, bad double").withColumns({c: F.lit(0.5) for c in U.LEXICAL})
+    assert U._sample(df, 5000).count() == 1001
+    small = U._sample(df, 100)
+    assert small.count() == 100 and sorted(small.collect()) == sorted(U._sample(df.repartition(9), 100).collect())
+
+
+def test_suffix_rates_leave_out_the_urls_own_fold(spark):
+    """Labels that only the URL itself has don't show in the feature it learns from."""
+    rows = [(f"http://a.s{i}/x/{i}", f"s{i}", float(i % 2)) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "url string, suffix string, bad double")
+    rates, rate = U._rates(labelled, labelled.select("suffix"))
+    own = labelled.join(rates, "suffix").withColumn("r", U._smoothed(rate, U._fold())).collect()
+    assert {round(r["r"], 9) for r in own} == {0.5}
+    every = {r["suffix"]: r["r"] for r in rates.withColumn("r", U._smoothed(rate)).collect()}
+    assert all((every[s] > 0.5) == (bad == 1) for _, s, bad in rows)
+
+
+def test_query(spark):
+    from condofin.llm.queries import op7_url_filter
+    sf = "/root/testdata/sf0.001"
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = op7_url_filter(spark, sf).collect()
+    assert sorted(r["page_id"] for r in rows) == sorted(urls)
+    for r in rows:
+        assert (r["host"], r["path"]) == parts(urls[r["page_id"]])
+        want = rule(r["host"], r["path"])
+        assert r["rule"] == (want[0] if want else None) and r["verdict"] in ("allow", "block")
+        assert want is None or r["verdict"] == want[1]
