@@ -10,27 +10,32 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialize
+from .common import bound_batches, map_texts, materialize
 
-#: Labelled documents that the classifier is fitted on (at most, but one for each
+#: Labelled documents that centroids are fitted on (at most, but one for each
 #: language; split evenly over the languages, chosen by a hash of the text).
 FIT_DOCS = 2000
+#: Languages that are learned at most: those with the most distinct labelled texts, by name where
+#: these tie.  So the sample, the centroids and all that is broadcast have a bound, whatever ``lang`` holds.
+LANGUAGES = 500
 SPARE = 64  # draws beyond twice a language's share that are ranked
 DIMENSIONS = 8192
 CENTROIDS = 4
 ROUNDS = 12
 #: A text is rejected if its cosine to the nearest centroid is below this share
-#: of what nearly all fitted texts of its length class (all but LOW) reach.
+#: of what nearly all labelled texts of its length class (all but LOW) reach.
 REJECT_BELOW = 0.6
 LOW = 0.01
-CLASS_DOCS = 40  # fitted texts behind a length class's figure, at least
+CLASS_DOCS = 40  # labelled texts behind a length class's figure, at least
+BINS = 1000  # of scores from 0 to 1
 UNDETERMINED = "und"
 CHUNK = 1 << 16
 
@@ -87,38 +92,50 @@ class CentroidModel:
     languages: list[str]
     floor: np.ndarray
 
+    def near(self, counts: np.ndarray) -> tuple[int, float]:
+        """The nearest centroid, the first by language where several are, and
+        its cosine."""
+        cosines = self.centroids @ _unit(np.log1p(counts) * self.idf)
+        best = int(cosines.argmax())
+        return best, float(min(1.0, max(0.0, cosines[best])))
+
     def predict(self, text: bytes | None) -> tuple[str, float, bool]:
         counts = ngram_counts(text)
         if counts is None or not self.languages:
             return UNDETERMINED, 0.0, True
-        near = self.centroids @ _unit(np.log1p(counts) * self.idf)
-        best = int(near.argmax())
-        score = float(min(1.0, max(0.0, near[best])))
+        best, score = self.near(counts)
         floor = self.floor[min(length_class(counts), len(self.floor) - 1)]
         return self.languages[best], score, score < floor
 
 
-def _floors(lengths: np.ndarray, scores: np.ndarray) -> np.ndarray:
-    """Rejection limit of each length class; a class with few fitted texts
-    takes in the shorter ones, the shortest the next longer ones."""
-    order = np.argsort(lengths, kind="stable")
-    lengths, scores = lengths[order], scores[order]
+def _floors(seen: np.ndarray) -> np.ndarray:
+    """Rejection limit of each length class from ``seen`` (classes by BINS
+    counts of scores): a share of the score that all but LOW of a class reach.
+    A class with few texts takes in the next shorter ones, the shortest the
+    next longer ones, until there are CLASS_DOCS or no more."""
     out = []
-    for k in range(int(lengths.max()) + 1):
-        end = int(np.searchsorted(lengths, k, side="right"))
-        start = min(int(np.searchsorted(lengths, k, side="left")), max(0, end - CLASS_DOCS))
-        group = scores[start:max(end, min(CLASS_DOCS, len(scores)))]
-        out.append(REJECT_BELOW * float(np.quantile(group, LOW)))
-    return np.array(out)
-
-
-def fit_centroids(vectors: np.ndarray, languages: list[str], seed: int = 7) -> CentroidModel:
-    """Spherical k-means inside each language over TF-IDF of the given counts."""
-    if not len(vectors):
-        return CentroidModel(np.ones(DIMENSIONS), np.zeros((0, DIMENSIONS)), [], np.zeros(1))
-    idf = (np.log((1 + len(vectors)) / (1 + (vectors > 0).sum(0))) + 1).astype(vectors.dtype)
-    units = _unit(np.log1p(vectors) * idf)
-    names, centres, owners = np.array(languages), [], []
+    for k in range(len(seen)):
+        group, low, high = seen[k].copy(), k, k
+        while group.sum() < CLASS_DOCS and (low > 0 or high + 1 < len(seen)):
+            if low > 0:
+                low -= 1
+                group += seen[low]
+            else:
+                high += 1
+                group += seen[high]
+        at = int(np.searchsorted(np.cumsum(group), LOW * group.sum(), side="right"))
+        out.append(REJECT_BELOW * min(at, BINS - 1) / BINS)
+    return np.array(out) if out else np.zeros(1)
+
+
+def inverse_frequency(df: np.ndarray, n: int) -> np.ndarray:
+    return (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+
+
+def fit_centroids(units: np.ndarray, languages: list[str], seed: int = 7) -> tuple[np.ndarray, list[str]]:
+    """Spherical k-means inside each language over unit vectors: the centroids
+    and the language of each."""
+    names, centres, owners = np.array(languages), [np.zeros((0, DIMENSIONS))], []
     rng = np.random.default_rng(seed)
     for lang in sorted(set(languages)):
         own = units[names == lang]
@@ -129,9 +146,54 @@ def fit_centroids(vectors: np.ndarray, languages: list[str], seed: int = 7) -> C
             centre = _unit(np.array([own[at == j].sum(0) if (at == j).any() else centre[j] for j in range(k)]))
         centres.append(centre)
         owners += [lang] * k
-    centroids = np.concatenate(centres)
-    lengths = np.array([length_class(v) for v in vectors])
-    return CentroidModel(idf, centroids, owners, _floors(lengths, (units @ centroids.T).max(1)))
+    return np.concatenate(centres), owners
+
+
+def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many texts each term occurs, over all of ``texts``, and their
+    number: every task adds up its own, and 8192 sums reach the driver."""
+    packed = texts.select(F.col("text").cast("binary").alias("text"))
+    bound_batches(texts.sparkSession)
+
+    def run(batches):
+        df = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                counts = ngram_counts(text.as_py())
+                if counts is not None:
+                    df[:-1] += counts > 0
+                    df[-1] += 1
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["term", "n"])
+
+    sums = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for r in packed.mapInArrow(run, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        sums[r["term"]] = r["n"]
+    return sums[:-1], int(sums[-1])
+
+
+def _scores(texts: DataFrame, model: CentroidModel) -> np.ndarray:
+    """Counts of scores (BINS of them) by length class, over all of ``texts``."""
+    shared = texts.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    packed = texts.select(F.col("text").cast("binary").alias("text"))
+
+    def run(batches):
+        model, seen = pickle.loads(shared.value), {}
+        for batch in batches:
+            for text in batch.column(0):
+                counts = ngram_counts(text.as_py())
+                if counts is not None:
+                    at = length_class(counts), min(BINS - 1, int(BINS * model.near(counts)[1]))
+                    seen[at] = seen.get(at, 0) + 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in seen], pa.int32()), pa.array([b for _, b in seen], pa.int32()),
+             pa.array(list(seen.values()), pa.int64())], names=["class", "bin", "n"])
+
+    rows = packed.mapInArrow(run, "class int, bin int, n bigint").groupBy("class", "bin").agg(F.sum("n").alias("n")).collect()
+    seen = np.zeros((max((r["class"] for r in rows), default=-1) + 1, BINS), dtype=np.int64)
+    for r in rows:
+        seen[r["class"], r["bin"]] = r["n"]
+    return seen
 
 
 def _least_draws(texts: DataFrame, per: DataFrame, share: int) -> DataFrame:
@@ -149,26 +211,31 @@ def _least_draws(texts: DataFrame, per: DataFrame, share: int) -> DataFrame:
     return under.withColumn("rank", rank).where(F.col("rank") <= share).select("lang", "draw")
 
 
-def fit(labelled: DataFrame, fit_docs: int | None = None) -> CentroidModel:
+def fit(labelled: DataFrame, fit_docs: int | None = None, languages: int = LANGUAGES) -> CentroidModel:
     """Fit on ``text, lang`` rows; null languages and letterless texts are left out.
 
-    A bounded sample is enough for centroids: of each language the ``fit_docs``
-    / languages distinct texts with the least hash, or all if it has fewer;
+    Document frequencies and rejection limits come from all of them.  For the
+    centroids a bounded sample is enough: of each language the ``fit_docs`` /
+    languages distinct texts with the least hash, or all if it has fewer;
     copies count once.  Without ``fit_docs`` it is :data:`FIT_DOCS`, or one for
     each language if there are more; a bound of one's own below their number
-    is an error.
+    is an error.  Of more than ``languages`` values of ``lang``
+    those with the most distinct texts are learned; texts of the others get the
+    language that they lie nearest to, or are rejected.
     """
-    known = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "text", "lang", F.xxhash64("text", F.lit("fit")).alias("draw"))
+    labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    known = labelled.select("text", "lang", F.xxhash64("text", F.lit("fit")).alias("draw"))
     texts = materialize(known.select("lang", "draw").distinct())
-    per = materialize(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    per = materialize(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages))
     n_langs = per.count()
     if not n_langs:
-        return fit_centroids(np.zeros((0, DIMENSIONS)), [])
+        return CentroidModel(np.ones(DIMENSIONS), np.zeros((0, DIMENSIONS)), [], np.zeros(1))
     if fit_docs is None:
         fit_docs = max(FIT_DOCS, n_langs)
     if n_langs > fit_docs:
         raise ValueError(f"{n_langs} language values; the fit takes {fit_docs} documents")
+    texts = texts.join(F.broadcast(per.select("lang")), "lang", "left_semi")
+    # at most one text for each language, or fit_docs of them
     draws = F.broadcast(materialize(_least_draws(texts, per, fit_docs // n_langs)
                                     .groupBy("draw").agg(F.collect_set("lang").alias("langs"))))
     chosen = known.select("text", "draw").join(draws, "draw")
@@ -193,7 +260,10 @@ def fit(labelled: DataFrame, fit_docs: int | None = None) -> CentroidModel:
     vectors = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
     for v, r in zip(vectors, rows):
         v[np.frombuffer(r["at"], dtype="<i4")] = np.frombuffer(r["n"], dtype="<f4")
-    return fit_centroids(vectors, [r["lang"] for r in rows])
+    idf = inverse_frequency(*_frequencies(labelled))
+    centroids, owners = fit_centroids(_unit(np.log1p(vectors) * idf), [r["lang"] for r in rows])
+    model = CentroidModel(idf, centroids, owners, np.zeros(1))
+    return replace(model, floor=_floors(_scores(labelled, model)))
 
 
 def identify(docs: DataFrame, model: CentroidModel, keep: list[str] | None = None) -> DataFrame:
@@ -202,8 +272,9 @@ def identify(docs: DataFrame, model: CentroidModel, keep: list[str] | None = Non
     ``lang_pred`` is a learned language, or ``und`` if the text is null or has
     no letter (or nothing was learned); ``score`` the cosine to the nearest
     centroid, 0 to 1; ``rejected`` is true for ``und`` and for texts far from
-    every centroid.  Only the text is read.  Ties go to the first language by
-    name; repeated rows are judged alike.
+    every centroid.  Only the text is read, very long ones whole.  Ties go to
+    the first language by name; repeated rows are judged alike; columns of any
+    name stay apart in ``doc``; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     return map_texts(docs, lambda: pickle.loads(shared.value).predict, FIELDS, keep=keep)
@@ -214,6 +285,6 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, fit_docs: int | None = None) -> CentroidModel:
+def learn(docs: DataFrame, fit_docs: int | None = None, languages: int = LANGUAGES) -> CentroidModel:
     """Fit on the documents that are not held out (null ids are not learned from)."""
-    return fit(docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("text", "lang"), fit_docs)
+    return fit(docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("text", "lang"), fit_docs, languages)

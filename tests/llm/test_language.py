@@ -113,3 +113,66 @@ def test_sample_has_each_languages_least_distinct_texts(make_docs, monkeypatch):
     monkeypatch.setattr(G, "FIT_DOCS", 7)
     G.fit(many)
     assert sorted(fitted.pop()[1]) == sorted(f"l{i}" for i in range(40))
+
+
+def brute_model(rows, model):
+    """Prediction by hand: TF-IDF over all rows, cosine, nearest centroid, floors."""
+    counts = [G.ngram_counts(t.encode()) for _, t, _ in rows]
+    df = sum((c > 0).astype(int) for c in counts)
+    idf = np.log((1 + len(rows)) / (1 + df)) + 1
+    assert np.allclose(idf, model.idf, rtol=1e-5)
+
+    def near(c):
+        v = np.log1p(c) * idf
+        cosines = [float(v @ z / np.linalg.norm(v)) for z in model.centroids]
+        best = max(range(len(cosines)), key=lambda j: cosines[j])
+        return model.languages[best], min(1.0, max(0.0, cosines[best]))
+    by_class = {}
+    for c in counts:
+        by_class.setdefault(int(np.log2(c.sum() + 1)), []).append(near(c)[1])
+    floors = []
+    for k in range(max(by_class) + 1):
+        group, low, high = list(by_class.get(k, [])), k, k
+        while len(group) < G.CLASS_DOCS and (low > 0 or high < max(by_class)):
+            low, high = (low - 1, high) if low > 0 else (low, high + 1)
+            group += by_class.get(low if low < k and high == k else high, [])
+        group = sorted(group)
+        floors.append(G.REJECT_BELOW * group[int(G.LOW * len(group))] if group else 0.0)
+    return near, floors
+
+
+def test_against_brute_force(make_docs):
+    rows = [r for r in corpus()] + [(1000 + i, t, "en") for i, t in enumerate(texts("en", 60, 8, 1, 3))]
+    model = G.fit(make_docs(rows))
+    near, floors = brute_model(rows, model)
+    assert len(floors) == len(model.floor)
+    assert all(abs(a - b) <= 2 / G.BINS for a, b in zip(floors, model.floor)), (floors, model.floor)
+    for lang in SYLLABLES:
+        for t in texts(lang, 25, 77) + texts(lang, 5, 78, 1, 2):
+            lang_pred, score, rejected = model.predict(t.encode())
+            want = near(G.ngram_counts(t.encode()))
+            assert lang_pred == want[0] and abs(score - want[1]) < 1e-5
+            assert rejected == (score < model.floor[min(G.length_class(G.ngram_counts(t.encode())), len(model.floor) - 1)])
+
+
+def test_many_languages_have_a_bound(make_docs):
+    """A dirty language column: the values with the most texts are learned."""
+    rows = corpus() + [(5000 + i, t, f"dirt{i}") for i, t in enumerate(texts("en", 300, 6))]
+    model = G.fit(make_docs(rows), languages=5)
+    assert set(SYLLABLES) < set(model.languages) and set(model.languages) - set(SYLLABLES) == {"dirt0", "dirt1"}
+    assert len(model.languages) <= 5 * G.CENTROIDS
+
+
+def test_query(spark):
+    from condofin.llm.queries import op10_language_id
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op10_language_id(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    right = 0
+    for r in rows:
+        text = docs[r["doc_id"]].text
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+        assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in text or ""))
+        right += r["held_out"] and r["lang_pred"] == docs[r["doc_id"]].lang
+    assert right >= 0.95 * sum(r["held_out"] for r in rows)
