@@ -145,3 +145,85 @@ def test_secret_edges(spark, make_docs, edges):
 
 def test_folding_is_of_letters_a_to_z_only():
     assert L.scan("MİT license".encode())[1] == [] and "É".translate(FOLD) == "É"
+
+
+def test_repeated_notices_take_linear_time():
+    import time
+    took = []
+    for n in (1000, 4000):
+        text = (" all rights resrved" * n).encode()
+        start = time.process_time()
+        assert len(L.scan(text)[1]) == n
+        took.append(time.process_time() - start)
+    assert took[1] < 7 * took[0] + 0.1
+
+
+def test_notices_are_a_parameter(make_docs):
+    docs = make_docs([(1, "some own notice; MIT license"), (2, "sme own notice")])
+    rows = L.scan_licenses(docs, phrases=(), notices=(("some own notice", "own"),)).collect()
+    assert {r["doc"]["doc_id"]: [(m["label"], m["edits"]) for m in r["matches"]] for r in rows} == {1: [("own", 0)], 2: [("own", 1)]}
+
+
+def test_license_query(spark):
+    from condofin.llm.queries import op4_license_scan
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op4_license_scan(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    assert sum(r["n_base"] for r in rows) > 0
+    for r in rows:
+        n, places = base_places(texts[r["doc_id"]])
+        at = [i for i, _ in places]
+        base = sorted({label for _, label in places})
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (
+            n, len(places), min(at, default=None), max(at, default=None), ",".join(base))
+        labels = r["labels"].split(",") if r["labels"] else []
+        assert labels == sorted(set(labels)) and set(base) <= set(labels) and 0 <= r["score"] <= 1
+        assert r["score"] == 1 if base else True
+
+
+def brute_base(text):
+    """The contract's three kinds by plain patterns."""
+    text, out = text or "", []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m.group(2)) >= 6:
+            out.append((m.start(), 0, "assign", m.end()))
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    return [(k, a, b) for a, _, k, b in sorted(out)]
+
+
+def test_secret_query(spark):
+    import hashlib
+
+    from condofin.llm.queries import op9_secret_scan
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op9_secret_scan(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts) and sum(r["n_assign"] + r["n_access"] + r["n_hex"] for r in rows) > 0
+    for r in rows:
+        want = brute_base(texts[r["doc_id"]])
+        kinds = [k for k, _, _ in want]
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(map(kinds.count, ("assign", "access", "hex")))
+        joined = [f"{k}:{a}:{b}" for k, a, b in want]
+        assert r["base_sha256"] == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in spans if not s.startswith("random")] == joined
+
+
+def test_long_runs_of_dates_take_linear_time():
+    import time
+    encoding = S._encoding(open(S.VOCABULARY, "rb").read())
+    for part in ("2024-01-01-12-30-45-", "2024-01-01-", "2024-01-01T12-30-45-123456789Z==", "1999/12/31_23-59+"):
+        run = (part * 10_000)[:100_000]
+        start = time.process_time()
+        S.random_spans(run, encoding)
+        S._dates(run)
+        assert time.process_time() - start < 1
+    assert S._dates("2024-01-01") and S._dates("2024-01-01T12-30-45Z--1999/12/31") and S._dates("2024-01-01-12-30-45-2024-01-01")
+    assert not S._dates("2024-13-01") and not S._dates("2024-01-01---2024-01-01") and not S._dates("2024-01-01-x") and not S._dates("")
+
+
+def test_missing_vocabulary_is_named(make_docs):
+    with pytest.raises(FileNotFoundError, match="vocabulary"):
+        S.scan_secrets(make_docs([(1, "a")]), vocabulary="/nowhere.tiktoken")

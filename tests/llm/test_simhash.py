@@ -93,3 +93,11 @@ def test_components(spark):
     want = {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 150)}, 199: 199, 200: 199}
     assert got == want
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_query(spark):
+    from condofin.llm.queries import op6_simhash
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in op6_simhash(spark, sf).collect()}
+    assert got == {i: ("%016x" % fp, c) for (i, _), (fp, c) in zip(docs, simhash_components(docs))}
