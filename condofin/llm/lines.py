@@ -22,15 +22,15 @@ from .common import materialize, rebuild, text_bytes
 #: fine for a large corpus as for a small one; 2 ** MOST_BITS bytes at most.
 COUNTER_BYTES = 80
 LEAST_BITS, MOST_BITS = 16, 24
-#: A word in the prefixes of more than one in FREQUENT_SHARE of all distinct
-#: lines (of at least and at most so many) is a frequent one: its lines first
-#: meet only the earliest of them, and those still open then meet all.
-FREQUENT_SHARE = 5_000
-FREQUENT_LEAST, FREQUENT_MOST = 64, 4096
+#: A word in the prefixes of more than so many distinct lines is a frequent
+#: one: its lines first meet only the earliest of them, and those still open
+#: then meet all.
+FREQUENT = 512
 #: Small sides are broadcast up to these numbers of rows, and joined beyond:
-#: the frequent words, and the documents with lines to verify.
+#: the frequent words, and the documents with lines to verify (and bytes of the
+#: places of these lines).
 BROADCAST_WORDS = 500_000
-BROADCAST_DOCS = 50_000
+BROADCAST_DOCS, BROADCAST_BYTES = 50_000, 4 << 20
 ONCE = 2  # rarity class of a counter that is 1
 THRESHOLD = (4, 5)  # Jaccard of 0.8 as a fraction
 
@@ -62,7 +62,8 @@ def _ordered(docs: DataFrame) -> DataFrame:
     base = docs.select(F.struct("*").alias("doc"), F.col("text"),
                        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint")).alias("o"))
     repeated = _repeats(base)
-    tie = F.xxhash64(*[F.col("doc").getField(c).cast("string") for c in docs.columns]) if repeated \
+    fields = [F.col("doc").getField(c) for c in docs.columns]
+    tie = F.xxhash64(*[x for f in fields for x in (f.isNull(), f.cast("string"))]) if repeated \
         else F.lit(0).cast("bigint")
     return base.select("doc", "text", "o", tie.alias("tie"))
 
@@ -160,8 +161,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
                 .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2")
                 .where(F.shiftrightunsigned("word", 56) > ONCE))
     counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
-    limit = min(FREQUENT_MOST, max(FREQUENT_LEAST, sets.count() // FREQUENT_SHARE))
-    frequent = materialize(counts.where(F.col("lines") > limit).select("word"))
+    frequent = materialize(counts.where(F.col("lines") > FREQUENT).select("word"))
     if frequent.count() <= BROADCAST_WORDS:
         frequent = F.broadcast(frequent)
     crowded = materialize(postings.join(frequent, "word"))
@@ -170,8 +170,14 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     matched = materialize(_verified(materialize(_candidates(crowded, heads, num, den)), texts, num, den))
     rest = crowded.join(matched, ["o", "tie", "pos"], "left_anti")
     scarce = postings.join(frequent, "word", "left_anti")
-    # no word is in more than FREQUENT_MOST of these, so a hash table's keys stay small
-    pairs = materialize(_candidates(scarce, scarce.hint("shuffle_hash"), num, den).union(_candidates(rest, crowded, num, den)).distinct())
+    # no word is in more than FREQUENT of the scarce ones' lines, so a hash table's keys stay small
+    larger, smaller = _banded(scarce, num, den)
+    open_larger, open_smaller = _banded(rest, num, den)
+    any_larger, any_smaller = _banded(crowded, num, den)
+    pairs = materialize(
+        _met(larger, smaller.hint("shuffle_hash"), num, den)
+        .union(_met(open_larger, any_smaller, num, den, F.col("b.at") < F.col("a.at")))
+        .union(_met(any_larger, open_smaller, num, den, F.col("a.at") < F.col("b.at"))).distinct())
     matched = materialize(matched.union(_verified(pairs, texts, num, den)).distinct())
     kept = (sets.select("o", "tie", "pos").join(matched, ["o", "tie", "pos"], "left_anti")
             .groupBy("o", "tie").agg(F.collect_list("pos").alias("kept_at")))
@@ -206,11 +212,55 @@ def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> Dat
             .distinct())
 
 
+def _band(n: Column, num: int, den: int) -> Column:
+    """Sizes from 1 on in bands whose ends have the threshold's ratio."""
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(den / num) if num < den else 1.0)).cast("int")
+
+
+def _banded(postings: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Postings of lines as the larger and as the smaller one of a pair.
+
+    With the ``n`` words of the larger one at least ``n * num / den`` are
+    shared, so its prefix is what ``postings`` hold; of the smaller one's, at
+    least ``2 * num / (num + den)`` are, which makes its prefix about half as
+    long.  The length filter is part of the key: a larger line is in the band of
+    its size, a smaller one in all bands of sizes that may be similar (two, or
+    one)."""
+    one = postings.select("word", "i", "n", "parity", "parity2", F.struct("o", "tie", "pos").alias("at"))
+    larger = one.withColumn("band", _band(F.col("n"), num, den))
+    most = F.floor(F.col("n") * den / num)
+    smaller = (one.where(F.col("i") < F.col("n") - _ceil(F.col("n"), 2 * num, num + den) + 1)
+               .withColumn("band", F.explode(F.sequence(_band(F.col("n"), num, den), _band(most, num, den)))))
+    return larger, smaller
+
+
+def _met(larger: DataFrame, smaller: DataFrame, num: int, den: int, which: Column | None = None) -> DataFrame:
+    """Pairs ``x``, ``y`` of lines, ``y`` the earlier one, and the sum ``n`` of
+    their words, that share a word of their prefixes and a band and pass the
+    filters of :func:`_candidates`; of lines of one size, the later one is
+    taken for the larger."""
+    a, b = larger.alias("a"), smaller.alias("b")
+    nx, ny = F.col("a.n"), F.col("b.n")
+    overlap = _ceil(nx + ny, num, num + den)
+    room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
+    apart = (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+             + F.bit_count(F.col("a.parity2").bitwiseXOR(F.col("b.parity2"))))
+    meets = ((F.col("a.word") == F.col("b.word")) & (F.col("a.band") == F.col("b.band"))
+             & ((nx > ny) | ((nx == ny) & (F.col("b.at") < F.col("a.at"))))
+             & (ny * den >= nx * num) & (room >= overlap) & (apart <= nx + ny - 2 * overlap))
+    met = a.join(b, meets if which is None else meets & which)
+    later = F.col("b.at") < F.col("a.at")
+    return met.select(F.when(later, F.col("a.at")).otherwise(F.col("b.at")).alias("x"),
+                      F.when(later, F.col("b.at")).otherwise(F.col("a.at")).alias("y"), (nx + ny).alias("n")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
     """The later lines of pairs whose words are similar enough."""
     ends = pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct()
     wanted = materialize(ends.groupBy("at.o", "at.tie").agg(F.collect_list("at.pos").alias("wanted")))
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_DOCS else wanted.hint("shuffle_hash")
+    docs, places = wanted.agg(F.count(F.lit(1)), F.sum(F.size("wanted"))).first()
+    small = docs <= BROADCAST_DOCS and 20 * docs + 4 * (places or 0) <= BROADCAST_BYTES
+    wanted = F.broadcast(wanted) if small else wanted.hint("shuffle_hash")
     sets = (texts.join(wanted, ["o", "tie"])
             .select("o", "tie", F.split("text", "\n").alias("parts"), "wanted")
             .select("o", "tie", F.explode(F.transform("wanted", lambda p: F.struct(
