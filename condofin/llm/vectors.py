@@ -29,6 +29,8 @@ ROUNDS = 8
 #: Distinct vectors to a cell on average; vectors in a tile at most.
 CELL = 4096
 TILE = 1024
+#: Centroids that a batch or tile is held against at a time.
+CELLS = 4096
 
 
 def unit(vector) -> np.ndarray | None:
@@ -84,14 +86,29 @@ def fit_cells(classes: DataFrame) -> dict[int, np.ndarray]:
     return model
 
 
+def _nearest(units: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Number of the nearest centroid of each vector, in blocks of both."""
+    best, at = np.full(len(units), -np.inf), np.zeros(len(units), dtype=np.int32)
+    for start in range(0, len(centre), CELLS):
+        near = units @ centre[start:start + CELLS].T
+        own = near.argmax(1)
+        value = near[np.arange(len(units)), own]
+        better = value > best
+        best[better], at[better] = value[better], own[better] + start
+    return at
+
+
 def _assign(shared):
     def run(batches):
         model = pickle.loads(shared.value)
         for batch in batches:
-            cells = []
-            for dims, data in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                centre = model[dims]
-                cells.append(int((centre @ np.frombuffer(data, "<f8")).argmax()) if len(centre) else 0)
+            every, data = batch.column(2).to_numpy(), batch.column(3).to_pylist()
+            cells = np.zeros(len(every), dtype=np.int32)
+            for dims in np.unique(every).tolist():
+                rows = np.flatnonzero(every == dims)
+                if len(model[dims]):
+                    units = np.frombuffer(b"".join(data[i] for i in rows), "<f8").reshape(-1, dims)
+                    cells[rows] = _nearest(units, model[dims])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cells, pa.int32()), *(batch.column(i) for i in range(batch.num_columns))],
                 names=["cell", *batch.schema.names])
@@ -135,13 +152,14 @@ def _visits(shared, threshold: float):
                                                         for n in ("dims", "cell", "keys", "times", "units"))):
                 centre = model[dims]
                 x = np.frombuffer(units, "<f8").reshape(-1, dims)
-                near = x @ centre.T if len(centre) else np.zeros((len(x), 1))
                 out = defaultdict(list)
-                for to in range(cell + 1, len(centre)):
-                    apart = np.linalg.norm(centre[cell] - centre[to])
-                    go = np.flatnonzero(near[:, cell] - near[:, to] <= reach * apart + 1e-9)
-                    if len(go):
-                        out["cell"].append(to)
+                for start in range(cell + 1, len(centre), CELLS):
+                    others = centre[start:start + CELLS]
+                    apart = np.linalg.norm(others - centre[cell], axis=1)
+                    goes = (x @ centre[cell])[:, None] - x @ others.T <= reach * apart + 1e-9
+                    for to in np.flatnonzero(goes.any(0)).tolist():
+                        go = np.flatnonzero(goes[:, to])
+                        out["cell"].append(start + to)
                         out["keys"].append(np.frombuffer(keys, "V16")[go].tobytes())
                         out["times"].append(np.frombuffer(times, "<i8")[go].tobytes())
                         out["units"].append(x[go].tobytes())
