@@ -2,7 +2,10 @@
 
 Every window of every document is hashed; equal hashes of all documents meet
 in one bucket, which names the windows that a document with a smaller id also
-has; repeated windows merge into maximal intervals of removed words.
+has; repeated windows merge into maximal intervals of removed words.  Spark
+deals hashes to buckets; inside a bucket a sorted array, not a row each, finds
+the smallest id of every hash, as a packed message is a few bytes a window
+and a row many.
 
 Documents are dealt to groups.  A group sends each hash to its bucket once,
 with the smallest id that has it, so a passage in very many documents arrives
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import plain_words, text_bytes
+from .common import materialize, plain_words, text_bytes
 
 WINDOW = 50
 #: Text bytes of a group of documents and windows of a bucket, on average: what
@@ -27,6 +30,8 @@ WINDOW = 50
 GROUP_BYTES = 8 << 20
 BUCKET_WINDOWS = 1 << 20
 LEAST_BUCKETS = 64
+#: Rows of one id and text that are handled one by one; of more, one stands for all.
+COPIES = 256
 WORD_BYTES = 6  # of an average word with its blank, for the number of buckets
 CHUNK = 1 << 16
 CACHED_WORDS = 300_000
@@ -209,17 +214,38 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``doc_id``; all windows are judged on the input.  Null and empty texts have
     no words; an id that is null is smaller than none and none is smaller than
     it, so its document keeps all; rows that share an id don't remove from each
-    other; an empty table gives no rows.
+    other; very long texts are hashed in chunks; columns of any name stay apart
+    in ``doc``; an empty table gives no rows.
+
+    Where more than :data:`COPIES` rows share id and text, one of them is looked
+    at and the others take its result by a join, so that no group holds them.
 
     Windows are equal when a 64-bit hash and the bucket of a second one are:
     with as many buckets as there are spans of :data:`BUCKET_WINDOWS` windows,
     the expected number of false matches among N windows is N / 2**45.
     """
-    total = text_bytes(docs)
+    own = {"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit("second"), "doc_id", "text")}
+    rows = docs.select(F.struct("*").alias("doc"), *[c.alias(n) for n, c in own.items()])
+    many = materialize(docs.groupBy(*[c.alias(n) for n, c in own.items()]).agg(F.count(F.lit(1)).alias("n"))
+                       .where(F.col("n") > COPIES).select(*own))
+    if many.isEmpty():
+        return _remove(rows.select("doc"), text_bytes(docs), window)
+    one = rows.join(many, [*own], "left_semi").groupBy(*own).agg(F.first("doc").alias("doc")).select("doc")
+    found = materialize(_remove(rows.join(many, [*own], "left_anti").select("doc").unionByName(one), text_bytes(docs), window))
+    key = {"k1": F.xxhash64("doc.doc_id", "doc.text"), "k2": F.xxhash64(F.lit("second"), "doc.doc_id", "doc.text")}
+    found = found.withColumns(key)
+    results = [c for c in found.columns if c not in ("doc", *own)]
+    copies = rows.join(many, [*own], "left_semi").join(found.select(*own, *results), [*own])
+    return found.join(many, [*own], "left_anti").select("doc", *results).unionByName(copies.select("doc", *results))
+
+
+def _remove(docs: DataFrame, total: int, window: int) -> DataFrame:
+    """:func:`remove_repeats` of rows ``doc`` with ``total`` bytes of text, no
+    id and text of which is in very many rows."""
     groups = max(1, -(-total // GROUP_BYTES))
     buckets = max(LEAST_BUCKETS, -(-total // (WORD_BYTES * BUCKET_WINDOWS)))
-    spread = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("bigint").alias("g"),
-                         F.struct("*").alias("doc")).repartition("g")
+    spread = docs.select(F.pmod(F.xxhash64("doc.doc_id", "doc.text"), F.lit(groups)).cast("bigint").alias("g"),
+                         "doc").repartition("g")
     marks = (spread.groupBy("g").applyInArrow(_messages(window, buckets),
                                               "bucket int, g bigint, hashes binary, ids binary")
              .groupBy("bucket").applyInArrow(_answers, "g bigint, bucket int, bits binary"))

@@ -49,3 +49,25 @@ def test_rolling_hash_equals_window_by_window():
 def test_ids_round_trip():
     for ids in ([5], [-9, -9, 0, 70_000], [0, 1 << 40], [3, 4, 4, 5]):
         assert S._decode(S._encode(np.array(ids, dtype=np.int64))).tolist() == ids
+
+
+def test_rows_of_one_id_and_text_are_not_gathered(make_docs, monkeypatch):
+    """A third of the rows repeat an id and its text: one is looked at."""
+    monkeypatch.setattr(S, "COPIES", 20)
+    largest = []
+    remove = S._remove
+    monkeypatch.setattr(S, "_remove", lambda docs, *a: largest.append(
+        docs.groupBy("doc.doc_id", "doc.text").count().agg({"count": "max"}).first()[0]) or remove(docs, *a))
+    texts = random_texts(40, 6)
+    docs = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0])] * 60 + [(9, texts[1] + " more")] * 50
+    docs += [(90, texts[1] + " more")] * 30 + [(None, None)] * 40
+    got = found(make_docs(docs, extra=True), 5)
+    assert got == sorted(((i, t, *w) for (i, t), w in zip(docs, repeats(docs, 5))), key=repr)
+    assert largest and max(largest) <= 20
+
+
+def test_columns_beside_a_repeated_id_and_text_stay(spark, monkeypatch):
+    monkeypatch.setattr(S, "COPIES", 3)
+    df = spark.createDataFrame([(1, "a b c", i) for i in range(10)] + [(2, "a b c", 99)], "doc_id bigint, text string, n_words int")
+    rows = S.remove_repeats(df, 2).collect()
+    assert sorted((r["doc"]["doc_id"], r["doc"]["n_words"], r["n_removed"]) for r in rows) == [(1, i, 0) for i in range(10)] + [(2, 99, 3)]
