@@ -20,7 +20,7 @@ all payments is a skewed key that AQE's skew-join handling splits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.crypto import decrypt_text
@@ -48,12 +48,23 @@ def account_key(df: DataFrame, column: str, mode: str, key: Column | None = None
 
 
 def match_payments_by_account(payments: DataFrame, persons: DataFrame,
-                              mode: str = "clear", key: Column | None = None) -> DataFrame:
+                              mode: str = "clear", key: Column | None = None, prune: bool = False,
+                              watch: Observation | None = None) -> DataFrame:
     """Payments joined to the live person holding the paying account.
 
     Returns the payment columns plus ``persona_id``.  A NULL account (or one
     that cannot be decrypted) matches nothing.
+
+    In decrypt mode ``prune`` first keeps, by a semi-join on the tokens beside
+    the ciphertext, the payments whose account a live person may hold, so only
+    those are decrypted; the match itself is still that of the decrypted texts.
+    ``watch`` then counts the payments that are decrypted (``descifradas``).
     """
+    if prune:
+        held = live(persons).select(F.col("cbu_cvu_tok").alias("cbu_cvu_origen_tok")).where(F.col("cbu_cvu_origen_tok").isNotNull())
+        payments = payments.join(held, "cbu_cvu_origen_tok", "left_semi").select(*payments.columns)
+    if watch is not None:
+        payments = payments.observe(watch, F.count(F.lit(1)).alias("descifradas"))
     pk = account_key(payments, "cbu_cvu_origen", mode, key)
     p = payments.withColumn("acct__k", pk).filter(F.col("acct__k").isNotNull())
     per = live(persons).select("persona_id", account_key(persons, "cbu_cvu", mode, key)

@@ -141,3 +141,21 @@ def test_split_join_equals_the_plain_one(spark):
     want = sorted(map(tuple, tenure_as_of(events, tenures, "persona_id", "fecha", keep=("uf_id",)).collect()))
     for hot in (0, 60, 1000):
         assert sorted(map(tuple, tenure_as_of(events, tenures, "persona_id", "fecha", keep=("uf_id",), hot=hot).collect())) == want
+
+
+def test_only_payments_that_may_match_are_decrypted(spark):
+    from pyspark.sql import Observation
+
+    from condofin.operators.tenure import match_payments_by_account
+    key, tok = key_column(spark), token_key_column(spark)
+    t = P.encrypt_columns(make_tables(spark, persona=[person(1, "7" * 22), person(2, "8" * 22, borrado=True)],
+                                      pago=pays(range(10, 60), 1) + [payment(1, 1, "2025-01-01 00:00:00", 5, account="7" * 22),
+                                                                     payment(2, 1, "2025-01-01 00:00:00", 5, account="8" * 22)]), key, tok)
+    pay, per = materialize(t.pago), materialize(t.persona)
+    seen = {}
+    for prune in (False, True):
+        watch = Observation()
+        got = match_payments_by_account(pay, per, "decrypt", key, prune=prune, watch=watch).collect()
+        assert [(r.pago_id, r.persona_id) for r in got] == [(1, 1)]
+        seen[prune] = watch.get["descifradas"]
+    assert seen == {False: 52, True: 1}
