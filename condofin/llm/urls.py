@@ -59,11 +59,15 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
 def _entropy(text: Column) -> Column:
     """Bits per character.  The characters are sorted, so that equal ones are a
     run and its length is the distance between the places where runs begin."""
-    chars = F.array_sort(F.split(text, ""))
-    n = F.size(chars)
-    begin = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(chars, i) != F.get(chars, i - 1)))
-    runs = F.zip_with(F.slice(F.concat(begin, F.array(n)), F.lit(2), F.size(begin)), begin, lambda end, start: (end - start) / n)
-    return F.when(F.length(text) > 0, -F.aggregate(runs, F.lit(0.0), lambda s, p: s + p * F.log2(p))).otherwise(0.0)
+    def bits(chars):
+        n = F.size(chars)
+        begin = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(chars, i) != F.get(chars, i - 1)))
+        # bound to a lambda's variable, so that it is computed once
+        return F.element_at(F.transform(F.array(begin), lambda at: -F.aggregate(
+            F.zip_with(F.slice(F.concat(at, F.array(n)), F.lit(2), F.size(at)), at, lambda end, start: (end - start) / n),
+            F.lit(0.0), lambda s, p: s + p * F.log2(p))), 1)
+
+    return F.when(F.length(text) > 0, F.element_at(F.transform(F.array(F.array_sort(F.split(text, ""))), bits), 1)).otherwise(0.0)
 
 
 def _lexical(df: DataFrame, url: str = "url") -> DataFrame:
