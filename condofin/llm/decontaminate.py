@@ -208,7 +208,9 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13,
 
     Null and empty texts have no words and no hits; an empty benchmark hits
     nothing; repeated benchmark rows count once, an item whose id is null hits
-    words but is not listed; repeated documents are judged alike, a row each.
+    words but is not listed; repeated documents are judged alike, a row each;
+    very long texts are matched whole; columns of any name stay apart in
+    ``doc``; an empty table gives no rows.
     """
     spark = docs.sparkSession
     found = None
@@ -286,7 +288,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13,
 
     Documents whose hit words reach the coverage limit go; from the others the
     hit spans are cut out of ``text`` and ``n_chars`` follows where present.
-    Documents without hits are unchanged.
+    Documents without hits are unchanged, null and empty texts among them;
+    repeated rows are judged alike and stay or go together; an empty table
+    gives no rows, an empty benchmark changes nothing (:func:`match_benchmark`).
     """
     cols = docs.columns
     matched = match_benchmark(docs, benchmark, window).where(~contaminated(coverage_divisor))

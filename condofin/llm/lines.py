@@ -145,8 +145,9 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     at least ``threshold`` (a fraction above 0, reduced or not); all lines are judged on the input.
     Lines without words stay.  Null texts have no lines and stay null; null ids
     come first; rows that share an id are ordered by a hash of the row, and
-    the lines of fully repeated rows keep or lose alike; an empty table gives
-    no rows.
+    the lines of fully repeated rows keep or lose alike; very long texts are cut
+    into lines whole; columns of any name stay apart in ``doc``; an empty table
+    gives no rows.
     """
     num, den = (x // math.gcd(*threshold) for x in threshold)
     if not 0 < num <= den:
@@ -276,10 +277,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFra
 
 
 def dedup_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """``docs`` without their repeated lines, in the same columns.
+    """``docs`` without their repeated lines (:func:`removed_lines`, which says
+    what happens to nulls, ties and repeated rows), in the same columns.
 
     Documents that lose every line with words go; ``n_chars`` follows where
-    present.  Documents that lose nothing are unchanged.
+    present.  Documents that lose nothing are unchanged, null and empty texts
+    among them.  An empty table gives no rows.
     """
     out = removed_lines(docs, threshold)
     left = (F.col("n_removed") == 0) | F.col("kept").rlike("[^\\x20\\x09-\\x0D]")

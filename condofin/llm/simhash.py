@@ -187,8 +187,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2,
     Null and empty texts have fingerprint 0 and link like any other; texts with
     fewer words than a shingle are one shingle; repeated rows and repeated ids
     share a fingerprint's class, a row each; null ids never are the smallest
-    unless a whole group has none (then ``component_id`` is null); an empty
-    table gives no rows.
+    unless a whole group has none (then ``component_id`` is null); very long
+    texts are hashed whole, in chunks; columns of any name stay apart in
+    ``doc``; an empty table gives no rows.
     """
     return _grouped(docs, shingle, radius, keep).select("doc", "fp", "component_id")
 
