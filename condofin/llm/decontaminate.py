@@ -213,19 +213,21 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     ``doc``; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    found = None
-    for items in _blocks(benchmark, window):
-        make = _make(spark.sparkContext.broadcast(pickle.dumps(Matcher(items, window))))
+    found, blocks = None, _blocks(benchmark, window)
+    items = next(blocks, None)
+    while items is not None:
+        make, items = _make(spark.sparkContext.broadcast(pickle.dumps(Matcher(items, window)))), next(blocks, None)
         if found is None:
-            # the text stays with the rows only as long as blocks are left
-            found = map_texts(docs, make, MATCHES)
+            # texts come back from the workers only if another block needs them
+            found = map_texts(docs, make, MATCHES, keep=keep if items is None else None)
+            whole = keep is None or items is not None
         else:
             so_far = materialize(found).withColumn("text", F.col("doc.text"))
             found = map_texts(so_far, make, MATCHES, keep=["doc", *_OWN]).select(
                 F.col("doc.doc").alias("doc"), *_merged())
     if found is None:
-        found = map_texts(docs, lambda: lambda text: (len(words(text)), 0, 0, [], []), MATCHES)
-    if keep:
+        found, whole = map_texts(docs, lambda: lambda text: (len(words(text)), 0, 0, [], []), MATCHES, keep=keep), keep is None
+    if keep and whole:
         found = found.withColumn("doc", F.struct(*[F.col("doc").getField(c).alias(c) for c in keep]))
     return found
 
