@@ -54,8 +54,9 @@ def line_words(line: Column) -> Column:
     return F.array_remove(F.array_distinct(_parts(line)), "")
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    """``doc`` (struct), ``text`` and the order of documents ``o``, ``tie``.
+def _ordered(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc`` (struct), ``text`` and the order of documents ``o``, ``tie``;
+    whether an id repeats.
 
     ``o`` is ``doc_id``, null first; ``tie`` tells rows with one id apart and
     is 0 for all when no id repeats (looked up on the ids alone)."""
@@ -65,7 +66,7 @@ def _ordered(docs: DataFrame) -> DataFrame:
     fields = [F.col("doc").getField(c) for c in docs.columns]
     tie = F.xxhash64(*[x for f in fields for x in (f.isNull(), f.cast("string"))]) if repeated \
         else F.lit(0).cast("bigint")
-    return base.select("doc", "text", "o", tie.alias("tie"))
+    return base.select("doc", "text", "o", tie.alias("tie")), repeated
 
 
 def _repeats(rows: DataFrame) -> bool:
@@ -152,11 +153,11 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     num, den = (x // math.gcd(*threshold) for x in threshold)
     if not 0 < num <= den:
         raise ValueError(f"threshold {threshold} is no fraction above 0 and up to 1")
-    rows = _ordered(docs)
+    rows, repeated = _ordered(docs)
     lines = rows.select("o", "tie", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     bits = counter_bits(docs)
     sets = materialize(_sets(lines, materialize(rarity(docs, bits)), bits, num, den))
-    texts = rows.select("o", "tie", "text").distinct() if _repeats(rows) else rows.select("o", "tie", "text")
+    texts = rows.select("o", "tie", "text").distinct() if repeated else rows.select("o", "tie", "text")
     # n / (n + 1) below the threshold: only equal sets are similar; a counter of 1: no other line has the word
     postings = (sets.where(F.col("n") * (den - num) >= num)
                 .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2")
