@@ -172,14 +172,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     matched = materialize(_verified(materialize(_candidates(crowded, heads, num, den)), texts, num, den))
     rest = crowded.join(matched, ["o", "tie", "pos"], "left_anti")
     scarce = postings.join(frequent, "word", "left_anti")
-    # no word is in more than FREQUENT of the scarce ones' lines, so a hash table's keys stay small
-    larger, smaller = _banded(scarce, num, den)
-    open_larger, open_smaller = _banded(rest, num, den)
-    any_larger, any_smaller = _banded(crowded, num, den)
-    pairs = materialize(
-        _met(larger, smaller.hint("shuffle_hash"), num, den)
-        .union(_met(open_larger, any_smaller, num, den, F.col("b.at") < F.col("a.at")))
-        .union(_met(any_larger, open_smaller, num, den, F.col("a.at") < F.col("b.at"))).distinct())
+    pairs = materialize(_scarce_pairs(scarce, num, den).union(_candidates(rest, crowded, num, den)).distinct())
     matched = materialize(matched.union(_verified(pairs, texts, num, den)).distinct())
     kept = (sets.select("o", "tie", "pos").join(matched, ["o", "tie", "pos"], "left_anti")
             .groupBy("o", "tie").agg(F.collect_list("pos").alias("kept_at")))
@@ -219,41 +212,48 @@ def _band(n: Column, num: int, den: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(math.log(den / num) if num < den else 1.0)).cast("int")
 
 
-def _banded(postings: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Postings of lines as the larger and as the smaller one of a pair.
-
-    With the ``n`` words of the larger one at least ``n * num / den`` are
-    shared, so its prefix is what ``postings`` hold; of the smaller one's, at
-    least ``2 * num / (num + den)`` are, which makes its prefix about half as
-    long.  The length filter is part of the key: a larger line is in the band of
-    its size, a smaller one in all bands of sizes that may be similar (two, or
-    one)."""
-    one = postings.select("word", "i", "n", "parity", "parity2", F.struct("o", "tie", "pos").alias("at"))
-    larger = one.withColumn("band", _band(F.col("n"), num, den))
-    most = F.floor(F.col("n") * den / num)
-    smaller = (one.where(F.col("i") < F.col("n") - _ceil(F.col("n"), 2 * num, num + den) + 1)
-               .withColumn("band", F.explode(F.sequence(_band(F.col("n"), num, den), _band(most, num, den)))))
-    return larger, smaller
-
-
-def _met(larger: DataFrame, smaller: DataFrame, num: int, den: int, which: Column | None = None) -> DataFrame:
-    """Pairs ``x``, ``y`` of lines, ``y`` the earlier one, and the sum ``n`` of
-    their words, that share a word of their prefixes and a band and pass the
-    filters of :func:`_candidates`; of lines of one size, the later one is
-    taken for the larger."""
-    a, b = larger.alias("a"), smaller.alias("b")
+def _scarce_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """:func:`_candidates` of words in few lines with themselves, written once.
+
+    Lines meet as the larger and the smaller one of a pair.  With the ``n``
+    words of the larger one at least ``n * num / den`` are shared, so its prefix
+    is what ``postings`` hold; of the smaller one's, at least
+    ``2 * num / (num + den)`` are, which makes its prefix about half as long.  The
+    length filter is part of the key: a larger line is in the band of its size,
+    a smaller one in all bands of sizes that may be similar (two, or one).
+
+    Both sides are one exchange by the word: bands and shorter prefixes are
+    worked out behind it (an outer explode, which Catalyst does not turn into a
+    filter below), and a join on (word, band) may use that partitioning.  No
+    word is in more than FREQUENT lines, so a hash table's keys stay small."""
+    n = F.col("n")
+    spread = postings.withColumn("band", _band(n, num, den))
+    # what the join asks to be no null is said for both sides, so that their exchanges are one
+    spread = spread.where(" and ".join(f"{c} is not null" for c in spread.columns)).repartition("word")
+    short = F.col("i") < n - _ceil(n, 2 * num, num + den) + 1
+    bands = F.when(short, F.sequence(F.col("band"), _band(F.floor(n * den / num), num, den)))
+    smaller = spread.select(*[c for c in spread.columns if c != "band"], F.explode_outer(bands).alias("band"))
+    a, b = spread.alias("a"), smaller.hint("shuffle_hash").alias("b")
     nx, ny = F.col("a.n"), F.col("b.n")
     overlap = _ceil(nx + ny, num, num + den)
     room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
     apart = (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
              + F.bit_count(F.col("a.parity2").bitwiseXOR(F.col("b.parity2"))))
-    meets = ((F.col("a.word") == F.col("b.word")) & (F.col("a.band") == F.col("b.band"))
-             & ((nx > ny) | ((nx == ny) & (F.col("b.at") < F.col("a.at"))))
-             & (ny * den >= nx * num) & (room >= overlap) & (apart <= nx + ny - 2 * overlap))
-    met = a.join(b, meets if which is None else meets & which)
-    later = F.col("b.at") < F.col("a.at")
-    return met.select(F.when(later, F.col("a.at")).otherwise(F.col("b.at")).alias("x"),
-                      F.when(later, F.col("b.at")).otherwise(F.col("a.at")).alias("y"), (nx + ny).alias("n")).distinct()
+    before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
+    met = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.band") == F.col("b.band"))
+                 & (nx >= ny) & (ny * den >= nx * num) & (room >= overlap) & (apart <= nx + ny - 2 * overlap)
+                 & ((nx > ny) | before))
+    one, other = F.struct("a.o", "a.tie", "a.pos"), F.struct("b.o", "b.tie", "b.pos")
+    found = met.select(F.when(before, one).otherwise(other).alias("x"), F.when(before, other).otherwise(one).alias("y"),
+                       (nx + ny).alias("n"))
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark = postings.sparkSession
+    was = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return materialize(found.distinct())
+    finally:
+        spark.conf.set(key, was)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
