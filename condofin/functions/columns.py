@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import SHARE, VALID_PAYMENT_STATES
-from .exact import quotient
+from .exact import with_quotients
 
 # Spanish month names in calendar order (pivot columns of the
 # unit/month report and the month text of the service-cost file).
@@ -45,19 +45,21 @@ def money_out(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 
 
-def shares(amount: Column, parts: list[Column], base: Column) -> list[Column]:
-    """``amount`` split in proportion to ``parts``, which sum to ``base``:
-    DECIMAL(38,6) shares that add up to it exactly.
+def with_shares(df: DataFrame, amount: Column, parts: list[Column], names: list[str]) -> DataFrame:
+    """``df`` with ``amount`` split in proportion to ``parts`` into the columns
+    ``names``: DECIMAL(38,6) shares that add up to it exactly; NULL where the
+    parts add up to 0.
 
     Each is the difference of two exact quotients, of the parts up to it and
     before it, so none is off by more than one unit of the last place."""
-    upto, out = None, []
-    for i, part in enumerate(parts):
-        before = upto
-        whole = part if i == 0 else whole + part
-        upto = amount.cast(SHARE) if i == len(parts) - 1 else quotient(amount, whole, base)
-        out.append(upto if before is None else (upto - before).cast(SHARE))
-    return out
+    sums = [parts[0]]
+    for part in parts[1:]:
+        sums.append(sums[-1] + part)
+    upto = [f"hasta{i}__" for i in range(len(parts))]
+    # the last is the amount itself, but NULL where there is nothing to share by
+    cumulated = with_quotients(df, amount, dict(zip(upto, sums)), sums[-1])
+    own = {n: F.col(u) if i == 0 else (F.col(u) - F.col(upto[i - 1])).cast(SHARE) for i, (n, u) in enumerate(zip(names, upto))}
+    return cumulated.withColumns(own).drop(*upto)
 
 
 def month_name(month: Column) -> Column:

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_range, shares, sum_money, valid_state
+from ..functions.columns import in_range, sum_money, valid_state, with_shares
 from ..model import CONCEPTS, SHARE, WIDE_MONEY, Tables, live
 from ..params import ReportParams
 from ..sources.tables_io import year_filter
@@ -87,16 +87,15 @@ def concept_totals(tables: Tables, concepts=CONCEPTS[:2], fanout: str = "referen
         "expensa_id", *total_columns(concepts, fanout))
 
 
-def split_columns(amount: Column, concepts) -> list[Column]:
-    """Shares of ``amount`` per concept from the ``total_*`` columns; they add
-    up to it."""
+def with_split(df: DataFrame, amount: str, concepts) -> DataFrame:
+    """``df`` with the shares of ``amount`` per concept from its ``total_*``
+    columns; they add up to it."""
     totals = [F.col(TOTAL_NAMES[c]) for c in concepts]
     base = reduce(lambda a, b: a + b, totals)
-    out = []
-    for i, (c, part) in enumerate(zip(concepts, shares(amount, totals, base))):
-        fallback = amount.cast(SHARE) if i == 0 else F.lit(0).cast(SHARE)
-        out.append(F.when(base > 0, part).otherwise(fallback).alias(SHARE_NAMES[c]))
-    return out
+    names = [SHARE_NAMES[c] for c in concepts]
+    split = with_shares(df, F.col(amount), totals, names)
+    return split.withColumns({n: F.when(base > 0, F.col(n)).otherwise(
+        F.col(amount).cast(SHARE) if i == 0 else F.lit(0).cast(SHARE)) for i, n in enumerate(names)})
 
 
 def valid_payments(tables: Tables, params: ReportParams | None = None) -> DataFrame:
@@ -126,4 +125,4 @@ def split_payment(tables: Tables, params: ReportParams, concepts=CONCEPTS[:2],
     with_totals = joined.select(
         "consorcio_id", "pago_id", "expensa_id", "fecha",
         F.col("importe").alias("importe_total"), *total_columns(concepts, fanout))
-    return with_totals.select("*", *split_columns(F.col("importe_total"), concepts))
+    return with_split(with_totals, "importe_total", concepts)

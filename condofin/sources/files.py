@@ -66,7 +66,14 @@ def _read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: s
 def _parse_delimited(lines: DataFrame, col: str, schema: T.StructType, sep: str) -> DataFrame:
     ddl = ", ".join(f"`{f.name}` STRING" for f in _with_corrupt(schema).fields)
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return lines.select(F.from_csv(F.col(col), ddl, options).alias("r")).select("r.*")
+    return _once(lines.select(F.col(col).alias("linea__")), F.from_csv("linea__", ddl, options), "r").select("r.*")
+
+
+def _once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """``df`` with ``parsed`` as a column that is worked out once a row: a
+    filter on its fields is not pushed below an explode, as it would be below a
+    projection, with a copy of the parser for each field that it names."""
+    return df.select("*", F.explode_outer(F.array(parsed)).alias(name))
 
 
 def _faults(*found: tuple[str, Column]) -> Column:
@@ -147,25 +154,28 @@ def check_units(raw: DataFrame) -> DataFrame:
     first must be there), ``bauleras``, ``cochera`` (text that says neither yes
     nor no), and ``sin_bauleras``, ``sin_cochera`` (an area above 0 beside a
     flag that says no or nothing)."""
-    number, building = F.trim(F.col("nroUnidadFuncional")), F.col(f"`{BUILDING_FIELD}`")
-    coef = parse_decimal_comma(F.col("coeficiente"))
-    area = {c: parse_decimal_comma(F.col(c), AREA) for c in ("m2_unidad_funcional", "m2_baulera", "m2_cochera")}
-    flag = {c: parse_flag(F.col(c)) for c in ("bauleras", "cochera")}
+    building = F.col(f"`{BUILDING_FIELD}`")
+    areas, flags = ("m2_unidad_funcional", "m2_baulera", "m2_cochera"), ("bauleras", "cochera")
+    # parsed in a projection of its own: the faults name each value several times
+    parsed = raw.withColumns(
+        {"nro__": F.trim(F.col("nroUnidadFuncional")).try_cast("int"), "coef__": parse_decimal_comma(F.col("coeficiente"))}
+        | {f"{c}__": parse_decimal_comma(F.col(c), AREA) for c in areas} | {f"{c}__": parse_flag(F.col(c)) for c in flags})
 
-    def unclaimed(flag_col, area_col):
-        return (area[area_col] > 0) & (~F.coalesce(flag[flag_col], F.lit(False))) & ~_unparsed(F.col(flag_col), flag[flag_col])
+    def lost(field, to=None):
+        return _unparsed(F.col(field), F.col(to or f"{field}__"))
 
-    return raw.select(
-        F.trim(building).alias("consorcio_nombre"), number.try_cast("int").alias("nro_uf"),
+    def unclaimed(flag, area):
+        return (F.col(f"{area}__") > 0) & ~F.coalesce(F.col(f"{flag}__"), F.lit(False)) & ~lost(flag)
+
+    return parsed.select(
+        F.trim(building).alias("consorcio_nombre"), F.col("nro__").alias("nro_uf"),
         F.trim(F.col("Piso")).alias("piso"), F.trim(F.col("departamento")).alias("depto"),
-        coef.alias("coeficiente"), area["m2_unidad_funcional"].alias("cant_m2"),
-        flag["bauleras"].alias("baulera"), flag["cochera"].alias("cochera"),
-        area["m2_baulera"].alias("m2_baulera"), area["m2_cochera"].alias("m2_cochera"),
-        _faults(("campos", F.col(CORRUPT).isNotNull()), ("consorcio", _blank(building)),
-                ("nro_uf", number.try_cast("int").isNull()), ("coeficiente", _unparsed(F.col("coeficiente"), coef)),
-                ("m2_unidad", _unparsed(F.col("m2_unidad_funcional"), area["m2_unidad_funcional"])),
-                *[(c, _unparsed(F.col(c), flag[c])) for c in flag],
-                *[(c, _unparsed(F.col(c), area[c])) for c in ("m2_baulera", "m2_cochera")],
+        F.col("coef__").alias("coeficiente"), F.col("m2_unidad_funcional__").alias("cant_m2"),
+        F.col("bauleras__").alias("baulera"), F.col("cochera__").alias("cochera"),
+        F.col("m2_baulera__").alias("m2_baulera"), F.col("m2_cochera__").alias("m2_cochera"),
+        _faults(("campos", F.col(CORRUPT).isNotNull()), ("consorcio", _blank(building)), ("nro_uf", F.col("nro__").isNull()),
+                ("coeficiente", lost("coeficiente", "coef__")), ("m2_unidad", lost("m2_unidad_funcional")),
+                *[(c, lost(c)) for c in flags], *[(c, lost(c)) for c in areas[1:]],
                 ("sin_bauleras", unclaimed("bauleras", "m2_baulera")),
                 ("sin_cochera", unclaimed("cochera", "m2_cochera"))).alias("fallas"),
         _blank_line(UNIT_SCHEMA, "\t").alias("vacia"), _line(UNIT_SCHEMA, "\t").alias("linea"))
@@ -218,10 +228,10 @@ def check_cost_documents(texts: DataFrame, col: str = "value") -> DataFrame:
     ``largo``: longer than the splitter joins; ``json``: no valid JSON object;
     ``consorcio``: names no building."""
     said = F.trim(F.regexp_replace(F.col(col), r"^\s+|\s+$", ""))
-    f = F.from_json(F.col(col), "map<string,string>")
     long = F.col("long") if "long" in texts.columns else F.lit(False)
-    whole = said.startswith("{") & said.endswith("}") & f.isNotNull()
-    return texts.withColumn("f", F.when(whole, f)).withColumn(
+    whole = said.startswith("{") & said.endswith("}")
+    parsed = F.when(whole, F.from_json(F.col(col), "map<string,string>"))
+    return _once(texts, parsed, "f").withColumn(
         "falla", F.when(long, "largo").when(F.col("f").isNull(), "json")
         .when(_blank(F.col("f")[BUILDING_FIELD]), "consorcio"))
 

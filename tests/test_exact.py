@@ -7,8 +7,8 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from condofin.functions.columns import shares
-from condofin.functions.exact import quotient
+from condofin.functions.columns import with_shares
+from condofin.functions.exact import quotient, with_quotients
 
 
 def rounded(a, p, q):
@@ -37,6 +37,8 @@ def test_quotients(spark):
     df = spark.createDataFrame(rows, "a decimal(32,6), p decimal(32,6), q decimal(32,6)")
     got = df.select("a", "p", "q", quotient(F.col("a"), F.col("p"), F.col("q")).alias("x")).collect()
     assert [r.x for r in got] == [rounded(r.a, r.p, r.q) for r in got]
+    staged = with_quotients(df, F.col("a"), {"x": F.col("p")}, F.col("q"))
+    assert staged.columns == [*df.columns, "x"] and sorted(map(tuple, staged.collect())) == sorted(map(tuple, got))
     none = spark.createDataFrame([(D(1), D(1), D(0)), (None, D(1), D(1))], "a decimal(18,2), p decimal(18,2), q decimal(18,2)")
     assert [r[0] for r in none.select(quotient(F.col("a"), F.col("p"), F.col("q"))).collect()] == [None, None]
 
@@ -46,9 +48,10 @@ def test_shares_add_up(spark):
     rows = [(D(10) ** 14 + D(i) / 100, *[D(rng.randrange(0, 10 ** rng.choice([2, 9, 17]))) / 100 for _ in range(3)]) for i in range(200)]
     rows = [r for r in rows if sum(r[1:])]
     df = spark.createDataFrame(rows, "a decimal(18,2), x decimal(38,6), y decimal(38,6), z decimal(38,6)")
-    parts = [F.col(c) for c in "xyz"]
     names = ["s0", "s1", "s2"]
-    for r in df.select("*", *[s.alias(n) for s, n in zip(shares(F.col("a"), parts, sum(parts[1:], parts[0])), names)]).collect():
+    out = with_shares(df, F.col("a"), [F.col(c) for c in "xyz"], names)
+    assert out.columns == [*df.columns, *names]
+    for r in out.collect():
         assert sum(r[n] for n in names) == r.a
         for c, n in zip("xyz", names):
             assert abs(r[n] - rounded(r.a, r[c], r.x + r.y + r.z)) <= D("0.000001")
