@@ -29,13 +29,15 @@ def unit_weights(units: DataFrame) -> DataFrame:
 
 
 def prorate(numerator: F.Column, coef_total: F.Column) -> F.Column:
-    """``numerator / coef_total``, exact to the sixth decimal place and then
+    """``numerator / coef_total``, exact to the eighth decimal place and then
     DOUBLE; 0 if the total is not positive.
 
-    ``numerator`` is the exact sum of ``amount * coeficiente``.
+    ``numerator`` is the exact sum of ``amount * coeficiente``.  Each unit's
+    share is rounded by itself, so those of ``n`` units add up to within
+    ``n`` halves of that place.
     """
-    exact = quotient(numerator, F.lit(1), coef_total)
-    return F.when(coef_total > 0, exact.cast("double")).otherwise(F.lit(0.0))
+    hundredfold = quotient(numerator, F.lit(100), coef_total)
+    return F.when(coef_total > 0, hundredfold.cast("double") / 100).otherwise(F.lit(0.0))
 
 
 def prorate_by_coefficient(amounts: DataFrame, units: DataFrame,

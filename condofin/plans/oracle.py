@@ -9,7 +9,7 @@ against loops over the charges in the tests.
 Numeric conventions shared with the Spark side (so both engines hash alike):
 money is summed as exact DECIMAL; payment shares are differences of exact
 quotients rounded to six places, so they add up; pro-rata quotients are exact to
-six places; outputs are ``CAST(ROUND(exact_sum, 2) AS DOUBLE)``; means are one
+eight places; outputs are ``CAST(ROUND(exact_sum, 2) AS DOUBLE)``; means are one
 DOUBLE division of exact sums.
 """
 
@@ -105,9 +105,9 @@ def _share(amount: str, part: str, base: str) -> str:
 
 def prorated(weighted: str, total: str) -> str:
     """weighted (six decimals) over total (four decimals) in whole units of
-    10^-6, halves up, as DOUBLE; 0 if the total is not positive."""
+    10^-8, halves up, as DOUBLE; 0 if the total is not positive."""
     n, q = f"CAST({weighted} * 1000000 AS HUGEINT)", f"CAST({total} * 10000 AS HUGEINT)"
-    return (f"CASE WHEN {total} > 0 THEN CAST(CAST((20000 * {n} + {q}) // (2 * {q}) AS DECIMAL(32,0)) * 0.000001 AS DOUBLE) "
+    return (f"CASE WHEN {total} > 0 THEN CAST(CAST((2000000 * {n} + {q}) // (2 * {q}) AS DECIMAL(32,0)) * 0.000001 AS DOUBLE) / 100 "
             "ELSE 0.0 END")
 
 
