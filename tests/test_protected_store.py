@@ -159,3 +159,14 @@ def test_only_payments_that_may_match_are_decrypted(spark):
         assert [(r.pago_id, r.persona_id) for r in got] == [(1, 1)]
         seen[prune] = watch.get["descifradas"]
     assert seen == {False: 52, True: 1}
+
+
+def test_spans_of_hot_keys_are_never_broadcast(spark):
+    """Spark estimates their size without the rows that explode adds."""
+    t = make_tables(spark, titularidad=[(1, i, dt.date(2024, 1, i), None, "PROPIETARIO") for i in range(1, 9)])
+    pays = spark.createDataFrame([(i, 1, dt.date(2024, 1, 1 + i)) for i in range(9)], "pago_id long, persona_id long, fecha date")
+    out = tenure_as_of(pays, t.titularidad, "persona_id", "fecha", keep=("uf_id",), hot=1)
+    assert out.count() == 8 + sum(range(1, 9))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    (split,) = [line for line in plan.splitlines() if "s__e" in line and "Join" in line]
+    assert "strategy=merge" in split
