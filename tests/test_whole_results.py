@@ -319,3 +319,19 @@ def test_lines_tell_units_with_one_natural_key_apart(spark):
         resolve_entities(t, *lined([*us, us[0]], acc), line="linea")
     with pytest.raises(RegistrationError, match="unit not found"):
         resolve_entities(t, *lined(us, [(*acc[0][:-1], 7)]), line="linea")
+
+
+def test_a_task_of_the_payment_split_has_a_bounded_number_of_rows(spark, monkeypatch):
+    from condofin.operators import concepts as C
+    t = make_tables(spark, expensa=[bill(i) for i in range(40)], pago=[payment(i, i, "2025-01-05 00:00:00", 90 + i) for i in range(40)],
+                    charges=[charge(i, kind, 3 + i) for i in range(40) for kind in (ORDINARIO, EXTRAORDINARIO)])
+
+    def split():
+        return C.split_payment(t, P, C.CONCEPTS)
+    few = split()
+    assert "RepartitionByExpression" not in few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(C, "ROWS_OF_TASK", 5)
+    many = split()  # 120 rows
+    dealt = [line for line in many._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in line]
+    assert dealt and all(line.endswith(", 24") for line in dealt)
+    assert sorted(many.collect()) == sorted(few.collect()) and many.count() == 40
