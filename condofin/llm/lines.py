@@ -32,6 +32,8 @@ FREQUENT = 512
 BROADCAST_WORDS = 500_000
 BROADCAST_DOCS, BROADCAST_BYTES = 50_000, 4 << 20
 ONCE = 2  # rarity class of a counter that is 1
+#: Sets of more words keep the parity of half of the words as well.
+WIDE = 64
 THRESHOLD = (4, 5)  # Jaccard of 0.8 as a fraction
 
 _BLANK = "[\\x20\\x09\\x0B-\\x0D]+"
@@ -104,28 +106,32 @@ def _counter(h: Column, bits: int) -> Column:
 
 def _sets(lines: DataFrame, classes: DataFrame, bits: int, num: int, den: int) -> DataFrame:
     """One row per distinct word set: its first line ``o, tie, pos``, its size
-    ``n``, its ``prefix`` and ``parity, parity2`` (128 bits, each word flips one).
+    ``n``, its ``prefix``, ``parity`` (64 bits, each word flips one) and, if ``n``
+    is above WIDE, ``parity2`` (the same of about half of the words, else 0).
 
     A word's key is its rarity class above 56 bits of its hash, so that keys in
     order are words by rarity.  The classes come as a scalar subquery."""
     def key(h):
-        rank = F.shiftleft(F.get(F.col("classes"), _counter(h, bits)).cast("bigint"), 56)
+        # every counter has a class; said to be never null, so that keys are sorted as plain numbers
+        known = F.coalesce(F.get(F.col("classes"), _counter(h, bits)), F.lit(0).cast("tinyint"))
+        rank = F.shiftleft(known.cast("bigint"), 56)
         return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
     hashes = F.array_remove(F.array_distinct(F.transform(_parts(F.col("line")), lambda w: F.xxhash64(w))),
                             F.xxhash64(F.lit("")))
     n = F.size("keys")
 
-    def flips(half):
-        """Parity of the words whose bit lies in this half of the 128."""
-        def flip(bits, k):
-            own = F.shiftright(k, 6).bitwiseAND(F.lit(1))
-            return bits.bitwiseXOR(F.call_function("shiftleft", own if half else 1 - own,
-                                                   k.bitwiseAND(F.lit(63)).cast("int")))
-        return F.aggregate("keys", F.lit(0).cast("bigint"), flip)
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def flips(own):
+        """Parity of the words for which ``own`` is 1, not 0."""
+        return F.aggregate("keys", none, lambda bits, k: bits.bitwiseXOR(
+            F.call_function("shiftleft", own(k), k.bitwiseAND(F.lit(63)).cast("int"))))
+    every, half = flips(lambda k: one), flips(lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(1)))
 
     sets = (lines.withColumn("classes", classes.scalar()).withColumn("keys", F.sort_array(F.transform(hashes, key)))
-        .select(F.struct("o", "tie", "pos").alias("at"), n.alias("n"), flips(0).alias("parity"), flips(1).alias("parity2"),
+        .select(F.struct("o", "tie", "pos").alias("at"), n.alias("n"), every.alias("parity"),
+                F.when(n > WIDE, half).otherwise(none).alias("parity2"),
                 F.xxhash64("keys").alias("k1"), F.xxhash64(F.lit(1), F.col("keys")).alias("k2"),
                 F.slice("keys", F.lit(1), n - _ceil(n, num, den) + 1).alias("prefix"))
         .groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"),
@@ -162,7 +168,10 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     postings = (sets.where(F.col("n") * (den - num) >= num)
                 .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2")
                 .where(F.shiftrightunsigned("word", 56) > ONCE))
-    counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("lines"))
+    # a word of a lower class stands in FREQUENT places at most (less 1 for the logarithm's rounding)
+    least = math.floor(2 * math.log2(FREQUENT + 2)) - 1
+    counts = (postings.where(F.shiftrightunsigned("word", 56) >= least)
+              .groupBy("word").agg(F.count(F.lit(1)).alias("lines")))
     frequent = materialize(counts.where(F.col("lines") > FREQUENT).select("word"))
     if frequent.count() <= BROADCAST_WORDS:
         frequent = F.broadcast(frequent)
@@ -197,8 +206,7 @@ def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> Dat
     overlap = _ceil(nx + ny, num, num + den)
     before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
     room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
-    apart = (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-             + F.bit_count(F.col("a.parity2").bitwiseXOR(F.col("b.parity2"))))
+    apart = _apart(nx, ny)
     return (a.join(b, (F.col("a.word") == F.col("b.word"))
                    & (nx * den >= ny * num) & (ny * den >= nx * num) & (room >= overlap)
                    & (apart <= nx + ny - 2 * overlap) & before)
@@ -207,9 +215,16 @@ def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> Dat
             .distinct())
 
 
+def _apart(nx: Column, ny: Column) -> Column:
+    """Bits in which the parities of sets ``a`` and ``b`` differ: of both halves
+    of the words apart if both sets keep them, else of all words."""
+    both, half = (F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")) for c in ("parity", "parity2"))
+    return F.when((nx > WIDE) & (ny > WIDE), F.bit_count(half) + F.bit_count(both.bitwiseXOR(half))).otherwise(F.bit_count(both))
+
+
 def _band(n: Column, num: int, den: int) -> Column:
     """Sizes from 1 on in bands whose ends have the threshold's ratio."""
-    return F.floor(F.log(n.cast("double")) / F.lit(math.log(den / num) if num < den else 1.0)).cast("int")
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(den / num) if num < den else 1.0)).cast("smallint")
 
 
 def _scarce_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
@@ -225,11 +240,17 @@ def _scarce_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     Both sides are one exchange by the word: bands and shorter prefixes are
     worked out behind it (an outer explode, which Catalyst does not turn into a
     filter below), and a join on (word, band) may use that partitioning.  No
-    word is in more than FREQUENT lines, so a hash table's keys stay small."""
-    n = F.col("n")
-    spread = postings.withColumn("band", _band(n, num, den))
+    word is in more than FREQUENT lines, so a hash table's keys stay small.
+
+    Of a word's hash 46 bits, ``w`` and ``v``, make one 64-bit join key with the
+    band; words that share them only make candidates, which are verified."""
+    n, word = F.col("n"), F.col("word")
+    spread = postings.select(
+        word.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("w"),
+        F.shiftright(word, 31).bitwiseAND(F.lit((1 << 15) - 1)).cast("smallint").alias("v"),
+        *[c for c in postings.columns if c != "word"], _band(n, num, den).alias("band"))
     # what the join asks to be no null is said for both sides, so that their exchanges are one
-    spread = spread.where(" and ".join(f"{c} is not null" for c in spread.columns)).repartition("word")
+    spread = spread.where(" and ".join(f"{c} is not null" for c in spread.columns)).repartition("w")
     short = F.col("i") < n - _ceil(n, 2 * num, num + den) + 1
     bands = F.when(short, F.sequence(F.col("band"), _band(F.floor(n * den / num), num, den)))
     smaller = spread.select(*[c for c in spread.columns if c != "band"], F.explode_outer(bands).alias("band"))
@@ -237,10 +258,9 @@ def _scarce_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     nx, ny = F.col("a.n"), F.col("b.n")
     overlap = _ceil(nx + ny, num, num + den)
     room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
-    apart = (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-             + F.bit_count(F.col("a.parity2").bitwiseXOR(F.col("b.parity2"))))
+    apart = _apart(nx, ny)
     before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
-    met = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.band") == F.col("b.band"))
+    met = a.join(b, (F.col("a.w") == F.col("b.w")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.band") == F.col("b.band"))
                  & (nx >= ny) & (ny * den >= nx * num) & (room >= overlap) & (apart <= nx + ny - 2 * overlap)
                  & ((nx > ny) | before))
     one, other = F.struct("a.o", "a.tie", "a.pos"), F.struct("b.o", "b.tie", "b.pos")

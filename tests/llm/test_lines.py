@@ -42,6 +42,32 @@ def test_frequent_words_take_the_other_way(make_docs, monkeypatch):
     assert found(make_docs(docs)) == line_dedup(docs)
 
 
+@pytest.mark.parametrize("wide", [64, 8])
+def test_long_lines_on_both_sides_of_the_wider_parity(make_docs, monkeypatch, wide):
+    """Lines of 50 to 90 words of which some are changed: pairs at, above and
+    below the threshold, also of one set that keeps both parities and one that doesn't."""
+    monkeypatch.setattr(L, "WIDE", wide)
+    rng = random.Random(wide)
+    base = [[f"b{k}w{i}" for i in range(rng.randrange(50, 91))] for k in range(12)]
+    docs = []
+    for i in range(60):
+        line = list(base[i % len(base)])
+        for at in rng.sample(range(len(line)), rng.randrange(len(line) // 6)):
+            line[at] = f"new{i}n{at}" if rng.random() < 0.5 else ""
+        docs.append((i, " ".join(line)))
+    got = found(make_docs(docs))
+    assert got == line_dedup(docs) and 0 < sum(r[1] for r in got.values()) < 48
+
+
+def test_only_classes_that_can_hold_frequent_words_are_counted(make_docs, monkeypatch):
+    """Words in exactly so many lines as the limit allows, and in one more."""
+    for limit in (1, 2, 3, 7, 8):
+        monkeypatch.setattr(L, "FREQUENT", limit)
+        docs = [(10 * n + i, f"same{n} a{n} b{n} c{n} " + " ".join(f"x{n}y{i}z{k}" for k in range(i % 2 + 1)))
+                for n in (limit, limit + 1) for i in range(n)]
+        assert found(make_docs(docs)) == line_dedup(docs)
+
+
 def test_blanks_of_all_kinds_separate_words(make_docs):
     """Words that only two lines have, one of them cut at other blanks."""
     docs = []
