@@ -37,6 +37,7 @@ WIDE = 64
 THRESHOLD = (4, 5)  # Jaccard of 0.8 as a fraction
 
 _BLANK = "[\\x20\\x09\\x0B-\\x0D]+"
+_SPACE = "[\\x20\\x09-\\x0D]"
 
 
 def _ceil(n: Column, num: int, den: int) -> Column:
@@ -85,17 +86,20 @@ def rarity(docs: DataFrame, bits: int) -> DataFrame:
     (twice the log of the counts of all words): of fixed size.  It is put
     together from chunks of 2 ** 16.  The words are those of the lines: a word
     whose counter is 1 stands in one line only."""
-    text = F.col("text")
-    for blank in "\n\t\r\x0b\x0c":
-        text = F.replace(text, F.lit(blank), F.lit(" "))
-    word = F.explode(F.split(text, " ")).alias("word")
+    word = F.explode(F.split("text", _SPACE)).alias("word")
     counted = docs.select(word).select(_counter(F.xxhash64("word"), bits).alias("k")).groupBy("k").agg(
-        F.floor(2 * F.log2(F.count(F.lit(1)) + 1)).cast("tinyint").alias("c"))
-    every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("k"))
-    table = every.join(counted, "k", "left").select(
-        F.shiftright("k", 16).alias("chunk"), "k", F.coalesce("c", F.lit(0).cast("tinyint")).alias("c"))
-    chunks = table.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("k", "c"))).alias("all")).select(
-        "chunk", F.transform("all", lambda x: x["c"]).alias("classes"))
+        F.floor(2 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("c"))
+    # place in the chunk and class as one, to be sorted as plain numbers
+    both = F.shiftleft(F.col("k").bitwiseAND(F.lit(0xFFFF)), 8).bitwiseOR(F.col("c"))
+    some = counted.groupBy(F.shiftright("k", 16).alias("chunk")).agg(F.collect_list(both).alias("some"))
+    every = docs.sparkSession.range(1 << (bits - 16)).select(F.col("id").cast("int").alias("chunk"))
+    some = every.join(some, "chunk", "left").select(
+        "chunk", F.coalesce("some", F.array().cast("array<int>")).alias("some"))
+    # counters of no word are of class 0
+    none = F.array_except(F.sequence(F.lit(0), F.lit(0xFFFF)), F.transform("some", lambda x: F.shiftright(x, 8)))
+    whole = F.sort_array(F.concat("some", F.transform(none, lambda x: F.shiftleft(x, 8))))
+    chunks = some.select("chunk", F.transform(
+        whole, lambda x: x.bitwiseAND(F.lit(255)).cast("tinyint")).alias("classes"))
     return chunks.agg(F.sort_array(F.collect_list(F.struct("chunk", "classes"))).alias("all")).select(
         F.flatten(F.transform("all", lambda x: x["classes"])).alias("classes"))
 
@@ -165,8 +169,8 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     sets = materialize(_sets(lines, materialize(rarity(docs, bits)), bits, num, den))
     texts = rows.select("o", "tie", "text").distinct() if repeated else rows.select("o", "tie", "text")
     # n / (n + 1) below the threshold: only equal sets are similar; a counter of 1: no other line has the word
-    postings = (sets.where(F.col("n") * (den - num) >= num)
-                .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2")
+    postings = (sets.where(F.col("n") * (den - num) >= num).withColumn("band", _band(F.col("n"), num, den))
+                .select(F.posexplode("prefix").alias("i", "word"), "o", "tie", "pos", "n", "parity", "parity2", "band")
                 .where(F.shiftrightunsigned("word", 56) > ONCE))
     # a word of a lower class stands in FREQUENT places at most (less 1 for the logarithm's rounding)
     least = math.floor(2 * math.log2(FREQUENT + 2)) - 1
@@ -185,7 +189,7 @@ def removed_lines(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> Da
     matched = materialize(matched.union(_verified(pairs, texts, num, den)).distinct())
     kept = (sets.select("o", "tie", "pos").join(matched, ["o", "tie", "pos"], "left_anti")
             .groupBy("o", "tie").agg(F.collect_list("pos").alias("kept_at")))
-    stay = F.filter("parts", lambda line, i: F.array_contains(F.col("kept_at"), i) | (F.size(line_words(line)) == 0))
+    stay = F.filter("parts", lambda line, i: F.array_contains(F.col("kept_at"), i) | ~line.rlike("[^\\x20\\x09-\\x0D]"))
     judged = (rows.select("doc", "o", "tie").join(kept.hint("shuffle_hash"), ["o", "tie"], "left")
               .withColumn("kept_at", F.coalesce("kept_at", F.array().cast("array<int>")))
               .withColumn("parts", F.split("doc.text", "\n"))
@@ -203,18 +207,25 @@ def _candidates(later: DataFrame, earlier: DataFrame, num: int, den: int) -> Dat
     differ are at most the words that only one of the sets has."""
     a, b = later.alias("a"), earlier.alias("b")
     nx, ny = F.col("a.n"), F.col("b.n")
-    overlap = _ceil(nx + ny, num, num + den)
     before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
-    room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
-    apart = _apart(nx, ny)
     return (a.join(b, (F.col("a.word") == F.col("b.word"))
-                   & (nx * den >= ny * num) & (ny * den >= nx * num) & (room >= overlap)
-                   & (apart <= nx + ny - 2 * overlap) & before)
+                   & (nx * den >= ny * num) & (ny * den >= nx * num) & _may_be(nx, ny, num, den) & before)
             .select(F.struct("a.o", "a.tie", "a.pos").alias("x"), F.struct("b.o", "b.tie", "b.pos").alias("y"),
                     (nx + ny).alias("n"))
             .distinct())
 
 
+def _may_be(nx: Column, ny: Column, num: int, den: int) -> Column:
+    """Positional and parity filter: neither the words left from the shared one
+    on nor those that can't be apart are fewer than the overlap needed,
+    ``(nx + ny) * num / (num + den)``, compared in whole numbers."""
+    n = nx + ny
+    needed = n.cast("bigint") * num
+    room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
+    shared = F.shiftright(n - _apart(nx, ny), 1)
+    return (room.cast("bigint") * (num + den) >= needed) & (shared.cast("bigint") * (num + den) >= needed)
+
+
 def _apart(nx: Column, ny: Column) -> Column:
     """Bits in which the parities of sets ``a`` and ``b`` differ: of both halves
     of the words apart if both sets keep them, else of all words."""
@@ -234,8 +245,9 @@ def _scarce_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     words of the larger one at least ``n * num / den`` are shared, so its prefix
     is what ``postings`` hold; of the smaller one's, at least
     ``2 * num / (num + den)`` are, which makes its prefix about half as long.  The
-    length filter is part of the key: a larger line is in the band of its size,
-    a smaller one in all bands of sizes that may be similar (two, or one).
+    length filter is part of the key: a smaller line is in the band of its size
+    (its rows make the hash table, so they are no more than need be), a larger one
+    looks into all bands of sizes that may be similar (two, or one).
 
     Both sides are one exchange by the word: bands and shorter prefixes are
     worked out behind it (an outer explode, which Catalyst does not turn into a
@@ -248,21 +260,20 @@ def _scarce_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     spread = postings.select(
         word.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("w"),
         F.shiftright(word, 31).bitwiseAND(F.lit((1 << 15) - 1)).cast("smallint").alias("v"),
-        *[c for c in postings.columns if c != "word"], _band(n, num, den).alias("band"))
+        *[c for c in postings.columns if c != "word"])
     # what the join asks to be no null is said for both sides, so that their exchanges are one
     spread = spread.where(" and ".join(f"{c} is not null" for c in spread.columns)).repartition("w")
-    short = F.col("i") < n - _ceil(n, 2 * num, num + den) + 1
-    bands = F.when(short, F.sequence(F.col("band"), _band(F.floor(n * den / num), num, den)))
-    smaller = spread.select(*[c for c in spread.columns if c != "band"], F.explode_outer(bands).alias("band"))
-    a, b = spread.alias("a"), smaller.hint("shuffle_hash").alias("b")
+    short = (n - F.col("i")).cast("bigint") * (num + den) >= n.cast("bigint") * (2 * num)
+    own = F.when(short, F.array("band"))
+    bands = F.sequence(_band(_ceil(n, num, den), num, den), F.col("band"))
+    rest = [c for c in spread.columns if c != "band"]
+    larger = spread.select(*rest, F.explode_outer(bands).alias("band"))
+    smaller = spread.select(*rest, F.explode_outer(own).alias("band"))
+    a, b = larger.alias("a"), smaller.hint("shuffle_hash").alias("b")
     nx, ny = F.col("a.n"), F.col("b.n")
-    overlap = _ceil(nx + ny, num, num + den)
-    room = F.least(nx - F.col("a.i"), ny - F.col("b.i"))
-    apart = _apart(nx, ny)
     before = F.struct("b.o", "b.tie", "b.pos") < F.struct("a.o", "a.tie", "a.pos")
     met = a.join(b, (F.col("a.w") == F.col("b.w")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.band") == F.col("b.band"))
-                 & (nx >= ny) & (ny * den >= nx * num) & (room >= overlap) & (apart <= nx + ny - 2 * overlap)
-                 & ((nx > ny) | before))
+                 & (nx >= ny) & (ny * den >= nx * num) & _may_be(nx, ny, num, den) & ((nx > ny) | before))
     one, other = F.struct("a.o", "a.tie", "a.pos"), F.struct("b.o", "b.tie", "b.pos")
     found = met.select(F.when(before, one).otherwise(other).alias("x"), F.when(before, other).otherwise(one).alias("y"),
                        (nx + ny).alias("n"))

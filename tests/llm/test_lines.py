@@ -1,6 +1,9 @@
+import math
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from condofin.llm import lines as L
 
@@ -68,6 +71,46 @@ def test_only_classes_that_can_hold_frequent_words_are_counted(make_docs, monkey
         assert found(make_docs(docs)) == line_dedup(docs)
 
 
+def test_rarity_classes_of_all_counters(make_docs):
+    """Counters with and without words, in chunks with and without words, made
+    without a row for each counter."""
+    docs = make_docs([(1, "a b a\tc\nd a"), (2, None), (3, ""), (4, "a\x0bb\x0ce\rf")])
+    bits = 20
+    table = L.rarity(docs, bits)
+    words = "a b a c d a a b e f".split() + [""]
+    spark = docs.sparkSession
+    keys = spark.createDataFrame([(w,) for w in words], "w string").select(L._counter(F.xxhash64("w"), bits)).collect()
+    met = Counter(k[0] for k in keys)
+    want = {k: math.floor(2 * math.log2(n + 1)) for k, n in met.items()}
+    classes = table.first()["classes"]
+    assert len(classes) == 1 << bits
+    assert {k: c for k, c in enumerate(classes) if c} == want
+    assert f"Range (0, {1 << bits}" not in table._jdf.queryExecution().executedPlan().toString()
+    assert not any(L.rarity(make_docs([]), 16).first()["classes"])
+
+
+@pytest.mark.parametrize("num,den", [(4, 5), (8, 10), (2, 3), (1, 2), (9, 10)])
+def test_sizes_at_the_ends_of_bands(make_docs, num, den):
+    """Pairs of a line and one of its subsets, around the size that is similar enough."""
+    docs, want = [], {}
+    for n in range(4, 40):
+        least = -(-n * num // den)
+        for m in {least - 1, least, least + 1, n - 1} & set(range(1, n)):
+            words = [f"{n}x{m}y{k}" for k in range(n)]
+            ends = [" ".join(words), " ".join(words[n - m:])]
+            for line in ends if n % 2 else ends[::-1]:
+                want[len(docs)] = int(len(docs) % 2 and m * den >= n * num)
+                docs.append((len(docs), line))
+    got = {r["doc"]["doc_id"]: r["n_removed"] for r in L.removed_lines(make_docs(docs), (num, den)).collect()}
+    assert got == want
+
+
+def test_lines_of_blanks_only_stay(make_docs):
+    docs = [(i, "a b c d e\n \t\n\x0b\x0c\r \n\n\u00a0\n\u2003 \u00a0") for i in range(3)]
+    got = found(make_docs(docs))
+    assert got == line_dedup(docs) and [r[1] for _, r in sorted(got.items())] == [0, 3, 3]
+
+
 def test_blanks_of_all_kinds_separate_words(make_docs):
     """Words that only two lines have, one of them cut at other blanks."""
     docs = []
